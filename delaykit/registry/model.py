@@ -1 +1,153 @@
-"""placeholder"""
+"""Training table, folds, model selection and request scoring (M1-M6, B1).
+
+Stand-in: flights are line items (see ``base.flights``); the "weather" of an
+(arrival airport, scheduled minute) is a set of aggregates over the flights
+at that key; the label is the signed delay in minutes.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from delaykit.functions.timefmt import format_minute
+from delaykit.operators.ordering import contiguous_folds
+from delaykit.plans import models as M
+from delaykit.plans.scoring import first_flight_per_request, score_requests
+from delaykit.plans.training import (
+    features_from_flights, merge_flights_weather, prepare_flights_for_training, training_table,
+)
+from delaykit.registry.base import FLIGHTS_SQL, flights, register, rnd, table
+
+FEATURES = ["f_avg_quantity", "f_avg_discount", "f_max_tax", "f_n_lines"]
+
+
+def _text_flights(spark, d):
+    fl = flights(spark, d)
+    return fl.select(
+        "l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax",
+        F.col("departure_code").alias("Departure_AirportCode"),
+        F.concat(format_minute("scheduled_arrival"), F.lit("Z")).alias("Departure_ScheduledTimeUTC_DateTime"),
+        F.col("arrival_code").alias("Arrival_AirportCode"),
+        F.concat(format_minute("scheduled_arrival"), F.lit("Z")).alias("Arrival_ScheduledTimeUTC_DateTime"),
+        F.concat(format_minute("actual_arrival"), F.lit("Z")).alias("Arrival_ActualTimeUTC_DateTime"))
+
+
+def _weather(prepared):
+    return prepared.groupBy(F.col("Arrival_AirportCode").alias("Airport_Code"),
+                            F.col("Arrival_ScheduledTimeUTC_DateTime").alias("Flight_DateTime")).agg(
+        F.avg("l_quantity").alias("f_avg_quantity"), F.avg("l_discount").alias("f_avg_discount"),
+        F.max("l_tax").alias("f_max_tax"), F.count(F.lit(1)).cast("double").alias("f_n_lines"))
+
+
+_TEXT_FLIGHTS_SQL = f"""
+    SELECT l_orderkey, l_linenumber, l_quantity, l_discount, l_tax, departure_code AS Departure_AirportCode,
+           strftime(scheduled_arrival, '%Y-%m-%dT%H:%M') AS Departure_ScheduledTimeUTC_DateTime,
+           arrival_code AS Arrival_AirportCode,
+           strftime(scheduled_arrival, '%Y-%m-%dT%H:%M') AS Arrival_ScheduledTimeUTC_DateTime,
+           strftime(actual_arrival, '%Y-%m-%dT%H:%MZ') AS Arrival_ActualTimeUTC_DateTime
+    FROM ({FLIGHTS_SQL}) f
+    WHERE actual_arrival IS NOT NULL AND scheduled_arrival IS NOT NULL
+"""
+
+
+@register("prepare_flights", f"""
+    SELECT l_orderkey, l_linenumber, Departure_ScheduledTimeUTC_DateTime, Arrival_ScheduledTimeUTC_DateTime,
+           Arrival_ActualTimeUTC_DateTime FROM ({_TEXT_FLIGHTS_SQL}) t
+""")
+def prepare_flights(spark, d):
+    prepared = features_from_flights(prepare_flights_for_training(_text_flights(spark, d)))
+    return prepared.select("l_orderkey", "l_linenumber", "Departure_ScheduledTimeUTC_DateTime",
+                           "Arrival_ScheduledTimeUTC_DateTime", "Arrival_ActualTimeUTC_DateTime")
+
+
+def train_table(spark, d):
+    prepared = features_from_flights(prepare_flights_for_training(_text_flights(spark, d)))
+    merged = merge_flights_weather(prepared, _weather(prepared))
+    return training_table(merged, ["l_orderkey", "l_linenumber"], FEATURES)
+
+
+@register("training_table", f"""
+    WITH f AS ({_TEXT_FLIGHTS_SQL}),
+    w AS (SELECT Arrival_AirportCode AS Airport_Code, Arrival_ScheduledTimeUTC_DateTime AS Flight_DateTime,
+                 avg(l_quantity) AS f_avg_quantity, avg(l_discount) AS f_avg_discount, max(l_tax) AS f_max_tax,
+                 CAST(count(*) AS DOUBLE) AS f_n_lines FROM f GROUP BY 1, 2)
+    SELECT f.l_orderkey, f.l_linenumber, round(w.f_avg_quantity, 6) AS f_avg_quantity,
+           round(w.f_avg_discount, 6) AS f_avg_discount, round(w.f_max_tax, 6) AS f_max_tax, w.f_n_lines,
+           round(date_diff('microsecond', strptime(f.Arrival_ScheduledTimeUTC_DateTime, '%Y-%m-%dT%H:%M'),
+                 strptime(replace(f.Arrival_ActualTimeUTC_DateTime, 'Z', ''), '%Y-%m-%dT%H:%M')) / 60000000.0, 6)
+               AS delay_minutes
+    FROM f JOIN w ON f.Arrival_AirportCode = w.Airport_Code AND f.Arrival_ScheduledTimeUTC_DateTime = w.Flight_DateTime
+""")
+def q_training_table(spark, d):
+    t = train_table(spark, d)
+    return t.select("l_orderkey", "l_linenumber", *[rnd(F.col(c)).alias(c) for c in FEATURES],
+                    rnd(F.col("delay_minutes")).alias("delay_minutes"))
+
+
+_FOLD_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
+
+
+@register("kfold_assign", f"""
+    SELECT l_orderkey, l_linenumber, l_partkey, CAST(ntile(3) OVER (ORDER BY {', '.join(_FOLD_ORDER)}) - 1 AS INTEGER) AS fold
+    FROM lineitem
+""")
+def kfold_assign(spark, d):
+    li = table(spark, d, "lineitem").select(*_FOLD_ORDER)
+    return contiguous_folds(li, _FOLD_ORDER, 3).select("l_orderkey", "l_linenumber", "l_partkey", "fold")
+
+
+@register("kfold_baseline_mse", f"""
+    WITH f AS (SELECT l_quantity AS y, ntile(3) OVER (ORDER BY {', '.join(_FOLD_ORDER)}) - 1 AS fold FROM lineitem),
+    s AS (SELECT fold, sum(y) AS sy, count(*) AS n FROM f GROUP BY fold),
+    t AS (SELECT sum(sy) AS ty, sum(n) AS tn FROM s),
+    m AS (SELECT s.fold, (t.ty - s.sy) / (t.tn - s.n) AS train_mean FROM s, t)
+    SELECT CAST(f.fold AS INTEGER) AS fold, count(*) AS n_test, round(-avg(power(f.y - m.train_mean, 2)), 4) AS neg_mse
+    FROM f JOIN m ON f.fold = m.fold GROUP BY f.fold
+""")
+def kfold_baseline_mse(spark, d):
+    li = table(spark, d, "lineitem").select(*_FOLD_ORDER)
+    folds = contiguous_folds(li, _FOLD_ORDER, 3).select(F.col("l_quantity").alias("y"), "fold")
+    per_fold = folds.groupBy("fold").agg(F.sum("y").alias("sy"), F.count(F.lit(1)).alias("n"))
+    # per_fold has k rows: the baseline of a test fold is the mean label of the other folds.
+    ty = per_fold.select(F.sum("sy")).scalar()
+    tn = per_fold.select(F.sum("n")).scalar()
+    means = per_fold.select("fold", ((ty - F.col("sy")) / (tn - F.col("n"))).alias("train_mean"))
+    scored = folds.join(F.broadcast(means), "fold")
+    return scored.groupBy("fold").agg(F.count(F.lit(1)).alias("n_test"),
+                                      rnd(-F.avg(F.pow(F.col("y") - F.col("train_mean"), 2)), 4).alias("neg_mse"))
+
+
+def _train_with_folds(spark, d):
+    t = train_table(spark, d)
+    return contiguous_folds(t, ["l_orderkey", "l_linenumber", *FEATURES, "delay_minutes"], 3)
+
+
+# Forest and tree sizes for the registered key; ``plans.models.DEFAULTS`` keeps the
+# reference-like defaults for callers that want them.
+MODEL_OVERRIDES = {"DecisionTreeRegressor": {"maxDepth": 10},
+                   "RandomForestRegressor": {"numTrees": 20, "maxDepth": 8}}
+
+
+@register("train_select_best")
+def train_select_best(spark, d):
+    train = _train_with_folds(spark, d).cache()
+    scores = M.score_models(spark, train, FEATURES, overrides=MODEL_OVERRIDES)
+    return M.select_best(scores)
+
+
+@register("score_requests")
+def q_score_requests(spark, d):
+    t = train_table(spark, d)
+    model = M.fit_best(t, "LinearRegression", FEATURES)
+    prepared = features_from_flights(prepare_flights_for_training(_text_flights(spark, d)))
+    weather = _weather(prepared)
+    # Departure local time of the stand-in flight = its scheduled minute.
+    fl = prepared.withColumn("Departure_ScheduledTimeLocal_DateTime", F.col("Departure_ScheduledTimeUTC_DateTime"))
+    firsts = first_flight_per_request(fl, "Arrival_AirportCode", "Departure_ScheduledTimeLocal_DateTime",
+                                      ["l_orderkey", "l_linenumber"],
+                                      ["Arrival_ScheduledTimeUTC_DateTime"])
+    o = table(spark, d, "orders")
+    requests = o.select(F.concat(F.lit("req-"), F.col("o_orderkey").cast("string")).alias("task_uuid"),
+                        F.lpad(F.col("o_custkey").cast("string"), 3, "0").alias("arrival_iata_code"),
+                        format_minute("o_orderdate").alias("scheduled_departure_local_time"))
+    return score_requests(requests, firsts, weather, model, FEATURES)

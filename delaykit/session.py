@@ -18,6 +18,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
