@@ -36,7 +36,7 @@ def rnd(col, digits: int = 6):
 FLIGHTS_SQL = """
     SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, l_discount, l_tax,
            l_returnflag AS departure_code,
-           lpad(CAST(o_custkey AS VARCHAR), 3, '0') AS arrival_code,
+           CAST(o_custkey AS VARCHAR) AS arrival_code,
            o_orderdate AS scheduled_arrival, l_shipdate AS actual_arrival
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 """
@@ -48,7 +48,7 @@ def flights(spark: SparkSession, d: str) -> DataFrame:
     return (li.join(o, li.l_orderkey == o.o_orderkey)
               .select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_discount", "l_tax",
                       F.col("l_returnflag").alias("departure_code"),
-                      F.lpad(F.col("o_custkey").cast("string"), 3, "0").alias("arrival_code"),
+                      F.col("o_custkey").cast("string").alias("arrival_code"),
                       F.col("o_orderdate").alias("scheduled_arrival"),
                       F.col("l_shipdate").alias("actual_arrival")))
 

@@ -50,11 +50,11 @@ def daily_rollup(spark, d):
                     rnd(F.col("sum_value")).alias("sum_value"), "n", "dominant_event_type")
 
 
-# Airport stand-in: code = last 3 characters of the customer name (codes 000-499 occur twice),
+# Airport stand-in: code = 2 * c_custkey div 3 as text (even codes occur twice, odd ones once),
 # NULL for the AUTOMOBILE segment; name = customer name; coordinates from balance and nation.
 @register("clean_dimension", """
     WITH air AS (
-        SELECT CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN NULL ELSE right(c_name, 3) END AS iata_code,
+        SELECT CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN NULL ELSE CAST((c_custkey * 2) // 3 AS VARCHAR) END AS iata_code,
                c_name AS name, c_acctbal AS latitude_deg, CAST(c_nationkey AS DOUBLE) AS longitude_deg
         FROM customer),
     fixed AS (
@@ -65,7 +65,7 @@ def daily_rollup(spark, d):
 """)
 def clean_dimension(spark, d):
     c = table(spark, d, "customer")
-    air = c.select(F.when(F.col("c_mktsegment") == "AUTOMOBILE", F.lit(None)).otherwise(F.right("c_name", F.lit(3)))
+    air = c.select(F.when(F.col("c_mktsegment") == "AUTOMOBILE", F.lit(None)).otherwise(F.expr("c_custkey * 2 div 3").cast("string"))
                    .alias("iata_code"), F.col("c_name").alias("name"), F.col("c_acctbal").alias("latitude_deg"),
                    F.col("c_nationkey").cast("double").alias("longitude_deg"))
     return clean_airports(air, fix_code="777")

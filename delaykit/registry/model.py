@@ -148,6 +148,6 @@ def q_score_requests(spark, d):
                                       ["Arrival_ScheduledTimeUTC_DateTime"])
     o = table(spark, d, "orders")
     requests = o.select(F.concat(F.lit("req-"), F.col("o_orderkey").cast("string")).alias("task_uuid"),
-                        F.lpad(F.col("o_custkey").cast("string"), 3, "0").alias("arrival_iata_code"),
+                        F.col("o_custkey").cast("string").alias("arrival_iata_code"),
                         format_minute("o_orderdate").alias("scheduled_departure_local_time"))
     return score_requests(requests, firsts, weather, model, FEATURES)

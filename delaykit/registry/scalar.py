@@ -141,7 +141,7 @@ def array_basics(spark, d):
 # numbered per day in batches of 50 (one batch = one weather API request).
 @register("weather_request_batches", f"""
     WITH f AS ({FLIGHTS_SQL}),
-    air AS (SELECT right(c_name, 3) AS iata_code, c_acctbal AS latitude_deg, CAST(c_nationkey AS DOUBLE) AS longitude_deg
+    air AS (SELECT CAST(c_custkey AS VARCHAR) AS iata_code, c_acctbal AS latitude_deg, CAST(c_nationkey AS DOUBLE) AS longitude_deg
             FROM customer),
     m AS (SELECT DISTINCT f.arrival_code AS airport_code, a.latitude_deg AS latitude, a.longitude_deg AS longitude,
                  strftime(f.scheduled_arrival, '%Y-%m-%dT%H:%M') AS flight_minute
@@ -157,6 +157,6 @@ def array_basics(spark, d):
 """)
 def weather_request_batches(spark, d):
     c = table(spark, d, "customer")
-    air = c.select(F.right("c_name", F.lit(3)).alias("iata_code"), F.col("c_acctbal").alias("latitude_deg"),
+    air = c.select(F.col("c_custkey").cast("string").alias("iata_code"), F.col("c_acctbal").alias("latitude_deg"),
                    F.col("c_nationkey").cast("double").alias("longitude_deg"))
     return request_batches(flights(spark, d), air, "arrival_code", "scheduled_arrival")
