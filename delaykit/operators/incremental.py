@@ -40,7 +40,7 @@ def new_rows_only(new: DataFrame, existing: DataFrame) -> DataFrame:
     return new.join(right, cond, "left_anti")
 
 
-def insert_if_absent(batch: DataFrame, stored_hashes: DataFrame, pos_col: str,
+def insert_if_absent(batch: DataFrame, stored_hashes: DataFrame, pos_col: str | Sequence[str],
                      hash_cols: Sequence[str], hash_name: str = "content_hash") -> DataFrame:
     """Documents of ``batch`` to insert (D4 + J6): the first copy (smallest
     ``pos``) of each content, minus contents already stored.
@@ -49,7 +49,8 @@ def insert_if_absent(batch: DataFrame, stored_hashes: DataFrame, pos_col: str,
     ``min_by`` aggregate, so repeated content collapses map-side.
     """
     hashed = batch.withColumn(hash_name, content_hash(batch, hash_cols))
-    firsts = first_per_key(hashed, [hash_name], [pos_col], [c for c in hashed.columns if c != hash_name])
+    order = [pos_col] if isinstance(pos_col, str) else list(pos_col)
+    firsts = first_per_key(hashed, [hash_name], order, [c for c in hashed.columns if c != hash_name])
     stored = stored_hashes.select(F.col("content_hash").alias("__h")).distinct()
     return firsts.join(stored, firsts[hash_name] == stored["__h"], "left_anti")
 
