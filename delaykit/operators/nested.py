@@ -93,11 +93,12 @@ def long_to_wide(df: DataFrame, key_cols: Sequence[str], var_col: str, value_col
     return df.groupBy(*key_cols).pivot(var_col, list(variables)).agg(fn(F.col(value_col)))
 
 
-def endpoint_checksums(pages: DataFrame) -> DataFrame:
+def endpoint_checksums(pages: DataFrame, flights: Column | None = None) -> DataFrame:
     """Per endpoint (URL before ``?`` of the page's first link): flights received
     vs the declared ``TotalCount`` (A11).  Every endpoint is checked."""
     endpoint = F.substring_index(F.col("page.Meta.Link")[0]["@Href"], "?", 1)
-    n = F.coalesce(F.size(F.col("page.Flights.Flight")), F.lit(0))
+    arr = F.col("page.Flights.Flight") if flights is None else flights
+    n = F.coalesce(F.size(arr), F.lit(0))
     return (pages.groupBy(endpoint.alias("endpoint"))
                  .agg(F.sum(F.greatest(n, F.lit(0))).cast("long").alias("n_received"),
                       F.max("page.Meta.TotalCount").cast("long").alias("n_declared"))

@@ -73,8 +73,10 @@ def store_raw_pages(spark: SparkSession, landing_path: str, target: str, api_nam
 
     Pages are compared by a content hash of their JSON; the store keeps the hash.
     """
-    landing = read_landing(spark, landing_path, api_name).filter(F.col("_corrupt_record").isNull())
-    pages = pages_of(landing, api_name, keep=["file_name"]).withColumn("page_json", F.to_json("page"))
+    landing = read_landing(spark, landing_path, api_name, flight_as_text=True)
+    pages = pages_of(landing.filter(F.col("_corrupt_record").isNull()), api_name, keep=["file_name"])
+    page = F.struct(F.struct(repair_lone_flight(pages).alias("Flight")).alias("Flights"), F.col("page.Meta").alias("Meta"))
+    pages = pages.withColumn("page_json", F.to_json(page))
     if table_exists(spark, target):
         stored = read_target(spark, target).select("content_hash")
     else:
