@@ -63,9 +63,27 @@ def convert_timezone(col, from_tz: str, to_tz: str, overlap: str = "early") -> C
     return F.when(same_wall, later).otherwise(out)
 
 
+def _utc_micros(c: Column) -> Column:
+    """Microseconds since the epoch of a wall clock read as UTC, whatever the session zone."""
+    secs = F.date_part(F.lit("SECOND"), c)
+    return F.unix_micros(F.make_timestamp(F.year(c), F.month(c), F.dayofmonth(c), F.hour(c), F.minute(c), secs,
+                                          F.lit("UTC")))
+
+
 def minutes_between(start, end) -> Column:
-    """Signed fractional minutes ``end - start`` (F9), exact to the microsecond."""
-    return F.timestamp_diff("MICROSECOND", _c(start), _c(end)) / F.lit(60_000_000.0)
+    """Signed fractional minutes ``end - start`` (F9), exact to the microsecond.
+
+    Under a UTC session (the delaykit default) this is a plain
+    ``timestamp_diff``; under another zone the wall clocks are read as UTC
+    explicitly so a DST change between the two instants cannot shift the result.
+    """
+    s, e = _c(start), _c(end)
+    from pyspark.sql import SparkSession
+    active = SparkSession.getActiveSession()
+    zone = active.conf.get("spark.sql.session.timeZone") if active is not None else "UTC"
+    if zone.upper() in ("UTC", "GMT", "Z", "+00:00", "ETC/UTC"):
+        return F.timestamp_diff("MICROSECOND", s, e) / F.lit(60_000_000.0)
+    return (_utc_micros(e) - _utc_micros(s)) / F.lit(60_000_000.0)
 
 
 def date_minus_days(col, days: int) -> Column:

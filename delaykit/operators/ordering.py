@@ -1,10 +1,11 @@
 """Ordering, numbering and top-k.
 
 Global positions are computed without a single-partition window: a range
-sort spreads the rows over many tasks, a checkpoint to the shared
-``spark.checkpoint.dir`` fixes that partitioning (and cuts lineage, so a lost
-executor re-reads instead of re-sorting with different range bounds), and each
-row's index is ``offset(partition) + position in partition``.  The offsets
+sort spreads the rows over many tasks; the sorted rows are written once, with
+their partition id and in-partition id as columns, to the shared
+``spark.checkpoint.dir`` (cutting lineage, so a lost executor re-reads instead
+of re-sorting with different range bounds); each row's index is
+``offset(partition) + position in partition``.  The offsets
 table has one row per partition, a proven bound, so it is broadcast.
 """
 
@@ -15,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from delaykit.session import ensure_checkpoint_dir
+from delaykit.session import materialize
 
 
 def top_n(df: DataFrame, order: Sequence[Column | str], n: int) -> DataFrame:
@@ -25,11 +26,16 @@ def top_n(df: DataFrame, order: Sequence[Column | str], n: int) -> DataFrame:
 
 
 def row_index(df: DataFrame, order: Sequence[Column | str], name: str = "row_index") -> DataFrame:
-    """Add a 0-based contiguous position in ``order`` (a distributed ``zipWithIndex``)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    ordered = df.orderBy(*order).checkpoint(eager=True)
-    tagged = (ordered.withColumn("__pid", F.spark_partition_id())
-                     .withColumn("__mid", F.monotonically_increasing_id()))
+    """Add a 0-based contiguous position in ``order`` (a distributed ``zipWithIndex``).
+
+    The range-sorted rows are written once with their partition id and
+    in-partition id as columns, so offsets computed later cannot disagree with
+    the rows they are applied to.
+    """
+    ordered = (df.orderBy(*order)
+                 .withColumn("__pid", F.spark_partition_id())
+                 .withColumn("__mid", F.monotonically_increasing_id()))
+    tagged = materialize(ordered, "row-index")
     sizes = tagged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"), F.min("__mid").alias("__first"))
     before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("__pid", "__first", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))

@@ -84,7 +84,7 @@ def duplicate_members_full_row(spark, d):
     FROM lineitem
 """)
 def quartiles(spark, d):
-    q = P.quantiles(table(spark, d, "lineitem"), "l_extendedprice")
+    q = P.quantiles(table(spark, d, "lineitem"), "l_extendedprice", method="distributed")
     return q.select(rnd(F.col("q25")).alias("q25"), rnd(F.col("q75")).alias("q75"))
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -61,3 +62,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint location for written intermediate tables."""
     return os.path.join(ensure_checkpoint_dir(spark), name)
+
+
+def materialize(df, name: str = "stage"):
+    """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
+
+    This cuts the lineage (a lost executor re-reads the files instead of
+    recomputing, possibly differently, e.g. new range bounds) with a single
+    computation of ``df``; an eager ``checkpoint()`` would compute it twice.
+    Anything that depends on the physical layout must be stored as columns
+    before calling this (e.g. ``spark_partition_id()``).
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, f"delaykit-{name}-{uuid.uuid4().hex}")
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)

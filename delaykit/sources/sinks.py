@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from delaykit.operators.incremental import new_rows_only
+from delaykit.session import materialize
 
 
 def _is_path(target: str) -> bool:
@@ -72,7 +73,7 @@ def append_new_rows(spark: SparkSession, df: DataFrame, target: str) -> DataFram
     # Cut the lineage to the target before writing into it: the rows to add are
     # materialised in the shared checkpoint folder, so the append never reads
     # files it is writing.
-    fresh = fresh.checkpoint(eager=True)
+    fresh = materialize(fresh, "append")
     _write(fresh, target, "append")
     return fresh
 

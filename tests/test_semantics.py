@@ -258,3 +258,30 @@ def test_unknown_model_name_raises():
     from delaykit.plans.models import make_regressor
     with pytest.raises(ValueError):
         make_regressor("SVR")
+
+
+@pytest.mark.parametrize("buckets", [1, 3, 64])
+def test_distributed_quantiles_equal_pandas(spark, buckets):
+    rnd = random.Random(buckets)
+    vals = [float(rnd.randint(0, 40)) for _ in range(301)] + [7.0] * 200  # a hot value
+    df = spark.createDataFrame([(v,) for v in vals] + [(None,), (float("nan"),)], "x double")
+    probs = (0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0)
+    got = P.quantiles(df, "x", probs, method="distributed", buckets=buckets).first()
+    merged = P.quantiles(df, "x", probs, method="merge").first()
+    s = pd.Series(vals)
+    for p in probs:
+        name = f"q{int(round(p * 100))}"
+        assert got[name] == pytest.approx(s.quantile(p)) == pytest.approx(merged[name])
+
+
+def test_minutes_between_independent_of_session_zone(spark):
+    df = spark.createDataFrame([(dt.datetime(2024, 3, 31, 1, 0), dt.datetime(2024, 3, 31, 4, 0))],
+                               "a timestamp_ntz, b timestamp_ntz")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+        berlin = df.select(TF.minutes_between("a", "b").alias("m")).first().m
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    utc = df.select(TF.minutes_between("a", "b").alias("m")).first().m
+    assert berlin == utc == 180.0
