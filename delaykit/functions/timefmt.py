@@ -30,8 +30,9 @@ def parse_minute_text(col) -> Column:
     error, and nothing depends on the session zone.
     """
     c = _c(col)
-    part = lambda i: F.regexp_extract(c, _MINUTE_TEXT, i).cast("int")
-    parsed = F.try_make_timestamp_ntz(part(1), part(2), part(3), part(4), part(5), F.lit(0))
+    # One regex to validate the shape; the fields are then fixed-position substrings.
+    part = lambda pos, n: F.substring(c, pos, n).cast("int")
+    parsed = F.try_make_timestamp_ntz(part(1, 4), part(6, 2), part(9, 2), part(12, 2), part(15, 2), F.lit(0))
     return F.when(c.rlike(_MINUTE_TEXT), parsed)
 
 

@@ -46,9 +46,12 @@ def duplicate_members(df: DataFrame, keys: Sequence[str] | None = None) -> DataF
 
 
 def duplicate_count(df: DataFrame) -> DataFrame:
-    """Rows beyond the first of each whole-row group: ``count - count distinct``."""
-    distinct_n = df.distinct().select(F.count(F.lit(1))).scalar()
-    return df.agg((F.count(F.lit(1)) - distinct_n).cast("long").alias("n_duplicates"))
+    """Rows beyond the first of each whole-row group: ``count - count distinct``.
+
+    One grouped count (partial aggregation map-side) summed as ``n - 1`` per group.
+    """
+    groups = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__n"))
+    return groups.agg(F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).cast("long").alias("n_duplicates"))
 
 
 def list_duplicates(df: DataFrame, order: Sequence[Column | str], n: int = 12) -> DataFrame:

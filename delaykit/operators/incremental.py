@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from delaykit.operators.joins import first_per_key, null_safe_condition
 from delaykit.operators.ordering import running_count
+from delaykit.session import materialize
 
 
 def content_hash(df: DataFrame, cols: Sequence[str] | None = None) -> Column:
@@ -66,22 +67,29 @@ def early_stop_flags(batch: DataFrame, stored_hashes: DataFrame, file_col: str,
 
     Adds ``is_hit``, ``hits_before`` and ``inserted``.  Files are independent:
     the stored set is the one at the start of the run (batch mode).
+
+    Documents are hashed once into a narrow (file, pos, hash) table written to
+    the shared checkpoint folder; every flag is computed on that table and
+    joined back on (file, pos), so full texts are read twice at most (hashing,
+    and only when the caller keeps payload columns).
     """
-    hashed = batch.withColumn("__h", content_hash(batch, hash_cols))
+    narrow = materialize(batch.select(file_col, pos_col, content_hash(batch, hash_cols).alias("__h")), "early-stop")
     stored = stored_hashes.select(F.col("content_hash").alias("__sh")).distinct()
-    first_pos = hashed.groupBy(file_col, "__h").agg(F.min(pos_col).alias("__first_pos"))
-    marked = (hashed.join(first_pos, [file_col, "__h"])
+    first_pos = narrow.groupBy(file_col, "__h").agg(F.min(pos_col).alias("__first_pos"))
+    marked = (narrow.join(first_pos, [file_col, "__h"])
                     .join(stored, F.col("__h") == F.col("__sh"), "left")
                     .withColumn("is_hit", F.col("__sh").isNotNull() | (F.col(pos_col) > F.col("__first_pos")))
-                    .drop("__sh", "__first_pos"))
+                    .select(file_col, pos_col, "is_hit"))
     counted = running_count(marked, [file_col], pos_col, F.col("is_hit"), "hits_before")
     if force_test_all:
-        return counted.withColumn("inserted", ~F.col("is_hit")).drop("__h")
-    stop = (counted.filter(F.col("is_hit") & (F.col("hits_before") >= max_hits))
-                   .groupBy(file_col).agg(F.min(pos_col).alias("__stop")))
-    return (counted.join(stop, file_col, "left")
-                   .withColumn("inserted", ~F.col("is_hit") & (F.col("__stop").isNull() | (F.col(pos_col) < F.col("__stop"))))
-                   .drop("__stop", "__h"))
+        flags = counted.withColumn("inserted", ~F.col("is_hit"))
+    else:
+        stop = (counted.filter(F.col("is_hit") & (F.col("hits_before") >= max_hits))
+                       .groupBy(file_col).agg(F.min(pos_col).alias("__stop")))
+        flags = (counted.join(stop, file_col, "left")
+                        .withColumn("inserted", ~F.col("is_hit") & (F.col("__stop").isNull() | (F.col(pos_col) < F.col("__stop"))))
+                        .drop("__stop"))
+    return batch.join(flags, [file_col, pos_col])
 
 
 def file_outcomes(flags: DataFrame, file_col: str, max_hits: int = 5, force_test_all: bool = False) -> DataFrame:

@@ -173,18 +173,21 @@ def day_histogram(df: DataFrame, columns: Sequence[str], bins: int = 24, day=Non
     if mode == "range":
         width_total = _DAY_MICROS_TO_2359
         raw = F.floor(micros * F.lit(bins) / F.lit(width_total)).cast("int")
-        binned = stacked.filter(micros <= F.lit(width_total)).withColumn("bin", F.least(raw, F.lit(bins - 1)))
+        # Times after 23:59 fall outside the plotted range: bin -1, dropped after the grid join.
+        binned = stacked.withColumn("bin", F.when(micros <= F.lit(width_total), F.least(raw, F.lit(bins - 1)))
+                                             .otherwise(F.lit(-1)))
     elif mode == "clock":
         binned = stacked.withColumn("bin", F.hour("t"))
         bins = 24
     else:
         raise ValueError("mode must be 'range' or 'clock'")
     counts = binned.groupBy("day", "series", "bin").agg(F.count(F.lit(1)).alias("count"))
-    # Grid of every (day, series, bin): days come from the data, series and bins are constants.
-    days = stacked.select("day").distinct()
+    # Grid of every (day, series, bin): days come from the (small) counts table,
+    # series and bins are constants, so the data is scanned once.
+    days = counts.select("day").distinct()
     grid = days.select("day", F.explode(F.array(*[F.lit(c) for c in columns])).alias("series")) \
                .select("day", "series", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-    return (grid.join(counts, ["day", "series", "bin"], "left")
+    return (grid.join(counts.filter(F.col("bin") >= 0), ["day", "series", "bin"], "left")
                 .select("day", "series", "bin", F.coalesce("count", F.lit(0)).cast("long").alias("count")))
 
 

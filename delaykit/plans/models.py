@@ -86,8 +86,19 @@ def select_best(scores: DataFrame) -> DataFrame:
 
 def fit_best(train: DataFrame, name: str, feature_cols: Sequence[str], label_col: str = "delay_minutes",
              **overrides) -> PipelineModel:
-    """Refit the chosen model on every training row (M5)."""
-    return pipeline(name, feature_cols, label_col, **overrides).fit(train)
+    """Refit the chosen model on every training row (M5).
+
+    The estimators make several passes (statistics, then the solve or one pass
+    per tree level), so the training rows are persisted (memory, spilling to
+    disk) for the duration of the fit instead of being recomputed per pass.
+    """
+    from pyspark import StorageLevel
+
+    cached = train.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return pipeline(name, feature_cols, label_col, **overrides).fit(cached)
+    finally:
+        cached.unpersist()
 
 
 def save_model(model: PipelineModel, path: str) -> None:

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from delaykit.sources.files import read_table
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -23,7 +25,8 @@ def register(name: str, sql: str | None = None):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table, through ``sources.files.read_table`` (see ``min_partitions`` there)."""
+    return read_table(spark, f"{sf_dir}/{name}.parquet")
 
 
 def rnd(col, digits: int = 6):

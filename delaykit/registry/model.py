@@ -131,7 +131,10 @@ MODEL_OVERRIDES = {"DecisionTreeRegressor": {"maxDepth": 10},
 @register("train_select_best")
 def train_select_best(spark, d):
     train = _train_with_folds(spark, d).cache()
-    scores = M.score_models(spark, train, FEATURES, overrides=MODEL_OVERRIDES)
+    try:
+        scores = M.score_models(spark, train, FEATURES, overrides=MODEL_OVERRIDES)
+    finally:
+        train.unpersist()
     return M.select_best(scores)
 
 
