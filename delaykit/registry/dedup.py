@@ -43,20 +43,21 @@ def q_list_duplicates(spark, d):
 """)
 def q_union_pages(spark, d):
     docs = table(spark, d, "documents").select("doc_id", F.lit("documents").alias("origin"),
-                                               F.length("text").alias("n_chars"))
+                                               F.length("text").cast("long").alias("n_chars"))
     bench = table(spark, d, "benchmark").select(F.col("item_id").alias("doc_id"), F.lit("benchmark").alias("origin"),
-                                                F.length("text").alias("n_chars"))
+                                                F.length("text").cast("long").alias("n_chars"))
     return union_pages(docs, bench)
 
 
 @register("union_ragged", """
-    SELECT doc_id, lang, CAST(NULL AS INTEGER) AS quality FROM documents
+    SELECT doc_id, lang, CAST(NULL AS DOUBLE) AS quality FROM documents
     UNION ALL
-    SELECT doc_id, NULL AS lang, quality FROM labels
+    SELECT doc_id, NULL AS lang, CAST(quality AS DOUBLE) AS quality FROM labels
 """)
 def q_union_ragged(spark, d):
+    # quality as double: an integer column holding NULLs converts the same way in every client
     return union_ragged(table(spark, d, "documents").select("doc_id", "lang"),
-                        table(spark, d, "labels").select("doc_id", "quality"))
+                        table(spark, d, "labels").select("doc_id", F.col("quality").cast("double")))
 
 
 @register("top_n_two_keys", "SELECT * FROM orders ORDER BY o_orderdate, o_totalprice, o_orderkey LIMIT 12")

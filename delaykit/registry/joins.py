@@ -62,16 +62,18 @@ def q_missing_keys(spark, d):
         SELECT doc_id, quality, toxic FROM (
             SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY quality, toxic) AS rn FROM labels) t
         WHERE rn = 1)
-    SELECT d.doc_id, f.quality, f.toxic FROM documents d LEFT JOIN firsts f ON d.doc_id = f.doc_id
+    SELECT d.doc_id, CAST(f.quality AS DOUBLE) AS quality, CAST(f.toxic AS DOUBLE) AS toxic
+    FROM documents d LEFT JOIN firsts f ON d.doc_id = f.doc_id
 """)
 def q_lookup_or_null(spark, d):
     docs = table(spark, d, "documents").select("doc_id")
-    return lookup_or_null(docs, table(spark, d, "labels"), "doc_id", "doc_id",
-                          ["quality", "toxic"], ["quality", "toxic"])
+    out = lookup_or_null(docs, table(spark, d, "labels"), "doc_id", "doc_id", ["quality", "toxic"], ["quality", "toxic"])
+    # doubles: an integer column holding NULLs converts the same way in every client
+    return out.select("doc_id", F.col("quality").cast("double"), F.col("toxic").cast("double"))
 
 
 @register("zip_arrays", """
-    SELECT vec_id, idx, round(CAST(value AS DOUBLE), 6) AS value FROM (
+    SELECT vec_id, CAST(idx AS INTEGER) AS idx, round(CAST(value AS DOUBLE), 6) AS value FROM (
         SELECT vec_id, generate_subscripts(embedding, 1) - 1 AS idx, unnest(embedding) AS value
         FROM embeddings) t
 """)

@@ -50,7 +50,7 @@ def flatten_struct(spark, d):
 
 @register("collect_nested", """
     SELECT conv_id, count(*) AS n_turns, string_agg(role, ',' ORDER BY turn) AS roles,
-           arg_min(role, turn) AS first_role, sum(length(text)) AS total_chars
+           arg_min(role, turn) AS first_role, CAST(sum(length(text)) AS BIGINT) AS total_chars
     FROM conversations GROUP BY conv_id
 """)
 def q_collect_nested(spark, d):

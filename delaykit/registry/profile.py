@@ -142,7 +142,7 @@ def hourly_counts(spark, d):
 
 
 @register("range_checksum", """
-    SELECT l_orderkey AS endpoint, count(*) AS n_received, max(l_linenumber) AS n_declared,
+    SELECT l_orderkey AS endpoint, count(*) AS n_received, CAST(max(l_linenumber) AS BIGINT) AS n_declared,
            count(*) = max(l_linenumber) AS matches
     FROM lineitem GROUP BY l_orderkey
 """)

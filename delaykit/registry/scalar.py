@@ -134,7 +134,7 @@ def four_hour_ranges(spark, d):
 def array_basics(spark, d):
     e = table(spark, d, "embeddings")
     return e.select("vec_id", rnd(F.element_at("embedding", 1).cast("double")).alias("first_value"),
-                    F.size("embedding").alias("n"), rnd(F.element_at("embedding", -1).cast("double")).alias("last_value"))
+                    F.size("embedding").cast("long").alias("n"), rnd(F.element_at("embedding", -1).cast("double")).alias("last_value"))
 
 
 # Weather requests: flights x cleaned airports -> distinct (airport, lat, lon, minute) rows,
