@@ -69,9 +69,9 @@ def early_stop_flags(batch: DataFrame, stored_hashes: DataFrame, file_col: str,
     the stored set is the one at the start of the run (batch mode).
 
     Documents are hashed once into a narrow (file, pos, hash) table written to
-    the shared checkpoint folder; every flag is computed on that table and
-    joined back on (file, pos), so full texts are read twice at most (hashing,
-    and only when the caller keeps payload columns).
+    the shared checkpoint folder; every flag is computed on narrow tables
+    (each written once) and joined back on (file, pos), so full texts are read
+    twice at most (hashing, and only when the caller keeps payload columns).
     """
     narrow = materialize(batch.select(file_col, pos_col, content_hash(batch, hash_cols).alias("__h")), "early-stop")
     stored = stored_hashes.select(F.col("content_hash").alias("__sh")).distinct()
@@ -80,7 +80,10 @@ def early_stop_flags(batch: DataFrame, stored_hashes: DataFrame, file_col: str,
                     .join(stored, F.col("__h") == F.col("__sh"), "left")
                     .withColumn("is_hit", F.col("__sh").isNotNull() | (F.col(pos_col) > F.col("__first_pos")))
                     .select(file_col, pos_col, "is_hit"))
-    counted = running_count(marked, [file_col], pos_col, F.col("is_hit"), "hits_before")
+    # Both narrow tables feed two branches each: write them once rather than re-deriving them.
+    marked = materialize(marked, "early-stop-marked")
+    counted = materialize(running_count(marked, [file_col], pos_col, F.col("is_hit"), "hits_before"),
+                          "early-stop-counted")
     if force_test_all:
         flags = counted.withColumn("inserted", ~F.col("is_hit"))
     else:

@@ -285,3 +285,13 @@ def test_minutes_between_independent_of_session_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", old)
     utc = df.select(TF.minutes_between("a", "b").alias("m")).first().m
     assert berlin == utc == 180.0
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_salted_join_equals_plain_join(spark, how):
+    from delaykit.operators.joins import join_on_keys, salted_join
+    big = spark.createDataFrame([("HUB" if i % 3 else f"A{i % 5}", i) for i in range(90)] + [(None, 999)], "k string, v int")
+    other = spark.createDataFrame([("HUB", 1.0), ("HUB", 2.0), ("A1", 3.0), ("ZZ", 4.0)], "k2 string, w double")
+    plain = join_on_keys(big, other, ["k"], ["k2"], how).select("k", "v", "w")
+    salted = salted_join(big, other, ["k"], ["k2"], 7, how).select("k", "v", "w")
+    assert sorted(map(tuple, salted.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
