@@ -17,6 +17,7 @@ from delaykit.plans.training import (
     features_from_flights, merge_flights_weather, prepare_flights_for_training, training_table,
 )
 from delaykit.registry.base import FLIGHTS_SQL, flights, register, rnd, table
+from delaykit.session import materialize
 
 FEATURES = ["f_avg_quantity", "f_avg_discount", "f_max_tax", "f_n_lines"]
 
@@ -60,8 +61,12 @@ def prepare_flights(spark, d):
                            "Arrival_ScheduledTimeUTC_DateTime", "Arrival_ActualTimeUTC_DateTime")
 
 
-def train_table(spark, d):
-    prepared = features_from_flights(prepare_flights_for_training(_text_flights(spark, d)))
+def _prepared(spark, d):
+    return features_from_flights(prepare_flights_for_training(_text_flights(spark, d)))
+
+
+def train_table(spark, d, prepared=None):
+    prepared = _prepared(spark, d) if prepared is None else prepared
     merged = merge_flights_weather(prepared, _weather(prepared))
     return training_table(merged, ["l_orderkey", "l_linenumber"], FEATURES)
 
@@ -140,9 +145,10 @@ def train_select_best(spark, d):
 
 @register("score_requests")
 def q_score_requests(spark, d):
-    t = train_table(spark, d)
-    model = M.fit_best(t, "LinearRegression", FEATURES)
-    prepared = features_from_flights(prepare_flights_for_training(_text_flights(spark, d)))
+    # Training and scoring both start from the prepared flights: computed once, written to the
+    # shared checkpoint folder, read by both.
+    prepared = materialize(_prepared(spark, d), "prepared-flights")
+    model = M.fit_best(train_table(spark, d, prepared), "LinearRegression", FEATURES)
     weather = _weather(prepared)
     # Departure local time of the stand-in flight = its scheduled minute.
     fl = prepared.withColumn("Departure_ScheduledTimeLocal_DateTime", F.col("Departure_ScheduledTimeUTC_DateTime"))
