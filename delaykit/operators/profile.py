@@ -160,14 +160,20 @@ def day_histogram(df: DataFrame, columns: Sequence[str], bins: int = 24, day=Non
     day (59.96-minute bins, last bin closed, times after 23:59 dropped);
     ``mode="clock"`` uses clock hours.  Rows need every column non-NULL.
     With ``day=None`` every day present is histogrammed (grouped by day);
-    otherwise only that day.  Zero bins are filled from a generated grid.
+    ``day="first"`` takes the day of the earliest value of the first column
+    (the reference takes the day of its first row, which a distributed table
+    does not have); otherwise only the given day.  Zero bins are filled from a
+    generated grid.
     """
     rows = df.select(*columns).dropna(how="any")
     stacked = rows.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("series"), F.col(c).cast("timestamp_ntz").alias("t")) for c in columns
     ])).alias("s")).select("s.series", "s.t")
     stacked = stacked.withColumn("day", F.to_date("t"))
-    if day is not None:
+    if day == "first":
+        first_day = rows.select(F.min(F.to_date(F.col(columns[0])))).scalar()
+        stacked = stacked.filter(F.col("day") == first_day)
+    elif day is not None:
         stacked = stacked.filter(F.col("day") == F.to_date(F.lit(day)))
     micros = F.timestamp_diff("MICROSECOND", F.col("day").cast("timestamp_ntz"), F.col("t"))
     if mode == "range":

@@ -295,3 +295,12 @@ def test_salted_join_equals_plain_join(spark, how):
     plain = join_on_keys(big, other, ["k"], ["k2"], how).select("k", "v", "w")
     salted = salted_join(big, other, ["k"], ["k2"], 7, how).select("k", "v", "w")
     assert sorted(map(tuple, salted.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
+
+
+def test_day_histogram_first_day(spark):
+    df = spark.createDataFrame([(dt.datetime(2024, 9, 7, 1, 0), dt.datetime(2024, 9, 7, 2, 0)),
+                                (dt.datetime(2024, 9, 6, 5, 0), dt.datetime(2024, 9, 6, 6, 0))],
+                               "a timestamp_ntz, b timestamp_ntz")
+    rows = P.day_histogram(df, ["a", "b"], day="first").collect()
+    assert {r.day for r in rows} == {dt.date(2024, 9, 6)}
+    assert sum(r["count"] for r in rows) == 2 and len(rows) == 48
