@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from delaykit import schemas
-from delaykit.operators.incremental import content_hash, insert_if_absent
+from delaykit.operators.incremental import insert_if_absent
 from delaykit.operators.nested import collect_nested, flatten, flights_of, pages_of, repair_lone_flight
 from delaykit.sources.files import read_csv, read_landing
 from delaykit.sources.sinks import append_new_rows, read_target, table_exists, write_csv, write_json
@@ -33,10 +33,6 @@ def landed_flights(spark: SparkSession, path: str, api_name: str = "flightstatus
 
 def flat_flights(flights: DataFrame) -> DataFrame:
     """Flatten every flight leaf to ``Part_Sub_Leaf`` columns (N2), position keys kept."""
-    return _flatten_with_keys(flights)
-
-
-def _flatten_with_keys(flights: DataFrame) -> DataFrame:
     leaf_cols = flatten(flights.select("flight"), "flight").columns
     flat = flatten(flights.select("file_name", "page_pos", "flight_pos", "flight"))
     # ``flatten`` of the whole row names leaves ``flight_<path>``; drop the prefix.
@@ -62,7 +58,7 @@ def day_download(spark: SparkSession, landing_path: str, out_base: str, api_name
     """Raw landed JSON -> consolidated JSON -> flat CSV partitioned by flight date."""
     fl = landed_flights(spark, landing_path, api_name)
     write_json(consolidated(fl), f"{out_base}/consolidated")
-    flat = _flatten_with_keys(fl).withColumn(
+    flat = flat_flights(fl).withColumn(
         "flight_date", F.substring("Departure_ScheduledTimeLocal_DateTime", 1, 10))
     write_csv(flat, f"{out_base}/flat", partition_by=["flight_date"])
     return flat
@@ -94,5 +90,9 @@ def bulk_load_csv(spark: SparkSession, folder: str, target: str, schema=None) ->
     return append_new_rows(spark, df, target)
 
 
-def page_hash(pages: DataFrame):
-    return content_hash(pages, ["page_json"])
+def flights_from_page_store(spark: SparkSession, store: str) -> DataFrame:
+    """E1 stage 2: every stored page (a whole-collection scan, S4) unnested and
+    flattened to the ``flights`` table columns, ready for ``append_new_rows``."""
+    pages = read_target(spark, store).select(F.from_json("page_json", schemas.resource()).alias("page"))
+    fl = pages.select(F.explode("page.Flights.Flight").alias("flight"))
+    return flights_table(flatten(fl, "flight"))

@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from delaykit import schemas
 from delaykit.operators.nested import flights_of, pages_of, repair_lone_flight
-from delaykit.plans.ingest import _flatten_with_keys, flights_table
+from delaykit.plans.ingest import flat_flights, flights_table
 from delaykit.sources.sinks import append_new_rows
 
 
@@ -31,7 +31,7 @@ def landed_stream(spark: SparkSession, folder: str, api_name: str = "flightstatu
 def stream_flights(landing: DataFrame, api_name: str = "flightstatus") -> DataFrame:
     pages = pages_of(landing, api_name, keep=["file_name", "metadata"])
     fl = flights_of(pages, keep=["file_name", "metadata", "page_pos"], flights=repair_lone_flight(pages))
-    return flights_table(_flatten_with_keys(fl))
+    return flights_table(flat_flights(fl))
 
 
 def start_ingest(spark: SparkSession, folder: str, target: str, checkpoint: str,

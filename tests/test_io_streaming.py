@@ -139,6 +139,8 @@ def test_store_raw_pages_inserts_once(spark, landing_dir, tmp_path):
     again = ingest.store_raw_pages(spark, landing_dir, target).count()
     assert (first, again) == (3, 0)
     assert spark.read.parquet(target).count() == 3
+    flights = ingest.flights_from_page_store(spark, target)
+    assert flights.columns == schemas.FLIGHT_TABLE_COLUMNS and flights.count() == 61
 
 
 def test_streaming_ingest_two_drops_no_repeats(spark, landing_dir, tmp_path):
