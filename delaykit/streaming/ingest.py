@@ -45,3 +45,36 @@ def start_ingest(spark: SparkSession, folder: str, target: str, checkpoint: str,
     writer = flights.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
+
+
+def start_page_store_ingest(spark: SparkSession, folder: str, store: str, checkpoint: str,
+                            api_name: str = "flightstatus", max_hits: int = 5,
+                            force_test_all: bool = False) -> StreamingQuery:
+    """Raw pages into the page store with the per-file early stop (D5, E1 stage 1).
+
+    One landed file per micro-batch, in arrival order, so a file sees every
+    page that earlier files inserted — the sequential semantics of the
+    find-then-insert loop — while the work inside a file stays distributed.
+    The store holds (content_hash, page_json, file_name, page_pos).
+    """
+    from delaykit.operators.incremental import content_hash, early_stop_flags
+    from delaykit.sources.sinks import append_rows, read_target, table_exists
+
+    landing = landed_stream(spark, folder, api_name, max_files_per_trigger=1)
+    pages = pages_of(landing, api_name, keep=["file_name"])
+    page = F.struct(F.struct(repair_lone_flight(pages).alias("Flight")).alias("Flights"),
+                    F.col("page.Meta").alias("Meta"))
+    docs = pages.select("file_name", "page_pos", F.to_json(page).alias("page_json"))
+
+    def write_batch(batch: DataFrame, _epoch: int) -> None:
+        if table_exists(spark, store):
+            stored = read_target(spark, store).select("content_hash")
+        else:
+            stored = spark.createDataFrame([], "content_hash string")
+        flags = early_stop_flags(batch, stored, "file_name", "page_pos", ["page_json"], max_hits, force_test_all)
+        new = flags.filter("inserted").select(content_hash(batch, ["page_json"]).alias("content_hash"),
+                                              "page_json", "file_name", "page_pos")
+        append_rows(new, store)
+
+    return (docs.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+                .trigger(availableNow=True).start())

@@ -217,3 +217,20 @@ def test_write_json_roundtrip(spark, tmp_path):
     sinks.write_json(nation, path)
     sinks.write_json(nation, path)  # overwrite, not append
     assert spark.read.schema(nation.schema).json(path).count() == 25
+
+
+def test_page_store_stream_early_stop_across_files(spark, tmp_path):
+    from delaykit.streaming.ingest import start_page_store_ingest
+    drop = tmp_path / "landed"
+    drop.mkdir()
+    pages = [_page([_flight(f"2024-09-06T0{i}:00")], 1, f"http://api/x/0{i}:00?limit=50&offset=0") for i in range(8)]
+    # file a: pages 0-3; file b: pages 0-7 — its first 4 pages were inserted by file a.
+    (drop / "a.json").write_text(json.dumps(_landing(pages[:4])))
+    store, ckpt = str(tmp_path / "store"), str(tmp_path / "ck")
+    start_page_store_ingest(spark, str(drop), store, ckpt, max_hits=2).awaitTermination()
+    (drop / "b.json").write_text(json.dumps(_landing(pages)))
+    start_page_store_ingest(spark, str(drop), store, ckpt, max_hits=2).awaitTermination()
+    got = spark.read.parquet(store)
+    # file b: hits at pages 0, 1 (counted), the 3rd hit (page 2) stops the file: pages 4-7 are not inserted
+    assert got.count() == 4
+    assert sorted(r.file_name for r in got.collect()) == ["a.json"] * 4
