@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 import uuid
@@ -77,3 +78,28 @@ def materialize(df, name: str = "stage"):
     path = scratch_path(spark, f"delaykit-{name}-{uuid.uuid4().hex}")
     df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
+
+
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Total size of the files under ``path``, from a distributed listing
+    (``binaryFile`` without reading contents)."""
+    from pyspark.sql import functions as F
+
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return int(listing.select(F.coalesce(F.sum("length"), F.lit(0))).first()[0])
+
+
+def size_shuffle_partitions(spark: SparkSession, shuffle_bytes: int, target_bytes: int = 256 * 1024 ** 2,
+                            minimum: int | None = None, maximum: int = 200_000) -> int:
+    """Set ``spark.sql.shuffle.partitions`` so a reducer receives about
+    ``target_bytes`` of the expected shuffle volume.
+
+    AQE coalesces partitions that turn out small but never splits large ones
+    (skew handling aside), so the initial number must be sized for the
+    largest shuffle: at 100 TB of input with a third of it shuffled, 256 MB
+    reducers give ~130,000 partitions.
+    """
+    minimum = minimum or 2 * spark.sparkContext.defaultParallelism
+    n = int(min(maximum, max(minimum, math.ceil(shuffle_bytes / target_bytes))))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    return n

@@ -304,3 +304,24 @@ def test_day_histogram_first_day(spark):
     rows = P.day_histogram(df, ["a", "b"], day="first").collect()
     assert {r.day for r in rows} == {dt.date(2024, 9, 6)}
     assert sum(r["count"] for r in rows) == 2 and len(rows) == 48
+
+
+def test_partition_sizing_helpers(spark):
+    from delaykit.session import input_bytes, size_shuffle_partitions
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert input_bytes(spark, "/root/testdata/sf0.001") > 0
+        assert size_shuffle_partitions(spark, 100 * 1024 ** 4 // 3) == 136_534  # ceil(100 TiB / 3 / 256 MiB)
+        assert size_shuffle_partitions(spark, 10) == 2 * spark.sparkContext.defaultParallelism
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_hash_folds_are_balanced_and_stable(spark):
+    from delaykit.operators.ordering import hash_folds
+    df = spark.range(3000)
+    a = {r.id: r.fold for r in hash_folds(df, ["id"], 3).collect()}
+    b = {r.id: r.fold for r in hash_folds(df.repartition(7), ["id"], 3).collect()}
+    assert a == b and set(a.values()) == {0, 1, 2}
+    sizes = [list(a.values()).count(i) for i in range(3)]
+    assert min(sizes) > 900
