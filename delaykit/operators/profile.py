@@ -216,8 +216,9 @@ def argmax(df: DataFrame, group_cols: Sequence[str], name_col: str, score_col: s
            tie_cols: Sequence[str] = ()) -> DataFrame:
     """Per group the name with the highest score.
 
-    Ties go to the smallest ``tie_cols`` (default: the name).  A ``max_by``
-    aggregate with a struct ordering key, reduced map-side.
+    Ties go to the smallest ``tie_cols`` (default: the name).  A ``min_by``
+    aggregate over the key (-score, tie...), reduced map-side; NULL scores
+    never win.
     """
     tie = list(tie_cols) or [name_col]
     key = F.struct((-F.col(score_col)).alias("__s"), *[F.col(c) for c in tie])
