@@ -16,7 +16,7 @@ def _flight(dep_time, arr_code="JFK", actual=True, extra=False):
         "Departure": {"AirportCode": "FRA", "ScheduledTimeLocal": {"DateTime": dep_time},
                       "ScheduledTimeUTC": {"DateTime": dep_time + "Z"}},
         "Arrival": {"AirportCode": arr_code, "ScheduledTimeUTC": {"DateTime": "2024-09-06T18:00Z"}},
-        "MarketingCarrier": {"AirlineID": "LH", "FlightNumber": "400"},
+        "MarketingCarrier": {"AirlineID": "XX", "FlightNumber": "400"},
     }
     if actual:
         f["Arrival"]["ActualTimeUTC"] = {"DateTime": "2024-09-06T18:25Z"}
