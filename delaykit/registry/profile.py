@@ -11,6 +11,7 @@ from delaykit.operators.dedup import duplicate_count, duplicate_members
 from delaykit.registry.base import (
     DOCS_LABELS_SQL, EVENT_STATUS, EVENT_STATUS_SQL, FLIGHTS_SQL, docs_labels, flights, register, rnd, table,
 )
+from delaykit.session import materialize
 from delaykit.sources.landed import success_counts
 
 
@@ -108,7 +109,10 @@ def delays(spark, d):
     WHERE delay_minutes >= q1 - 1.5 * (q3 - q1) AND delay_minutes <= q3 + 1.5 * (q3 - q1)
 """)
 def iqr_filter(spark, d):
-    kept = P.iqr_filter(delays(spark, d), "delay_minutes")
+    # The fences (a subquery) and the filter both need every delay: the flights join
+    # runs once into a narrow (key, delay) table in the shared checkpoint folder.
+    narrow = materialize(delays(spark, d), "delays")
+    kept = P.iqr_filter(narrow, "delay_minutes")
     return kept.select("l_orderkey", "l_linenumber", rnd(F.col("delay_minutes")).alias("delay_minutes"))
 
 
