@@ -23,8 +23,8 @@ from delaykit.session import materialize
 FEATURES = ["f_avg_quantity", "f_avg_discount", "f_max_tax", "f_n_lines"]
 
 
-def _text_flights(spark, d):
-    fl = flights(spark, d)
+def _text_flights(spark, d, fl=None):
+    fl = flights(spark, d) if fl is None else fl
     return fl.select(
         "l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax",
         F.col("departure_code").alias("Departure_AirportCode"),
@@ -62,12 +62,20 @@ def prepare_flights(spark, d):
                            "Arrival_ScheduledTimeUTC_DateTime", "Arrival_ActualTimeUTC_DateTime")
 
 
-def _prepared(spark, d):
-    return features_from_flights(prepare_flights_for_training(_text_flights(spark, d)))
+def _prepared(spark, d, fl=None):
+    return features_from_flights(prepare_flights_for_training(_text_flights(spark, d, fl)))
+
+
+def _materialized_prepared(spark, d):
+    # The typed join output (keys, measures, timestamps) is written once; the text
+    # formatting is cheap per row and runs on read, in every branch.
+    return _prepared(spark, d, materialize(flights(spark, d), "flights"))
 
 
 def train_table(spark, d, prepared=None):
-    prepared = _prepared(spark, d) if prepared is None else prepared
+    # Both join sides (flights, and the weather aggregated from them) start from the prepared
+    # flights: the lineitem x orders join runs once into a table in the shared checkpoint folder.
+    prepared = _materialized_prepared(spark, d) if prepared is None else prepared
     merged = merge_flights_weather(prepared, _weather(prepared))
     return training_table(merged, ["l_orderkey", "l_linenumber"], FEATURES)
 
@@ -149,7 +157,7 @@ def train_select_best(spark, d):
 def q_score_requests(spark, d):
     # Training and scoring both start from the prepared flights: computed once, written to the
     # shared checkpoint folder, read by both.
-    prepared = materialize(_prepared(spark, d), "prepared-flights")
+    prepared = _materialized_prepared(spark, d)
     model = M.fit_best(train_table(spark, d, prepared), "LinearRegression", FEATURES)
     weather = _weather(prepared)
     # Departure local time of the stand-in flight = its scheduled minute.
