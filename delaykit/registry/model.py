@@ -57,8 +57,7 @@ _TEXT_FLIGHTS_SQL = f"""
            Arrival_ActualTimeUTC_DateTime FROM ({_TEXT_FLIGHTS_SQL}) t
 """)
 def prepare_flights(spark, d):
-    prepared = features_from_flights(prepare_flights_for_training(_text_flights(spark, d)))
-    return prepared.select("l_orderkey", "l_linenumber", "Departure_ScheduledTimeUTC_DateTime",
+    return _prepared(spark, d).select("l_orderkey", "l_linenumber", "Departure_ScheduledTimeUTC_DateTime",
                            "Arrival_ScheduledTimeUTC_DateTime", "Arrival_ActualTimeUTC_DateTime")
 
 
