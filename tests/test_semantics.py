@@ -325,3 +325,25 @@ def test_hash_folds_are_balanced_and_stable(spark):
     assert a == b and set(a.values()) == {0, 1, 2}
     sizes = [list(a.values()).count(i) for i in range(3)]
     assert min(sizes) > 900
+
+
+def test_hot_key_operators_match_pandas(spark):
+    """One key holds a third of the rows: the per-key operators stay exact."""
+    from delaykit.operators.joins import first_per_key
+    rnd = random.Random(5)
+    rows = [("HOT" if i % 3 == 0 else f"k{rnd.randint(0, 40)}", i, rnd.randint(0, 9) * 1.0) for i in range(900)]
+    df = spark.createDataFrame(rows, "k string, pos long, v double").repartition(6)
+    pdf = pd.DataFrame(rows, columns=["k", "pos", "v"])
+    firsts = {r.k: (r.pos, r.v) for r in first_per_key(df, ["k"], ["pos"], ["pos", "v"]).collect()}
+    exp = pdf.sort_values("pos").groupby("k").first()
+    assert firsts == {k: (int(r.pos), r.v) for k, r in exp.iterrows()}
+    lasts = {r.k: r.pos for r in P.last_per_key(df, ["k"], "pos", ["v"]).collect()}
+    assert lasts == pdf.groupby("k")["pos"].max().to_dict()
+    best = {r.k: (r.pos, r.v) for r in P.argmax(df, ["k"], "pos", "v").collect()}
+    exp_best = pdf.sort_values(["v", "pos"], ascending=[False, True]).groupby("k").first()
+    assert best == {k: (int(r.pos), r.v) for k, r in exp_best.iterrows()}
+    counted = {(r.k, r.pos): r.flags_before
+               for r in running_count(df, ["k"], "pos", F.col("v") > 4, block=16).collect()}
+    for k, g in pdf.sort_values("pos").groupby("k"):
+        flags = (g["v"] > 4).astype(int).tolist()
+        assert [counted[(k, p)] for p in g["pos"]] == [sum(flags[:i]) for i in range(len(flags))]
