@@ -45,3 +45,35 @@ def batch_payloads(batches: DataFrame) -> DataFrame:
     """One row per request: the (at most ``BATCH_SIZE``) coordinates as arrays."""
     return batches.groupBy("day", "batch").agg(
         F.sort_array(F.collect_list(F.struct("airport_code", "flight_minute", "latitude", "longitude"))).alias("points"))
+
+
+DATE_IN_NAME = r"\d{4}-\d{2}-\d{2}"  # fixed value: the date pattern of landed file names
+WEATHER_KINDS = ("AA", "DA")  # fixed values: arrival- and departure-airport weather file prefixes
+
+
+def dated_files(listing: DataFrame, kind: bool = False) -> DataFrame:
+    """(date, [kind,] file_name) for the files whose name holds a date.
+
+    Files without a date are skipped; when several files share a date (and
+    kind) the last one by name wins, as a later listing entry overwrites an
+    earlier one.
+    """
+    from delaykit.functions.text import extract_first
+
+    dated = listing.withColumn("date", extract_first("file_name", DATE_IN_NAME)).filter(F.col("date").isNotNull())
+    keys = ["date"]
+    if kind:
+        dated = dated.withColumn("kind", F.substring_index("file_name", "_", 1))
+        keys.append("kind")
+    return dated.groupBy(*keys).agg(F.max("file_name").alias("file_name"))
+
+
+def dates_without_weather(flight_files: DataFrame, weather_files: DataFrame,
+                          kinds=WEATHER_KINDS) -> DataFrame:
+    """(date, kind, flight file) for every flight date whose weather file of that
+    kind is missing (J5).  Keyed by (date, kind): one kind present does not mark
+    the date done for the other."""
+    flights = dated_files(flight_files).select("date", F.col("file_name").alias("flight_file"))
+    wanted = flights.select("date", "flight_file", F.explode(F.array(*[F.lit(k) for k in kinds])).alias("kind"))
+    have = dated_files(weather_files, kind=True).select("date", "kind")
+    return wanted.join(have, ["date", "kind"], "left_anti")

@@ -234,3 +234,20 @@ def test_page_store_stream_early_stop_across_files(spark, tmp_path):
     # file b: hits at pages 0, 1 (counted), the 3rd hit (page 2) stops the file: pages 4-7 are not inserted
     assert got.count() == 4
     assert sorted(r.file_name for r in got.collect()) == ["a.json"] * 4
+
+
+def test_dates_without_weather_keyed_by_kind(spark, tmp_path):
+    from delaykit.plans.weather import dates_without_weather
+    fl, wx = tmp_path / "flights", tmp_path / "weather_hourly"
+    fl.mkdir()
+    wx.mkdir()
+    for name in ["FRA_flightstatus_dep_flights_2024-09-01_conso_flatten.csv",
+                 "FRA_flightstatus_dep_flights_2024-09-02_conso_flatten.csv", "notes.csv"]:
+        (fl / name).write_text("a\n")
+    for name in ["AA_hourly_weather_2024-09-01.csv", "DA_hourly_weather_2024-09-01.csv",
+                 "AA_hourly_weather_2024-09-02.csv"]:
+        (wx / name).write_text("a\n")
+    flights = files.list_files(spark, str(fl), contains=".csv")
+    weather = files.list_files(spark, str(wx))
+    got = [(r.date, r.kind) for r in dates_without_weather(flights, weather).collect()]
+    assert got == [("2024-09-02", "DA")]
