@@ -90,9 +90,11 @@ def bulk_load_csv(spark: SparkSession, folder: str, target: str, schema=None) ->
     return append_new_rows(spark, df, target)
 
 
-def flights_from_page_store(spark: SparkSession, store: str) -> DataFrame:
+def flights_from_page_store(spark: SparkSession, store: str, all_columns: bool = False) -> DataFrame:
     """E1 stage 2: every stored page (a whole-collection scan, S4) unnested and
-    flattened to the ``flights`` table columns, ready for ``append_new_rows``."""
+    flattened; the ``flights`` table columns (ready for ``append_new_rows``), or
+    every flattened leaf with ``all_columns``."""
     pages = read_target(spark, store).select(F.from_json("page_json", schemas.resource()).alias("page"))
     fl = pages.select(F.explode("page.Flights.Flight").alias("flight"))
-    return flights_table(flatten(fl, "flight"))
+    flat = flatten(fl, "flight")
+    return flat if all_columns else flights_table(flat)
