@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from delaykit import schemas
 from delaykit.functions.timefmt import parse_minute_text
-from delaykit.operators.ordering import contiguous_folds
+from delaykit.operators.ordering import contiguous_folds, hash_folds
 from delaykit.plans import ingest, models
 from delaykit.plans.airports import clean_airports
 from delaykit.plans.scoring import first_flight_per_request, score_requests
@@ -59,12 +59,23 @@ def training_rows(spark: SparkSession, flights_target: str, weather_target: str,
 
 def train(spark: SparkSession, flights_target: str, weather_target: str, model_path: str,
           names: Sequence[str] = models.MODEL_NAMES, feature_cols: Sequence[str] = schemas.WEATHER_VARIABLES,
-          overrides: dict | None = None, k: int = 3) -> DataFrame:
-    """Cross-validate the candidate models on unshuffled contiguous folds, refit the best
-    on every row, store it at ``model_path``; returns the scores with ``is_best``."""
+          overrides: dict | None = None, k: int = 3, folds: str = "contiguous") -> DataFrame:
+    """Cross-validate the candidate models, refit the best on every row, store it at
+    ``model_path``; returns the scores with ``is_best``.
+
+    ``folds="contiguous"`` reproduces unshuffled K-fold over a stable row order
+    (one distributed sort); ``folds="hash"`` assigns folds by a hash of the row,
+    no sort at all, for the largest inputs.
+    """
     rows = training_rows(spark, flights_target, weather_target, feature_cols)
     order = [c for c in rows.columns if c != "delay_minutes"] + ["delay_minutes"]
-    folded = contiguous_folds(rows, order, k).cache()
+    if folds == "contiguous":
+        folded = contiguous_folds(rows, order, k)
+    elif folds == "hash":
+        folded = hash_folds(rows, order, k)
+    else:
+        raise ValueError("folds must be 'contiguous' or 'hash'")
+    folded = folded.cache()
     try:
         scores = models.select_best(models.score_models(spark, folded, feature_cols, names,
                                                         overrides=overrides, k=k)).cache()

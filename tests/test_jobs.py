@@ -53,6 +53,9 @@ def test_lifecycle(spark, tmp_path):
                         names=["LinearRegression", "DecisionTreeRegressor"],
                         overrides={"LinearRegression": {"regParam": 0.1}, "DecisionTreeRegressor": {"maxDepth": 3}})
     assert scores.filter("is_best").count() == 1
+    hashed = jobs.train(spark, base + "/t_flights", base + "/t_weather", base + "/model_h",
+                        names=["LinearRegression"], overrides={"LinearRegression": {"regParam": 0.1}}, folds="hash")
+    assert hashed.first().is_best
 
     requests = spark.createDataFrame([("t1", "JFK", flights[0]["Departure"]["ScheduledTimeLocal"]["DateTime"]),
                                       ("t2", "CDG", flights[1]["Departure"]["ScheduledTimeLocal"]["DateTime"]),
