@@ -104,3 +104,12 @@ def file_outcomes(flags: DataFrame, file_col: str, max_hits: int = 5, force_test
         hits.cast("long").alias("n_hits"))
     fully = F.lit(True) if force_test_all else F.col("n_hits") < max_hits
     return agg.withColumn("fully_added", fully)
+
+
+def surrogate_key(*cols: str) -> Column:
+    """Deterministic surrogate key of a row's identifying columns (the DDL's
+    ``SERIAL`` id): SHA-256 of their canonical JSON, so the same flight gets
+    the same key in every run and on every executor — unlike
+    ``monotonically_increasing_id``, which depends on partitioning — and
+    256 bits keep collisions negligible at billions of rows."""
+    return F.sha2(F.to_json(F.struct(*[F.col(c) for c in cols])), 256)

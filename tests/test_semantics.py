@@ -347,3 +347,13 @@ def test_hot_key_operators_match_pandas(spark):
     for k, g in pdf.sort_values("pos").groupby("k"):
         flags = (g["v"] > 4).astype(int).tolist()
         assert [counted[(k, p)] for p in g["pos"]] == [sum(flags[:i]) for i in range(len(flags))]
+
+
+def test_surrogate_key_is_deterministic(spark):
+    from delaykit.operators.incremental import surrogate_key
+    rows = [("FRA", "2024-09-06T08:00Z", "400"), ("FRA", "2024-09-06T08:00Z", None), ("JFK", None, "400")]
+    df = spark.createDataFrame(rows * 3, "dep string, t string, num string")
+    keyed = df.withColumn("flight_id", surrogate_key("dep", "t", "num"))
+    a = {tuple(r[:3]): r.flight_id for r in keyed.collect()}
+    b = {tuple(r[:3]): r.flight_id for r in keyed.repartition(5).collect()}
+    assert a == b and len(set(a.values())) == 3
