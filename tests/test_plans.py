@@ -9,7 +9,7 @@ import pytest
 import __spark_entry__ as entry
 from conftest import SF_SMALL
 
-QUERIES = entry.queries()
+from delaykit.registry import QUERIES  # noqa: E402
 MODEL_KEYS = {"train_select_best", "score_requests"}
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
              "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF")
