@@ -37,8 +37,8 @@ def _words_sql(column: str) -> str:
            FROM d, (SELECT DISTINCT n FROM bn) WHERE len(w) >= n),
     hit AS (SELECT doc_id, ds.n, s, item_id FROM ds JOIN bw
             ON ds.n = bw.n AND array_to_string(w[s:s + ds.n - 1], ' ') = bw.win),
-    cov AS (SELECT doc_id, count(DISTINCT at) AS n_hit
-            FROM (SELECT doc_id, unnest(generate_series(s, s + n - 1)) AS at FROM hit) GROUP BY doc_id),
+    cov AS (SELECT doc_id, count(DISTINCT word_at) AS n_hit
+            FROM (SELECT doc_id, unnest(generate_series(s, s + n - 1)) AS word_at FROM hit) GROUP BY doc_id),
     its AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
             FROM (SELECT DISTINCT doc_id, item_id FROM hit) GROUP BY doc_id)
     SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
