@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from delaykit.llm.common import LOWER, UPPER, table
 from delaykit.llm.decontaminate import contamination
+from delaykit.llm.simhash import near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -48,3 +49,8 @@ def _words_sql(column: str) -> str:
 """)
 def op6_decontaminate(spark, d):
     return contamination(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
+@query("op10_simhash")
+def op10_simhash(spark, d):
+    return near_duplicates(table(spark, d, "documents"))
