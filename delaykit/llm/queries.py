@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from delaykit.llm.common import LOWER, UPPER, table
 from delaykit.llm.decontaminate import contamination
+from delaykit.llm.packing import pack
 from delaykit.llm.simhash import near_duplicates
+from delaykit.llm.warc import capture_histories
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -54,3 +57,13 @@ def op6_decontaminate(spark, d):
 @query("op10_simhash")
 def op10_simhash(spark, d):
     return near_duplicates(table(spark, d, "documents"))
+
+
+@query("op8_packing")
+def op8_packing(spark, d):
+    return pack(table(spark, d, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op9_warc")
+def op9_warc(spark, d):
+    return capture_histories(table(spark, d, "pages"))
