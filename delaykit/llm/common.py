@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import zlib
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,6 +19,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 _OTHER_UPPER = r"[\P{ASCII}&&[\p{IsUppercase}\p{Lt}]]"
 
 
+def let_workers_import(spark: SparkSession) -> None:
+    """Python workers on this machine find the package also when the session runs from another folder; a cluster gets it
+    by ``--py-files`` or an installed wheel."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def ascii_lower(text) -> Column:
     """Lower-case A-Z only; other letters and null stay as they are.
 

@@ -7,10 +7,12 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from delaykit.llm.common import LOWER, UPPER, table
+from delaykit.llm.common import LOWER, UPPER, let_workers_import, table
 from delaykit.llm.decontaminate import contamination
 from delaykit.llm.packing import pack
+from delaykit.llm.quality import quality
 from delaykit.llm.simhash import near_duplicates
+from delaykit.llm.toxicity import toxicity
 from delaykit.llm.warc import capture_histories
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,7 +21,11 @@ ORACLE: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None):
     def add(fn):
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            let_workers_import(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql.strip()
         return fn
@@ -67,3 +73,13 @@ def op8_packing(spark, d):
 @query("op9_warc")
 def op9_warc(spark, d):
     return capture_histories(table(spark, d, "pages"))
+
+
+@query("op1_quality")
+def op1_quality(spark, d):
+    return quality(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
+@query("op2_toxicity")
+def op2_toxicity(spark, d):
+    return toxicity(table(spark, d, "documents"), table(spark, d, "labels"))
