@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from delaykit.llm.common import LOWER, UPPER, let_workers_import, table
 from delaykit.llm.decontaminate import contamination
+from delaykit.llm.embedding_dedup import near_vectors
+from delaykit.llm.lm import scores
 from delaykit.llm.packing import pack
 from delaykit.llm.quality import quality
 from delaykit.llm.simhash import near_duplicates
@@ -83,3 +85,13 @@ def op1_quality(spark, d):
 @query("op2_toxicity")
 def op2_toxicity(spark, d):
     return toxicity(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
+@query("op7_embedding_dedup")
+def op7_embedding_dedup(spark, d):
+    return near_vectors(table(spark, d, "embeddings"))
+
+
+@query("op4_language_model")
+def op4_language_model(spark, d):
+    return scores(table(spark, d, "documents"))
