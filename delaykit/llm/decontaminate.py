@@ -112,8 +112,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, k: in
     ``items_sha256`` (of the sorted, comma-joined ids) and ``contaminated`` (``n_hit > 0`` and
     ``share * n_hit >= n_words``)."""
     docs = texts_of(docs, id_col, text_col).withColumn("rk", row_key())
-    items = item_sequences(benchmark)
-    seqs = items.select("sid", "words").dropDuplicates(["sid"])
+    # Written first: over an aggregate the array columns below would be evaluated anew for every element.
+    items = materialize(item_sequences(benchmark), "items")
+    seqs = materialize(items.select("sid", "words").dropDuplicates(["sid"]), "items")
     lengths = [*short_lengths(seqs, span), span]
     # Written once: the fingerprints are read twice below, the texts only for documents with hits.
     prints = materialize(fingerprinted(docs, lengths, k), "winnow")
