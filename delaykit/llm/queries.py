@@ -14,6 +14,7 @@ from delaykit.llm.lm import scores
 from delaykit.llm.packing import pack
 from delaykit.llm.quality import quality
 from delaykit.llm.simhash import near_duplicates
+from delaykit.llm.suffix_dedup import remove_repeats
 from delaykit.llm.toxicity import toxicity
 from delaykit.llm.warc import capture_histories
 
@@ -95,3 +96,8 @@ def op7_embedding_dedup(spark, d):
 @query("op4_language_model")
 def op4_language_model(spark, d):
     return scores(table(spark, d, "documents"))
+
+
+@query("op5_suffix_dedup")
+def op5_suffix_dedup(spark, d):
+    return remove_repeats(table(spark, d, "documents"))
