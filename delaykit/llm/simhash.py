@@ -89,10 +89,10 @@ def covering_masks(radius: int = RADIUS, bits: int = 64) -> list[int]:
     return [m - (1 << 64) if m >> 63 else m for m in masks]
 
 
-def _forest(rows: np.ndarray, other: np.ndarray, radius: int) -> tuple[list[int], list[int]]:
-    """Spanning forest of the links between two blocks of distinct fingerprints (one block: ``other`` is it)."""
-    nodes = np.unique(np.concatenate([rows, other]))
-    parent = np.arange(len(nodes))
+def _forest(fp: np.ndarray, rows: np.ndarray, other: np.ndarray, radius: int) -> list[tuple[int, int]]:
+    """Spanning forest of the links between two blocks of distinct fingerprints, given as places in ``fp`` (one block:
+    ``other`` is ``rows``)."""
+    parent = np.arange(len(fp))
 
     def root(x: int) -> int:
         while parent[x] != x:
@@ -100,18 +100,16 @@ def _forest(rows: np.ndarray, other: np.ndarray, radius: int) -> tuple[list[int]
             x = parent[x]
         return x
 
-    left, right = [], []
-    place_r, place_o = np.searchsorted(nodes, rows), np.searchsorted(nodes, other)
-    bits_r, bits_o = rows.view(np.uint64), other.view(np.uint64)  # bitwise_count takes the absolute value of signed ones
+    out = []
+    bits = fp.view(np.uint64)  # bitwise_count takes the absolute value of signed numbers
     for i in range(0, len(rows), 256):
-        near = np.bitwise_count(bits_r[i:i + 256, None] ^ bits_o[None, :]) <= radius
+        near = np.bitwise_count(bits[rows[i:i + 256], None] ^ bits[other][None, :]) <= radius
         for x, y in zip(*np.nonzero(near)):
-            a, b = root(int(place_r[i + x])), root(int(place_o[y]))
+            a, b = root(int(rows[i + x])), root(int(other[y]))
             if a != b:
                 parent[max(a, b)] = min(a, b)
-                left.append(int(rows[i + x]))
-                right.append(int(other[y]))
-    return left, right
+                out.append((int(rows[i + x]), int(other[y])))
+    return out
 
 
 def _link_groups(radius: int):
@@ -121,14 +119,14 @@ def _link_groups(radius: int):
             out_a, out_b = [], []
             cols = [part[c].to_numpy() for c in ("t", "key", "i", "j")]
             cuts = np.flatnonzero(np.any([c[1:] != c[:-1] for c in cols], axis=0)) + 1
-            fp, block = part["fp"].to_numpy(), part["block"].to_numpy()
+            fp, node, block = (part[c].to_numpy() for c in ("fp", "node", "block"))
             for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(part)]):
                 if hi - lo < 2:
                     continue
-                own, i, j = fp[lo:hi], cols[2][lo], cols[3][lo]
-                a, b = _forest(own[block[lo:hi] == i], own[block[lo:hi] == j], radius)
-                out_a += a
-                out_b += b
+                own, i, j = block[lo:hi], cols[2][lo], cols[3][lo]
+                for a, b in _forest(fp[lo:hi], np.flatnonzero(own == i), np.flatnonzero(own == j), radius):
+                    out_a.append(node[lo + a])
+                    out_b.append(node[lo + b])
             return pd.DataFrame({"a": np.array(out_a, np.int64), "b": np.array(out_b, np.int64)})
 
         held = None
@@ -146,15 +144,16 @@ def _link_groups(radius: int):
 
 
 def near_links(prints: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
-    """(a, b): links between distinct values of ``fp`` that connect just what all pairs within ``radius`` connect."""
+    """(a, b): links between the ``node`` of distinct values of ``fp`` that connect just what all pairs within ``radius``
+    connect."""
     tables = F.array(*[F.struct(F.lit(t).alias("t"), F.col("fp").bitwiseAND(F.lit(m)).alias("key"))
                        for t, m in enumerate(covering_masks(radius))])
-    keyed = prints.select("fp", F.explode(tables).alias("k")).select("fp", "k.t", "k.key")
+    keyed = prints.select("fp", "node", F.explode(tables).alias("k")).select("fp", "node", "k.t", "k.key")
     full = (keyed.groupBy("t", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
             .select("t", "key", F.ceil(F.col("n") / block).cast("int").alias("blocks")))
     placed = keyed.join(full, ["t", "key"]).withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
-    pairs = placed.select("t", "key", "fp", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("o")).select(
-        "t", "key", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"), "fp", "block")
+    pairs = placed.select("t", "key", "fp", "node", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("o")).select(
+        "t", "key", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"), "fp", "node", "block")
     return (pairs.repartition("t", "key", "i", "j").sortWithinPartitions("t", "key", "i", "j")
             .mapInPandas(_link_groups(radius), "a long, b long"))
 
@@ -171,10 +170,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
                          "simhash")
     # One node per distinct fingerprint, named by its smallest document.
     nodes = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("node")), "nodes")
-    links = near_links(nodes.filter("node IS NOT NULL").select("fp"), radius)
-    named = (links.join(nodes.select(F.col("fp").alias("a"), F.col("node").alias("u")), "a")
-             .join(nodes.select(F.col("fp").alias("b"), F.col("node").alias("v")), "b").select("u", "v"))
-    comps = components(named, "u", "v")
+    comps = components(near_links(nodes.filter("node IS NOT NULL"), radius))
     classes = nodes.join(comps, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
     return prints.join(classes, "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
