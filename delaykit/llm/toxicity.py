@@ -2,14 +2,15 @@
 
 Chains are sentences (cut after ``.``, ``!``, ``?`` and at line ends); the labels are *toxic* and *other*.  A token's
 features are its word, the words beside it and its shape; two-state transitions couple neighbours.  Token labels come from
-the document labels: a word is taken as toxic in a toxic document if toxic documents hold it far more often than its rate
-in the clean ones explains.  The field is fitted to the chains by gradient steps on the exact likelihood; scoring runs
+the document labels: a word is taken as toxic in a toxic document if toxic documents hold it far more often than clean
+ones, more than chance explains for any word of the sample, and after many different words.  The field is fitted to the chains by gradient steps on the exact likelihood; scoring runs
 forward-backward over every chain of every text, and the marginals add up to the document's score, fitted on the labelled
 documents.  Offending spans are runs of tokens with a marginal of at least a half.
 """
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -24,7 +25,7 @@ from delaykit.session import materialize
 
 MAX_ROWS, MAX_CHAINS, MAX_WORDS = 6_000, 20_000, 4_000  # what the fit reads at most: documents, chains, known words
 MAX_CHAIN = 200  # tokens of a chain used in the fit
-MIN_SHARE, MIN_LIFT = 0.04, 12.0
+MIN_SHARE, MIN_LIFT, CHANCE = 0.04, 12.0, 0.01  # of a toxic word; CHANCE: that any word is taken as toxic by luck
 EDGE = ".,;:!?()[]{}<>\"'`#$%&*|-_=+~^/\\"
 SHAPES = 4
 
@@ -176,6 +177,13 @@ def _document_inputs(tokens: np.ndarray, top: np.ndarray) -> np.ndarray:
     return np.stack([np.ones(len(tokens)), np.log1p(tokens), top], axis=1)
 
 
+def binomial_tail(k: int, n: int, p: float) -> float:
+    """Chance of at least ``k`` of ``n``."""
+    logs = [math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * math.log(p) + (n - i) * math.log1p(-p)
+            for i in range(k, n + 1)]
+    return sum(map(math.exp, logs))
+
+
 def fit_document(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
     """Weighted logistic regression by Newton steps."""
     w = np.zeros(x.shape[1])
@@ -219,17 +227,27 @@ def fit(docs: DataFrame, labels: DataFrame, usable, column: str = "toxic", max_r
     empty = Field({}, *[np.zeros(1) for _ in range(3)], np.zeros(SHAPES), np.zeros((2, 2)))
     if not sizes.get(1) or not sizes.get(0):
         return empty
-    core = F.regexp_replace(F.lower("w"), r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", "")
-    words = (sample.select("label", F.explode(F.array_distinct(F.split("text", r"\s+"))).alias("w"), F.xxhash64("text").alias("d"))
-             .select("label", core.alias("w"), "d").filter("w <> ''").distinct()
-             .groupBy("w").agg(F.sum("label").cast("long").alias("bad"), F.sum(1 - F.col("label")).cast("long").alias("good")))
+    # Words with the tokens before them: copies of one document repeat these, uses of a word don't.
+    tokens = F.split("text", r"\s+")
+    core = F.regexp_replace(F.lower("x.w"), r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", "")
+    words = (sample.withColumn("t", tokens).select("label", F.xxhash64("text").alias("d"), F.explode(F.transform(
+        "t", lambda w, i: F.struct(w.alias("w"), F.xxhash64(F.get("t", i - 1)).alias("before")))).alias("x"))
+        .select("label", "d", core.alias("w"), "x.before").filter("w <> ''"))
+    by_doc = words.groupBy("w", "d").agg(F.max("label").alias("label")).groupBy("w").agg(
+        F.sum("label").cast("long").alias("bad"), F.sum(1 - F.col("label")).cast("long").alias("good"))
+    words_n = materialize(by_doc, "words")
     bad_n, good_n = sizes[1], sizes[0]
     lift = (F.col("bad") + 0.1) / bad_n / ((F.col("good") + 0.5) / good_n)
-    toxic = {r.w for r in words.filter((F.col("bad") >= max(2.0, MIN_SHARE * bad_n)) & (lift >= MIN_LIFT))
-             .orderBy(F.desc("bad"), "w").limit(MAX_WORDS).collect()}
+    likely = words_n.filter((F.col("bad") >= max(2.0, MIN_SHARE * bad_n)) & (lift >= MIN_LIFT)).orderBy(
+        F.desc("bad"), "w").limit(MAX_WORDS)
+    uses = words.filter("label = 1").join(F.broadcast(likely.select("w")), "w").groupBy("w").agg(
+        F.count_distinct("before").alias("uses"))
+    chance = CHANCE / max(1, words_n.count())
+    toxic = {r.w for r in likely.join(uses, "w").collect() if 2 * r.uses >= r.bad
+             and binomial_tail(r.bad, r.bad + r.good, bad_n / (bad_n + good_n)) < chance}
     if not toxic:
         return empty
-    common = [r.w for r in words.orderBy(F.desc(F.col("bad") + F.col("good")), "w").limit(MAX_WORDS).collect()]
+    common = [r.w for r in words_n.orderBy(F.desc(F.col("bad") + F.col("good")), "w").limit(MAX_WORDS).collect()]
     vocab = {w: i + 1 for i, w in enumerate(sorted(toxic | set(common)))}
 
     def chains_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
