@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from delaykit.llm.common import LOWER, UPPER, let_workers_import, table
 from delaykit.llm.decontaminate import contamination
 from delaykit.llm.embedding_dedup import near_vectors
+from delaykit.llm.licenses import license_matches
 from delaykit.llm.lm import scores
 from delaykit.llm.packing import pack
 from delaykit.llm.quality import quality
@@ -101,3 +102,8 @@ def op4_language_model(spark, d):
 @query("op5_suffix_dedup")
 def op5_suffix_dedup(spark, d):
     return remove_repeats(table(spark, d, "documents"))
+
+
+@query("op3_license_scan")
+def op3_license_scan(spark, d):
+    return license_matches(table(spark, d, "documents"))
