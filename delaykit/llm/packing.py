@@ -10,12 +10,14 @@ of one fill can never be needed to take them, and only those go up.  A node's wo
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,8 +25,20 @@ from pyspark.sql import functions as F
 from delaykit.llm.common import texts_of
 from delaykit.session import materialize
 
-CAPACITY, END_ID, FAN_IN, CACHE = 1024, 2, 16, 600_000
-SPECIAL = "<|endoftext|>"
+CAPACITY, END_ID, FAN_IN, CACHE = 1024, 2, 16, 800_000
+WHITE = [c for c in map(chr, range(0x3001)) if c.isspace()]
+LOOSE = [f" {c}" for c in WHITE] + [f"{c} " for c in WHITE]  # white space beside a space
+# Fixed value: how byte-level vocabularies of this kind cut a text (public, part of their definition).
+BYTE_LEVEL_PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+
+
+def _byte_letters() -> dict[int, str]:
+    """Such vocabularies spell a byte as the character of its number where that is printable, others from 256 on."""
+    shown = [*range(ord("!"), ord("~") + 1), *range(0xA1, 0xAC + 1), *range(0xAE, 0xFF + 1)]
+    return dict(zip(shown, map(chr, shown))) | {b: chr(256 + i) for i, b in enumerate(sorted(set(range(256)) - set(shown)))}
+
+
+BYTE_LETTERS = _byte_letters()
 
 
 class BestFit:
@@ -69,44 +83,58 @@ class BestFit:
 
 
 class Encoder:
-    """Token ids of a text as little-endian unsigned 32-bit bytes.
+    """Token ids of a text as little-endian unsigned 32-bit bytes, by the tokenizers library.
 
-    The vocabulary's pre-tokenizer never joins a single space to the non-space before it, so a text without
-    neighbouring white space is the sequence of its space-led chunks, and their ids can be kept from text to text."""
+    A byte-level vocabulary never joins a single space to the non-space before it, so a text without white space beside a
+    space is the sequence of its space-led chunks.  Their ids are kept from text to text, and those of the parts that the
+    vocabulary's pre-tokenizer cuts new chunks into, each encoded by the vocabulary's model.  Any other text, and any other
+    kind of vocabulary, goes through the library whole."""
 
     def __init__(self, path: str, cache: int = CACHE):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.path, self.size, self.known = path, cache, {}
+        self.size, self.chunks, self.parts = cache, {}, {}
         self.tokenizer = Tokenizer.from_file(path)
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
+        with open(path, encoding="utf-8") as f:
+            kind = json.load(f)
+        before = kind.get("pre_tokenizer") or {}
+        self.avoid = LOOSE + [t["content"] for t in kind.get("added_tokens", ())]
+        self.byte_level = (before.get("type") == "ByteLevel" and not before.get("add_prefix_space")
+                           and before.get("use_regex", True) and not kind.get("normalizer") and not kind.get("post_processor"))
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
+    def _chunk(self, chunk: str) -> bytes:
+        out, parts, model = [], self.parts, self.tokenizer.model
+        for part in BYTE_LEVEL_PARTS.findall(chunk):
+            ids = parts.get(part)
+            if ids is None:
+                spelled = part.encode("utf-8").decode("latin-1").translate(BYTE_LETTERS)
+                tokens = model.tokenize(spelled)
+                ids = b"".join([t.id.to_bytes(4, "little") for t in tokens])
+                if len(parts) < self.size:
+                    parts[part] = ids
+            out.append(ids)
+        ids = b"".join(out)
+        if len(self.chunks) < self.size:
+            self.chunks[chunk] = ids
+        return ids
+
     def encode(self, texts: list[str]) -> list[bytes]:
         out: list[bytes | None] = [None] * len(texts)
-        chunked, whole, missing = [], [], set()
-        known = self.known
+        whole = []
         for k, text in enumerate(texts):
-            parts = text.split(" ")
-            # Neighbouring white space, at the ends too, or a special token: the library takes the whole text.
-            if not text or not all(parts) or SPECIAL in text or any(p[0].isspace() or p[-1].isspace() for p in parts):
+            if not self.byte_level or "\0" in text or text[:1] == " " or text[-1:] == " " or any(t in text for t in self.avoid):
                 whole.append(k)
                 continue
-            parts[1:] = [f" {p}" for p in parts[1:]]
-            chunked.append((k, parts))
-            missing.update(p for p in parts if p not in known)
-        fresh = sorted(missing)
-        new = dict(zip(fresh, self._ids(fresh)))
-        if len(known) + len(new) <= self.size:
-            known.update(new)
-            new = known
-        else:
-            new = known | new
-        for k, parts in chunked:
-            out[k] = b"".join([new[p] for p in parts])
-        for k, ids in zip(whole, self._ids([texts[k] for k in whole])):
+            chunks = text.replace(" ", "\0 ").split("\0")
+            ids = list(map(self.chunks.get, chunks))
+            if None in ids:
+                ids = [self._chunk(c) if i is None else i for c, i in zip(chunks, ids)]
+            out[k] = b"".join(ids)
+        for k, ids in zip(whole, self._whole([texts[k] for k in whole])):
             out[k] = ids
         return out
 
