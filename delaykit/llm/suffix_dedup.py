@@ -159,12 +159,12 @@ class RunLengthIndex:
         n = len(symbols)
         key, alive = np.zeros(n, np.uint64), np.ones(n, bool)
         padded = np.r_[symbols, np.zeros(8, np.int64)]
-        for j in range(7):
+        size, grams = min(7, length), []
+        for j in range(size):
             now = np.where(alive, padded[j:j + n], 0)
             key = (key << np.uint64(9)) | now.astype(np.uint64)
             alive &= now > 0
         left = np.repeat(self.ends, self.sizes + 1) - np.arange(n)  # symbols before the mark
-        size, grams = 7, []
         while True:
             order = np.argsort(key, kind="quicksort")
             sorted_key = key[order]
