@@ -34,9 +34,14 @@ def _semi(df: DataFrame, keys_df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def keep_unique_keys(df: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
-    """Drop every row of a duplicated key, keep none of them (D2, ``keep=False``)."""
+    """Drop every row of a duplicated key, keep none of them (D2, ``keep=False``).
+
+    One grouped pass: a key's row is carried beside its count, so there is one scan, one shuffle and no join."""
     keys = list(keys or df.columns)
-    return _semi(df, _keys_with_count(df, keys, lambda n: n == 1), keys)
+    rest = [c for c in df.columns if c not in keys]
+    carried = [F.any_value(F.struct(*rest)).alias("__row")] if rest else []
+    groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), *carried).filter(F.col("__n") == 1)
+    return groups.select(*[F.col(f"__row.`{c}`").alias(c) if c in rest else F.col(c) for c in df.columns])
 
 
 def duplicate_members(df: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from delaykit.operators.joins import first_per_key, null_safe_condition
+from delaykit.operators.joins import null_safe_condition
 from delaykit.operators.ordering import running_count
 from delaykit.session import materialize
 
@@ -46,14 +46,19 @@ def insert_if_absent(batch: DataFrame, stored_hashes: DataFrame, pos_col: str |
     """Documents of ``batch`` to insert (D4 + J6): the first copy (smallest
     ``pos``) of each content, minus contents already stored.
 
-    ``stored_hashes`` has one column ``content_hash``.  The in-batch dedup is a
-    ``min_by`` aggregate, so repeated content collapses map-side.
+    ``stored_hashes`` has one column ``content_hash``.  The decision is taken on
+    narrow rows (hash, position): a minimum per hash, combined map-side, and an
+    anti join.  Documents meet it again by position, which must be unique in
+    the batch, so their text is not carried through the grouping.
     """
     hashed = batch.withColumn(hash_name, content_hash(batch, hash_cols))
     order = [pos_col] if isinstance(pos_col, str) else list(pos_col)
-    firsts = first_per_key(hashed, [hash_name], order, [c for c in hashed.columns if c != hash_name])
+    firsts = hashed.groupBy(hash_name).agg(F.min(F.struct(*order)).alias("__first"))
     stored = stored_hashes.select(F.col("content_hash").alias("__h")).distinct()
-    return firsts.join(stored, firsts[hash_name] == stored["__h"], "left_anti")
+    wanted = (firsts.join(stored, firsts[hash_name] == stored["__h"], "left_anti")
+                    .select(F.col(hash_name).alias("__hash"), *[F.col(f"__first.`{c}`").alias(f"__p{i}") for i, c in enumerate(order)]))
+    same = null_safe_condition(hashed, wanted, [hash_name, *order], ["__hash", *[f"__p{i}" for i in range(len(order))]])
+    return hashed.join(wanted, same, "left_semi")
 
 
 def early_stop_flags(batch: DataFrame, stored_hashes: DataFrame, file_col: str, pos_col: str,

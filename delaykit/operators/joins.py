@@ -1,9 +1,8 @@
 """Joins (J1-J10).
 
-Join strategy is left to Catalyst + AQE (runtime broadcast of a side that
-turns out small, skew-partition splitting for a hot key).  An explicit
-broadcast is only used behind ``maybe_broadcast``, which proves the row bound
-by scanning at most ``max_rows + 1`` rows.
+Join strategy is left to Catalyst + AQE: a side that turns out small in bytes
+is broadcast at run time, a hot key's partition is split.  No hint is given
+here, so a plan never depends on a count taken while it is being built.
 """
 
 from __future__ import annotations
@@ -14,18 +13,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def maybe_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """``broadcast(df)`` when it provably holds at most ``max_rows`` rows, else ``df``.
-
-    The check reads at most ``max_rows + 1`` rows (a limit pushes into the scan),
-    so its cost is bounded by the threshold, not by the table.
-    """
-    if max_rows <= 0:
-        return df
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def null_safe_condition(left: DataFrame, right: DataFrame, left_cols: Sequence[str],
                         right_cols: Sequence[str]):
     cond = None
@@ -36,8 +23,7 @@ def null_safe_condition(left: DataFrame, right: DataFrame, left_cols: Sequence[s
 
 
 def enrich(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
-           dim_cols: Sequence[str], required: Sequence[str] = (),
-           broadcast_max_rows: int = 2_000_000) -> DataFrame:
+           dim_cols: Sequence[str], required: Sequence[str] = ()) -> DataFrame:
     """Left-join a dimension projected to its key + ``dim_cols``, then drop rows
     with NULL in ``required`` (J1).
 
@@ -45,7 +31,6 @@ def enrich(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
     inner one.  Duplicated dimension keys fan out, as they do in the reference.
     """
     right = dim.select(F.col(dim_key).alias("__dim_key"), *dim_cols)
-    right = maybe_broadcast(right, broadcast_max_rows)
     out = facts.join(right, facts[fact_key] == right["__dim_key"], "left").drop("__dim_key")
     if required:
         cond = F.lit(True)
@@ -56,15 +41,13 @@ def enrich(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
 
 
 def distinct_then_enrich(facts: DataFrame, cols: Sequence[str], fact_key: str, dim: DataFrame,
-                         dim_key: str, dim_cols: Sequence[str], required: Sequence[str] = (),
-                         broadcast_max_rows: int = 2_000_000) -> DataFrame:
+                         dim_key: str, dim_cols: Sequence[str], required: Sequence[str] = ()) -> DataFrame:
     """Project to ``cols``, de-duplicate, then ``enrich``.
 
     The distinct is a partial (map-side) aggregate, so a hot value is collapsed
     before the shuffle.
     """
-    return enrich(facts.select(*cols).distinct(), dim, fact_key, dim_key, dim_cols, required,
-                  broadcast_max_rows)
+    return enrich(facts.select(*cols).distinct(), dim, fact_key, dim_key, dim_cols, required)
 
 
 def join_on_keys(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
@@ -102,14 +85,30 @@ def first_per_key(df: DataFrame, key_cols: Sequence[str], order_cols: Sequence[s
 
 
 def lookup_or_null(requests: DataFrame, dim: DataFrame, request_key: str, dim_key: str,
-                   order_cols: Sequence[str], value_cols: Sequence[str],
-                   broadcast_max_rows: int = 2_000_000) -> DataFrame:
+                   order_cols: Sequence[str], value_cols: Sequence[str]) -> DataFrame:
     """Point lookup as a left join (J7): the first dimension row per key or NULLs."""
     firsts = first_per_key(dim, [dim_key], order_cols, value_cols)
-    firsts = maybe_broadcast(firsts.withColumnRenamed(dim_key, "__lk"), broadcast_max_rows)
+    firsts = firsts.withColumnRenamed(dim_key, "__lk")
     return requests.join(firsts, requests[request_key] == firsts["__lk"], "left").drop("__lk")
 
 
+def zip_checked(df: DataFrame, keep: Sequence[str], arrays: dict[str, str]) -> DataFrame:
+    """Parallel arrays as rows (J8): ``arrays`` maps result names to array columns; adds ``pos`` from 0.
+
+    Arrays of one row must have equal lengths; a difference is an error that names the lengths, never a
+    silent padding with NULLs.  A row whose arrays are all empty, or all NULL, gives no rows."""
+    cols = list(arrays.values())
+    sizes = [F.coalesce(F.size(c), F.lit(-1)) for c in cols]
+    same = F.lit(True)
+    for s in sizes[1:]:
+        same = same & (s == sizes[0])
+    message = F.concat(F.lit("arrays to zip differ in length: "), F.concat_ws(", ", *[s.cast("string") for s in sizes]))
+    zipped = F.arrays_zip(*[F.col(c).alias(f"__{i}") for i, c in enumerate(cols)])
+    names = df.select(zipped.alias("z")).schema["z"].dataType.elementType.names
+    rows = df.select(*keep, F.posexplode(F.when(same, zipped).otherwise(F.raise_error(message))).alias("pos", "__z"))
+    return rows.select(*keep, "pos", *[F.col(f"__z.`{n}`").alias(out) for n, out in zip(names, arrays)])
+
+
 def salted_join(big: DataFrame, other: DataFrame, big_keys: Sequence[str], other_keys: Sequence[str],
                 buckets: int, how: str = "inner") -> DataFrame:
     """Equi-join that spreads every key over ``buckets`` tasks (skew salting).

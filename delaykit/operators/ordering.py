@@ -91,10 +91,18 @@ def running_count(df: DataFrame, partition_cols: Sequence[str], pos_col: str, fl
 
 def number_within(df: DataFrame, partition_cols: Sequence[str], order: Sequence[Column | str],
                   name: str = "rn") -> DataFrame:
-    """1-based ``row_number`` inside each partition key.
+    """1-based position inside each partition key, whatever a key's size.
 
-    Use where a partition key has a proven size bound (e.g. distinct
-    (airport, minute) rows of one day); otherwise prefer ``row_index``.
+    A range sort on (key, order) cuts a large key over many tasks; the sorted rows are written once (see
+    ``row_index``), and a row's number is its place among its key's rows of that task plus the key's rows in
+    the tasks before.  Only the table of (key, task) counts is windowed.  Keys must not be NULL.
     """
-    w = Window.partitionBy(*partition_cols).orderBy(*order)
-    return df.withColumn(name, F.row_number().over(w))
+    tagged = materialize(df.orderBy(*partition_cols, *order)
+                           .withColumn("__pid", F.spark_partition_id())
+                           .withColumn("__mid", F.monotonically_increasing_id()), "numbered")
+    sizes = tagged.groupBy(*partition_cols, "__pid").agg(F.count(F.lit(1)).alias("__n"), F.min("__mid").alias("__first"))
+    before = Window.partitionBy(*partition_cols).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*partition_cols, "__pid", "__first", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
+    return (tagged.join(offsets, [*partition_cols, "__pid"])
+                  .withColumn(name, F.col("__mid") - F.col("__first") + F.col("__off") + 1)
+                  .select(*df.columns, name))

@@ -50,17 +50,16 @@ def shape(df: DataFrame) -> DataFrame:
 
 
 def quantiles(df: DataFrame, column: str, probs: Sequence[float] = (0.25, 0.75),
-              method: str = "merge", buckets: int | None = None) -> DataFrame:
+              method: str = "distributed", buckets: int | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation between order statistics (A8),
     one row with columns ``q25``, ``q75``, ... (pandas' default definition).
 
+    ``method="distributed"`` (default): right whatever the number of distinct
+    values; no task ever holds more than one range bucket (see
+    ``_distributed_quantiles``).
     ``method="merge"``: rows are reduced to (value, count) by a partial
     aggregate, then one frequency-weighted ``percentile`` merges the distinct
-    values in a single task — right when the distinct count is bounded (e.g.
-    minute-resolution delays).
-    ``method="distributed"``: for columns whose distinct values grow with the
-    data; no task ever holds more than one range bucket (see
-    ``_distributed_quantiles``).
+    values in a single task — only for columns with a bounded distinct count.
     ``method="approx"``: ``percentile_approx`` (opt-in, not exact).
     ``buckets`` defaults to ``spark.sql.shuffle.partitions``: a bucket is then
     one shuffle partition's worth of distinct values, the unit the cluster is
@@ -129,16 +128,16 @@ def _distributed_quantiles(counts: DataFrame, probs: Sequence[float], names: Seq
     return values.select(*out)
 
 
-def iqr_bounds(df: DataFrame, column: str, whisker: float = 1.5) -> DataFrame:
-    """One row (q1, q3, lower, upper) with ``Q1 - 1.5 IQR``, ``Q3 + 1.5 IQR``."""
-    q = quantiles(df, column, (0.25, 0.75))
+def iqr_bounds(df: DataFrame, column: str, whisker: float = 1.5, method: str = "distributed") -> DataFrame:
+    """One row (q1, q3, lower, upper) with ``Q1 - 1.5 IQR``, ``Q3 + 1.5 IQR`` (A9); ``method`` as in ``quantiles``."""
+    q = quantiles(df, column, (0.25, 0.75), method)
     iqr = F.col("q75") - F.col("q25")
     return q.select(F.col("q25").alias("q1"), F.col("q75").alias("q3"),
                     (F.col("q25") - whisker * iqr).alias("lower"),
                     (F.col("q75") + whisker * iqr).alias("upper"))
 
 
-def iqr_filter(df: DataFrame, column: str, whisker: float = 1.5) -> DataFrame:
+def iqr_filter(df: DataFrame, column: str, whisker: float = 1.5, method: str = "distributed") -> DataFrame:
     """Rows inside the inclusive IQR fences (A9 + P6).
 
     The fences are one scalar subquery: evaluated once, then a plain filter;
@@ -148,7 +147,7 @@ def iqr_filter(df: DataFrame, column: str, whisker: float = 1.5) -> DataFrame:
     # evaluated once (checked by job count: one fence or two costs the same).
     # The subquery and the filter each read ``df``: when ``df`` is an expensive
     # plan (a join), materialise it first so that work happens once.
-    fences = iqr_bounds(df, column, whisker).select(F.array("lower", "upper")).scalar()
+    fences = iqr_bounds(df, column, whisker, method).select(F.array("lower", "upper")).scalar()
     return df.filter(within(F.col(column), fences[0], fences[1]))
 
 

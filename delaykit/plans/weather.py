@@ -30,9 +30,7 @@ def request_batches(flights: DataFrame, airports: DataFrame, code_col: str, time
                     batch_size: int = BATCH_SIZE) -> DataFrame:
     """Request rows numbered into batches of ``batch_size`` inside each day.
 
-    Numbering is a window per day: a day holds at most (#airports x 1440)
-    distinct rows, a bound independent of the flight volume, so no global
-    ordering and no unbounded window partition.
+    A day is numbered over many tasks (``number_within``), so it may hold any number of rows.
     """
     rows = request_rows(flights, airports, code_col, time_col).withColumn("day", F.substring("flight_minute", 1, 10))
     numbered = number_within(rows, ["day"], ["airport_code", "flight_minute", "latitude", "longitude"])

@@ -25,7 +25,7 @@ def register(name: str, sql: str | None = None):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table, through ``sources.files.read_table`` (see ``min_partitions`` there)."""
+    """A driver table, through ``sources.files.read_table``."""
     return read_table(spark, f"{sf_dir}/{name}.parquet")
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from delaykit.operators.incremental import content_hash, early_stop_flags, insert_if_absent
 from delaykit.operators.joins import (
-    distinct_then_enrich, enrich, join_on_keys, lookup_or_null, missing_keys,
+    distinct_then_enrich, enrich, join_on_keys, lookup_or_null, missing_keys, zip_checked,
 )
 from delaykit.registry.base import register, table
 
@@ -73,18 +73,17 @@ def q_lookup_or_null(spark, d):
 
 
 @register("zip_arrays", """
-    SELECT vec_id, CAST(idx AS INTEGER) AS idx, round(CAST(value AS DOUBLE), 6) AS value FROM (
-        SELECT vec_id, generate_subscripts(embedding, 1) - 1 AS idx, unnest(embedding) AS value
+    SELECT vec_id, CAST(idx AS INTEGER) AS pos, round(CAST(value AS DOUBLE), 6) AS value,
+           round(CAST(reversed AS DOUBLE), 6) AS reversed FROM (
+        SELECT vec_id, generate_subscripts(embedding, 1) - 1 AS idx, unnest(embedding) AS value,
+               unnest(list_reverse(embedding)) AS reversed
         FROM embeddings) t
 """)
 def zip_arrays(spark, d):
-    emb = table(spark, d, "embeddings")
-    idx = F.sequence(F.lit(0), F.size("embedding") - 1)
-    zipped = F.when(F.size(idx) == F.size("embedding"), F.arrays_zip(idx.alias("idx"), F.col("embedding").alias("value"))) \
-              .otherwise(F.raise_error(F.lit("arrays to zip differ in length")))
-    return (emb.select("vec_id", F.inline(zipped))
-               .select("vec_id", F.col("idx").cast("int").alias("idx"),
-                       F.round(F.col("value").cast("double"), 6).alias("value")))
+    emb = table(spark, d, "embeddings").withColumn("back", F.reverse("embedding"))
+    rows = zip_checked(emb, ["vec_id"], {"value": "embedding", "reversed": "back"})
+    return rows.select("vec_id", F.col("pos").cast("int").alias("pos"),
+                       *[F.round(F.col(c).cast("double"), 6).alias(c) for c in ("value", "reversed")])
 
 
 # Stored documents for the insert stand-ins: the English ones are already in the store.

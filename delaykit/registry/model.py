@@ -120,15 +120,15 @@ def kfold_assign(spark, d):
 def kfold_baseline_mse(spark, d):
     li = table(spark, d, "lineitem").select(*_FOLD_ORDER)
     folds = contiguous_folds(li, _FOLD_ORDER, 3).select(F.col("l_quantity").alias("y"), "fold")
-    per_fold = folds.groupBy("fold").agg(F.sum("y").alias("sy"), F.count(F.lit(1)).alias("n"))
-    # per_fold has k rows (a proven bound): the baseline of a test fold is the mean label of
-    # the other folds; the totals are a window over those k rows, the only single-partition step.
+    # One aggregate per fold (n, sum y, sum y^2) is enough: the baseline of a test fold is the mean
+    # label of the other folds, and its squared error expands into these sums.  k rows are windowed.
+    y = F.col("y").cast("double")
+    per_fold = folds.groupBy("fold").agg(F.sum(y).alias("sy"), F.sum(y * y).alias("syy"), F.count(F.lit(1)).alias("n"))
     everything = Window.partitionBy()
-    means = per_fold.select("fold", ((F.sum("sy").over(everything) - F.col("sy"))
-                                     / (F.sum("n").over(everything) - F.col("n"))).alias("train_mean"))
-    scored = folds.join(F.broadcast(means), "fold")
-    return scored.groupBy("fold").agg(F.count(F.lit(1)).alias("n_test"),
-                                      rnd(-F.avg(F.pow(F.col("y") - F.col("train_mean"), 2)), 4).alias("neg_mse"))
+    mean = (F.sum("sy").over(everything) - F.col("sy")) / (F.sum("n").over(everything) - F.col("n"))
+    with_mean = per_fold.withColumn("m", mean)
+    mse = (F.col("syy") - 2 * F.col("m") * F.col("sy") + F.col("n") * F.col("m") * F.col("m")) / F.col("n")
+    return with_mean.select("fold", F.col("n").alias("n_test"), rnd(-mse, 4).alias("neg_mse"))
 
 
 def _train_with_folds(spark, d):

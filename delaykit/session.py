@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import math
 import os
+import re
 import tempfile
 import uuid
 
@@ -48,11 +50,15 @@ def build_session(master: str | None = None, app_name: str = "delaykit",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (a laptop or a test) do we make our own
-    folder, so a cluster's shared location is never replaced by a machine-local one.
+    Only when the setting is absent on a local master (a laptop or a test) do we make our own
+    folder.  A cluster without the setting is an error: a folder of this machine would be
+    invisible to its executors.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[(\*|\d+)(,\s*\d+)?\])?", master):
+            raise RuntimeError(f"spark.checkpoint.dir isn't set; master {master} needs a folder that all executors share")
         path = tempfile.mkdtemp(prefix="delaykit-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if not spark.sparkContext.getCheckpointDir():
@@ -77,9 +83,33 @@ def materialize(df, name: str = "stage"):
     spark = df.sparkSession
     path = scratch_path(spark, f"delaykit-{name}-{uuid.uuid4().hex}")
     df.write.mode("errorifexists").parquet(path)
+    for scope in _SCOPES:
+        scope.append(path)
     return spark.read.parquet(path)
 
 
+_SCOPES: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def scratch_tables(spark: SparkSession):
+    """Tables that ``materialize`` writes inside the block are deleted when it ends.
+
+    For jobs whose outputs are written before they return; a query that hands back a lazy
+    DataFrame over such tables must not use it.
+    """
+    mine: list[str] = []
+    _SCOPES.append(mine)
+    try:
+        yield
+    finally:
+        _SCOPES.remove(mine)
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for name in mine:
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(conf).delete(path, True)
+
+
 def input_bytes(spark: SparkSession, path: str) -> int:
     """Total size of the files under ``path``, from a distributed listing
     (``binaryFile`` without reading contents)."""
@@ -90,7 +120,7 @@ def input_bytes(spark: SparkSession, path: str) -> int:
 
 
 def size_shuffle_partitions(spark: SparkSession, shuffle_bytes: int, target_bytes: int = 256 * 1024 ** 2,
-                            minimum: int | None = None, maximum: int = 200_000) -> int:
+                            minimum: int | None = None) -> int:
     """Set ``spark.sql.shuffle.partitions`` so a reducer receives about
     ``target_bytes`` of the expected shuffle volume.
 
@@ -100,6 +130,6 @@ def size_shuffle_partitions(spark: SparkSession, shuffle_bytes: int, target_byte
     reducers give ~130,000 partitions.
     """
     minimum = minimum or 2 * spark.sparkContext.defaultParallelism
-    n = int(min(maximum, max(minimum, math.ceil(shuffle_bytes / target_bytes))))
+    n = int(max(minimum, math.ceil(shuffle_bytes / target_bytes)))
     spark.conf.set("spark.sql.shuffle.partitions", str(n))
     return n

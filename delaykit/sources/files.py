@@ -59,24 +59,9 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
     return reader.csv(path)
 
 
-MIN_PARTITIONS_CONF = "delaykit.scan.minPartitions"
-
-
 def read_table(spark: SparkSession, name_or_path: str) -> DataFrame:
-    """Whole table (S3): a catalog table name, or a Parquet path.
-
-    A Parquet file splits only at row-group boundaries, so a small file written
-    as one row group is scanned by one task however ``maxPartitionBytes`` is
-    set.  When the session sets ``delaykit.scan.minPartitions`` and the scan
-    yields fewer partitions, the rows are spread round-robin over that many
-    partitions right after the scan (filters and column pruning still reach
-    the scan).  Large inputs have many row groups and never trigger this.
-    """
-    df = spark.read.parquet(name_or_path) if "/" in name_or_path else spark.table(name_or_path)
-    want = spark.conf.get(MIN_PARTITIONS_CONF, None)
-    if want and df.rdd.getNumPartitions() < int(want):
-        df = df.repartition(int(want))
-    return df
+    """Whole table (S3): a catalog table name, or a Parquet path."""
+    return spark.read.parquet(name_or_path) if "/" in name_or_path else spark.table(name_or_path)
 
 
 def list_files(spark: SparkSession, folder: str, contains: str | None = None,
