@@ -7,6 +7,7 @@ Landed API files hold ``data: [page..]``, each page ``{container: {Flights:
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -14,6 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from delaykit import schemas
+from delaykit.operators.profile import range_checksum
+from delaykit.session import scratch_path
 
 
 def pages_of(landing: DataFrame, api_name: str = "flightstatus", keep: Sequence[str] = ()) -> DataFrame:
@@ -23,12 +26,58 @@ def pages_of(landing: DataFrame, api_name: str = "flightstatus", keep: Sequence[
                    .select(*keep, "page_pos", F.col(f"__page.`{container}`").alias("page")))
 
 
-def repair_lone_flight(pages: DataFrame, text_col: str = "page.Flights.Flight") -> Column:
-    """Parse a ``Flight`` node read as text: a lone object is wrapped into a
-    one-element array first (the API sends an object when there is one flight)."""
+def repair_lone(text_col: str, element: T.StructType) -> Column:
+    """Parse a node read as text as an array: a lone object is wrapped into a
+    one-element array first (the API sends an object when there is one element)."""
     txt = F.trim(F.col(text_col))
     as_array = F.when(txt.startswith("{"), F.concat(F.lit("["), txt, F.lit("]"))).otherwise(txt)
-    return F.from_json(as_array, T.ArrayType(schemas.FLIGHT))
+    return F.from_json(as_array, T.ArrayType(element))
+
+
+def repair_lone_flight(pages: DataFrame, text_col: str = "page.Flights.Flight", element: T.StructType | None = None) -> Column:
+    """The ``Flight`` node of pages read as text, as an array of ``element`` (default: the known flight leaves;
+    see ``infer_flight`` to keep every leaf that occurs)."""
+    return repair_lone(text_col, schemas.FLIGHT if element is None else element)
+
+
+def page_links(pages: DataFrame) -> Column:
+    """The ``Link`` array of pages, parsed when it was read as text."""
+    link = pages.select("page.Meta.Link").schema[0].dataType
+    return F.col("page.Meta.Link") if isinstance(link, T.ArrayType) else repair_lone("page.Meta.Link", schemas.META["Link"].dataType.elementType)
+
+
+def repaired_page(pages: DataFrame) -> Column:
+    """A page read as text with its lone objects repaired (the document the page store keeps)."""
+    flights = F.struct(repair_lone_flight(pages).alias("Flight"))
+    meta = F.struct(F.col("page.Meta.TotalCount").alias("TotalCount"), page_links(pages).alias("Link"))
+    return F.struct(flights.alias("Flights"), F.when(F.col("page.Meta").isNotNull(), meta).alias("Meta"))
+
+
+def infer_flight(pages: DataFrame, text_col: str = "page.Flights.Flight") -> T.StructType:
+    """Union of the keys of all ``Flight`` objects (read as text): the known leaves and every other that occurs.
+
+    The objects are written as text to the shared scratch folder and read back for their schema; only the merged schema reaches the driver."""
+    txt = F.trim(F.col(text_col))
+    as_array = F.when(txt.startswith("{"), F.concat(F.lit("["), txt, F.lit("]"))).otherwise(txt)
+    texts = pages.filter(txt.isNotNull()).select(as_array.alias("t"))
+    path = scratch_path(pages.sparkSession, f"delaykit-leaves-{uuid.uuid4().hex}")
+    texts.select(F.concat(F.lit('{"f":'), F.translate("t", "\r\n", "  "), F.lit("}")).alias("value")).write.text(path)  # one object a line
+    seen = pages.sparkSession.read.option("primitivesAsString", True).json(path).schema
+    found = seen["f"].dataType if "f" in seen.fieldNames() else None
+    element = found.elementType if isinstance(found, T.ArrayType) else None
+    return _union_fields(schemas.FLIGHT, element if isinstance(element, T.StructType) else T.StructType())
+
+
+def _union_fields(known: T.StructType, seen: T.StructType) -> T.StructType:
+    """``known`` in its order, nested structs widened, then the fields only ``seen`` has."""
+    by_name = {f.name: f for f in seen.fields}
+    out = []
+    for f in known.fields:
+        other = by_name.pop(f.name, None)
+        if isinstance(f.dataType, T.StructType) and other is not None and isinstance(other.dataType, T.StructType):
+            f = T.StructField(f.name, _union_fields(f.dataType, other.dataType))
+        out.append(f)
+    return T.StructType(out + list(by_name.values()))
 
 
 def flights_of(pages: DataFrame, keep: Sequence[str] = ("page_pos",), flights: Column | None = None) -> DataFrame:
@@ -63,7 +112,7 @@ def flatten(df: DataFrame, column: str | None = None, sep: str = "_", array_slot
             if expr is None:
                 expr = F.col(f"`{part}`")
             elif part.isdigit():
-                expr = expr.getItem(int(part))
+                expr = F.get(expr, F.lit(int(part)))  # NULL past the end
             else:
                 expr = expr.getField(part)
         name_path = path if column is None else path[1:]
@@ -95,11 +144,8 @@ def long_to_wide(df: DataFrame, key_cols: Sequence[str], var_col: str, value_col
 
 def endpoint_checksums(pages: DataFrame, flights: Column | None = None) -> DataFrame:
     """Per endpoint (URL before ``?`` of the page's first link): flights received
-    vs the declared ``TotalCount`` (A11).  Every endpoint is checked."""
-    endpoint = F.substring_index(F.col("page.Meta.Link")[0]["@Href"], "?", 1)
+    vs the declared ``TotalCount`` (A11).  Every endpoint is checked; pages without a link share the NULL endpoint."""
+    endpoint = F.substring_index(F.get(page_links(pages), F.lit(0))["@Href"], "?", 1)
     arr = F.col("page.Flights.Flight") if flights is None else flights
-    n = F.coalesce(F.size(arr), F.lit(0))
-    return (pages.groupBy(endpoint.alias("endpoint"))
-                 .agg(F.sum(F.greatest(n, F.lit(0))).cast("long").alias("n_received"),
-                      F.max("page.Meta.TotalCount").cast("long").alias("n_declared"))
-                 .withColumn("matches", F.col("n_received") == F.col("n_declared")))
+    n = F.greatest(F.coalesce(F.size(arr), F.lit(0)), F.lit(0))
+    return range_checksum(pages, endpoint, n, F.col("page.Meta.TotalCount"))

@@ -11,33 +11,40 @@ from pyspark.sql import functions as F
 
 from delaykit import schemas
 from delaykit.operators.incremental import insert_if_absent
-from delaykit.operators.nested import collect_nested, flatten, flights_of, pages_of, repair_lone_flight
-from delaykit.sources.files import read_csv, read_landing
-from delaykit.sources.sinks import append_new_rows, read_target, table_exists, write_csv, write_json
+from delaykit.operators.nested import collect_nested, flatten, flights_of, infer_flight, pages_of, repair_lone_flight, repaired_page
+from delaykit.sources.files import list_files, read_csv_by_name, read_landing, readable, unreadable
+from delaykit.sources.sinks import append_new_rows, quarantine, read_target, table_exists, write_csv, write_json
+
+FILE = ["file_path", "file_name"]
 
 
 def landed_flights(spark: SparkSession, path: str, api_name: str = "flightstatus",
-                   repair_lone_objects: bool = True) -> DataFrame:
+                   repair_lone_objects: bool = True, all_leaves: bool = False) -> DataFrame:
     """One row per flight of the landed files, with (file, page, position) kept.
 
-    With ``repair_lone_objects`` the ``Flight`` node is read as text and a lone
-    object is wrapped into an array (reading it as an array would silently
-    give NULL).
+    With ``repair_lone_objects`` the ``Flight`` and ``Link`` nodes are read as text and a lone
+    object is wrapped into an array (reading it as an array would lose the file).  With
+    ``all_leaves`` flights keep every leaf that occurs, not only the known ones.  Files that
+    can't be read are listed by ``sources.files.unreadable``; the jobs store them.
     """
-    landing = read_landing(spark, path, api_name, flight_as_text=repair_lone_objects)
-    landing = landing.filter(F.col("_corrupt_record").isNull())
-    pages = pages_of(landing, api_name, keep=["file_name", "metadata"])
-    arr = repair_lone_flight(pages) if repair_lone_objects else None
-    return flights_of(pages, keep=["file_name", "metadata", "page_pos"], flights=arr)
+    landing = readable(read_landing(spark, path, api_name, flight_as_text=repair_lone_objects))
+    return _flights(landing, api_name, repair_lone_objects, all_leaves)
+
+
+def _flights(landing: DataFrame, api_name: str, repair_lone_objects: bool = True, all_leaves: bool = False) -> DataFrame:
+    pages = pages_of(landing, api_name, keep=[*FILE, "metadata"])
+    element = infer_flight(pages) if all_leaves and repair_lone_objects else None
+    arr = repair_lone_flight(pages, element=element) if repair_lone_objects else None
+    return flights_of(pages, keep=[*FILE, "metadata", "page_pos"], flights=arr)
 
 
 def flat_flights(flights: DataFrame) -> DataFrame:
     """Flatten every flight leaf to ``Part_Sub_Leaf`` columns (N2), position keys kept."""
     leaf_cols = flatten(flights.select("flight"), "flight").columns
-    flat = flatten(flights.select("file_name", "page_pos", "flight_pos", "flight"))
+    flat = flatten(flights.select(*FILE, "page_pos", "flight_pos", "flight"))
     # ``flatten`` of the whole row names leaves ``flight_<path>``; drop the prefix.
     renamed = [F.col(f"flight_{c}").alias(c) for c in leaf_cols]
-    return flat.select("file_name", "page_pos", "flight_pos", *renamed)
+    return flat.select(*FILE, "page_pos", "flight_pos", *renamed)
 
 
 def flights_table(flat: DataFrame) -> DataFrame:
@@ -45,51 +52,73 @@ def flights_table(flat: DataFrame) -> DataFrame:
     return flat.select(*schemas.FLIGHT_TABLE_COLUMNS)
 
 
-def consolidated(flights: DataFrame) -> DataFrame:
-    """Per landed file: ``{metadata, flights: [..]}`` in landed order."""
+def consolidated(flights: DataFrame, files: DataFrame | None = None) -> DataFrame:
+    """Per landed file: ``{metadata, flights: [..]}`` in landed order.
+
+    ``files`` (file_path, file_name, metadata) adds the files that hold no flight, with an empty array."""
     pos = F.struct("page_pos", "flight_pos")
-    nested = collect_nested(flights.withColumn("__pos", pos), ["file_name"], "__pos", ["flight"], "flights")
-    meta = flights.groupBy("file_name").agg(F.first("metadata", ignorenulls=True).alias("metadata"))
-    return (nested.join(meta, "file_name")
-                  .select("file_name", "metadata", F.transform("flights", lambda x: x["flight"]).alias("flights")))
+    nested = collect_nested(flights.withColumn("__pos", pos), FILE, "__pos", ["flight"], "flights").select(
+        F.col("file_path").alias("__path"), F.transform("flights", lambda x: x["flight"]).alias("flights"))
+    if files is None:
+        files = flights.select(*FILE, "metadata")
+    meta = files.groupBy(*FILE).agg(F.first("metadata", ignorenulls=True).alias("metadata"))
+    none = F.array().cast(nested.schema["flights"].dataType)
+    return (meta.join(nested, F.col("file_path") == F.col("__path"), "left")
+                .select(*FILE, "metadata", F.coalesce("flights", none).alias("flights")))
 
 
 def day_download(spark: SparkSession, landing_path: str, out_base: str, api_name: str = "flightstatus") -> DataFrame:
-    """Raw landed JSON -> consolidated JSON -> flat CSV partitioned by flight date."""
-    fl = landed_flights(spark, landing_path, api_name)
-    write_json(consolidated(fl), f"{out_base}/consolidated")
+    """Raw landed JSON -> consolidated JSON and flat CSV, both partitioned by day.
+
+    A run replaces the days it holds and leaves the others alone.  A file's day is the date its range starts on, or
+    that of its earliest flight.  Files that can't be read are appended to ``{out_base}/quarantine``."""
+    landing = read_landing(spark, landing_path, api_name, flight_as_text=True)
+    quarantine(unreadable(landing), f"{out_base}/quarantine")
+    good = readable(landing)
+    fl = _flights(good, api_name)
+    docs = consolidated(fl, good.select(*FILE, "metadata"))
+    first = F.array_min(F.transform("flights", lambda x: x["Departure"]["ScheduledTimeLocal"]["DateTime"]))
+    day = F.coalesce(F.substring("metadata.start_range", 1, 10), F.substring(first, 1, 10), F.lit("unknown"))
+    write_json(docs.withColumn("day", day), f"{out_base}/consolidated", partition_by=["day"])
     flat = flat_flights(fl).withColumn(
         "flight_date", F.substring("Departure_ScheduledTimeLocal_DateTime", 1, 10))
     write_csv(flat, f"{out_base}/flat", partition_by=["flight_date"])
     return flat
 
 
-def store_raw_pages(spark: SparkSession, landing_path: str, target: str, api_name: str = "flightstatus") -> DataFrame:
+def store_raw_pages(spark: SparkSession, landing_path: str, target: str, api_name: str = "flightstatus",
+                    quarantine_target: str | None = None) -> DataFrame:
     """Raw pages into the page store when not already there (E1 stage 1, J6 + D4).
 
-    Pages are compared by a content hash of their JSON; the store keeps the hash.
+    Pages are compared by a content hash of their JSON; the store keeps the hash.  Files that can't be read are
+    appended to ``quarantine_target`` (default: the target's name with ``_quarantine``).
     """
     landing = read_landing(spark, landing_path, api_name, flight_as_text=True)
-    pages = pages_of(landing.filter(F.col("_corrupt_record").isNull()), api_name, keep=["file_name"])
-    page = F.struct(F.struct(repair_lone_flight(pages).alias("Flight")).alias("Flights"), F.col("page.Meta").alias("Meta"))
-    pages = pages.withColumn("page_json", F.to_json(page))
+    quarantine(unreadable(landing), quarantine_target or f"{target}_quarantine")
+    pages = pages_of(readable(landing), api_name, keep=FILE)
+    pages = pages.withColumn("page_json", F.to_json(repaired_page(pages)))
     if table_exists(spark, target):
         stored = read_target(spark, target).select("content_hash")
     else:
         stored = spark.createDataFrame([], "content_hash string")
-    fresh = insert_if_absent(pages.select("file_name", "page_pos", "page_json"), stored,
-                             ["file_name", "page_pos"], ["page_json"])
+    fresh = insert_if_absent(pages.select("file_path", "page_pos", "page_json"), stored,
+                             ["file_path", "page_pos"], ["page_json"])
     return append_new_rows(spark, fresh.select("content_hash", "page_json"), target)
 
 
 def bulk_load_csv(spark: SparkSession, folder: str, target: str, schema=None) -> DataFrame:
-    """All interim CSV files of a folder (one multi-file scan, ``OLD`` files
-    skipped) appended new-rows-only into ``target`` (S17)."""
-    df = read_csv(spark, folder, schema=schema).withColumn("__file", F.col("_metadata.file_name"))
-    df = df.filter(F.col("__file").endswith(".csv") & ~F.col("__file").contains("OLD")).drop("__file")
+    """All interim CSV files of a folder (``OLD`` files skipped), each read by its own header and united by column
+    name, appended new-rows-only into ``target`` (S17)."""
+    files = list_files(spark, folder, excludes="OLD", suffix=".csv").select("path")
+    df = read_csv_by_name(spark, [r.path for r in files.collect()], schema)  # a directory listing
     return append_new_rows(spark, df, target)
 
 
+def bulk_load_tables(spark: SparkSession, folders: dict[str, str], schemas_by_target: dict | None = None) -> dict[str, DataFrame]:
+    """``bulk_load_csv`` for several (target, folder) pairs: the airports, flights and weather tables."""
+    return {t: bulk_load_csv(spark, folder, t, (schemas_by_target or {}).get(t)) for t, folder in folders.items()}
+
+
 def flights_from_page_store(spark: SparkSession, store: str, all_columns: bool = False) -> DataFrame:
     """E1 stage 2: every stored page (a whole-collection scan, S4) unnested and
     flattened; the ``flights`` table columns (ready for ``append_new_rows``), or

@@ -61,13 +61,14 @@ CONTAINERS = {
 def resource(flight_as_text: bool = False) -> T.StructType:
     """One API page: ``{Flights: {Flight: [..]}, Meta: {...}}``.
 
-    With ``flight_as_text`` the ``Flight`` node is kept as raw JSON text so a
-    lone object (instead of an array) can be repaired before parsing.
+    With ``flight_as_text`` the ``Flight`` and ``Link`` nodes are kept as raw JSON
+    text so a lone object (instead of an array) can be repaired before parsing.
     """
     flight = _S if flight_as_text else T.ArrayType(FLIGHT)
+    meta = T.StructType([META["TotalCount"], T.StructField("Link", _S)]) if flight_as_text else META
     return T.StructType([
         T.StructField("Flights", T.StructType([T.StructField("Flight", flight)])),
-        T.StructField("Meta", META),
+        T.StructField("Meta", meta),
     ])
 
 

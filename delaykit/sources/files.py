@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,8 +32,8 @@ def read_landing(spark: SparkSession, path: str, api_name: str = "flightstatus",
     """Landed API files (S1): pretty-printed JSON, one document per file.
 
     An explicit schema (no inference pass).  A malformed file yields a row with
-    ``_corrupt_record`` set instead of failing the job; the file name comes from
-    the ``_metadata`` column.
+    ``_corrupt_record`` set instead of failing the job (``unreadable`` lists
+    them).  ``file_path`` identifies a file, ``file_name`` is its last part.
     """
     schema = schemas.landing_file(api_name, flight_as_text).add("_corrupt_record", T.StringType())
     reader = (spark.read.schema(schema).option("multiLine", True)
@@ -38,7 +41,49 @@ def read_landing(spark: SparkSession, path: str, api_name: str = "flightstatus",
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     df = reader.json(path)
-    return df.withColumn("file_name", F.col("_metadata.file_name"))
+    return with_file(df)
+
+
+def with_file(df: DataFrame) -> DataFrame:
+    return df.withColumn("file_path", F.col("_metadata.file_path")).withColumn("file_name", F.col("_metadata.file_name"))
+
+
+def readable(landing: DataFrame) -> DataFrame:
+    """Landed files whose pages could be read (in part, where a leaf didn't fit its type)."""
+    return landing.filter(F.col("data").isNotNull())
+
+
+def unreadable(landing: DataFrame) -> DataFrame:
+    """(file_path, reason, record): every file that lost something — ``unreadable`` (nothing could be read),
+    ``partly read`` (a node didn't fit the schema) or ``no data`` — for the quarantine table."""
+    reason = (F.when(F.col("data").isNull() & F.col("_corrupt_record").isNotNull(), F.lit("unreadable"))
+               .when(F.col("data").isNull(), F.lit("no data"))
+               .when(F.col("_corrupt_record").isNotNull(), F.lit("partly read")))
+    return landing.select("file_path", reason.alias("reason"), F.col("_corrupt_record").alias("record")).filter("reason IS NOT NULL")
+
+
+def read_csv_by_name(spark: SparkSession, paths: Sequence[str], schema: T.StructType | str | None = None) -> DataFrame:
+    """Header CSV files that may differ in columns and their order (S2, S17): every file is read with its own header
+    and the files are united by column name; a column a file lacks is NULL there.
+
+    Headers are found by one distributed pass; the driver holds the distinct headers and the file paths.  With a
+    ``schema`` its columns are taken, cast to their types."""
+    lines = spark.read.text(list(paths)).select(F.col("_metadata.file_path").alias("path"), "value",
+                                                F.monotonically_increasing_id().alias("at"))
+    heads = lines.groupBy("path").agg(F.min_by("value", "at").alias("head"))
+    groups: dict[str, list[str]] = {}
+    for r in heads.collect():
+        groups.setdefault(r["head"].lstrip("\ufeff"), []).append(r.path)
+    parts = [spark.read.option("header", True).option("nullValue", "").csv(sorted(files)) for _, files in sorted(groups.items())]
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    if not parts:
+        return spark.createDataFrame([], schema or T.StructType())
+    df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    if schema is not None:
+        df = df.select(*[(F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+                         for f in schema.fields])
+    return df
 
 
 def parse_json_text(col, ddl: str) -> Column:

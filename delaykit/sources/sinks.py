@@ -20,17 +20,32 @@ def _is_path(target: str) -> bool:
     return "/" in target or ":" in target
 
 
-def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """JSON lines, overwriting."""
-    df.write.mode(mode).json(path)
+def _writer(df: DataFrame, mode: str, partition_by: Sequence[str]):
+    writer = df.write.mode(mode)
+    if partition_by:
+        # Only the partitions that the rows fall into are replaced.
+        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
+    return writer
+
+
+def write_json(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = ()) -> None:
+    """JSON lines, overwriting (S7); with ``partition_by`` only the partitions written to."""
+    _writer(df, mode, partition_by).json(path)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = ()) -> None:
-    """Header CSV without an index column, overwriting."""
-    writer = df.write.mode(mode).option("header", True)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.csv(path)
+    """Header CSV without an index column, overwriting (S8); with ``partition_by`` only the partitions written to."""
+    _writer(df, mode, partition_by).option("header", True).csv(path)
+
+
+def quarantine(bad: DataFrame, target: str) -> int:
+    """Append files that lost something (``sources.files.unreadable``) to the quarantine table and return their
+    number; a clean landing writes nothing."""
+    bad = materialize(bad, "quarantine")
+    n = bad.count()
+    if n:
+        append_rows(bad, target)
+    return n
 
 
 def table_exists(spark: SparkSession, target: str) -> bool:

@@ -13,68 +13,77 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from pyspark.sql import types as T
+
 from delaykit import schemas
-from delaykit.operators.nested import flights_of, pages_of, repair_lone_flight
-from delaykit.plans.ingest import flat_flights, flights_table
-from delaykit.sources.sinks import append_new_rows
+from delaykit.operators.nested import flights_of, pages_of, repair_lone_flight, repaired_page
+from delaykit.plans.ingest import FILE, flat_flights, flights_table
+from delaykit.sources.files import readable, unreadable, with_file
+from delaykit.sources.sinks import append_new_rows, quarantine
 
 
 def landed_stream(spark: SparkSession, folder: str, api_name: str = "flightstatus",
                   max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = (spark.readStream.schema(schemas.landing_file(api_name, flight_as_text=True))
-                   .option("multiLine", True).option("pathGlobFilter", "*.json"))
+    schema = schemas.landing_file(api_name, flight_as_text=True).add("_corrupt_record", T.StringType())
+    reader = (spark.readStream.schema(schema).option("multiLine", True).option("mode", "PERMISSIVE")
+                   .option("columnNameOfCorruptRecord", "_corrupt_record").option("pathGlobFilter", "*.json"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.json(folder).withColumn("file_name", F.col("_metadata.file_name"))
+    return with_file(reader.json(folder))
 
 
 def stream_flights(landing: DataFrame, api_name: str = "flightstatus") -> DataFrame:
-    pages = pages_of(landing, api_name, keep=["file_name", "metadata"])
-    fl = flights_of(pages, keep=["file_name", "metadata", "page_pos"], flights=repair_lone_flight(pages))
+    pages = pages_of(landing, api_name, keep=[*FILE, "metadata"])
+    fl = flights_of(pages, keep=[*FILE, "metadata", "page_pos"], flights=repair_lone_flight(pages))
     return flights_table(flat_flights(fl))
 
 
 def start_ingest(spark: SparkSession, folder: str, target: str, checkpoint: str,
-                 api_name: str = "flightstatus", available_now: bool = True) -> StreamingQuery:
-    """Start the ingest; ``checkpoint`` must be on shared storage."""
-    flights = stream_flights(landed_stream(spark, folder, api_name), api_name)
+                 api_name: str = "flightstatus", available_now: bool = True,
+                 quarantine_target: str | None = None) -> StreamingQuery:
+    """Start the ingest; ``checkpoint`` must be on shared storage.
+
+    A file that can't be read (truncated, malformed) would never be seen again, since the checkpoint marks it
+    done: its path and text go to ``quarantine_target`` (default: the target's name with ``_quarantine``)."""
+    landing = landed_stream(spark, folder, api_name)
 
     def write_batch(batch: DataFrame, _epoch: int) -> None:
-        append_new_rows(spark, batch, target)
+        quarantine(unreadable(batch), quarantine_target or f"{target}_quarantine")
+        append_new_rows(spark, stream_flights(readable(batch), api_name), target)
 
-    writer = flights.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+    writer = landing.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
 
 
 def start_page_store_ingest(spark: SparkSession, folder: str, store: str, checkpoint: str,
                             api_name: str = "flightstatus", max_hits: int = 5,
-                            force_test_all: bool = False) -> StreamingQuery:
+                            force_test_all: bool = False, quarantine_target: str | None = None) -> StreamingQuery:
     """Raw pages into the page store with the per-file early stop (D5, E1 stage 1).
 
     One landed file per micro-batch, in arrival order, so a file sees every
     page that earlier files inserted — the sequential semantics of the
     find-then-insert loop — while the work inside a file stays distributed.
-    The store holds (content_hash, page_json, file_name, page_pos).
+    The store holds (content_hash, page_json, file_path, file_name, page_pos);
+    unreadable files go to the quarantine table.
     """
     from delaykit.operators.incremental import content_hash, early_stop_flags
     from delaykit.sources.sinks import append_rows, read_target, table_exists
 
     landing = landed_stream(spark, folder, api_name, max_files_per_trigger=1)
-    pages = pages_of(landing, api_name, keep=["file_name"])
-    page = F.struct(F.struct(repair_lone_flight(pages).alias("Flight")).alias("Flights"),
-                    F.col("page.Meta").alias("Meta"))
-    docs = pages.select("file_name", "page_pos", F.to_json(page).alias("page_json"))
 
     def write_batch(batch: DataFrame, _epoch: int) -> None:
+        quarantine(unreadable(batch), quarantine_target or f"{store}_quarantine")
+        pages = pages_of(readable(batch), api_name, keep=FILE)
+        docs = pages.select(*FILE, "page_pos", F.to_json(repaired_page(pages)).alias("page_json"))
         if table_exists(spark, store):
             stored = read_target(spark, store).select("content_hash")
         else:
             stored = spark.createDataFrame([], "content_hash string")
-        flags = early_stop_flags(batch, stored, "file_name", "page_pos", ["page_json"], max_hits, force_test_all)
-        new = flags.filter("inserted").select(content_hash(batch, ["page_json"]).alias("content_hash"),
-                                              "page_json", "file_name", "page_pos")
+        flags = early_stop_flags(docs, stored, "file_path", "page_pos", ["page_json"], max_hits, force_test_all)
+        new = flags.filter("inserted").select(content_hash(docs, ["page_json"]).alias("content_hash"),
+                                              "page_json", *FILE, "page_pos")
         append_rows(new, store)
 
-    return (docs.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+    return (landing.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
                 .trigger(availableNow=True).start())

@@ -61,12 +61,14 @@ def test_landed_flights_repairs_lone_object_and_skips_corrupt(spark, landing_dir
     assert table.filter(F.col("Arrival_ActualTimeUTC_DateTime").isNull()).count() == 1
 
 
-def test_without_repair_lone_object_file_is_flagged_corrupt(spark, landing_dir):
-    # Read with an array schema, the lone object makes the whole file a corrupt record.
+def test_without_repair_lone_object_file_is_listed(spark, landing_dir):
+    # Read with an array schema, the lone object doesn't fit: the file's other flights stay and the file is listed.
     landing = files.read_landing(spark, landing_dir)
     flagged = {r.file_name: r._corrupt_record is not None for r in landing.collect()}
     assert flagged == {"FRA_flightstatus_dep_flights_2024-09-06.json": True, "broken.json": True}
-    assert ingest.landed_flights(spark, landing_dir, repair_lone_objects=False).count() == 0
+    assert ingest.landed_flights(spark, landing_dir, repair_lone_objects=False).count() == 60
+    reasons = {r.file_path.rsplit("/", 1)[-1]: r.reason for r in files.unreadable(landing).collect()}
+    assert reasons == {"FRA_flightstatus_dep_flights_2024-09-06.json": "partly read", "broken.json": "unreadable"}
 
 
 def test_endpoint_checksum_checks_last_endpoint(spark, landing_dir):
@@ -251,3 +253,122 @@ def test_dates_without_weather_keyed_by_kind(spark, tmp_path):
     weather = files.list_files(spark, str(wx))
     got = [(r.date, r.kind) for r in dates_without_weather(flights, weather).collect()]
     assert got == [("2024-09-02", "DA")]
+
+
+def test_day_download_keeps_other_days_and_lists_bad_files(spark, landing_dir, tmp_path):
+    out = str(tmp_path / "out")
+    ingest.day_download(spark, landing_dir, out)
+    later = tmp_path / "later"
+    later.mkdir()
+    (later / "x.json").write_text(json.dumps(_landing([_page([_flight("2024-09-07T08:00")], 1, "u?a")], start="2024-09-07T00:00")))
+    (later / "empty.json").write_text(json.dumps(_landing([], start="2024-09-08T00:00")))
+    for _ in range(2):  # a day downloaded again is replaced, not doubled
+        ingest.day_download(spark, str(later), out)
+    flat = spark.read.option("header", True).csv(out + "/flat")
+    assert {r.flight_date.isoformat(): r["count"] for r in flat.groupBy("flight_date").count().collect()} == {
+        "2024-09-06": 61, "2024-09-07": 1}
+    docs = spark.read.json(out + "/consolidated")
+    assert {r.day.isoformat() if hasattr(r.day, "isoformat") else r.day: r.n for r in
+            docs.groupBy("day").agg(F.sum(F.size("flights")).alias("n")).collect()} == {
+        "2024-09-06": 61, "2024-09-07": 1, "2024-09-08": 0}
+    bad = spark.read.parquet(out + "/quarantine").collect()
+    assert [(r.file_path.rsplit("/", 1)[-1], r.reason) for r in bad] == [("broken.json", "unreadable")]
+
+
+def test_lone_link_keeps_the_file(spark, tmp_path):
+    page = _page([_flight("2024-09-06T08:00")], 1, "http://api/x?a")
+    page["FlightStatusResource"]["Meta"]["Link"] = page["FlightStatusResource"]["Meta"]["Link"][0]
+    none = _page([_flight("2024-09-06T09:00")], 1, "u")
+    none["FlightStatusResource"]["Meta"]["Link"] = []
+    (tmp_path / "a.json").write_text(json.dumps(_landing([page, none])))
+    assert ingest.landed_flights(spark, str(tmp_path)).count() == 2
+    from delaykit.operators.nested import endpoint_checksums, pages_of, repair_lone_flight
+    pages = pages_of(files.read_landing(spark, str(tmp_path), flight_as_text=True))
+    got = {r.endpoint: r.n_received for r in endpoint_checksums(pages, repair_lone_flight(pages)).collect()}
+    assert got == {"http://api/x": 1, None: 1}
+
+
+def test_equal_file_names_in_two_folders_stay_apart(spark, tmp_path):
+    for name, hour in (("d1", "08"), ("d2", "09")):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "day.json").write_text(json.dumps(_landing([_page([_flight(f"2024-09-06T{hour}:00")], 1, "u?a")])))
+    fl = ingest.landed_flights(spark, str(tmp_path) + "/*")
+    docs = ingest.consolidated(fl).collect()
+    assert [len(r.flights) for r in docs] == [1, 1] and len({r.file_path for r in docs}) == 2
+
+
+def test_unknown_leaves_are_kept_on_request(spark, landing_dir):
+    fl = ingest.landed_flights(spark, landing_dir, all_leaves=True)
+    flat = ingest.flat_flights(fl)
+    assert "Unexpected_x" in flat.columns and flat.filter("Unexpected_x = '1'").count() == 1
+    assert set(schemas.FLIGHT_TABLE_COLUMNS) <= set(flat.columns)
+
+
+def test_bulk_load_matches_columns_by_name(spark, tmp_path):
+    folder = tmp_path / "csv"
+    folder.mkdir()
+    (folder / "one.csv").write_text("a,b\n1,2\n")
+    (folder / "two.csv").write_text("b,a,c\n4,3,5\n")
+    (folder / "three.csv").write_text("c,a\n7,6\n")
+    target = str(tmp_path / "t")
+    ingest.bulk_load_csv(spark, str(folder), target)
+    got = sorted((r.a, r.b, r.c) for r in spark.read.parquet(target).collect())
+    assert got == [("1", "2", None), ("3", "4", "5"), ("6", None, "7")]
+    typed = ingest.bulk_load_tables(spark, {str(tmp_path / "u"): str(folder)}, {str(tmp_path / "u"): "b int, a int"})
+    assert sorted((r.a, r.b) for df in typed.values() for r in df.collect()) == [(1, 2), (3, 4), (6, None)]
+
+
+def test_truncated_streamed_file_is_quarantined(spark, tmp_path):
+    from delaykit.streaming.ingest import start_ingest
+    drop = tmp_path / "drop"
+    drop.mkdir()
+    text = json.dumps(_landing([_page([_flight("2024-09-06T08:00")], 1, "u?a")]))
+    (drop / "good.json").write_text(text)
+    (drop / "cut.json").write_text(text[:len(text) // 2])
+    target = str(tmp_path / "flights")
+    start_ingest(spark, str(drop), target, str(tmp_path / "ck")).awaitTermination()
+    assert spark.read.parquet(target).count() == 1
+    bad = spark.read.parquet(target + "_quarantine").collect()
+    assert [r.file_path.rsplit("/", 1)[-1] for r in bad] == ["cut.json"]
+
+
+def test_array_slots_past_the_end_are_null(spark):
+    from delaykit.operators.nested import flatten
+    df = spark.createDataFrame([([1],), ([1, 2, 3],), ([],)], "x array<int>")
+    assert sorted([tuple(r) for r in flatten(df, array_slots=2).collect()], key=str) == [(1, 2), (1, None), (None, None)]
+
+
+def test_zip_of_unequal_arrays_fails(spark):
+    from delaykit.operators.joins import zip_checked
+    df = spark.createDataFrame([(1, [1, 2], ["a", "b"]), (2, [], []), (3, None, None)], "k int, x array<int>, y array<string>")
+    got = sorted(tuple(r) for r in zip_checked(df, ["k"], {"u": "x", "v": "y"}).collect())
+    assert got == [(1, 0, 1, "a"), (1, 1, 2, "b")]
+    bad = spark.createDataFrame([(1, [1, 2], ["a"])], "k int, x array<int>, y array<string>")
+    with pytest.raises(Exception, match="differ in length: 2, 1"):
+        zip_checked(bad, ["k"], {"u": "x", "v": "y"}).collect()
+
+
+def test_checkpoint_folder_must_be_shared_on_a_cluster(spark, monkeypatch):
+    from delaykit import session
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Cluster:
+        conf = Conf()
+
+        class sparkContext:
+            master = "spark://host:7077"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Cluster())
+
+
+def test_scratch_tables_are_deleted(spark):
+    from delaykit.session import materialize, scratch_tables
+    with scratch_tables(spark):
+        df = materialize(spark.range(5).toDF("x"), "gone")
+        assert df.count() == 5
+        path = df.inputFiles()[0].removeprefix("file:").replace("//", "/")
+        assert os.path.exists(path)
+    assert not os.path.exists(path)
