@@ -113,6 +113,34 @@ def _compare(axes: np.ndarray, threshold: float, lead: int):
     return run
 
 
+def _tiles(placed: DataFrame, n: int, threshold: float, tile: int) -> tuple[DataFrame, DataFrame]:
+    """The vectors with their ``tile``, and rows (i, j, tile): the pairs of tiles to compare, once for each side."""
+    parts = -(-n // tile)
+    cuts = [] if parts < 2 else placed.agg(F.percentile_approx("p", F.array(*[
+        F.lit(k / parts) for k in range(1, parts)]), 10_000)).first()[0]
+    if not cuts:
+        one = F.lit("0/0")
+        pair = placed.sparkSession.createDataFrame([("0/0", "0/0", "0/0")], "i string, j string, tile string")
+        return placed.select(one.alias("tile"), "node", "weight", "v"), pair
+    ranged = placed.withColumn("range", F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c <= F.col("p"))))
+    # A range with many equal places is cut by a hash.  Rows: one a tile.
+    counts = materialize(ranged.groupBy("range").agg(F.count(F.lit(1)).alias("n"), F.min("p").alias("lo"), F.max("p").alias("hi")).select(
+        "range", F.ceil(F.col("n") / (2 * tile)).cast("int").alias("parts"), "lo", "hi"), "ranges")
+    tiles = counts.select("range", "lo", "hi", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    tiles = tiles.select(F.concat_ws("/", "range", "part").alias("tile"), "lo", "hi")
+    # Tiles whose ranges are within reach of each other: |a - b|^2 = 2 - 2 cos for unit vectors.  Joined by cells of that width.
+    reach = float(np.sqrt(max(0.0, 2 - 2 * threshold))) + SLACK
+    cells = lambda t: F.explode(F.sequence(F.floor((F.col("lo")) / reach), F.floor(F.col("hi") / reach) + (1 if t else 0)))
+    left = tiles.select(F.col("tile").alias("i"), F.col("lo").alias("lo1"), F.col("hi").alias("hi1"), cells(True).alias("cell"))
+    right = tiles.select(F.col("tile").alias("j"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"), cells(False).alias("cell"))
+    near = left.join(right, "cell").filter((F.col("lo2") - F.col("hi1") <= reach) & (F.col("lo1") - F.col("hi2") <= reach))
+    near = near.select(F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j")).distinct()
+    dealt = near.select("i", "j", F.col("i").alias("tile")).unionByName(
+        near.filter("i < j").select("i", "j", F.col("j").alias("tile")))
+    own = ranged.join(counts.select("range", "parts"), "range")
+    return own.select(F.concat_ws("/", "range", F.pmod(F.xxhash64("node"), F.col("parts"))).alias("tile"), "node", "weight", "v"), dealt
+
+
 def near_vectors(embeddings: DataFrame, threshold: float = THRESHOLD, tile: int = TILE, lead: int = LEAD,
                  id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """One row per vector: ``vec_id``, ``n_links`` (other vectors with a cosine of at least ``threshold``),
@@ -138,25 +166,7 @@ def near_vectors(embeddings: DataFrame, threshold: float = THRESHOLD, tile: int
                          F.lit(0.0), lambda s, x: s + x) / size
     placed = materialize(nodes.withColumn("p", turned), "ordered")
     n = placed.count()
-    cuts = [] if n <= tile else placed.agg(F.percentile_approx("p", F.array(*[
-        F.lit(k / -(-n // tile)) for k in range(1, -(-n // tile))]), 10_000)).first()[0]
-    range_of = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c <= F.col("p"))) if cuts else F.lit(0)
-    ranged = placed.withColumn("range", range_of)
-    # A range with many equal places is cut by a hash.  Rows: one a tile.
-    counts = ranged.groupBy("range").agg(F.count(F.lit(1)).alias("n"), F.min("p").alias("lo"), F.max("p").alias("hi")).select(
-        "range", F.ceil(F.col("n") / (2 * tile)).cast("int").alias("parts"), "lo", "hi")
-    tiles = counts.select("range", "parts", "lo", "hi", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    tiles = materialize(tiles.select(F.concat_ws("/", "range", "part").alias("tile"), "range", "parts", "part", "lo", "hi"), "tiles")
-    # Tiles whose ranges are within reach of each other: |a - b|^2 = 2 - 2 cos for unit vectors.  Joined by cells of that width.
-    reach = float(np.sqrt(max(0.0, 2 - 2 * threshold))) + SLACK
-    cells = lambda t: F.explode(F.sequence(F.floor((F.col("lo")) / reach), F.floor(F.col("hi") / reach) + (1 if t else 0)))
-    left = tiles.select(F.col("tile").alias("i"), F.col("lo").alias("lo1"), F.col("hi").alias("hi1"), cells(True).alias("cell"))
-    right = tiles.select(F.col("tile").alias("j"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"), cells(False).alias("cell"))
-    near = left.join(right, "cell").filter((F.col("lo2") - F.col("hi1") <= reach) & (F.col("lo1") - F.col("hi2") <= reach))
-    near = near.select(F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j")).distinct()
-    dealt = near.select("i", "j", F.col("i").alias("tile")).unionByName(near.filter("i < j").select("i", "j", F.col("j").alias("tile")))
-    own = ranged.join(F.broadcast(counts.select("range", "parts")) if n < 1_000 * tile else counts.select("range", "parts"), "range")
-    own = own.select(F.concat_ws("/", "range", F.pmod(F.xxhash64("node"), F.col("parts"))).alias("tile"), "node", "weight", "v")
+    own, dealt = _tiles(placed, n, threshold, tile)
     found = materialize(own.join(dealt, "tile").groupBy("i", "j").applyInPandas(
         _compare(axes, threshold, lead), "node long, links long, a long, b long"), "compared")
     links = found.filter("node IS NOT NULL").groupBy("node").agg(F.sum("links").alias("links"))

@@ -85,8 +85,8 @@ def segments(data: bytes, length: int, gram: int) -> tuple[np.ndarray, np.ndarra
 def _anchors(length: int, gram: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for lo in range(0, len(batch), 256):
-                part, docs, keys, found = batch.iloc[lo:lo + 256], [], [], []
+            for lo in range(0, len(batch), 64):
+                part, docs, keys, found = batch.iloc[lo:lo + 64], [], [], []
                 digests: list[int] = []
                 for doc, rk, text in zip(part["doc"], part["rk"], part["text"]):
                     data = text.encode("utf-8", "surrogatepass")
