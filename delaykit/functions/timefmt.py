@@ -11,7 +11,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MINUTE_FORMAT = "yyyy-MM-dd'T'HH:mm"
-_MINUTE_TEXT = r"^(\d{4})-(\d{2})-(\d{2})T(\d{2}):(\d{2})(Z?)$"
+_MINUTE_TEXT = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}([.]\d{1,6})?)?(Z|[+-]\d{2}:?\d{2})?$"
+_OFFSET = r"([+-])(\d{2}):?(\d{2})$"
 
 
 def _c(col) -> Column:
@@ -24,7 +25,8 @@ def strip_marker(col, marker: str = "Z") -> Column:
 
 
 def parse_minute_text(col) -> Column:
-    """Parse ``yyyy-MM-ddTHH:mm`` with optional ``Z`` into ``timestamp_ntz``.
+    """Parse ``yyyy-MM-ddTHH:mm``, also with a blank for the ``T``, seconds (and fractions), ``Z`` or an offset, into the
+    UTC wall clock as ``timestamp_ntz`` (F6).  Text without zone is UTC; ``10:00+02:00`` is 08:00.
 
     Malformed text (wrong shape or impossible date) gives NULL rather than an
     error, and nothing depends on the session zone.
@@ -32,8 +34,12 @@ def parse_minute_text(col) -> Column:
     c = _c(col)
     # One regex to validate the shape; the fields are then fixed-position substrings.
     part = lambda pos, n: F.substring(c, pos, n).cast("int")
-    parsed = F.try_make_timestamp_ntz(part(1, 4), part(6, 2), part(9, 2), part(12, 2), part(15, 2), F.lit(0))
-    return F.when(c.rlike(_MINUTE_TEXT), parsed)
+    seconds = F.coalesce(F.nullif(F.regexp_extract(c, r":\d{2}:(\d{2}(?:[.]\d+)?)", 1), F.lit("")), F.lit("0")).cast("decimal(8,6)")
+    parsed = F.try_make_timestamp_ntz(part(1, 4), part(6, 2), part(9, 2), part(12, 2), part(15, 2), seconds)
+    piece = lambda i: F.regexp_extract(F.substring(c, 17, 40), _OFFSET, i)
+    minutes = (F.when(piece(1) == "-", 1).otherwise(-1)) * (piece(2).try_cast("int") * 60 + piece(3).try_cast("int"))
+    shifted = F.when(piece(1) == "", parsed).otherwise(F.timestamp_add("MINUTE", minutes, parsed))
+    return F.when(c.rlike(_MINUTE_TEXT), shifted)
 
 
 def format_minute(col) -> Column:

@@ -21,6 +21,7 @@ from delaykit.plans.scoring import first_flight_per_request, score_requests
 from delaykit.plans.training import features_from_flights, merge_flights_weather, prepare_flights_for_training
 from delaykit.plans.training import training_table as build_training_table
 from delaykit.plans.weather import request_batches
+from delaykit.session import scratch_tables
 from delaykit.sources.files import read_csv
 from delaykit.sources.sinks import append_new_rows, read_target, replace_table
 
@@ -59,14 +60,19 @@ def training_rows(spark: SparkSession, flights_target: str, weather_target: str,
 
 def train(spark: SparkSession, flights_target: str, weather_target: str, model_path: str,
           names: Sequence[str] = models.MODEL_NAMES, feature_cols: Sequence[str] = schemas.WEATHER_VARIABLES,
-          overrides: dict | None = None, k: int = 3, folds: str = "contiguous") -> DataFrame:
+          overrides: dict | None = None, k: int = 3, folds: str = "hash", missing: str = "error") -> DataFrame:
     """Cross-validate the candidate models, refit the best on every row, store it at
     ``model_path``; returns the scores with ``is_best``.
 
+    ``folds="hash"`` assigns folds by a hash of the row, no sort at all;
     ``folds="contiguous"`` reproduces unshuffled K-fold over a stable row order
-    (one distributed sort); ``folds="hash"`` assigns folds by a hash of the row,
-    no sort at all, for the largest inputs.
+    (one distributed sort).  ``missing`` as in ``models.pipeline``.
     """
+    with scratch_tables(spark):
+        return _train(spark, flights_target, weather_target, model_path, names, feature_cols, overrides, k, folds, missing)
+
+
+def _train(spark, flights_target, weather_target, model_path, names, feature_cols, overrides, k, folds, missing):
     rows = training_rows(spark, flights_target, weather_target, feature_cols)
     order = [c for c in rows.columns if c != "delay_minutes"] + ["delay_minutes"]
     if folds == "contiguous":
@@ -77,10 +83,12 @@ def train(spark: SparkSession, flights_target: str, weather_target: str, model_p
         raise ValueError("folds must be 'contiguous' or 'hash'")
     folded = folded.cache()
     try:
-        scores = models.select_best(models.score_models(spark, folded, feature_cols, names,
-                                                        overrides=overrides, k=k)).cache()
-        best = scores.filter("is_best").first().model_name
-        model = models.fit_best(folded, best, feature_cols, **(overrides or {}).get(best, {}))
+        overrides = {n: {"missing": missing, **(overrides or {}).get(n, {})} for n in names}
+        found = models.select_best(models.score_models(spark, folded, feature_cols, names,
+                                                       overrides=overrides, k=k)).collect()
+        scores = spark.createDataFrame(found, "model_name string, position int, score double, is_best boolean")
+        best = next(r.model_name for r in found if r.is_best)  # one row a model
+        model = models.fit_best(folded, best, feature_cols, **overrides[best])
         models.save_model(model, model_path)
         return scores
     finally:
@@ -88,16 +96,16 @@ def train(spark: SparkSession, flights_target: str, weather_target: str, model_p
 
 
 def predict(spark: SparkSession, requests: DataFrame, page_store: str, weather_target: str, model_path: str,
-            feature_cols: Sequence[str] = schemas.WEATHER_VARIABLES) -> DataFrame:
+            feature_cols: Sequence[str] = schemas.WEATHER_VARIABLES, departure: str = "FRA") -> DataFrame:
     """(task_uuid, state, prediction, message) for a table (or stream) of requests.
 
-    Flights come from the page store with every column, since a request names
+    A request asks for flights from ``departure``.  Flights come from the page store with every column, since a request names
     the *local* scheduled departure time, which the ``flights`` table does not keep.
     """
     flights = ingest.flights_from_page_store(spark, page_store, all_columns=True)
     firsts = first_flight_per_request(
         features_from_flights(flights), "Arrival_AirportCode", "Departure_ScheduledTimeLocal_DateTime",
         ["Departure_ScheduledTimeUTC_DateTime", "Arrival_ScheduledTimeUTC_DateTime"],
-        ["Arrival_ScheduledTimeUTC_DateTime"])
+        ["Arrival_ScheduledTimeUTC_DateTime"], departure)
     return score_requests(requests, firsts, read_target(spark, weather_target), models.load_model(model_path),
                           feature_cols)

@@ -13,9 +13,9 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import Imputer, ImputerModel, VectorAssembler
 from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MODEL_NAMES = ("LinearRegression", "DecisionTreeRegressor", "RandomForestRegressor")
@@ -36,14 +36,43 @@ def make_regressor(name: str, label_col: str = "delay_minutes", features_col: st
     classes = {"LinearRegression": LinearRegression, "DecisionTreeRegressor": DecisionTreeRegressor,
                "RandomForestRegressor": RandomForestRegressor}
     if name not in classes:
-        raise ValueError(f"Unknown model name: {name}")
+        raise ValueError(f"no model called {name!r}; expected one of {sorted(classes)}")
     params = {**DEFAULTS[name], **overrides}
     return classes[name](labelCol=label_col, featuresCol=features_col, **params)
 
 
-def pipeline(name: str, feature_cols: Sequence[str], label_col: str = "delay_minutes", **overrides) -> Pipeline:
-    assembler = VectorAssembler(inputCols=list(feature_cols), outputCol="features", handleInvalid="skip")
-    return Pipeline(stages=[assembler, make_regressor(name, label_col, **overrides)])
+MISSING = ("error", "impute", "skip")
+
+
+def pipeline(name: str, feature_cols: Sequence[str], label_col: str = "delay_minutes", missing: str = "error",
+             **overrides) -> Pipeline:
+    """Assembler and estimator.  ``missing`` says what a NULL or NaN feature does: ``error`` stops the fit (the default:
+    no row leaves unnoticed), ``impute`` puts the column's mean in its place, ``skip`` leaves the row out —
+    ``missing_counts`` tells how many."""
+    if missing not in MISSING:
+        raise ValueError(f"missing must be one of {MISSING}")
+    columns, stages = list(feature_cols), []
+    if missing == "impute":
+        columns = [f"__imputed_{c}" for c in feature_cols]
+        stages = [Imputer(inputCols=list(feature_cols), outputCols=columns, strategy="mean")]
+    assembler = VectorAssembler(inputCols=columns, outputCol="features",
+                                handleInvalid="skip" if missing == "skip" else "error")
+    return Pipeline(stages=[*stages, assembler, make_regressor(name, label_col, **overrides)])
+
+
+def is_missing(col) -> Column:
+    """NULL or NaN."""
+    c = F.col(col) if isinstance(col, str) else col
+    return c.isNull() | F.isnan(c.cast("double"))
+
+
+def missing_counts(train: DataFrame, feature_cols: Sequence[str]) -> DataFrame:
+    """One row: ``n_rows``, ``n_incomplete`` (rows with a missing feature) and the missing values of every feature."""
+    some = F.lit(False)
+    for c in feature_cols:
+        some = some | is_missing(c)
+    return train.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(some).alias("n_incomplete"),
+                     *[F.count_if(is_missing(c)).alias(c) for c in feature_cols])
 
 
 def fold_neg_mse(train: DataFrame, name: str, feature_cols: Sequence[str], fold: int,
@@ -124,13 +153,17 @@ def load_model(path: str) -> PipelineModel:
 
 def predict(model: PipelineModel, features: DataFrame, feature_cols: Sequence[str],
             name: str = "prediction") -> DataFrame:
-    """Score every row (M6).  A row with a NULL feature gets a NULL prediction
-    (its vector is not assembled) instead of being dropped."""
+    """Score every row (M6).  A row with a NULL or NaN feature gets a NULL
+    prediction instead of being dropped; a model fitted with ``missing="impute"`` predicts it from the column means."""
     complete = F.lit(True)
     for c in feature_cols:
-        complete = complete & F.col(c).isNotNull()
+        complete = complete & ~is_missing(c)
     kept = features.withColumn("__complete", complete).withColumn("__orig", F.struct(*feature_cols))
-    scored = model.transform(kept.fillna(0.0, subset=list(feature_cols)))
+    if isinstance(model.stages[0], ImputerModel):
+        kept = kept.withColumn("__complete", F.lit(True))
+        scored = model.transform(kept).drop(*model.stages[0].getOutputCols())
+    else:
+        scored = model.transform(kept.fillna(0.0, subset=list(feature_cols)))
     restored = scored.withColumns({c: F.col(f"__orig.{c}") for c in feature_cols})
     return (restored.withColumn("__pred", F.when(F.col("__complete"), F.col("prediction")))
                     .drop("features", "__complete", "__orig", "prediction")

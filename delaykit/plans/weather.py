@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from delaykit.functions.timefmt import format_minute
-from delaykit.operators.joins import enrich
+from delaykit.operators.joins import enrich, zip_checked
 from delaykit.operators.ordering import number_within
+from delaykit.schemas import WEATHER_VARIABLES
 
 BATCH_SIZE = 50  # coordinates per weather API request (fixed value of the API usage)
 
@@ -45,6 +48,27 @@ def batch_payloads(batches: DataFrame) -> DataFrame:
         F.sort_array(F.collect_list(F.struct("airport_code", "flight_minute", "latitude", "longitude"))).alias("points"))
 
 
+def response_rows(points: DataFrame, responses: DataFrame, variables: Sequence[str] = WEATHER_VARIABLES) -> DataFrame:
+    """Landed weather responses -> ``weather_forecasts`` rows (J8 + N4), by key instead of by list position.
+
+    ``points``: the requested rows of ``request_batches`` (day, batch, airport_code, latitude, longitude,
+    flight_minute).  ``responses``: one row per point of a request, (day, batch, position, hourly) with ``position``
+    the point's place in the request (points sorted as in ``batch_payloads``) and ``hourly`` a struct of ``time`` and
+    one array per variable.  The arrays of a response must be equally long (``zip_checked``); the hour that the flight
+    minute falls in is kept, and a variable the response lacks is NULL."""
+    order = Window.partitionBy("day", "batch").orderBy("airport_code", "flight_minute", "latitude", "longitude")
+    numbered = points.withColumn("position", F.row_number().over(order) - 1)  # at most one request's points
+    have = [f.name for f in responses.schema["hourly"].dataType.fields]
+    flat = responses.select("day", "batch", "position", *[F.col(f"hourly.`{c}`").alias(f"__a_{c}") for c in have])
+    rows = zip_checked(flat, ["day", "batch", "position"], {c: f"__a_{c}" for c in have}).drop("pos")
+    joined = numbered.join(rows, ["day", "batch", "position"]).filter(
+        F.substring("time", 1, 13) == F.substring("flight_minute", 1, 13))
+    value = lambda v: (F.col(f"`{v}`") if v in have else F.lit(None)).cast("double").alias(v)
+    return joined.select(F.col("flight_minute").alias("Flight_DateTime"), F.col("airport_code").alias("Airport_Code"),
+                         F.col("latitude").alias("Latitude"), F.col("longitude").alias("Longitude"),
+                         *[value(v) for v in variables])
+
+
 DATE_IN_NAME = r"\d{4}-\d{2}-\d{2}"  # fixed value: the date pattern of landed file names
 WEATHER_KINDS = ("AA", "DA")  # fixed values: arrival- and departure-airport weather file prefixes
 

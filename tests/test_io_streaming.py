@@ -372,3 +372,46 @@ def test_scratch_tables_are_deleted(spark):
         path = df.inputFiles()[0].removeprefix("file:").replace("//", "/")
         assert os.path.exists(path)
     assert not os.path.exists(path)
+
+
+def test_missing_features_are_an_error_or_a_choice(spark):
+    from delaykit.plans import models as M
+    nan = float("nan")
+    rows = [(float(i), float(i % 3), 2.0 * i) for i in range(20)] + [(None, 1.0, 3.0), (nan, 1.0, 3.0)]
+    train = spark.createDataFrame(rows, "x double, z double, delay_minutes double")
+    with pytest.raises(Exception):
+        M.fit_best(train, "LinearRegression", ["x", "z"])
+    counts = M.missing_counts(train, ["x", "z"]).first()
+    assert (counts.n_rows, counts.n_incomplete, counts.x, counts.z) == (22, 2, 2, 0)
+    skipping = M.fit_best(train, "LinearRegression", ["x", "z"], missing="skip")
+    got = M.predict(skipping, train, ["x", "z"])
+    assert got.count() == 22 and got.filter("prediction IS NULL").count() == 2
+    imputing = M.fit_best(train, "LinearRegression", ["x", "z"], missing="impute")
+    got = M.predict(imputing, train, ["x", "z"])
+    assert got.filter("prediction IS NULL").count() == 0 and set(train.columns) < set(got.columns)
+
+
+def test_time_texts(spark):
+    from delaykit.functions.timefmt import parse_minute_text
+    texts = {"2024-09-06T10:00": "2024-09-06 10:00:00", "2024-09-06T10:00Z": "2024-09-06 10:00:00",
+             "2024-09-06 10:00:30": "2024-09-06 10:00:30", "2024-09-06T10:00:30.5Z": "2024-09-06 10:00:30.5",
+             "2024-09-06T10:00+02:00": "2024-09-06 08:00:00", "2024-09-06T23:30:00-0130": "2024-09-07 01:00:00",
+             "2024-02-30T10:00": None, "2024-09-06": None, "10:00": None, "2024-09-06T10:00X": None, "": None, None: None}
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = {r.t: r.p for r in df.select("t", parse_minute_text("t").cast("string").alias("p")).collect()}
+    assert got == texts
+
+
+def test_weather_responses_become_rows_by_key(spark):
+    from delaykit.plans.weather import response_rows
+    points = spark.createDataFrame([("2024-09-06", 0, "JFK", 40.6, -73.8, "2024-09-06T10:20"),
+                                    ("2024-09-06", 0, "CDG", 49.0, 2.5, "2024-09-06T11:00")],
+                                   "day string, batch int, airport_code string, latitude double, longitude double, flight_minute string")
+    hourly = "struct<time:array<string>,temperature_2m:array<double>,rain:array<double>>"
+    responses = spark.createDataFrame(
+        [("2024-09-06", 0, 0, (["2024-09-06T11:00"], [20.0], [0.5])), ("2024-09-06", 0, 1, (["2024-09-06T10:00", "2024-09-06T11:00"], [1.0, 2.0], [None, 0.0]))],
+        f"day string, batch int, position int, hourly {hourly}")
+    rows = response_rows(points, responses)
+    assert rows.schema == schemas.WEATHER or [f.name for f in rows.schema] == [f.name for f in schemas.WEATHER]
+    got = {r.Airport_Code: (r.Flight_DateTime, r.temperature_2m, r.rain, r.snowfall) for r in rows.collect()}
+    assert got == {"CDG": ("2024-09-06T11:00", 20.0, 0.5, None), "JFK": ("2024-09-06T10:20", 1.0, None, None)}

@@ -20,7 +20,7 @@ def con():
 
 
 def test_every_key_has_oracle_or_is_model_key():
-    assert set(QUERIES) - set(ORACLE) == {"train_select_best", "score_requests"}
+    assert set(QUERIES) - set(ORACLE) == {"train_select_best"}
 
 
 @pytest.mark.parametrize("key", sorted(ORACLE))

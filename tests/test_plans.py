@@ -10,7 +10,7 @@ import __spark_entry__ as entry
 from conftest import SF_SMALL
 
 from delaykit.registry import QUERIES  # noqa: E402
-MODEL_KEYS = {"train_select_best", "score_requests"}
+MODEL_KEYS = {"train_select_best"}
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
              "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF")
 
