@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from delaykit.llm import decontaminate, packing, simhash, suffix_dedup, toxicity
-from delaykit.llm.common import crc_mod, let_workers_import, row_key, table
+from delaykit.llm.common import crc_mod, prepare_workers, row_key, table
 from delaykit.session import materialize
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -27,7 +27,7 @@ def _columns(docs: DataFrame) -> DataFrame:
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity operator scores below a half; the model is fitted on the given rows that have labels and
     whose crc32 of the id modulo 5 isn't 0."""
-    let_workers_import(spark)
+    prepare_workers(spark)
     learn = crc_mod("doc_id", 5) != 0
     model = toxicity.fit(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"), learn)
     scored = toxicity.scored(_columns(docs), model, prefix="__")
@@ -37,7 +37,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group (3-word shingles, at most 3 differing bits); of repeated rows of that
     id one stays.  Documents without an id are kept only if no document with an id shares their group, one for each."""
-    let_workers_import(spark)
+    prepare_workers(spark)
     docs = _columns(docs)
     groups = simhash.near_duplicates(docs, shingle=3, radius=3)
     kept = groups.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
@@ -52,7 +52,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every text without the bytes of 100-byte strings that also start earlier; a character cut in part goes whole.  Null
     texts stay null; ``n_chars`` is counted anew."""
-    let_workers_import(spark)
+    prepare_workers(spark)
     docs = _columns(docs).withColumn("rk", row_key())
     cut = suffix_dedup.remove_repeats(docs, with_text=True).filter("n_removed > 0").select("doc_id", "rk", "kept").dropDuplicates(["doc_id", "rk"])
     joined = docs.alias("d").join(cut.alias("c"), F.expr("d.doc_id <=> c.doc_id AND d.rk = c.rk"), "left")
@@ -78,7 +78,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents in sequences of at most 1024 tokens."""
-    let_workers_import(spark)
+    prepare_workers(spark)
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 

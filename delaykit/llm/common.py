@@ -19,9 +19,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 _OTHER_UPPER = r"[\P{ASCII}&&[\p{IsUppercase}\p{Lt}]]"
 
 
-def let_workers_import(spark: SparkSession) -> None:
-    """Python workers on this machine find the package also when the session runs from another folder; a cluster gets it
-    by ``--py-files`` or an installed wheel."""
+BATCH_BYTES = 4 << 20
+
+
+def prepare_workers(spark: SparkSession) -> None:
+    """For Python workers: batches of texts of at most 4 MB (unless the session sets a size), as ten thousand long texts at a
+    time would fill a worker's and the executor's memory; and workers on this machine find the package also when the
+    session runs from another folder (a cluster gets it by ``--py-files`` or an installed wheel)."""
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(limit, None) is None:
+        spark.conf.set(limit, str(BATCH_BYTES))
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     env = spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]

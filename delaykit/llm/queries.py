@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from delaykit.llm.common import LOWER, UPPER, let_workers_import, table
+from delaykit.llm.common import LOWER, UPPER, prepare_workers, table
 from delaykit.llm.decontaminate import contamination
 from delaykit.llm.embedding_dedup import near_vectors
 from delaykit.llm.licenses import license_matches
@@ -26,7 +26,7 @@ ORACLE: dict[str, str] = {}
 def query(name: str, sql: str | None = None):
     def add(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            let_workers_import(spark)
+            prepare_workers(spark)
             return fn(spark, sf_dir)
 
         QUERIES[name] = run

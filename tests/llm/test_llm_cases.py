@@ -7,7 +7,7 @@ import pytest
 
 from delaykit.llm import components as comp
 from delaykit.llm import packing, simhash
-from delaykit.llm.common import let_workers_import
+from delaykit.llm.common import prepare_workers
 from delaykit.llm.decontaminate import contamination
 from delaykit.llm.embedding_dedup import near_vectors
 from delaykit.llm.licenses import TEMPLATES, LicenseIndex, license_matches, scan
@@ -30,7 +30,7 @@ CASES = [(1, None), (2, ""), (3, " \n\t "), (4, "One short text."), (4, "One sho
 
 @pytest.fixture(scope="module", autouse=True)
 def _workers(spark):
-    let_workers_import(spark)
+    prepare_workers(spark)
 
 
 @pytest.fixture(scope="module")
