@@ -89,7 +89,8 @@ def default_value(spark, d):
 
 
 @register("status_mapping", f"""
-    WITH c AS (SELECT event_id, event_type, value, {EVENT_STATUS_SQL} AS code FROM events)
+    WITH c AS (SELECT event_id, event_type, value,
+                      CASE WHEN event_type = 'purchase' THEN 403 ELSE {EVENT_STATUS_SQL} END AS code FROM events)
     SELECT event_id, code,
            CASE WHEN code = 200 THEN 'data' WHEN code = 403 THEN 'retry' WHEN code = 404 THEN 'empty'
                 ELSE 'error' END AS state,
@@ -99,7 +100,7 @@ def default_value(spark, d):
     FROM c
 """)
 def status_mapping(spark, d):
-    ev = table(spark, d, "events").withColumn("code", status_code_of("event_type", EVENT_STATUS))
+    ev = table(spark, d, "events").withColumn("code", status_code_of("event_type", EVENT_STATUS | {"purchase": 403}))
     out = outcome("code", F.format_string("%.2f", F.col("value")), F.col("event_type"))
     return ev.select("event_id", "code", status_state("code").alias("state"), out.alias("o")).select(
         "event_id", "code", "state", F.col("o.status_code").alias("status_code"),

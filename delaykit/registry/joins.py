@@ -25,12 +25,13 @@ def enrich_left_join(spark, d):
 @register("distinct_then_enrich", """
     SELECT o.o_custkey, o.order_day, c.c_nationkey, c.c_acctbal
     FROM (SELECT DISTINCT o_custkey, strftime(o_orderdate, '%Y-%m-%d') AS order_day FROM orders) o
-    LEFT JOIN customer c ON o.o_custkey = c.c_custkey
+    LEFT JOIN (SELECT c_custkey, nullif(c_nationkey, 3) AS c_nationkey, c_acctbal FROM customer) c ON o.o_custkey = c.c_custkey
     WHERE c.c_nationkey IS NOT NULL AND c.c_acctbal IS NOT NULL
 """)
 def q_distinct_then_enrich(spark, d):
     o = table(spark, d, "orders").withColumn("order_day", F.date_format("o_orderdate", "yyyy-MM-dd"))
-    return distinct_then_enrich(o, ["o_custkey", "order_day"], "o_custkey", table(spark, d, "customer"),
+    c = table(spark, d, "customer").withColumn("c_nationkey", F.nullif("c_nationkey", F.lit(3)))
+    return distinct_then_enrich(o, ["o_custkey", "order_day"], "o_custkey", c,
                                 "c_custkey", ["c_nationkey", "c_acctbal"], required=["c_nationkey", "c_acctbal"])
 
 
@@ -60,14 +61,17 @@ def q_missing_keys(spark, d):
 @register("lookup_or_null", """
     WITH firsts AS (
         SELECT doc_id, quality, toxic FROM (
-            SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY quality, toxic) AS rn FROM labels) t
+            SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY quality, toxic) AS rn
+            FROM (SELECT doc_id, quality, toxic FROM labels UNION ALL SELECT doc_id, 1 - quality, toxic FROM labels) b) t
         WHERE rn = 1)
     SELECT d.doc_id, CAST(f.quality AS DOUBLE) AS quality, CAST(f.toxic AS DOUBLE) AS toxic
     FROM documents d LEFT JOIN firsts f ON d.doc_id = f.doc_id
 """)
 def q_lookup_or_null(spark, d):
     docs = table(spark, d, "documents").select("doc_id")
-    out = lookup_or_null(docs, table(spark, d, "labels"), "doc_id", "doc_id", ["quality", "toxic"], ["quality", "toxic"])
+    labels = table(spark, d, "labels")
+    both = labels.unionByName(labels.withColumn("quality", 1 - F.col("quality")))  # two rows a key: the first by order counts
+    out = lookup_or_null(docs, both, "doc_id", "doc_id", ["quality", "toxic"], ["quality", "toxic"])
     # doubles: an integer column holding NULLs converts the same way in every client
     return out.select("doc_id", F.col("quality").cast("double"), F.col("toxic").cast("double"))
 

@@ -31,7 +31,8 @@ def _text_flights(spark, d, fl=None):
         F.concat(format_minute("scheduled_arrival"), F.lit("Z")).alias("Departure_ScheduledTimeUTC_DateTime"),
         F.col("arrival_code").alias("Arrival_AirportCode"),
         F.concat(format_minute("scheduled_arrival"), F.lit("Z")).alias("Arrival_ScheduledTimeUTC_DateTime"),
-        F.concat(format_minute("actual_arrival"), F.lit("Z")).alias("Arrival_ActualTimeUTC_DateTime"))
+        # The sixth line of an order never arrived.
+        F.when(F.col("l_linenumber") != 6, F.concat(format_minute("actual_arrival"), F.lit("Z"))).alias("Arrival_ActualTimeUTC_DateTime"))
 
 
 def _weather(prepared):
@@ -48,7 +49,7 @@ _TEXT_FLIGHTS_SQL = f"""
            strftime(scheduled_arrival, '%Y-%m-%dT%H:%M') AS Arrival_ScheduledTimeUTC_DateTime,
            strftime(actual_arrival, '%Y-%m-%dT%H:%MZ') AS Arrival_ActualTimeUTC_DateTime
     FROM ({FLIGHTS_SQL}) f
-    WHERE actual_arrival IS NOT NULL AND scheduled_arrival IS NOT NULL
+    WHERE l_linenumber <> 6 AND actual_arrival IS NOT NULL AND scheduled_arrival IS NOT NULL
 """
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from delaykit.functions.timefmt import format_minute
-from delaykit.operators.nested import collect_nested, flatten, long_to_wide
+from delaykit.operators.nested import collect_nested, flatten, flights_of, long_to_wide, pages_of
 from delaykit.registry.base import register, table
 
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
@@ -22,11 +22,12 @@ def explode_nested(spark, d):
     li = table(spark, d, "lineitem")
     lines = li.withColumn("ord", F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"))
     # Pages: one document per order holding its lines in order (the landed shape) ...
-    pages = collect_nested(lines, ["l_orderkey"], "ord", ["l_linenumber", "l_partkey"], "Flight")
-    pages = o.join(pages, o.o_orderkey == pages.l_orderkey).select("o_orderkey", "Flight")
+    nested = collect_nested(lines, ["l_orderkey"], "ord", ["l_linenumber", "l_partkey"], "Flight")
+    page = F.struct(F.struct(F.struct("Flight").alias("Flights")).alias("FlightStatusResource"))
+    landed = o.join(nested, o.o_orderkey == nested.l_orderkey).select("o_orderkey", F.array(page).alias("data"))
     # ... unnested back to one row per line with its position.
-    return (pages.select("o_orderkey", F.posexplode("Flight").alias("pos", "f"))
-                 .select("o_orderkey", F.col("pos").cast("int").alias("pos"), "f.l_linenumber", "f.l_partkey"))
+    flights = flights_of(pages_of(landed, keep=["o_orderkey"]), keep=["o_orderkey"])
+    return flights.select("o_orderkey", F.col("flight_pos").cast("int").alias("pos"), "flight.l_linenumber", "flight.l_partkey")
 
 
 @register("flatten_struct", """

@@ -140,7 +140,7 @@ def array_basics(spark, d):
 # Weather requests: flights x cleaned airports -> distinct (airport, lat, lon, minute) rows,
 # numbered per day in batches of 50 (one batch = one weather API request).
 @register("weather_request_batches", f"""
-    WITH f AS ({FLIGHTS_SQL}),
+    WITH f AS (SELECT arrival_code, date_trunc('month', scheduled_arrival) AS scheduled_arrival FROM ({FLIGHTS_SQL}) t),
     air AS (SELECT CAST(c_custkey AS VARCHAR) AS iata_code, c_acctbal AS latitude_deg, CAST(c_nationkey AS DOUBLE) AS longitude_deg
             FROM customer),
     m AS (SELECT DISTINCT f.arrival_code AS airport_code, a.latitude_deg AS latitude, a.longitude_deg AS longitude,
@@ -159,4 +159,6 @@ def weather_request_batches(spark, d):
     c = table(spark, d, "customer")
     air = c.select(F.col("c_custkey").cast("string").alias("iata_code"), F.col("c_acctbal").alias("latitude_deg"),
                    F.col("c_nationkey").cast("double").alias("longitude_deg"))
-    return request_batches(flights(spark, d), air, "arrival_code", "scheduled_arrival")
+    # Every flight on the first of its month: days with several batches.
+    monthly = flights(spark, d).withColumn("scheduled_arrival", F.date_trunc("month", "scheduled_arrival"))
+    return request_batches(monthly, air, "arrival_code", "scheduled_arrival")

@@ -67,10 +67,11 @@ def append_new_rows(spark, d):
         SELECT day, range_id, arg_max(status, ts) AS last_status FROM calls GROUP BY day, range_id),
     stops AS (
         SELECT day, min(range_id) AS stop_range FROM ranges WHERE last_status NOT IN (200, 404) GROUP BY day)
-    SELECT c.event_id, c.day, c.range_id, c.status
+    SELECT c.event_id, c.day, c.range_id, c.status, m.mode
     FROM calls c JOIN ranges r ON c.day = r.day AND c.range_id = r.range_id
-    LEFT JOIN stops s ON c.day = s.day
-    WHERE c.status = 200 AND r.last_status = 200 AND (s.stop_range IS NULL OR c.range_id < s.stop_range)
+    LEFT JOIN stops s ON c.day = s.day CROSS JOIN (VALUES ('faithful'), ('kept')) m(mode)
+    WHERE c.status = 200 AND (r.last_status = 200 OR (m.mode = 'kept' AND r.last_status = 404))
+      AND (s.stop_range IS NULL OR c.range_id < s.stop_range)
 """)
 def landed_pages(spark, d):
     ev = table(spark, d, "events")
@@ -78,5 +79,7 @@ def landed_pages(spark, d):
                       F.date_format("ts", "yyyy-MM-dd").alias("day"),
                       F.floor(F.hour("ts") / 4).cast("int").alias("range_id"),
                       status_code_of("event_type", EVENT_STATUS).alias("status"))
-    kept = kept_pages(calls, "day", "range_id", "ts", "status", faithful_404=True)
-    return kept.select("event_id", "day", "range_id", "status")
+    columns = ["event_id", "day", "range_id", "status"]
+    modes = [kept_pages(calls, "day", "range_id", "ts", "status", faithful_404=f).select(*columns, F.lit(m).alias("mode"))
+             for f, m in ((True, "faithful"), (False, "kept"))]
+    return modes[0].unionByName(modes[1])
