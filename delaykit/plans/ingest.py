@@ -82,7 +82,8 @@ def day_download(spark: SparkSession, landing_path: str, out_base: str, api_name
     write_json(docs.withColumn("day", day), f"{out_base}/consolidated", partition_by=["day"])
     flat = flat_flights(fl).withColumn(
         "flight_date", F.substring("Departure_ScheduledTimeLocal_DateTime", 1, 10))
-    write_csv(flat, f"{out_base}/flat", partition_by=["flight_date"])
+    # Rows of a day come together (a large day in several parts), so a day is a few files, not one a task.
+    write_csv(flat.hint("rebalance", "flight_date"), f"{out_base}/flat", partition_by=["flight_date"])
     return flat
 
 

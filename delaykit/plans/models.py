@@ -20,16 +20,22 @@ from pyspark.sql import functions as F
 
 MODEL_NAMES = ("LinearRegression", "DecisionTreeRegressor", "RandomForestRegressor")
 
-# Library defaults of the reference models, in Spark terms: ordinary least
-# squares; a tree grown as deep as Spark allows (30); a forest of 100 such
-# trees considering every feature at each split.
+# What the models are unless a caller overrides it: ordinary least squares, a tree and a forest of sizes that
+# distributed training handles at any number of rows (its passes grow with the nodes of a level).
 DEFAULTS = {
     "LinearRegression": {"regParam": 0.0, "elasticNetParam": 0.0},
-    "DecisionTreeRegressor": {"maxDepth": 30, "minInstancesPerNode": 1, "seed": 42},
-    "RandomForestRegressor": {"numTrees": 100, "maxDepth": 30, "featureSubsetStrategy": "all",
+    "DecisionTreeRegressor": {"maxDepth": 10, "minInstancesPerNode": 1, "seed": 42},
+    "RandomForestRegressor": {"numTrees": 20, "maxDepth": 8, "featureSubsetStrategy": "all",
                               "subsamplingRate": 1.0, "bootstrap": True, "seed": 42},
 }
 
+# Overrides for trees grown as deep as Spark allows and a forest of 100 of them, every feature at each split: the
+# settings of single-node libraries, for small tables (see README for times).
+DEEP = {
+    "DecisionTreeRegressor": {"maxDepth": 30},
+    "RandomForestRegressor": {"numTrees": 100, "maxDepth": 30},
+}
+
 
 def make_regressor(name: str, label_col: str = "delay_minutes", features_col: str = "features", **overrides):
     """The estimator for a model name; an unknown name is a ``ValueError`` (M4)."""

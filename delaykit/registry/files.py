@@ -82,12 +82,13 @@ def csv_bulk_load(spark, d):
 
 @register("day_download_roundtrip", """
     SELECT CAST(o_orderkey AS VARCHAR) AS flight_number, o_orderstatus AS departure,
-           strftime(o_orderdate, '%Y-%m-%dT%H:%M') AS scheduled, strftime(o_orderdate, '%Y-%m-%d') AS flight_date
+           strftime(date_trunc('month', o_orderdate), '%Y-%m-%dT%H:%M') AS scheduled,
+           strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') AS flight_date
     FROM orders
 """)
 def day_download_roundtrip(spark, d):
-    """Orders as landed flight files, one document a month; odd and even months are downloaded apart."""
-    o = table(spark, d, "orders").withColumn("at", format_minute("o_orderdate"))
+    """Orders as landed flight files, one document for the first of every month; odd and even months are downloaded apart."""
+    o = table(spark, d, "orders").withColumn("at", format_minute(F.date_trunc("month", "o_orderdate")))
     flight = F.struct(
         F.struct(F.col("o_orderstatus").alias("AirportCode"), F.struct(F.col("at").alias("DateTime")).alias("ScheduledTimeLocal")).alias("Departure"),
         F.struct(F.col("o_orderkey").cast("string").alias("FlightNumber")).alias("MarketingCarrier"))
