@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import zlib
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,10 +48,6 @@ def crc_mod(id_col, n: int) -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % n
 
 
-def crc_mod_py(value, n: int) -> int:
-    return zlib.crc32(("" if value is None else str(int(value))).encode()) % n
-
-
 def texts_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The two columns an operator works on, as ``doc_id`` and ``text``; whatever else the
     input carries (clashing names included) is left behind."""

@@ -195,7 +195,10 @@ def _pack_partition(path: str, capacity: int, end_id: int, fan_in: int, keep_ids
 def _merge_nodes(capacity: int, fan_in: int, level: int):
     """Rows sorted by node: best-fit over each node's rising bins.  New bins are numbered by level and node."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(batches), ignore_index=True)  # whole nodes, each bounded (see the module)
+        parts = [b for b in batches if len(b)]  # whole nodes, each bounded (see the module)
+        if not parts:
+            return
+        rows = pd.concat(parts, ignore_index=True)
         for node, own in rows.groupby("node"):
             fit = BestFit(capacity)
             bins, offsets = fit.pack(own["fill"].to_numpy())
@@ -203,7 +206,7 @@ def _merge_nodes(capacity: int, fan_in: int, level: int):
             base = (np.int64(level) << np.int64(56)) | (np.int64(node) << np.int64(32))
             yield pd.DataFrame({"bin": own["bin"].to_numpy(), "into": base + bins, "base": offsets,
                                 "fill": fills[bins], "rises": up[bins]})
-    return lambda batches: run(batches)
+    return run
 
 
 def pack(docs: DataFrame, vocab: str, capacity: int = CAPACITY, end_id: int = END_ID, fan_in: int = FAN_IN,
@@ -223,7 +226,7 @@ def pack(docs: DataFrame, vocab: str, capacity: int = CAPACITY, end_id: int = EN
         level, top = level + 1, top // fan_in
         nodes = rising.select("bin", "fill", F.floor(F.col("node") / fan_in).alias("node"))
         step = materialize(nodes.repartition("node").sortWithinPartitions("node", F.desc("fill"), "bin").mapInPandas(
-            _non_empty(_merge_nodes(capacity, fan_in, level)),
+            _merge_nodes(capacity, fan_in, level),
             "bin long, into long, base long, fill long, rises boolean"), "merge")
         rising = step.filter("rises AND base = 0").select(
             F.col("into").alias("bin"), "fill", F.shiftright(F.col("into").bitwiseAND(F.lit((1 << 56) - 1)), 32).alias("node"))
@@ -242,9 +245,3 @@ def pack(docs: DataFrame, vocab: str, capacity: int = CAPACITY, end_id: int = EN
     return out.select("doc_id", "piece", "start", "length", "ids_crc32", F.coalesce("into", "bin").alias("sequence_id"),
                       (F.col("offset") + F.coalesce("base", F.lit(0))).alias("offset"), *(["ids"] if keep_ids else []))
 
-
-def _non_empty(run):
-    def guarded(batches):
-        batches = [b for b in batches if len(b)]
-        return run(iter(batches)) if batches else iter(())
-    return guarded

@@ -103,10 +103,17 @@ def _anchors(length: int, gram: int):
 
 def _sift(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Rows sorted by (h, s, place): repeats of a segment (``again``) and the first ones of anchors with several segments."""
-    held, several, last = None, False, (None, None)
+    held, several, last, row = None, False, (None, None), None
+    keys = ["h", "s", "doc", "rk", "lo"]
     for batch in batches:
+        # A repeated row of the input brings its segments again: they are the same place, not a repeat.
+        same = batch[keys].eq(batch[keys].shift()).all(axis=1).to_numpy()
+        if len(batch) and row is not None:
+            same[0] = tuple(batch[keys].iloc[0]) == row
+        batch = batch[~same]
         if not len(batch):
             continue
+        row = tuple(batch[keys].iloc[-1])
         h, s = batch["h"].to_numpy(), batch["s"].to_numpy()
         old_h = np.r_[h[0] == last[0] if last[0] is not None else False, h[1:] == h[:-1]]
         again = old_h & np.r_[s[0] == last[1] if last[1] is not None else False, s[1:] == s[:-1]]
