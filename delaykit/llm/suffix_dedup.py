@@ -7,14 +7,14 @@ then place).  No index of the whole corpus is built; it is cut into pieces that
    equal anchors at equal places, so only places with the same anchor hash have to be compared.  The strings that share one
    occurrence of an anchor form a segment, of at most ``2 * length`` bytes.
 2. Segments are sorted by anchor.  An anchor that occurs once is done.  Of segments with equal bytes all but the first are
-   wholly repeated.  What is left, the first ones of different segments with one anchor, is compared byte by byte.
+   wholly repeated; most copies are settled so in the tasks that read them, before the shuffle.  What is left, the first ones of different segments with one anchor, is compared byte by byte.
 3. *Index.*  The left segments of whole anchors, in blocks of bounded size, are joined to one text.  Its Burrows-Wheeler
    transform is kept as runs with the text position sampled at every run's end; neighbouring rows that agree in ``length``
    symbols form an interval.  All segments are streamed through the index from right to left by LF steps: each step gives
    the row of the suffix at that place, hence whether its match reaches ``length`` and with which interval; the first
    place of an interval stays, the others are marked.
-4. An anchor with more segments than a block holds (a passage in a large share of the documents) isn't put in one task: its
-   strings are compared by 128-bit hashes in a grouped minimum and a join.
+4. An anchor with a crowd of different segments (a passage in a large share of the documents) isn't put in one task: its
+   strings are dealt and compared by 128-bit hashes, in a grouped minimum and a join.
 """
 
 from __future__ import annotations
@@ -28,11 +28,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from delaykit.llm.common import row_key, texts_of
+from delaykit.llm.common import broadcast_if_within, row_key, texts_of
 from delaykit.session import materialize
 
 LENGTH, GRAM = 100, 32
 BLOCK, LARGEST = 1 << 20, 1 << 21  # bytes of segments in an index, and of one anchor's segments in an index
+HELD, CROWDED, CROWDS_SENT = 200_000, 20_000, 200_000  # segments settled together in a task; members that make a crowd
 _ODD, _SEED = 0x100000001B3, 0xBF58476D1CE4E5B9
 
 
@@ -82,8 +83,23 @@ def segments(data: bytes, length: int, gram: int) -> tuple[np.ndarray, np.ndarra
     return hashes[at[starts]].view(np.int64), starts, sizes
 
 
-def _anchors(length: int, gram: int):
+_ORDER = ["h", "s", "doc", "rk", "lo"]
+
+
+def _anchors(length: int, gram: int, held: int):
+    """The segments of a task's texts.  Of equal segments among ``held`` neighbouring ones all but the first are settled
+    here (``again``), so copies don't meet in one reducer; ``k`` deals settled rows by place, others by anchor."""
+    def settled(parts: list[pd.DataFrame]) -> pd.DataFrame:
+        rows = pd.concat(parts, ignore_index=True).sort_values(_ORDER, ignore_index=True)
+        old = rows.shift()
+        same = (rows["h"] == old["h"]) & (rows["s"] == old["s"])
+        place = same & (rows["doc"] == old["doc"]) & (rows["rk"] == old["rk"]) & (rows["lo"] == old["lo"])
+        rows = rows.assign(again=same)[~place]  # a repeated row of the input brings the same place again
+        mixed = (rows["doc"].to_numpy() ^ rows["rk"].to_numpy()) + rows["lo"].to_numpy() * np.int64(0x9E3779B97F4A7C1)
+        return rows.assign(k=np.where(rows["again"], mixed, rows["h"]))
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        parts, size = [], 0
         for batch in batches:
             for lo in range(0, len(batch), 64):
                 part, docs, keys, found = batch.iloc[lo:lo + 64], [], [], []
@@ -96,16 +112,25 @@ def _anchors(length: int, gram: int):
                     keys.append(np.full(len(h), rk, np.int64))
                     digests += [xxhash.xxh64_intdigest(data[a:a + n]) for a, n in zip(starts.tolist(), sizes.tolist())]
                 h, starts, sizes = (np.concatenate(x) for x in zip(*found))
-                yield pd.DataFrame({"h": h, "s": np.array(digests, np.uint64).view(np.int64), "doc": np.concatenate(docs),
-                                    "rk": np.concatenate(keys), "lo": starts.astype(np.int32), "n": sizes.astype(np.int32)})
+                parts.append(pd.DataFrame({"h": h, "s": np.array(digests, np.uint64).view(np.int64), "doc": np.concatenate(docs),
+                                           "rk": np.concatenate(keys), "lo": starts.astype(np.int32), "n": sizes.astype(np.int32)}))
+                size += len(h)
+                if size >= held:
+                    yield settled(parts)
+                    parts, size = [], 0
+        if size:
+            yield settled(parts)
     return run
 
 
 def _sift(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows sorted by (h, s, place): repeats of a segment (``again``) and the first ones of anchors with several segments."""
+    """Rows sorted by (k, h, s, place): repeats of a segment (``again``) and the first ones of anchors with several segments."""
     held, several, last, row = None, False, (None, None), None
-    keys = ["h", "s", "doc", "rk", "lo"]
+    keys = _ORDER
     for batch in batches:
+        if batch["again"].any():
+            yield batch[batch["again"]]
+            batch = batch[~batch["again"]]
         # A repeated row of the input brings its segments again: they are the same place, not a repeat.
         same = batch[keys].eq(batch[keys].shift()).all(axis=1).to_numpy()
         if len(batch) and row is not None:
@@ -237,20 +262,38 @@ class RunLengthIndex:
         return text, at - (self.ends - self.sizes)[text]
 
 
-def _cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The bytes of the listed segments of each text."""
-    for batch in batches:
-        rows = [(s["h"], doc, rk, s["lo"], data[s["lo"]:s["lo"] + s["n"]])
-                for doc, rk, text, parts in zip(batch["doc"], batch["rk"], batch["text"], batch["parts"])
-                for data in (text.encode("utf-8", "surrogatepass"),) for s in parts]
-        yield pd.DataFrame(rows, columns=["h", "doc", "rk", "lo", "data"])
+def _cut(length: int):
+    """The bytes of the listed segments of each text; of a crowded anchor's segments the hashes of their strings, dealt by
+    these (``k``), so that no task gathers the anchor."""
+    names = [c.split()[0] for c in _CUT.split(", ")]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for doc, rk, text, parts in zip(batch["doc"], batch["rk"], batch["text"], batch["parts"]):
+                data = text.encode("utf-8", "surrogatepass")
+                for s in parts:
+                    h, lo, n = s["h"], s["lo"], s["n"]
+                    if not s["crowded"]:
+                        rows.append((h, h, doc, rk, lo, data[lo:lo + n], None))
+                        continue
+                    for at in range(lo, lo + n - length + 1):
+                        gram = xxhash.xxh3_128_digest(data[at:at + length])
+                        rows.append((int.from_bytes(gram[:8], "little", signed=True), h, doc, rk, at, None, gram))
+                if len(rows) > 20_000:
+                    yield pd.DataFrame(rows, columns=names)
+                    rows = []
+            yield pd.DataFrame(rows, columns=names)
+    return run
 
 
+_CUT = "k long, h long, doc long, rk long, lo int, data binary, gram binary"
 _MARKS = "doc long, rk long, start int, stop int, gram binary"
 
 
 def _mark(length: int, block: int, largest: int):
-    """Rows sorted by (h, place): marked spans, or for an anchor larger than ``largest`` its strings' hashes (``gram``)."""
+    """Rows sorted by (k, h, place): marked spans; hashes of strings (``gram``) go through, and an anchor whose segments
+    turn out larger than ``largest`` becomes hashes too."""
     def indexed(rows: list[tuple]) -> pd.DataFrame:
         text, at = RunLengthIndex([r[4] for r in rows], length).repeated()
         start = np.array([r[3] for r in rows], np.int64)[text] + at
@@ -272,7 +315,13 @@ def _mark(length: int, block: int, largest: int):
         ready_bytes = group_bytes = 0
         large = False
         for batch in batches:
-            for row in batch.itertuples(index=False, name=None):
+            hashes = batch["gram"].notna()
+            if hashes.any():
+                ready_made = batch[hashes]
+                yield pd.DataFrame({"doc": ready_made["doc"], "rk": ready_made["rk"], "start": ready_made["lo"],
+                                    "stop": ready_made["lo"] + length, "gram": ready_made["gram"]})
+                batch = batch[~hashes]
+            for row in batch[["h", "doc", "rk", "lo", "data"]].itertuples(index=False, name=None):
                 if group and group[0][0] != row[0]:
                     if large:
                         yield hashed(group)
@@ -326,7 +375,8 @@ def _remove(with_text: bool):
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, block: int = BLOCK, largest: int = LARGEST,
-                   id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
+                   crowded: int = CROWDED, id_col: str = "doc_id",
+                   text_col: str = "text", with_text: bool = False) -> DataFrame:
     """One row per document: ``doc_id``, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256``, ``spans`` (byte offsets)
     and, with ``with_text``, ``kept`` (the remaining bytes) and ``rk`` (``common.row_key``).
 
@@ -337,16 +387,18 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bloc
     rows = texts_of(docs, id_col, text_col).withColumn("rk", row_key()).select(
         F.coalesce("doc_id", F.lit(null_id)).alias("doc"), "rk", "text")
     found = rows.filter(F.octet_length("text") >= length).mapInPandas(
-        _anchors(length, gram), "h long, s long, doc long, rk long, lo int, n int")
-    order = ["h", "s", "doc", "rk", "lo"]
-    sifted = materialize(found.repartition("h").sortWithinPartitions(*order).mapInPandas(
+        _anchors(length, gram, HELD), "h long, s long, doc long, rk long, lo int, n int, again boolean, k long")
+    sifted = materialize(found.repartition("k").sortWithinPartitions("k", *_ORDER).mapInPandas(
         _sift, "h long, s long, doc long, rk long, lo int, n int, again boolean"), "anchors")
     whole = sifted.filter("again").select("doc", "rk", F.col("lo").alias("start"), (F.col("lo") + F.col("n")).alias("stop"))
-    wanted = (sifted.filter("NOT again").groupBy("doc", "rk")
-              .agg(F.collect_list(F.struct("h", "lo", "n")).alias("parts")))
-    cut = rows.join(wanted, ["doc", "rk"]).mapInPandas(_cut, "h long, doc long, rk long, lo int, data binary")
-    marked = materialize(cut.dropDuplicates(["h", "doc", "rk", "lo"]).repartition("h").sortWithinPartitions("h", "doc", "rk", "lo")
-                         .mapInPandas(_mark(length, block, largest), _MARKS), "marks")
+    left = sifted.filter("NOT again")
+    crowds = (left.groupBy("h").agg(F.count(F.lit(1)).alias("members")).filter(F.col("members") > crowded)
+              .select("h", F.lit(True).alias("crowded")))
+    wanted = (left.join(broadcast_if_within(crowds, CROWDS_SENT), "h", "left").groupBy("doc", "rk")
+              .agg(F.collect_list(F.struct("h", "lo", "n", F.coalesce("crowded", F.lit(False)).alias("crowded"))).alias("parts")))
+    cut = rows.join(wanted, ["doc", "rk"]).mapInPandas(_cut(length), _CUT)
+    marked = materialize(cut.dropDuplicates(["k", "h", "doc", "rk", "lo"]).repartition("k")
+                         .sortWithinPartitions("k", "h", "doc", "rk", "lo").mapInPandas(_mark(length, block, largest), _MARKS), "marks")
     grams = marked.filter("gram IS NOT NULL")
     place = F.struct("doc", "rk", "start")
     later = (grams.join(grams.groupBy("gram").agg(F.min(place).alias("first")), "gram").filter(place > F.col("first"))

@@ -95,13 +95,13 @@ def test_repeated_rows_and_periods(spark):
     assert got[4].n_removed == 0 and got[5].n_removed == 100
 
 
-@pytest.mark.parametrize("block, largest", [(1 << 20, 1 << 21), (300, 400)])
-def test_repeats_against_brute_force(spark, block, largest):
+@pytest.mark.parametrize("block, largest, crowded", [(1 << 20, 1 << 21, 20_000), (300, 400, 20_000), (1 << 20, 1 << 21, 2)])
+def test_repeats_against_brute_force(spark, block, largest, crowded):
     rng = random.Random(3)
     parts = ["".join(rng.choice("abc ") for _ in range(rng.choice([40, 130, 260]))) for _ in range(25)]
     rows = [(i, "".join(rng.choices(parts, k=rng.randint(0, 6))) + str(i)) for i in range(60)]
     got = {r.doc_id: r.n_removed for r in remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(3),
-                                                         block=block, largest=largest).collect()}
+                                                         block=block, largest=largest, crowded=crowded).collect()}
     seen = set()
     for i, t in rows:
         gone = [0] * len(t)
