@@ -32,7 +32,7 @@ from delaykit.llm.common import broadcast_if_within, row_key, texts_of
 from delaykit.session import materialize
 
 LENGTH, GRAM = 100, 32
-BLOCK, LARGEST = 1 << 20, 1 << 21  # bytes of segments in an index, and of one anchor's segments in an index
+BLOCK, LARGEST = 3 << 18, 1 << 20  # bytes of segments that fill an index, and of one anchor's segments in an index
 HELD, CROWDED, CROWDS_SENT = 200_000, 20_000, 200_000  # segments settled together in a task; members that make a crowd
 _ODD, _SEED = 0x100000001B3, 0xBF58476D1CE4E5B9
 
@@ -89,14 +89,22 @@ _ORDER = ["h", "s", "doc", "rk", "lo"]
 def _anchors(length: int, gram: int, held: int):
     """The segments of a task's texts.  Of equal segments among ``held`` neighbouring ones all but the first are settled
     here (``again``), so copies don't meet in one reducer; ``k`` deals settled rows by place, others by anchor."""
-    def settled(parts: list[pd.DataFrame]) -> pd.DataFrame:
-        rows = pd.concat(parts, ignore_index=True).sort_values(_ORDER, ignore_index=True)
-        old = rows.shift()
-        same = (rows["h"] == old["h"]) & (rows["s"] == old["s"])
-        place = same & (rows["doc"] == old["doc"]) & (rows["rk"] == old["rk"]) & (rows["lo"] == old["lo"])
-        rows = rows.assign(again=same)[~place]  # a repeated row of the input brings the same place again
-        mixed = (rows["doc"].to_numpy() ^ rows["rk"].to_numpy()) + rows["lo"].to_numpy() * np.int64(0x9E3779B97F4A7C1)
-        return rows.assign(k=np.where(rows["again"], mixed, rows["h"]))
+    def settled(parts: list[tuple]) -> pd.DataFrame:
+        h, s, doc, rk, lo, n = (np.concatenate(x) for x in zip(*parts))
+        mixed = h ^ (s * np.int64(0x9E3779B97F4A7C1))
+        order = np.argsort(mixed)
+        alone = np.r_[True, np.diff(mixed[order]) != 0, True]
+        few = order[~(alone[1:] & alone[:-1])]  # only segments that have an equal one need their places in order
+        few = few[np.lexsort((lo[few], rk[few], doc[few], s[few], h[few]))]
+        again, keep = np.zeros(len(h), bool), np.ones(len(h), bool)
+        if len(few):
+            a, b = few[:-1], few[1:]
+            same = (h[a] == h[b]) & (s[a] == s[b])
+            again[b] = same
+            keep[b] = ~(same & (doc[a] == doc[b]) & (rk[a] == rk[b]) & (lo[a] == lo[b]))  # a repeated row of the input
+        k = np.where(again, (doc ^ rk) + lo * np.int64(0x9E3779B97F4A7C1), h)
+        return pd.DataFrame({"h": h[keep], "s": s[keep], "doc": doc[keep], "rk": rk[keep], "lo": lo[keep].astype(np.int32),
+                             "n": n[keep].astype(np.int32), "again": again[keep], "k": k[keep]})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         parts, size = [], 0
@@ -112,8 +120,8 @@ def _anchors(length: int, gram: int, held: int):
                     keys.append(np.full(len(h), rk, np.int64))
                     digests += [xxhash.xxh64_intdigest(data[a:a + n]) for a, n in zip(starts.tolist(), sizes.tolist())]
                 h, starts, sizes = (np.concatenate(x) for x in zip(*found))
-                parts.append(pd.DataFrame({"h": h, "s": np.array(digests, np.uint64).view(np.int64), "doc": np.concatenate(docs),
-                                           "rk": np.concatenate(keys), "lo": starts.astype(np.int32), "n": sizes.astype(np.int32)}))
+                parts.append((h, np.array(digests, np.uint64).view(np.int64), np.concatenate(docs), np.concatenate(keys),
+                              starts, sizes))
                 size += len(h)
                 if size >= held:
                     yield settled(parts)
@@ -161,7 +169,7 @@ def _sift(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 class RunLengthIndex:
-    """Run-compressed Burrows-Wheeler transform of texts, each closed by a mark of its own."""
+    """Run-compressed Burrows-Wheeler transform of texts, each closed by a mark of its own.  Bytes up to 254, as in UTF-8."""
 
     def __init__(self, texts: list[bytes], length: int = LENGTH):
         joined = np.frombuffer(b"\0".join(texts) + b"\0", np.uint8).astype(np.int64) + 1
@@ -179,6 +187,8 @@ class RunLengthIndex:
         smaller = np.zeros(len(head), np.int64)
         smaller[by_symbol] = np.r_[0, np.cumsum(self.run_size[by_symbol])[:-1]]
         self.run_lf = smaller  # row of the suffix one symbol longer than that of the run's first row
+        self.length = length
+        self.run_of = np.repeat(np.arange(len(head), dtype=np.int32), self.run_size)  # directory: run of a row
         same = self._agree(rows, grams, length)
         self.interval_start = np.flatnonzero(np.r_[True, ~same])
         self.interval_size = np.diff(np.r_[self.interval_start, self.n])
@@ -187,32 +197,38 @@ class RunLengthIndex:
         self.end_row = self.end_row[self.ends]
 
     def _suffixes(self, symbols: np.ndarray, length: int) -> tuple[np.ndarray, list[tuple[int, np.ndarray]]]:
-        """Sorted suffixes by doubling; and the ranks of the strings of the sizes met on the way up to ``length``."""
+        """Sorted suffixes: ranks of strings of one size give those of three times the size (twice, for a very large text);
+        and the ranks of the largest size up to ``length``."""
         n = len(symbols)
-        key, alive = np.zeros(n, np.uint64), np.ones(n, bool)
-        padded = np.r_[symbols, np.zeros(8, np.int64)]
-        size, grams = min(7, length), []
-        for j in range(size):
-            now = np.where(alive, padded[j:j + n], 0)
-            key = (key << np.uint64(9)) | now.astype(np.uint64)
-            alive &= now > 0
         left = np.repeat(self.ends, self.sizes + 1) - np.arange(n)  # symbols before the mark
+        size, grams = min(8, length), []
+        padded = np.r_[symbols, np.zeros(8, np.int64)].astype(np.uint64)
+        key = np.zeros(n, np.uint64)
+        for j in range(size):
+            key = (key << np.uint64(8)) | padded[j:j + n]
+        short = np.flatnonzero(left < size)  # nothing counts after the mark
+        keep = (8 * (size - left[short])).astype(np.uint64)
+        key[short] = (key[short] >> keep) << keep
+        bits, times = (21, 3) if n < 1 << 21 else (32, 2)
         while True:
-            order = np.argsort(key, kind="quicksort")
+            order = np.argsort(key)
             sorted_key = key[order]
             rank = np.empty(n, np.int64)
             rank[order] = np.cumsum(np.r_[0, sorted_key[1:] != sorted_key[:-1]])
             if size <= length:
-                grams.append((size, rank))
+                grams = [(size, rank)]
             if size > left.max():
                 break
-            further = np.zeros(n, np.int64)
-            inside = np.flatnonzero(left >= size)
-            further[inside] = rank[inside + size] + 1
-            key = (rank.astype(np.uint64) << np.uint64(32)) | further.astype(np.uint64)
-            size *= 2
+            key = rank
+            for k in range(1, times):
+                further = np.zeros(n, np.int64)
+                inside = np.flatnonzero(left >= k * size)
+                further[inside] = rank[inside + k * size] + 1
+                key = (key << bits) | further
+            key = key.view(np.uint64)
+            size *= times
         # Suffixes that end alike differ by their marks, which count in text order.
-        return np.lexsort((np.arange(n), rank)), grams[-1:] + [(0, left)]
+        return np.argsort((rank << 32) | np.arange(n)), [*grams, (0, left)]
 
     @staticmethod
     def _agree(rows: np.ndarray, grams: list[tuple[int, np.ndarray]], length: int) -> np.ndarray:
@@ -233,7 +249,7 @@ class RunLengthIndex:
 
     def step(self, rows: np.ndarray) -> np.ndarray:
         """LF: the rows of the suffixes one symbol longer."""
-        run = np.searchsorted(self.run_start, rows, side="right") - 1
+        run = self.run_of[rows]
         return self.run_lf[run] + rows - self.run_start[run]
 
     def repeated(self) -> tuple[np.ndarray, np.ndarray]:
@@ -246,6 +262,8 @@ class RunLengthIndex:
         found_at, found_in = [], []
         for back in range(1, len(active) + 1):
             rows = self.step(rows[:active[back - 1]])
+            if back < self.length:
+                continue  # too little is left for a match of that length
             interval = np.searchsorted(self.interval_start, rows, side="right") - 1
             some = np.flatnonzero(self.interval_size[interval] > 1)
             if len(some):
