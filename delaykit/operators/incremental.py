@@ -53,7 +53,9 @@ def insert_if_absent(batch: DataFrame, stored_hashes: DataFrame, pos_col: str |
     """
     hashed = batch.withColumn(hash_name, content_hash(batch, hash_cols))
     order = [pos_col] if isinstance(pos_col, str) else list(pos_col)
-    firsts = hashed.groupBy(hash_name).agg(F.min(F.struct(*order)).alias("__first"))
+    # A single position is a plain minimum (hash aggregate); several are compared as a struct.
+    least = F.struct(F.min(order[0]).alias(order[0])) if len(order) == 1 else F.min(F.struct(*order))
+    firsts = hashed.groupBy(hash_name).agg(least.alias("__first"))
     stored = stored_hashes.select(F.col("content_hash").alias("__h")).distinct()
     wanted = (firsts.join(stored, firsts[hash_name] == stored["__h"], "left_anti")
                     .select(F.col(hash_name).alias("__hash"), *[F.col(f"__first.`{c}`").alias(f"__p{i}") for i, c in enumerate(order)]))

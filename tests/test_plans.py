@@ -37,3 +37,34 @@ def test_equality_filter_is_pushed_to_scan(spark):
 def test_projection_is_pruned_at_scan(spark):
     text = plan_text(QUERIES["missing_keys"](spark, SF_SMALL))
     assert "ReadSchema: struct<doc_id:bigint>" in text
+
+
+def test_keep_none_is_one_pass(spark):
+    text = plan_text(QUERIES["keep_unique_keys"](spark, SF_SMALL))
+    assert "Join" not in text and text.count("Scan parquet") <= 2  # tree and details
+
+
+def test_insert_if_absent_groups_narrow_rows(spark):
+    text = plan_text(QUERIES["insert_if_absent"](spark, SF_SMALL))
+    assert "SortAggregate" not in text  # min_by over texts would need one
+
+
+def test_day_numbering_windows_only_the_offsets(spark):
+    text = plan_text(QUERIES["weather_request_batches"](spark, SF_SMALL))
+    assert "row_number" not in text
+
+
+def test_kfold_baseline_reads_its_rows_once(spark):
+    text = plan_text(QUERIES["kfold_baseline_mse"](spark, SF_SMALL))
+    assert "SortMergeJoin" not in text
+
+
+def test_building_an_enrichment_runs_no_job(spark):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("build-only", "building a plan")
+    try:
+        QUERIES["enrich_left_join"](spark, SF_SMALL)
+        ran = [j for j in tracker.getJobIdsForGroup("build-only")]
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(ran) <= 2  # schema reads of the two files
