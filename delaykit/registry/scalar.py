@@ -89,12 +89,15 @@ def format_minute(spark, d):
 
 @register("convert_timezone", """
     SELECT event_id,
-           strftime(timezone('UTC', timezone('Europe/Berlin', date_trunc('minute', ts))), '%Y-%m-%dT%H:%M') AS utc_text
+           strftime(timezone('UTC', timezone('Europe/Berlin', date_trunc('day', ts) + to_minutes(720 + minute(ts))
+                                              + to_days(CAST(event_id % 365 AS INTEGER)))), '%Y-%m-%dT%H:%M') AS utc_text
     FROM events
 """)
 def convert_timezone(spark, d):
     ev = table(spark, d, "events")
-    local = F.date_trunc("minute", "ts").cast("timestamp_ntz")
+    # Noons spread over a year: summer and standard time (the hours of the changes themselves are in the tests).
+    noon = F.timestamp_add("MINUTE", 720 + F.minute("ts"), F.date_trunc("day", "ts").cast("timestamp_ntz"))
+    local = F.timestamp_add("DAY", (F.col("event_id") % 365).cast("int"), noon)
     return ev.select("event_id", TF.format_minute(TF.convert_timezone(local, "Europe/Berlin", "UTC")).alias("utc_text"))
 
 
