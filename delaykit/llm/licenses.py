@@ -3,7 +3,13 @@
 The k-grams of a template's words are winnowed (the smallest hash of every ``window`` neighbours) into an inverted index
 from hash to (template, place).  A text's k-grams are looked up; hits of one template on nearly one diagonal are a
 candidate.  The template is then aligned with the text around it in a band about that diagonal: matches score 1, other
-words and gaps cost a half.  Reported are the matched words, their share of the template (coverage) and the span.
+words and gaps cost a half.  Reported are the matched words, their share of the template (coverage) and the span; of
+templates that match the same span, the one with the most matched words, then the largest coverage (all of them if equal).
+A notice of at most ``SHORT`` words must hold just the template's deciding words (license names, ``nc``, ``sharealike``, versions, ...), so a
+short template doesn't take the license beside it.
+
+The set: short notices, headers or conditions of the licenses in ``TEMPLATES``, the ``CC-BY`` family in versions 3.0 and
+4.0, ``SPDX-License-Identifier`` lines of the identifiers in ``SPDX_IDS``, and "All rights reserved".
 
 The index holds templates only, a bounded parameter, and travels with the tasks; texts are read once, without a shuffle.
 """
@@ -20,7 +26,7 @@ from pyspark.sql import functions as F
 
 from delaykit.llm.common import texts_of
 
-GRAM, WINDOW, BAND, COVERAGE = 3, 2, 6, 0.8
+GRAM, WINDOW, BAND, COVERAGE, SHORT = 3, 2, 6, 0.8, 16
 WORD = re.compile(r"[^\W_]+")
 
 # Common license notices, each under its SPDX identifier.
@@ -59,7 +65,69 @@ TEMPLATES = {
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
         "distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
     "Unlicense": "This is free and unencumbered software released into the public domain.",
+    "0BSD": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE"),
+    "AGPL-3.0": "Licensed under the GNU Affero General Public License, version 3.",
+    "AGPL-3.0-or-later": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public "
+        "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later "
+        "version."),
+    "All-rights-reserved": "All rights reserved.",
+    "BSD-2-Clause-notice": "Released under the BSD 2-Clause License.",
+    "BSD-3-Clause": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+        "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of "
+        "conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, "
+        "this list of conditions and the following disclaimer in the documentation and/or other materials provided with the "
+        "distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
+        "promote products derived from this software without specific prior written permission."),
+    "BSD-3-Clause-notice": "Released under the BSD 3-Clause License.",
+    "BSL-1.0": "Distributed under the Boost Software License, Version 1.0.",
+    "CC0-1.0": "Licensed under CC0 1.0 Universal.",
+    "CC0-1.0-dedication": (
+        "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
+    "EPL-2.0": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which "
+        "is available at https://www.eclipse.org/legal/epl-2.0/"),
+    "EPL-2.0-notice": "Licensed under the Eclipse Public License, Version 2.0.",
+    "GPL-2.0": "This work is licensed under the GNU General Public License, version 2.",
+    "GPL-2.0-or-later": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
+        "License as published by the Free Software Foundation, either version 2 of the License, or (at your option) any later "
+        "version."),
+    "LGPL-2.1": "Licensed under the GNU Lesser General Public License, version 2.1.",
+    "LGPL-2.1-or-later": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+        "Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any "
+        "later version."),
+    "LGPL-3.0": "Licensed under the GNU Lesser General Public License, version 3.",
+    "LGPL-3.0-or-later": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public "
+        "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later "
+        "version."),
+    "MPL-2.0-notice": "Licensed under the Mozilla Public License, Version 2.0.",
+    "Zlib": (
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable "
+        "for any damages arising from the use of this software."),
 }
+for _id, _words in {"BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-NC": "Attribution-NonCommercial",
+                    "BY-ND": "Attribution-NoDerivatives", "BY-NC-SA": "Attribution-NonCommercial-ShareAlike",
+                    "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives"}.items():
+    for _version, _where in (("4.0", "International"), ("3.0", "Unported")):
+        TEMPLATES.setdefault(f"CC-{_id}-{_version}-notice", f"Licensed under CC {_id} {_version}.")
+        TEMPLATES.setdefault(f"CC-{_id}-{_version}-text", "This work is licensed under a Creative Commons "
+                             f"{_words} {_version} {_where} License.")
+del TEMPLATES["CC-BY-NC-4.0-notice"], TEMPLATES["CC-BY-4.0-text"]  # CC-BY-NC-4.0 and CC-BY-4.0 above
+SPDX_IDS = ("0BSD AGPL-3.0-only AGPL-3.0-or-later Apache-2.0 Artistic-2.0 BSD-2-Clause BSD-3-Clause BSL-1.0 CC-BY-4.0 "
+            "CC-BY-SA-4.0 CC-BY-NC-4.0 CC0-1.0 EPL-1.0 EPL-2.0 EUPL-1.2 GPL-2.0 GPL-2.0-only GPL-2.0-or-later GPL-3.0 GPL-3.0-only "
+            "GPL-3.0-or-later ISC LGPL-2.1-only LGPL-2.1-or-later LGPL-3.0-only LGPL-3.0-or-later MIT MIT-0 MPL-2.0 Unlicense "
+            "WTFPL Zlib").split()
+TEMPLATES |= {f"{_id}-spdx": f"SPDX-License-Identifier: {_id}" for _id in SPDX_IDS}
+
+# Words that tell short notices apart, besides numbers and SPDX identifiers' words.
+DECIDING = frozenset("cc cc0 by nc sa nd noncommercial sharealike noderivatives lesser affero library mozilla eclipse boost "
+                     "creative gnu reserved".split()) | {w.lower() for i in SPDX_IDS for w in WORD.findall(i)}
 
 
 def gram_keys(ids: np.ndarray, k: int) -> np.ndarray:
@@ -85,6 +153,7 @@ class LicenseIndex:
         words = [[w.lower() for w in WORD.findall(t)] for t in templates.values()]
         self.vocab = {w: i for i, w in enumerate(sorted({w for ws in words for w in ws}))}
         self.templates = [self.numbers(ws) for ws in words]
+        self.deciding = np.array([i for w, i in self.vocab.items() if w in DECIDING or w.isdigit()], np.int64)
         marks = []
         for t, ids in enumerate(self.templates):
             keys = gram_keys(ids, min(gram, len(ids)))
@@ -140,9 +209,19 @@ def align(template: np.ndarray, ids: np.ndarray, diagonal: int, band: int) -> tu
     return max(row[:width], key=lambda c: (c[0], c[1], -c[2]))[1:]
 
 
+def decided(index: LicenseIndex, t: int, span: np.ndarray) -> bool:
+    """Whether a short template and the text's ``span`` hold the same deciding words; long templates always."""
+    own = index.templates[t]
+    if len(own) > SHORT:
+        return True
+    a, b = (np.sort(x[np.isin(x, index.deciding)]) for x in (own, span))
+    return np.array_equal(a, b)
+
+
 def scan(text: str | None, index: LicenseIndex, band: int = BAND, coverage: float = COVERAGE, everywhere: bool = False) -> list[tuple]:
     """(license, coverage, matched words, start, end, first word, last word), in text order; of overlapping matches of one
-    template the best.  ``everywhere`` aligns at every place instead of asking the index (for tests)."""
+    template the best, of templates that share most of a span those with the most matched words, then the largest coverage.
+    ``everywhere`` aligns at every place instead of asking the index (for tests)."""
     words = WORD.findall(text) if text else []
     ids = index.numbers(words)
     found = [(t, d) for t in range(len(index.templates)) for d in range(-len(index.templates[t]), len(ids))] if everywhere \
@@ -152,13 +231,23 @@ def scan(text: str | None, index: LicenseIndex, band: int = BAND, coverage: floa
     hits = []
     for t, diagonal in found:
         size = len(index.templates[t])
+        near = set(ids[max(0, diagonal - band):max(0, diagonal + size + 2 * band)].tolist())
+        if sum(w in near for w in index.templates[t].tolist()) < coverage * size:  # no alignment has more
+            continue
         matched, first, last = align(index.templates[t], ids, diagonal, band)
-        if size and matched >= coverage * size:
+        if size and matched >= coverage * size and decided(index, t, ids[first:last + 1]):
             hits.append((t, -matched, last - first, first, last))
     kept: list[tuple] = []
     for t, matched, _, first, last in sorted(hits):
         if not any(k[0] == t and first <= k[4] and k[3] <= last for k in kept):
             kept.append((t, -matched, 0, first, last))
+    shared = lambda a, b: 2 * (min(a[4], b[4]) - max(a[3], b[3]) + 1) > min(a[4] - a[3], b[4] - b[3]) + 1
+    best: list[tuple] = []
+    rank = lambda k: (k[1], k[1] / len(index.templates[k[0]]))
+    for hit in sorted(kept, key=rank, reverse=True):
+        if not any(rank(k) > rank(hit) and shared(k, hit) for k in best):
+            best.append(hit)
+    kept = best
     if not kept:
         return []
     places = [m.span() for m in WORD.finditer(text)]
@@ -176,7 +265,7 @@ def license_matches(docs: DataFrame, templates: dict[str, str] | None = None, gr
     ``coverage``), ``matched_words``, ``start``/``stop`` (characters), ``first_word``/``last_word``.
 
     A match has ``gram + window - 1`` template words in a row, so up to that many differ nowhere.  Null and empty texts hold
-    none; repeated rows repeat; equal matches of two templates are both reported; extra columns are ignored; an empty table
+    none; repeated rows repeat; of templates that match one span the best, equally good ones all; extra columns are ignored; an empty table
     or no templates give no rows."""
     index = LicenseIndex(TEMPLATES if templates is None else templates, gram, window)
 
