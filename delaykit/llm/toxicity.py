@@ -3,7 +3,9 @@
 Chains are sentences (cut after ``.``, ``!``, ``?`` and at line ends); the labels are *toxic* and *other*.  A token's
 features are its word, the words beside it and its shape; two-state transitions couple neighbours.  Token labels come from
 the document labels: a word is taken as toxic in a toxic document if toxic documents hold it far more often than clean
-ones, more than chance explains for any word of the sample, and after many different words.  The field is fitted to the chains by gradient steps on the exact likelihood; scoring runs
+ones, more than chance explains for any word of the sample; a document counts once for each context of the word, so near
+copies add no evidence.  If no single word is that certain, words are taken together if those found in half of the documents
+mark the toxic ones of the other half.  The field is fitted to the chains by gradient steps on the exact likelihood; scoring runs
 forward-backward over every chain of every text, and the marginals add up to the document's score, fitted on the labelled
 documents.  Offending spans are runs of tokens with a marginal of at least a half.
 """
@@ -24,8 +26,9 @@ from delaykit.llm.common import crc_mod, texts_of
 from delaykit.session import materialize
 
 MAX_ROWS, MAX_CHAINS, MAX_WORDS = 6_000, 20_000, 4_000  # what the fit reads at most: documents, chains, known words
-MAX_CHAIN = 200  # tokens of a chain used in the fit
-MIN_SHARE, MIN_LIFT, CHANCE = 0.04, 12.0, 0.01  # of a toxic word; CHANCE: that any word is taken as toxic by luck
+MAX_CHAIN = 200  # tokens of a chain in the fit; longer ones are cut into pieces
+MIN_LIFT, CHANCE = 12.0, 0.01  # of a toxic word; CHANCE: that any word is taken as toxic by luck
+JOINT_LIFT, JOINT_CHANCE = 3.0, 0.05  # of each word where only words together are certain
 EDGE = ".,;:!?()[]{}<>\"'`#$%&*|-_=+~^/\\"
 SHAPES = 4
 
@@ -208,6 +211,39 @@ def _evidence_udf(model: Field, spans: bool):
     return find
 
 
+def _evidence_of_words(uses: DataFrame) -> DataFrame:
+    """(w, bad, good): distinct contexts of each word in toxic and in clean documents, one a document."""
+    return (uses.groupBy("w", "context").agg(F.max("label").alias("bad"), (1 - F.min("label")).alias("good"))
+            .groupBy("w").agg(F.sum("bad").cast("long").alias("bad"), F.sum("good").cast("long").alias("good")))
+
+
+def _likely(words: DataFrame, bad_n: int, good_n: int, least: float = MIN_LIFT) -> list[tuple[str, float]]:
+    """(word, chance of its evidence) of words far more frequent in toxic documents, at most MAX_WORDS."""
+    lift = (F.col("bad") + 0.1) / bad_n / ((F.col("good") + 0.5) / good_n)
+    found = words.filter((F.col("bad") >= 2) & (lift >= least)).orderBy(F.desc("bad"), "w").limit(MAX_WORDS).collect()
+    return [(r.w, binomial_tail(r.bad, r.bad + r.good, bad_n / (bad_n + good_n))) for r in found]
+
+
+def _joint(uses: DataFrame, sizes: dict[int, int]) -> set[str]:
+    """Words that are likely each and certain together: those likely in one half of the documents mark more toxic documents
+    of the other half than chance explains, both ways round."""
+    half = F.pmod("d", F.lit(2))
+    bad_n, good_n, likely = max(1, sizes[1] // 2), max(1, sizes[0] // 2), []
+    for k in (0, 1):
+        found = [w for w, p in _likely(_evidence_of_words(uses.filter(half == k)), bad_n, good_n, JOINT_LIFT) if p < 0.5]
+        if not found:
+            return set()
+        marked = (uses.filter(half == 1 - k).join(F.broadcast(uses.sparkSession.createDataFrame([(w,) for w in found], "w string")), "w")
+                  .groupBy("d").agg(F.max("label").alias("label")))  # broadcast: at most MAX_WORDS rows
+        n = {r.label: r.n for r in marked.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+        bad, good = n.get(1, 0), n.get(0, 0)
+        if not bad or binomial_tail(bad, bad + good, bad_n / (bad_n + good_n)) >= CHANCE / 2:
+            return set()
+        likely.append(found)
+    every = dict(_likely(_evidence_of_words(uses), sizes[1], sizes[0], JOINT_LIFT))
+    return {w for w in {*likely[0], *likely[1]} if every.get(w, 1) < JOINT_CHANCE}
+
+
 def fit(docs: DataFrame, labels: DataFrame, usable, column: str = "toxic", max_rows: int = MAX_ROWS,
         max_chains: int = MAX_CHAINS) -> Field:
     """Fits on at most ``max_rows`` labelled documents (half of each label, the first by the hash of the id) for which
@@ -227,24 +263,18 @@ def fit(docs: DataFrame, labels: DataFrame, usable, column: str = "toxic", max_r
     empty = Field({}, *[np.zeros(1) for _ in range(3)], np.zeros(SHAPES), np.zeros((2, 2)))
     if not sizes.get(1) or not sizes.get(0):
         return empty
-    # Words with the tokens before them: copies of one document repeat these, uses of a word don't.
+    # Words with the two tokens on either side: near copies of a document repeat these, uses of a word or a phrase don't.
     tokens = F.split("text", r"\s+")
     core = F.regexp_replace(F.lower("x.w"), r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", "")
+    near = lambda i: F.xxhash64(*[F.get("t", i + k) for k in (-2, -1, 1, 2)])
     words = (sample.withColumn("t", tokens).select("label", F.xxhash64("text").alias("d"), F.explode(F.transform(
-        "t", lambda w, i: F.struct(w.alias("w"), F.xxhash64(F.get("t", i - 1)).alias("before")))).alias("x"))
-        .select("label", "d", core.alias("w"), "x.before").filter("w <> ''"))
-    by_doc = words.groupBy("w", "d").agg(F.max("label").alias("label")).groupBy("w").agg(
-        F.sum("label").cast("long").alias("bad"), F.sum(1 - F.col("label")).cast("long").alias("good"))
-    words_n = materialize(by_doc, "words")
+        "t", lambda w, i: F.struct(w.alias("w"), near(i).alias("context")))).alias("x"))
+        .select("label", "d", core.alias("w"), "x.context").filter("w <> ''"))
+    uses = words.groupBy("w", "d").agg(F.max("label").alias("label"), F.min("context").alias("context"))
+    words_n = materialize(_evidence_of_words(uses), "words")
     bad_n, good_n = sizes[1], sizes[0]
-    lift = (F.col("bad") + 0.1) / bad_n / ((F.col("good") + 0.5) / good_n)
-    likely = words_n.filter((F.col("bad") >= max(2.0, MIN_SHARE * bad_n)) & (lift >= MIN_LIFT)).orderBy(
-        F.desc("bad"), "w").limit(MAX_WORDS)
-    uses = words.filter("label = 1").join(F.broadcast(likely.select("w")), "w").groupBy("w").agg(
-        F.count_distinct("before").alias("uses"))
     chance = CHANCE / max(1, words_n.count())
-    toxic = {r.w for r in likely.join(uses, "w").collect() if 2 * r.uses >= r.bad
-             and binomial_tail(r.bad, r.bad + r.good, bad_n / (bad_n + good_n)) < chance}
+    toxic = {w for w, p in _likely(words_n, bad_n, good_n) if p < chance} or _joint(uses, sizes)
     if not toxic:
         return empty
     common = [r.w for r in words_n.orderBy(F.desc(F.col("bad") + F.col("good")), "w").limit(MAX_WORDS).collect()]
@@ -260,9 +290,9 @@ def fit(docs: DataFrame, labels: DataFrame, usable, column: str = "toxic", max_r
                         if w is not None:
                             chain.append(w)
                         if chain and (w is None or w[-1] in ".!?"):
-                            gold = [int(label == 1 and x.strip(EDGE).lower() in toxic) for x in chain]
-                            if len(chain) <= MAX_CHAIN:
-                                found[" ".join(chain), "".join(map(str, gold)), any(gold)] += 1
+                            for piece in (chain[lo:lo + MAX_CHAIN] for lo in range(0, len(chain), MAX_CHAIN)):
+                                gold = [int(label == 1 and x.strip(EDGE).lower() in toxic) for x in piece]
+                                found[" ".join(piece), "".join(map(str, gold)), any(gold)] += 1
                             chain = []
             yield pd.DataFrame([(*k, n) for k, n in found.items()], columns=["words", "gold", "has", "n"]).astype(
                 {"words": str, "gold": str, "has": bool, "n": "int64"})
