@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -63,3 +67,16 @@ def broadcast_if_within(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast hint behind a check of the size: a job counts at most ``max_rows + 1`` rows; a larger
     side gets no hint and is joined by a shuffle."""
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
+def map_rows(df: DataFrame, fn: Callable[..., tuple], ddl: str) -> DataFrame:
+    """``fn`` of the values of each row gives a row of ``ddl``; values stay exact (Arrow, long ids beside nulls too)."""
+    schema = to_arrow_schema(StructType.fromDDL(ddl))
+
+    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            rows = [fn(*values) for values in zip(*(c.to_pylist() for c in part.columns))]
+            columns = list(zip(*rows)) if rows else [()] * len(schema)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+    return df.mapInArrow(batches, ddl)

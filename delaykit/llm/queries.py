@@ -10,9 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from delaykit.llm.common import LOWER, UPPER, prepare_workers, table
 from delaykit.llm.decontaminate import contamination
 from delaykit.llm.embedding_dedup import near_vectors
+from delaykit.llm.fim import fim_digest
 from delaykit.llm.licenses import license_matches
 from delaykit.llm.lm import scores
 from delaykit.llm.packing import pack
+from delaykit.llm.periodic import run_digest
 from delaykit.llm.quality import quality
 from delaykit.llm.simhash import near_duplicates
 from delaykit.llm.suffix_dedup import remove_repeats
@@ -107,3 +109,31 @@ def op5_suffix_dedup(spark, d):
 @query("op3_license_scan")
 def op3_license_scan(spark, d):
     return license_matches(table(spark, d, "documents"))
+
+
+@query("op11_fill_in_middle", r"""
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS s,
+                      regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u
+               FROM documents),
+    h AS (SELECT *, len(u) AS n, CAST('0x' || substr(s, 1, 8) AS UBIGINT) AS h1, CAST('0x' || substr(s, 9, 8) AS UBIGINT) AS h2,
+                 CAST('0x' || substr(s, 17, 8) AS UBIGINT) AS h3, CAST('0x' || substr(s, 25, 8) AS UBIGINT) AS h4 FROM d),
+    c AS (SELECT *, CAST(least(h1 % (n + 1), h2 % (n + 1)) AS BIGINT) AS a, CAST(greatest(h1 % (n + 1), h2 % (n + 1)) AS BIGINT) AS b,
+                 CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+                      WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM h),
+    p AS (SELECT *, array_to_string(u[1:a], '') AS pre, array_to_string(u[a + 1:b], '') AS mid,
+                 array_to_string(u[b + 1:n], '') AS suf FROM c)
+    SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+           CASE WHEN form <> 'plain' THEN CAST(length(pre) AS BIGINT) END AS prefix_chars,
+           CASE WHEN form <> 'plain' THEN CAST(length(mid) AS BIGINT) END AS middle_chars,
+           sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                  ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+           sha256(t) AS restored_sha256
+    FROM p
+""")
+def op11_fill_in_middle(spark, d):
+    return fim_digest(table(spark, d, "documents"))
+
+
+@query("op13_periodic_runs")
+def op13_periodic_runs(spark, d):
+    return run_digest(table(spark, d, "documents"))
