@@ -69,6 +69,13 @@ def broadcast_if_within(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
+def broadcast_within(df: DataFrame, max_bytes: int) -> DataFrame | None:
+    """``df`` with a broadcast hint if its values measured as text stay within ``max_bytes`` (rows count 16 bytes each),
+    else nothing; one job adds up the lengths."""
+    size = F.sum(F.lit(16) + sum((F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0)) for c in df.columns), F.lit(0)))
+    return F.broadcast(df) if (df.agg(size).first()[0] or 0) <= max_bytes else None
+
+
 def map_rows(df: DataFrame, fn: Callable[..., tuple], ddl: str) -> DataFrame:
     """``fn`` of the values of each row gives a row of ``ddl``; values stay exact (Arrow, long ids beside nulls too)."""
     schema = to_arrow_schema(StructType.fromDDL(ddl))

@@ -20,6 +20,7 @@ from delaykit.llm.simhash import near_duplicates
 from delaykit.llm.suffix_dedup import remove_repeats
 from delaykit.llm.toxicity import toxicity
 from delaykit.llm.warc import capture_histories
+from delaykit.llm.wrappers import extract
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -137,3 +138,8 @@ def op11_fill_in_middle(spark, d):
 @query("op13_periodic_runs")
 def op13_periodic_runs(spark, d):
     return run_digest(table(spark, d, "documents"))
+
+
+@query("op12_html_text")
+def op12_html_text(spark, d):
+    return extract(table(spark, d, "pages"))
