@@ -340,20 +340,16 @@ def parse(page_id, url, host, source) -> tuple:
     for node, b in zip(nodes, page.blocks):
         chars[node] += len(b[1])
         links[node] += b[2]
-    blocks = [{"node": node, "text": b[1], "keep": k, "links": b[2], "linked": links[node] >= LINKED * chars[node]}
-              for node, b, k in zip(nodes, page.blocks, keep)]
+    blocks = [{"node": node, "text": b[1], "links": b[2], "linked": links[node] >= LINKED * chars[node]}
+              for node, b, k in zip(nodes, page.blocks, keep) if k]
     longest = max((b[1] for b, k in zip(page.blocks, keep) if k), key=lambda t: (len(t), t), default="")
     return (page_id, url, host, _hash("\n".join(sorted(upper))), "\n".join(f"{d} {label}" for d, label in tree), len(tree),
             free, _hash(longest), blocks)
 
 
 _PARSED = ("page_id long, url string, host string, kind long, skeleton string, nodes int, free boolean, main long, "
-           "blocks array<struct<node:int,text:string,keep:boolean,links:int,linked:boolean>>")
-_ALIGNED = ("host string, kind long, main long, blocks array<struct<slot:int,text:long,chars:int,links:int>>")
-
-
-def _slots(skeleton, wrapper):
-    return list(align(skeleton, wrapper)) if wrapper is not None else []
+           "blocks array<struct<node:int,text:string,links:int,linked:boolean>>")
+_VOTES = "host string, kind long, pages long, main long, blocks array<struct<slot:int,text:long,chars:long,links:long>>"
 
 
 def wrappers(parsed: DataFrame) -> DataFrame:
@@ -363,24 +359,30 @@ def wrappers(parsed: DataFrame) -> DataFrame:
     chosen = hosted.groupBy("host", "kind").agg(
         F.min_by("skeleton", F.struct("nodes", "skeleton")).alias("wrapper"), F.count_distinct("main").alias("pages"))
     chosen = chosen.filter(F.col("pages") >= MIN_PAGES)
-    rows = _with_class(hosted.select("host", "kind", "skeleton", "main", "blocks"), chosen.select("host", "kind", "wrapper"), "inner")
-
-    def vote(host, kind, skeleton, main, blocks, wrapper):
-        slots = align(skeleton, wrapper)
-        return host, kind, main, [{"slot": slots[b["node"]], "text": _hash(b["text"]), "chars": len(b["text"]),
-                                   "links": b["links"]} for b in blocks if slots[b["node"]] >= 0]
-
-    votes = map_rows(rows.select("host", "kind", "skeleton", "main", "blocks", "wrapper"), vote, _ALIGNED)
-    each = votes.select("host", "kind", "main", F.inline("blocks"))
-    per_text = each.groupBy("host", "kind", "slot", "text", "main").agg(F.sum("chars").alias("chars"), F.sum("links").alias("links"))
-    counts = per_text.groupBy("host", "kind", "slot", "text").agg(
-        F.count(F.lit(1)).alias("votes"), F.sum("chars").alias("chars"), F.sum("links").alias("links"))
-    sums = counts.join(chosen.select("host", "kind", "pages"), ["host", "kind"])
+    rows = _with_class(hosted.select("host", "kind", "skeleton", "main", "blocks"), chosen, "inner")
+
+    def vote(host, kind, skeleton, main, blocks, wrapper, pages):
+        slots, sums = align(skeleton, wrapper), defaultdict(lambda: [0, 0])
+        for b in blocks:
+            if slots[b["node"]] >= 0:
+                own = sums[slots[b["node"]], _hash(b["text"])]
+                own[0] += len(b["text"])
+                own[1] += b["links"]
+        return host, kind, pages, main, [{"slot": s, "text": t, "chars": c, "links": n} for (s, t), (c, n) in sums.items()]
+
+    votes = map_rows(rows.select("host", "kind", "skeleton", "main", "blocks", "wrapper", "pages"), vote, _VOTES)
+    chars, links = F.max("chars").alias("chars"), F.max("links").alias("links")
+    per_page = votes.select("host", "kind", "pages", "main", F.inline("blocks")).groupBy(
+        "host", "kind", "pages", "slot", "text", "main").agg(chars, links)
+    chars, links = F.sum("chars").alias("chars"), F.sum("links").alias("links")
+    per_text = per_page.groupBy("host", "kind", "pages", "slot", "text").agg(F.count(F.lit(1)).alias("votes"), chars, links)
     constant = F.col("votes") >= F.greatest(F.lit(MIN_PAGES), F.ceil(F.col("pages") * CONSTANT))
-    template = sums.filter(constant).groupBy("host", "kind").agg(F.collect_set(F.struct("slot", "text")).alias("template"))
-    menus = (counts.groupBy("host", "kind", "slot").agg(F.sum("chars").alias("chars"), F.sum("links").alias("links"))
-             .filter(F.col("links") >= LINKED * F.col("chars")).groupBy("host", "kind").agg(F.collect_set("slot").alias("menus")))
-    return (chosen.select("host", "kind", "wrapper").join(template, ["host", "kind"], "left").join(menus, ["host", "kind"], "left"))
+    per_slot = per_text.groupBy("host", "kind", "slot").agg(F.collect_set(F.when(constant, F.col("text"))).alias("texts"), chars, links)
+    marked = F.transform("texts", lambda t: F.struct(F.col("slot").alias("slot"), t.alias("text")))
+    slots = per_slot.groupBy("host", "kind").agg(
+        F.flatten(F.collect_list(marked)).alias("template"),
+        F.collect_list(F.when(F.col("links") >= LINKED * F.col("chars"), F.col("slot"))).alias("menus"))
+    return chosen.select("host", "kind", "wrapper").join(slots, ["host", "kind"], "left")
 
 
 def _with_class(rows: DataFrame, classes: DataFrame, how: str) -> DataFrame:
@@ -408,7 +410,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
         for b in blocks:
             slot = slots[b["node"]] if slots else -1
             menu = free and (slot in listed if slot >= 0 else b["linked"])
-            if b["keep"] and not menu and not (gone and (slot, _hash(b["text"])) in gone):
+            if not menu and not (gone and (slot, _hash(b["text"])) in gone):
                 kept.append(b["text"])
         text = "\n".join(kept)
         return page_id, url, text, len(text)
