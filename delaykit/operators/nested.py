@@ -97,6 +97,11 @@ def _flatten_fields(dtype: T.DataType, path: list[str], array_slots: int):
         yield path
 
 
+def flatten_paths(dtype: T.DataType) -> list[list[str]]:
+    """Paths of the leaves of a schema; an array counts as a leaf."""
+    return list(_flatten_fields(dtype, [], 0))
+
+
 def flatten(df: DataFrame, column: str | None = None, sep: str = "_", array_slots: int = 0) -> DataFrame:
     """Flatten nested structs to leaf columns named by the path joined with ``sep``.
 

@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 
 from delaykit import schemas
 from delaykit.operators.incremental import insert_if_absent
-from delaykit.operators.nested import collect_nested, flatten, flights_of, infer_flight, pages_of, repair_lone_flight, repaired_page
-from delaykit.sources.files import list_files, read_csv_by_name, read_landing, readable, unreadable
-from delaykit.sources.sinks import append_new_rows, quarantine, read_target, table_exists, write_csv, write_json
+from delaykit.operators.documents import KNOWN_FLIGHT_PATHS, document_flights, flatten_documents, materialized_flights, pages_of_documents
+from delaykit.operators.nested import collect_nested, flatten, flights_of, infer_flight, pages_of, repair_lone_flight
+from delaykit.session import materialize
+from delaykit.sources.files import list_files, read_csv_by_name, read_documents, read_landing, readable, unreadable, unreadable_pages
+from delaykit.sources.sinks import append_new_rows, append_rows, quarantine, read_target, table_exists, write_csv, write_json
 
 FILE = ["file_path", "file_name"]
 
@@ -67,44 +69,70 @@ def consolidated(flights: DataFrame, files: DataFrame | None = None) -> DataFram
                 .select(*FILE, "metadata", F.coalesce("flights", none).alias("flights")))
 
 
+def flat_documents(flights: DataFrame) -> DataFrame:
+    """``flat_flights`` of flights kept as VARIANT: the known leaves, then every other leaf that occurs."""
+    return flatten_documents(flights, "flight", [*FILE, "page_pos", "flight_pos"], KNOWN_FLIGHT_PATHS)
+
+
+def consolidated_documents(flights: DataFrame, files: DataFrame) -> DataFrame:
+    """Per landed file ``{metadata, flights: [..]}`` in landed order (N3), metadata and flights with all their leaves.
+
+    ``files``: (file_path, file_name, metadata); files without a flight have an empty array."""
+    texts = flights.select(*FILE, F.struct("page_pos", "flight_pos").alias("__pos"), F.to_json("flight").alias("flight"))
+    nested = collect_nested(texts, FILE, "__pos", ["flight"], "flights").select(
+        F.col("file_path").alias("__path"), F.transform("flights", lambda x: F.parse_json(x["flight"])).alias("flights"))
+    meta = files.select(*FILE, F.try_parse_json("metadata").alias("metadata"))
+    return (meta.join(nested, F.col("file_path") == F.col("__path"), "left")
+                .select(*FILE, "metadata", F.coalesce("flights", F.array().cast("array<variant>")).alias("flights")))
+
+
 def day_download(spark: SparkSession, landing_path: str, out_base: str, api_name: str = "flightstatus") -> DataFrame:
-    """Raw landed JSON -> consolidated JSON and flat CSV, both partitioned by day.
+    """Raw landed JSON -> consolidated JSON and flat CSV, both partitioned by day (S18), with every leaf that occurs.
 
     A run replaces the days it holds and leaves the others alone.  A file's day is the date its range starts on, or
-    that of its earliest flight.  Files that can't be read are appended to ``{out_base}/quarantine``."""
-    landing = read_landing(spark, landing_path, api_name, flight_as_text=True)
-    quarantine(unreadable(landing), f"{out_base}/quarantine")
+    that of its earliest flight.  Files and pages that can't be read are appended to ``{out_base}/quarantine``."""
+    landing = read_documents(spark, landing_path)
     good = readable(landing)
-    fl = _flights(good, api_name)
-    docs = consolidated(fl, good.select(*FILE, "metadata"))
-    first = F.array_min(F.transform("flights", lambda x: x["Departure"]["ScheduledTimeLocal"]["DateTime"]))
-    day = F.coalesce(F.substring("metadata.start_range", 1, 10), F.substring(first, 1, 10), F.lit("unknown"))
+    pages = pages_of_documents(good, api_name, keep=FILE)
+    quarantine(unreadable(landing).unionByName(unreadable_pages(pages)), f"{out_base}/quarantine")
+    fl = materialized_flights(pages, [*FILE, "page_pos"])
+    docs = consolidated_documents(fl, good.select(*FILE, "metadata"))
+    first = F.array_min(F.transform("flights", lambda x: F.try_variant_get(x, "$.Departure.ScheduledTimeLocal.DateTime", "string")))
+    start = F.try_variant_get("metadata", "$.start_range", "string")
+    day = F.coalesce(F.substring(start, 1, 10), F.substring(first, 1, 10), F.lit("unknown"))
     write_json(docs.withColumn("day", day), f"{out_base}/consolidated", partition_by=["day"])
-    flat = flat_flights(fl).withColumn(
-        "flight_date", F.substring("Departure_ScheduledTimeLocal_DateTime", 1, 10))
+    flat = flat_documents(fl).withColumn("flight_date", F.substring("Departure_ScheduledTimeLocal_DateTime", 1, 10))
     # Rows of a day come together (a large day in several parts), so a day is a few files, not one a task.
     write_csv(flat.hint("rebalance", "flight_date"), f"{out_base}/flat", partition_by=["flight_date"])
     return flat
 
 
+def raw_pages(landing: DataFrame, api_name: str = "flightstatus") -> DataFrame:
+    """Pages of landed documents as the page store keeps them: ``page`` (VARIANT) and its canonical text ``page_json``
+    (names in order), by which pages are compared."""
+    pages = pages_of_documents(landing, api_name, keep=FILE).filter("page IS NOT NULL")
+    return pages.select(*FILE, "page_pos", "page", F.to_json("page").alias("page_json"))
+
+
 def store_raw_pages(spark: SparkSession, landing_path: str, target: str, api_name: str = "flightstatus",
                     quarantine_target: str | None = None) -> DataFrame:
-    """Raw pages into the page store when not already there (E1 stage 1, J6 + D4).
+    """Raw pages into the page store when not already there (E1 stage 1, J6 + D4), as whole documents.
 
-    Pages are compared by a content hash of their JSON; the store keeps the hash.  Files that can't be read are
-    appended to ``quarantine_target`` (default: the target's name with ``_quarantine``).
+    Pages are compared by a content hash of their canonical JSON; the store keeps the hash and the page as VARIANT.  Files
+    and pages that can't be read are appended to ``quarantine_target`` (default: the target's name with ``_quarantine``).
     """
-    landing = read_landing(spark, landing_path, api_name, flight_as_text=True)
-    quarantine(unreadable(landing), quarantine_target or f"{target}_quarantine")
-    pages = pages_of(readable(landing), api_name, keep=FILE)
-    pages = pages.withColumn("page_json", F.to_json(repaired_page(pages)))
+    landing = read_documents(spark, landing_path)
+    good = readable(landing)
+    bad = unreadable(landing).unionByName(unreadable_pages(pages_of_documents(good, api_name, keep=FILE)))
+    quarantine(bad, quarantine_target or f"{target}_quarantine")
     if table_exists(spark, target):
         stored = read_target(spark, target).select("content_hash")
     else:
         stored = spark.createDataFrame([], "content_hash string")
-    fresh = insert_if_absent(pages.select("file_path", "page_pos", "page_json"), stored,
-                             ["file_path", "page_pos"], ["page_json"])
-    return append_new_rows(spark, fresh.select("content_hash", "page_json"), target)
+    fresh = insert_if_absent(raw_pages(good, api_name), stored, ["file_path", "page_pos"], ["page_json"])
+    fresh = materialize(fresh.select("content_hash", "page"), "fresh-pages")  # the store is read before it is written to
+    append_rows(fresh, target)
+    return fresh
 
 
 def bulk_load_csv(spark: SparkSession, folder: str, target: str, schema=None) -> DataFrame:
@@ -123,8 +151,8 @@ def bulk_load_tables(spark: SparkSession, folders: dict[str, str], schemas_by_ta
 def flights_from_page_store(spark: SparkSession, store: str, all_columns: bool = False) -> DataFrame:
     """E1 stage 2: every stored page (a whole-collection scan, S4) unnested and
     flattened; the ``flights`` table columns (ready for ``append_new_rows``), or
-    every flattened leaf with ``all_columns``."""
-    pages = read_target(spark, store).select(F.from_json("page_json", schemas.resource()).alias("page"))
-    fl = pages.select(F.explode("page.Flights.Flight").alias("flight"))
-    flat = flatten(fl, "flight")
+    every leaf of the stored documents with ``all_columns``."""
+    fl = document_flights(read_target(spark, store), keep=[])
+    paths = None if all_columns else []
+    flat = flatten_documents(fl, "flight", known=KNOWN_FLIGHT_PATHS, paths=paths)
     return flat if all_columns else flights_table(flat)

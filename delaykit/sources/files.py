@@ -44,6 +44,29 @@ def read_landing(spark: SparkSession, path: str, api_name: str = "flightstatus",
     return with_file(df)
 
 
+def document_schema() -> T.StructType:
+    """A landed file with its pages and metadata as JSON text, so that no leaf is lost to a schema."""
+    return T.StructType.fromDDL("metadata string, data array<string>, _corrupt_record string")
+
+
+def read_documents(spark: SparkSession, path: str, glob: str | None = "*.json") -> DataFrame:
+    """Landed API files (S1) with every page kept as text, whatever leaves it has; see ``operators.documents``.
+
+    Like ``read_landing``, a file that can't be read has ``_corrupt_record``."""
+    reader = (spark.read.schema(document_schema()).option("multiLine", True)
+                   .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record"))
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    return with_file(reader.json(path))
+
+
+def unreadable_pages(pages: DataFrame) -> DataFrame:
+    """(file_path, reason, record) of the pages of ``operators.documents.pages_of_documents`` that aren't JSON or lack the
+    container (a NULL page in the file's list included): the record is the page's text."""
+    return pages.filter("page IS NULL").select("file_path", F.concat(F.lit("page "), "page_pos").alias("reason"),
+                                               F.col("page_text").alias("record"))
+
+
 def with_file(df: DataFrame) -> DataFrame:
     return df.withColumn("file_path", F.col("_metadata.file_path")).withColumn("file_name", F.col("_metadata.file_name"))
 

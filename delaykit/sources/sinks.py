@@ -39,8 +39,13 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", partition_by: S
 
 
 def quarantine(bad: DataFrame, target: str) -> int:
-    """Append files that lost something (``sources.files.unreadable``) to the quarantine table and return their
-    number; a clean landing writes nothing."""
+    """Append files and pages that lost something (``sources.files.unreadable``, ``unreadable_pages``) to the quarantine
+    table and return the number added; a clean landing writes nothing.  What the table lists already isn't added again, so
+    a run or micro-batch that is repeated leaves one entry."""
+    spark = bad.sparkSession
+    bad = bad.dropDuplicates(["file_path", "reason"])
+    if table_exists(spark, target):
+        bad = bad.join(read_target(spark, target).select("file_path", "reason"), ["file_path", "reason"], "left_anti").select(*bad.columns)
     bad = materialize(bad, "quarantine")
     n = bad.count()
     if n:
