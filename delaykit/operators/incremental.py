@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from delaykit.operators.joins import null_safe_condition
@@ -102,6 +102,81 @@ def early_stop_flags(batch: DataFrame, stored_hashes: DataFrame, file_col: str,
     return batch.join(flags, [file_col, pos_col])
 
 
+def early_stop_across_files(batch: DataFrame, stored_hashes: DataFrame, file_col: str, pos_col: str,
+                            hash_cols: Sequence[str], max_hits: int = 5, force_test_all: bool = False) -> DataFrame:
+    """``early_stop_flags`` of a whole backlog in which a file sees what the files before it (by ``file_col``) inserted,
+    as the sequential find-then-insert loop has it (D5).
+
+    A distributed fixed point: with a stop assumed for every file, a document is a hit when it is stored, stands earlier in
+    its own file, or stands before the stop of an earlier file; the hits give new stops.  Rounds repeat until no stop
+    moves.  The stop of the first file never depends on others, so each round settles one more file of every chain of
+    files at least; the fixed point is unique and equals the loop.  Rounds needed: the longest chain of files each of whose
+    stops decides the next one's, usually two or three, and one without stops.
+
+    Work a round: one aggregate and join over the narrow rows of contents that several files hold, and the first
+    ``max_hits + 1`` hits of a file (a ranking limit applied before the shuffle, so a hot file isn't gathered).  Everything
+    else about a document is settled once, before the rounds.
+
+    Adds ``is_hit``, ``hits_before`` (hits counted before the document; those behind the stop don't count) and
+    ``inserted``; ``is_hit`` behind a file's stop says what a test would have found.  (``file_col``, ``pos_col``) must be
+    unique; positions are integers.
+    """
+    narrow = batch.select(F.col(file_col).alias("__file"), F.col(pos_col).alias("__p"), content_hash(batch, hash_cols).alias("__h"))
+    narrow = materialize(narrow, "early-stop")
+    stored = stored_hashes.select(F.col("content_hash").alias("__h"), F.lit(True).alias("__stored")).distinct()
+    first_in_file = narrow.groupBy("__file", "__h").agg(F.min("__p").alias("__first"))
+    shared = narrow.groupBy("__h").agg((F.min("__file") != F.max("__file")).alias("__shared"))
+    own = F.coalesce("__stored", F.lit(False)) | (F.col("__p") > F.col("__first"))
+    marked = materialize(
+        narrow.join(first_in_file, ["__file", "__h"]).join(shared, "__h").join(stored, "__h", "left")
+              .select("__file", "__p", "__h", own.alias("__own"), (F.col("__shared") & ~own).alias("__open")), "early-stop-marked")
+    # First copies in their files of contents that several files hold: only these depend on other files' stops.
+    opened = materialize(marked.filter("__open").select("__file", "__p", "__h"), "early-stop-open")
+    own_hits = materialize(_first_positions(marked.filter("__own"), max_hits + 1), "early-stop-own")
+
+    def inserting(stops: DataFrame | None) -> DataFrame:
+        """(content, first file that inserts it) for contents that several files hold."""
+        live = opened if stops is None else opened.join(stops, "__file", "left").filter(F.col("__stop").isNull() | (F.col("__p") < F.col("__stop")))
+        return live.groupBy("__h").agg(F.min("__file").alias("__g"))
+
+    def hits_of(firsts: DataFrame) -> DataFrame:
+        return opened.join(firsts, "__h").filter(F.col("__g") < F.col("__file")).select("__file", "__p")
+
+    stops = None
+    while not force_test_all:
+        ranked = _first_positions(own_hits.unionByName(hits_of(inserting(stops))), max_hits + 1)
+        new = materialize(ranked.groupBy("__file").agg(F.max("__p").alias("__stop"), F.count(F.lit(1)).alias("__n"))
+                                .filter(F.col("__n") > max_hits).select("__file", "__stop"), "early-stop-stops")
+        if stops is None:
+            moved = not new.isEmpty()
+        else:
+            before = stops.withColumnRenamed("__stop", "__was")
+            moved = not new.join(before, "__file", "full").filter(~F.col("__stop").eqNullSafe(F.col("__was"))).isEmpty()
+        stops = new
+        if not moved:
+            break
+    firsts = inserting(stops)
+    crossed = opened.join(firsts, "__h").select("__file", "__p", (F.col("__g") < F.col("__file")).alias("__crossed"))
+    flags = marked.join(crossed, ["__file", "__p"], "left").select(
+        "__file", "__p", (F.col("__own") | F.coalesce("__crossed", F.lit(False))).alias("is_hit"))
+    flags = materialize(flags, "early-stop-flags")
+    if stops is None:
+        counted = running_count(flags, ["__file"], "__p", F.col("is_hit"), "hits_before").withColumn("inserted", ~F.col("is_hit"))
+    else:
+        counts = F.col("__stop").isNull() | (F.col("__p") < F.col("__stop"))
+        ended = flags.join(stops, "__file", "left").withColumn("__counts", counts)
+        counted = running_count(ended, ["__file"], "__p", F.col("is_hit") & F.col("__counts"), "hits_before")
+        counted = counted.withColumn("inserted", ~F.col("is_hit") & F.col("__counts"))
+    found = counted.select(F.col("__file").alias(file_col), F.col("__p").alias(pos_col), "is_hit", "hits_before", "inserted")
+    return batch.join(found, [file_col, pos_col])
+
+
+def _first_positions(hits: DataFrame, n: int) -> DataFrame:
+    """The ``n`` smallest positions of every file; the rank limit is applied in each task before the shuffle."""
+    rank = F.row_number().over(Window.partitionBy("__file").orderBy("__p"))
+    return hits.select("__file", "__p").withColumn("__rank", rank).filter(F.col("__rank") <= n).select("__file", "__p")
+
+
 def file_outcomes(flags: DataFrame, file_col: str, max_hits: int = 5, force_test_all: bool = False) -> DataFrame:
     """Per-file summary of ``early_stop_flags``: inserted count and whether the
     file counts as fully added (False once ``max_hits`` hits were counted)."""

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from delaykit import schemas
 from delaykit.operators.incremental import insert_if_absent
-from delaykit.operators.documents import KNOWN_FLIGHT_PATHS, document_flights, flatten_documents, materialized_flights, pages_of_documents
+from delaykit.operators.documents import (KNOWN_FLIGHT_PATHS, document_flights, flatten_documents, materialized_flights,
+                                          pages_of_documents, variant_path)
 from delaykit.operators.nested import collect_nested, flatten, flights_of, infer_flight, pages_of, repair_lone_flight
 from delaykit.session import materialize
 from delaykit.sources.files import list_files, read_csv_by_name, read_documents, read_landing, readable, unreadable, unreadable_pages
@@ -115,13 +116,13 @@ def raw_pages(landing: DataFrame, api_name: str = "flightstatus") -> DataFrame:
 
 
 def store_raw_pages(spark: SparkSession, landing_path: str, target: str, api_name: str = "flightstatus",
-                    quarantine_target: str | None = None) -> DataFrame:
+                    quarantine_target: str | None = None, glob: str | None = "*.json") -> DataFrame:
     """Raw pages into the page store when not already there (E1 stage 1, J6 + D4), as whole documents.
 
     Pages are compared by a content hash of their canonical JSON; the store keeps the hash and the page as VARIANT.  Files
     and pages that can't be read are appended to ``quarantine_target`` (default: the target's name with ``_quarantine``).
     """
-    landing = read_documents(spark, landing_path)
+    landing = read_documents(spark, landing_path, glob)
     good = readable(landing)
     bad = unreadable(landing).unionByName(unreadable_pages(pages_of_documents(good, api_name, keep=FILE)))
     quarantine(bad, quarantine_target or f"{target}_quarantine")
@@ -148,11 +149,15 @@ def bulk_load_tables(spark: SparkSession, folders: dict[str, str], schemas_by_ta
     return {t: bulk_load_csv(spark, folder, t, (schemas_by_target or {}).get(t)) for t, folder in folders.items()}
 
 
-def flights_from_page_store(spark: SparkSession, store: str, all_columns: bool = False) -> DataFrame:
+def flights_from_page_store(spark: SparkSession, store: str, all_columns: bool = False,
+                            page_leaves: dict[str, tuple] | None = None) -> DataFrame:
     """E1 stage 2: every stored page (a whole-collection scan, S4) unnested and
     flattened; the ``flights`` table columns (ready for ``append_new_rows``), or
-    every leaf of the stored documents with ``all_columns``."""
-    fl = document_flights(read_target(spark, store), keep=[])
-    paths = None if all_columns else []
-    flat = flatten_documents(fl, "flight", known=KNOWN_FLIGHT_PATHS, paths=paths)
-    return flat if all_columns else flights_table(flat)
+    every leaf of the stored flights with ``all_columns``.  ``page_leaves`` adds
+    leaves of the page itself, by name."""
+    page_leaves = page_leaves or {}
+    pages = read_target(spark, store).select("page", *[
+        F.try_variant_get("page", variant_path(p), "string").alias(name) for name, p in page_leaves.items()])
+    fl = document_flights(pages, keep=list(page_leaves))
+    flat = flatten_documents(fl, "flight", list(page_leaves), KNOWN_FLIGHT_PATHS, paths=None if all_columns else [])
+    return flat if all_columns else flat.select(*schemas.FLIGHT_TABLE_COLUMNS, *page_leaves)

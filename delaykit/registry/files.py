@@ -9,13 +9,16 @@ from pyspark.sql import functions as F
 from delaykit.functions.timefmt import format_minute
 from delaykit.operators.dedup import union_ragged
 from delaykit.operators.nested import flatten
-from delaykit.plans.ingest import bulk_load_csv, day_download
+from delaykit.plans.ingest import bulk_load_csv, day_download, flights_from_page_store, store_raw_pages
 from delaykit.registry.base import register, table
 from delaykit.session import scratch_path
 from delaykit.sources.files import read_csv
 from delaykit.sources.sinks import append_rows, create_table, read_target, replace_table, write_csv, write_json
 
 
+PAGE = 500  # flights of a landed page
+
+
 def _folder(spark, name: str) -> str:
     return scratch_path(spark, f"delaykit-{name}-{uuid.uuid4().hex}")
 
@@ -87,20 +90,25 @@ def csv_bulk_load(spark, d):
     FROM orders
 """)
 def day_download_roundtrip(spark, d):
-    """Orders as landed flight files, one document for the first of every month; odd and even months are downloaded apart."""
+    """Orders as landed flight files for the first of every month, one of about ``PAGE`` flights a page; odd and even months
+    are downloaded apart."""
     o = table(spark, d, "orders").withColumn("at", format_minute(F.date_trunc("month", "o_orderdate")))
     flight = F.struct(
         F.struct(F.col("o_orderstatus").alias("AirportCode"), F.struct(F.col("at").alias("DateTime")).alias("ScheduledTimeLocal")).alias("Departure"),
         F.struct(F.col("o_orderkey").cast("string").alias("FlightNumber")).alias("MarketingCarrier"))
-    months = o.groupBy(F.substring("at", 1, 7).alias("month")).agg(F.collect_list(flight).alias("flights"))
+    month = F.substring("at", 1, 7)
+    sizes = o.groupBy(month.alias("month")).agg(F.ceil(F.count(F.lit(1)) / PAGE).alias("pages"))
+    dealt = o.withColumn("month", month).join(sizes, "month").withColumn("page", F.pmod(F.xxhash64("o_orderkey"), "pages"))
+    months = dealt.groupBy("month", "page").agg(F.collect_list(flight).alias("flights"))
     page = F.struct(F.struct(F.struct(F.col("flights").alias("Flight")).alias("Flights"),
                              F.struct(F.size("flights").alias("TotalCount"), F.struct(F.lit("u?x").alias("@Href")).alias("Link")).alias("Meta")
                              ).alias("FlightStatusResource"))
-    docs = months.select("month", F.struct(F.concat("month", F.lit("-01T00:00")).alias("start_range")).alias("metadata"), F.array(page).alias("data"))
+    docs = months.select("month", "page", F.struct(F.concat("month", F.lit("-01T00:00")).alias("start_range")).alias("metadata"), F.array(page).alias("data"))
     landing, out = _folder(spark, "landing"), _folder(spark, "download")
-    write_json(docs.withColumn("part", F.col("month")).repartition("part").drop("month"), landing, partition_by=["part"])  # one document a file
-    day_download(spark, landing + "/part=*-{01,03,05,07,09,11}", out)
-    day_download(spark, landing + "/part=*-{02,04,06,08,10,12}", out)
+    parts = docs.withColumn("part", F.col("month")).withColumn("file", F.col("page")).drop("month", "page")
+    write_json(parts.repartition("part", "file"), landing, partition_by=["part", "file"])  # one document a file
+    day_download(spark, landing + "/part=*-{01,03,05,07,09,11}/*", out)
+    day_download(spark, landing + "/part=*-{02,04,06,08,10,12}/*", out)
     flat = spark.read.option("header", True).option("inferSchema", False).csv(out + "/flat")
     return flat.select(F.col("MarketingCarrier_FlightNumber").alias("flight_number"), F.col("Departure_AirportCode").alias("departure"),
                        F.col("Departure_ScheduledTimeLocal_DateTime").alias("scheduled"), F.col("flight_date").cast("string").alias("flight_date"))
@@ -118,3 +126,41 @@ def flatten_ragged(spark, d):
     gated = o.filter("o_orderkey % 2 = 1").select("key", F.struct(
         F.col("o_orderstatus").alias("code"), F.struct(F.col("o_orderpriority").alias("name")).alias("gate")).alias("a"))
     return union_ragged(flatten(plain), flatten(gated)).select("key", "a_code", "a_gate_name", "b")
+
+
+# Conversations as landed pages, a turn a flight, with leaves that only some turns have and one of two types.
+@register("ragged_documents", """
+    SELECT CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) AS flight_number, role AS departure,
+           CASE WHEN turn % 2 = 1 THEN text END AS codeshare,
+           CASE WHEN turn % 3 = 0 THEN CAST(turn AS VARCHAR) END AS stop_0, CASE WHEN turn % 3 = 0 THEN CAST(turn + 1 AS VARCHAR) END AS stop_1,
+           CASE WHEN turn % 2 = 0 THEN CAST(length(text) AS VARCHAR) ELSE '{"of":"' || role || '"}' END AS note,
+           'v' || CAST(conv_id % 3 AS VARCHAR) AS version
+    FROM conversations
+""")
+def ragged_documents(spark, d):
+    """Landed twice and stored once as whole documents; every leaf comes back, the unknown ones of flights and pages too."""
+    c = table(spark, d, "conversations")
+    number = F.concat_ws("-", "conv_id", "turn")
+    odd, third = F.col("turn") % 2 == 1, F.col("turn") % 3 == 0
+    note = F.when(odd, F.to_json(F.struct(F.struct(F.col("role").alias("of")).alias("Note")))).otherwise(
+        F.to_json(F.struct(F.length("text").alias("Note"))))
+    flight = F.to_json(F.struct(
+        F.struct(F.col("role").alias("AirportCode")).alias("Departure"), F.struct(number.alias("FlightNumber")).alias("MarketingCarrier"),
+        F.when(odd, F.struct(F.struct(F.col("text").alias("words")).alias("Partner"))).alias("Codeshare"),
+        F.when(third, F.array("turn", F.col("turn") + 1)).alias("Stops")))
+    joined = F.concat(F.expr("substring(flight, 1, length(flight) - 1)"), F.lit(","), F.expr("substring(note, 2)"))
+    turns = c.select("conv_id", "turn", flight.alias("flight"), note.alias("note")).select("conv_id", "turn", joined.alias("flight"))
+    pages = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "flight"))).alias("f")).select(
+        "conv_id", F.format_string('{"FlightStatusResource":{"Flights":{"Flight":[%s]},"Meta":{"Version":"v%s"}}}',
+                                   F.array_join(F.transform("f", lambda x: x["flight"]), ","), F.col("conv_id") % 3).alias("page"))
+    files = pages.groupBy(F.floor(F.col("conv_id") / 50).alias("file")).agg(F.array_join(F.sort_array(F.collect_list("page")), ",").alias("p"))
+    landing, store = _folder(spark, "landing"), _folder(spark, "pages")
+    for copy in range(2):
+        docs = files.select("file", F.format_string('{"metadata":{"copy":%s},"data":[%s]}', F.lit(copy), F.col("p")).alias("value"))
+        docs.repartition("file").write.mode("append").partitionBy("file").option("compression", "none").text(f"{landing}/{copy}")
+    for copy in range(2):
+        store_raw_pages(spark, f"{landing}/{copy}/*", store, glob=None)
+    flights = flights_from_page_store(spark, store, all_columns=True, page_leaves={"version": ("Meta", "Version")})
+    return flights.select(F.col("MarketingCarrier_FlightNumber").alias("flight_number"), F.col("Departure_AirportCode").alias("departure"),
+                          F.col("Codeshare_Partner_words").alias("codeshare"), F.col("Stops_0").alias("stop_0"),
+                          F.col("Stops_1").alias("stop_1"), F.col("Note").alias("note"), "version")

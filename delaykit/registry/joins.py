@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from delaykit.operators.incremental import content_hash, early_stop_flags, insert_if_absent
+from delaykit.operators.incremental import content_hash, early_stop_across_files, early_stop_flags, insert_if_absent
 from delaykit.operators.joins import (
     distinct_then_enrich, enrich, join_on_keys, lookup_or_null, missing_keys, zip_checked,
 )
@@ -125,3 +125,29 @@ def early_stop_insert(spark, d):
     flags = early_stop_flags(docs.select("doc_id", "source", "text"), _stored_hashes(docs),
                              "source", "doc_id", ["text"], max_hits=5)
     return flags.filter("inserted").select("doc_id", "source")
+
+
+# The sequential loop, one document a step: files by name, what a file inserts is seen by all later ones; Spanish texts are stored.
+@register("early_stop_across_files", """
+    WITH RECURSIVE d AS (
+        SELECT row_number() OVER (ORDER BY source, doc_id) AS i, doc_id, source, md5(text) AS h,
+               text IN (SELECT text FROM documents WHERE lang = 'es') AS known
+        FROM documents),
+    step AS (
+        SELECT CAST(0 AS BIGINT) AS i, CAST(NULL AS BIGINT) AS doc_id, CAST('' AS VARCHAR) AS source, FALSE AS inserted,
+               CAST(0 AS BIGINT) AS hits, FALSE AS ended, CAST([] AS VARCHAR[]) AS seen
+        UNION ALL
+        SELECT i, doc_id, source, NOT hit AND NOT over AS inserted, before + CAST(hit AND NOT over AS BIGINT) AS hits,
+               over AS ended, CASE WHEN NOT hit AND NOT over THEN list_append(seen, h) ELSE seen END AS seen
+        FROM (SELECT *, was_over OR (hit AND before >= 5) AS over
+              FROM (SELECT d.*, step.seen, known OR list_contains(step.seen, d.h) AS hit,
+                           CASE WHEN d.source = step.source THEN step.hits ELSE 0 END AS before,
+                           d.source = step.source AND step.ended AS was_over
+                    FROM step JOIN d ON d.i = step.i + 1)))
+    SELECT source, doc_id, hits FROM step WHERE inserted
+""")
+def q_early_stop_across_files(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "source", "text", "lang")
+    known = docs.filter("lang = 'es'").select(content_hash(docs, ["text"]).alias("content_hash"))
+    flags = early_stop_across_files(docs, known, "source", "doc_id", ["text"], max_hits=5)
+    return flags.filter("inserted").select("source", "doc_id", F.col("hits_before").alias("hits"))

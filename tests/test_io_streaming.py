@@ -238,6 +238,59 @@ def test_page_store_stream_early_stop_across_files(spark, tmp_path):
     assert sorted(r.file_name for r in got.collect()) == ["a.json"] * 4
 
 
+def test_page_store_stream_takes_a_backlog_in_one_batch(spark, tmp_path):
+    from delaykit.streaming.ingest import start_page_store_ingest
+    drop = tmp_path / "landed"
+    drop.mkdir()
+    pages = [_page([_flight(f"2024-09-06T0{i}:00", extra=i == 5)], 1, f"u{i}?a") for i in range(8)]
+    pages[5]["FlightStatusResource"]["Meta"]["Version"] = "2"
+    for k, name in enumerate(["c", "b", "a"]):  # arrival order, not the order of names
+        held = [pages[:4], pages, pages[5:] + [{"Other": 1}]][k]
+        (drop / f"{name}.json").write_text(json.dumps(_landing(held)))
+        os.utime(drop / f"{name}.json", (1_700_000_000 + k, 1_700_000_000 + k))
+    store = str(tmp_path / "store")
+    query = start_page_store_ingest(spark, str(drop), store, str(tmp_path / "ck"), max_hits=2)
+    query.awaitTermination()
+    got = spark.read.parquet(store)
+    assert {(r.file_name, r.page_pos) for r in got.collect()} == {("c.json", p) for p in range(4)} | {("a.json", p) for p in range(3)}
+    assert {r.batch_id for r in got.collect()} == {0}
+    leaves = got.select(F.try_variant_get("page", "$.Meta.Version", "string").alias("v"),
+                        F.try_variant_get("page", "$.Flights.Flight[0].Unexpected.x", "int").alias("x")).filter("v IS NOT NULL OR x IS NOT NULL")
+    assert [tuple(r) for r in leaves.collect()] == [("2", 1)]
+    bad = spark.read.parquet(store + "_quarantine").collect()
+    assert [(r.file_path.rsplit("/", 1)[-1], r.reason, r.record) for r in bad] == [("a.json", "page 3", '{"Other": 1}')]
+
+
+def test_unknown_leaves_survive_store_and_download(spark, landing_dir, tmp_path):
+    doc = _landing([_page([{**_flight("2024-09-07T08:00"), "Codeshare": {"Code": 7, "code": "low"}, "Stops": ["AA", {"q": 1}],
+                            "Arrival": "JFK as text"}], 1, "u?a")])
+    doc["metadata"]["operator"] = "night shift"
+    doc["data"][0]["FlightStatusResource"]["Meta"]["Version"] = 3
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text(json.dumps(doc))
+    store, out = str(tmp_path / "store"), str(tmp_path / "out")
+    ingest.store_raw_pages(spark, str(tmp_path / "in"), store)
+    flat = ingest.flights_from_page_store(spark, store, all_columns=True, page_leaves={"version": ("Meta", "Version")})
+    row = flat.first().asDict()
+    assert (row["Codeshare_Code"], row["Codeshare_code__2"], row["Arrival"], row["version"]) == ("7", "low", "JFK as text", "3")
+    assert (row["Stops_0"], row["Stops_1"]) == ("AA", '{"q":1}')
+    ingest.store_raw_pages(spark, landing_dir, store)  # other leaves meet the stored ones
+    both = ingest.flights_from_page_store(spark, store, all_columns=True)
+    assert both.count() == 62 and {"Unexpected_x", "Codeshare_Code"} <= set(both.columns)
+    ingest.day_download(spark, str(tmp_path / "in"), out)
+    back = spark.read.json(out + "/consolidated").first()
+    assert back.metadata.operator == "night shift" and back.flights[0].Stops[0] == "AA"
+    assert spark.read.option("header", True).csv(out + "/flat").first()["Stops_1"] == '{"q":1}'
+
+
+def test_quarantine_lists_a_file_once(spark, tmp_path):
+    bad = spark.createDataFrame([("f1", "unreadable", "x"), ("f1", "unreadable", "x"), ("f2", "page 0", None)],
+                                "file_path string, reason string, record string")
+    target = str(tmp_path / "q")
+    assert [sinks.quarantine(bad, target), sinks.quarantine(bad, target)] == [2, 0]
+    assert spark.read.parquet(target).count() == 2
+
+
 def test_dates_without_weather_keyed_by_kind(spark, tmp_path):
     from delaykit.plans.weather import dates_without_weather
     fl, wx = tmp_path / "flights", tmp_path / "weather_hourly"

@@ -13,7 +13,7 @@ from delaykit.functions.text import flight_url, url_base
 from delaykit.operators import profile as P
 from delaykit.operators.dedup import duplicate_count, duplicate_members, keep_unique_keys
 from delaykit.operators.filters import align_time_columns, drop_if_present, TIME_COLUMNS
-from delaykit.operators.incremental import early_stop_flags, file_outcomes, new_rows_only
+from delaykit.operators.incremental import early_stop_across_files, early_stop_flags, file_outcomes, new_rows_only
 from delaykit.operators.nested import flatten, long_to_wide
 from delaykit.operators.ordering import contiguous_folds, row_index, running_count
 from delaykit.plans.airports import clean_airports
@@ -108,6 +108,47 @@ def test_early_stop_matches_sequential_loop(spark, seed, block, monkeypatch):
         assert summary == {f: v for f, v in outcome.items() if files[f]}
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_early_stop_across_files_matches_sequential_loop(spark, seed):
+    from delaykit.operators import incremental
+    rnd = random.Random(seed)
+    vocab = [f"t{i}" for i in range(rnd.choice([8, 30, 80]))]
+    stored = set(rnd.sample(vocab, 3))
+    files = {f"f{j}": [(p, rnd.choice(vocab)) for p in range(rnd.randint(0, 25))] for j in range(9)}
+    batch = spark.createDataFrame([(f, p, t) for f, docs in files.items() for p, t in docs], "file string, pos long, text string")
+    stored_df = spark.createDataFrame([(t,) for t in stored], "text string")
+    stored_h = stored_df.select(incremental.content_hash(stored_df, ["text"]).alias("content_hash"))
+    for hits, force in ((3, False), (0, False), (3, True)):
+        seen, expected = set(stored), {}
+        for f in sorted(files):
+            count, ended = 0, False
+            for p, t in files[f]:
+                hit, before = t in seen, count
+                if hit and not ended:
+                    ended = count >= hits and not force
+                    count += not ended
+                elif not hit and not ended:
+                    seen.add(t)
+                    expected[f, p] = before
+        flags = early_stop_across_files(batch, stored_h, "file", "pos", ["text"], max_hits=hits, force_test_all=force)
+        assert flags.count() == batch.count()
+        assert {(r.file, r.pos): r.hits_before for r in flags.filter("inserted").collect()} == expected
+
+
+def test_early_stop_across_files_on_a_chain(spark):
+    """Each file's stop moves the next one's: file k holds the contents of file k - 1 behind a place it may not reach."""
+    from delaykit.operators import incremental
+    rows = [("a0", 0, "c0"), ("a0", 1, "x0")]
+    for k in range(1, 7):
+        rows += [(f"a{k}", 0, f"c{k - 1}"), (f"a{k}", 1, f"c{k}")]  # a hit (if the file before inserted c) ends the file
+    batch = spark.createDataFrame(rows, "file string, pos long, text string").repartition(3)
+    none = spark.createDataFrame([], "content_hash string")
+    flags = incremental.early_stop_across_files(batch, none, "file", "pos", ["text"], max_hits=0)
+    assert sorted((r.file, r.pos) for r in flags.filter("inserted").collect()) == [
+        ("a0", 0), ("a0", 1), ("a2", 0), ("a2", 1), ("a4", 0), ("a4", 1), ("a6", 0), ("a6", 1)]
+    assert incremental.early_stop_across_files(batch.limit(0), none, "file", "pos", ["text"]).count() == 0
+
+
 def test_running_count_two_level_equals_plain(spark):
     rnd = random.Random(7)
     rows = [(p % 3, p, rnd.random() < 0.4) for p in range(200)]
