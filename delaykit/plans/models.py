@@ -18,6 +18,8 @@ from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression, Rando
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from delaykit.plans import linear, trees
+
 MODEL_NAMES = ("LinearRegression", "DecisionTreeRegressor", "RandomForestRegressor")
 
 # What the models are unless a caller overrides it: ordinary least squares, a tree and a forest of sizes that
@@ -98,28 +100,39 @@ def cv_score(train: DataFrame, name: str, feature_cols: Sequence[str], label_col
     return sum(fold_neg_mse(train, name, feature_cols, i, label_col, fold_col, **overrides) for i in range(k)) / k
 
 
+def _scans(name: str, options: dict) -> bool:
+    """Whether a model is scored on all folds together: the tree, and least squares without penalty or imputed values."""
+    plain = set(options) <= {"missing"} and options.get("missing") != "impute"
+    return name == "HistogramTree" or (name == "LinearRegression" and plain)
+
+
 def score_models(spark: SparkSession, train: DataFrame, feature_cols: Sequence[str],
                  names: Sequence[str] = MODEL_NAMES, label_col: str = "delay_minutes", fold_col: str = "fold",
                  overrides: dict | None = None, k: int = 3, parallelism: int = 9) -> DataFrame:
     """Cross-validated score of every model (M5).
 
-    The ``len(names) x k`` (model, fold) fits are independent Spark jobs over
-    the same (cached) training rows and run concurrently from a driver thread
-    pool, so small jobs overlap instead of queueing.  Returns
-    (model_name, position, score): one row per candidate model.
+    Plain least squares is scored on all folds by one scan (``plans.linear``), a ``HistogramTree`` by one scan a level
+    for all folds (``plans.trees``; overrides: ``depth``, ``cuts``, ``min_rows``).  The (model, fold) fits of the others
+    are independent Spark jobs over the same (cached) training rows and run concurrently from a driver thread pool, so
+    small jobs overlap instead of queueing.  Returns (model_name, position, score): one row per candidate model.
     """
     overrides = overrides or {}
-    tasks = [(n, i) for n in names for i in range(k)]
+    tasks = [(n, i) for n in names for i in ([None] if _scans(n, overrides.get(n, {})) else range(k))]
 
     def run(task):
         name, i = task
-        return fold_neg_mse(train, name, feature_cols, i, label_col, fold_col, **overrides.get(name, {}))
+        options = overrides.get(name, {})
+        if i is not None:
+            return [fold_neg_mse(train, name, feature_cols, i, label_col, fold_col, **options)]
+        if name == "HistogramTree":
+            return list(trees.fold_scores(train, feature_cols, label_col, fold_col, k, **options).values())
+        return list(linear.fold_scores(train, feature_cols, label_col, fold_col, options.get("missing", "error")).values())
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         results = list(pool.map(run, tasks))
     per_model = {n: [] for n in names}
-    for (name, _), score in zip(tasks, results):
-        per_model[name].append(score)
+    for (name, _), scores in zip(tasks, results):
+        per_model[name] += scores
     rows = [(n, i, sum(per_model[n]) / k) for i, n in enumerate(names)]
     return spark.createDataFrame(rows, "model_name string, position int, score double")
 

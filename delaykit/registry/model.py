@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from delaykit.functions.timefmt import format_minute
 from delaykit.operators.ordering import contiguous_folds
+from delaykit.plans import linear, trees
 from delaykit.plans import models as M
 from delaykit.plans.scoring import first_flight_per_request, score_requests
 from delaykit.plans.training import (
@@ -155,6 +156,104 @@ def cv_linear_scores(spark, d):
     return spark.createDataFrame(scores, "fold int, neg_mse double").withColumn("neg_mse", rnd(F.col("neg_mse"), 3))
 
 
+# Three features: Cramer's rule on the covariances of the rows outside a fold.
+def _normal_equations_sql() -> str:
+    def det(a, b, c):
+        return (f"({a[0]} * ({b[1]} * {c[2]} - {b[2]} * {c[1]}) - {b[0]} * ({a[1]} * {c[2]} - {a[2]} * {c[1]})"
+                f" + {c[0]} * ({a[1]} * {b[2]} - {a[2]} * {b[1]}))")
+    cols = [[f"v{min(i, j)}{max(i, j)}" for i in range(1, 4)] for j in range(1, 4)]
+    y = ["c1", "c2", "c3"]
+    base = det(*cols)
+    covs = ", ".join(f"covar_pop(x{i}, x{j}) AS v{i}{j}" for i in range(1, 4) for j in range(i, 4))
+    return f"""
+    k AS (SELECT DISTINCT fold FROM f),
+    s AS (SELECT k.fold, avg(x1) AS m1, avg(x2) AS m2, avg(x3) AS m3, avg(y) AS my, {covs},
+                 covar_pop(x1, y) AS c1, covar_pop(x2, y) AS c2, covar_pop(x3, y) AS c3
+          FROM k JOIN f ON f.fold <> k.fold GROUP BY k.fold),
+    m AS (SELECT *, {det(y, cols[1], cols[2])} / {base} AS b1, {det(cols[0], y, cols[2])} / {base} AS b2,
+                 {det(cols[0], cols[1], y)} / {base} AS b3 FROM s),
+    lin AS (SELECT f.fold, -avg(power(f.y - my - b1 * (x1 - m1) - b2 * (x2 - m2) - b3 * (x3 - m3), 2)) AS neg_mse
+            FROM f JOIN m ON f.fold = m.fold GROUP BY f.fold)"""
+
+
+_FOLDED_SQL = f"""
+    f AS (SELECT CAST(l_quantity AS DOUBLE) AS x1, l_discount * 100.0 AS x2, l_tax * 100.0 AS x3, l_extendedprice / 1000.0 AS y,
+                 CAST(ntile(3) OVER (ORDER BY {', '.join(_FOLD_ORDER)}) - 1 AS INTEGER) AS fold FROM lineitem)"""
+
+
+def _folded(spark, d):
+    li = table(spark, d, "lineitem").select(*_FOLD_ORDER, "l_discount", "l_tax")
+    return materialize(contiguous_folds(li, _FOLD_ORDER, 3).select(
+        F.col("l_quantity").cast("double").alias("x1"), (F.col("l_discount") * 100.0).cast("double").alias("x2"),
+        (F.col("l_tax") * 100.0).cast("double").alias("x3"), (F.col("l_extendedprice") / 1000.0).cast("double").alias("delay_minutes"),
+        "fold"), "folds")
+
+
+@register("cv_linear_one_pass", f"""
+    WITH {_FOLDED_SQL}, {_normal_equations_sql()}
+    SELECT fold, round(neg_mse, 3) AS neg_mse FROM lin
+""")
+def cv_linear_one_pass(spark, d):
+    """Scores of a model of three features on every fold, by one aggregate of the training rows."""
+    scores = linear.fold_scores(_folded(spark, d), ["x1", "x2", "x3"])
+    return spark.createDataFrame(list(scores.items()), "fold int, neg_mse double").withColumn("neg_mse", rnd(F.col("neg_mse"), 3))
+
+
+_CUTS = {"x1": [10.0, 20.0, 30.0, 40.0], "x2": [1.5, 4.5, 7.5]}
+_CUT_ROWS = ", ".join(f"({i}, {c})" for i, cuts in enumerate(_CUTS.values()) for c in cuts)
+
+
+def _tree_sql(rows: str) -> str:
+    """A tree of depth two over the relation ``rows`` (tree, x1, x2, y): the best cut of the root, then of both halves."""
+    def best(level, source):
+        return f"""
+    g{level} AS (SELECT tree, node, feature, cut, count(*) AS n, sum(y) AS s,
+                 count(*) FILTER (WHERE x <= cut) AS nl, coalesce(sum(y) FILTER (WHERE x <= cut), 0) AS sl
+          FROM (SELECT r.tree, r.node, r.y, c.feature, c.cut, CASE c.feature WHEN 0 THEN x1 ELSE x2 END AS x
+                FROM {source} r, (VALUES {_CUT_ROWS}) c(feature, cut)) q GROUP BY tree, node, feature, cut),
+    b{level} AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY tree, node ORDER BY
+                 sl * sl / nl + (s - sl) * (s - sl) / (n - nl) DESC, feature, cut) AS rn FROM g{level} WHERE nl > 0 AND nl < n) q WHERE rn = 1)"""
+    step = "2 * r.node + CASE WHEN CASE b.feature WHEN 0 THEN x1 ELSE x2 END <= b.cut THEN 0 ELSE 1 END"
+    return f"""
+    r0 AS (SELECT tree, 1 AS node, x1, x2, y FROM {rows}), {best(0, 'r0')},
+    r1 AS (SELECT r.tree, {step} AS node, x1, x2, y FROM r0 r JOIN b0 b ON r.tree = b.tree AND r.node = b.node), {best(1, 'r1')},
+    r2 AS (SELECT r.tree, {step} AS node, x1, x2, y FROM r1 r JOIN b1 b ON r.tree = b.tree AND r.node = b.node),
+    leaf AS (SELECT tree, node, count(*) AS n, avg(y) AS value FROM r2 GROUP BY tree, node)"""
+
+
+@register("histogram_tree", f"""
+    WITH {_FOLDED_SQL}, a AS (SELECT 0 AS tree, * FROM f), {_tree_sql('a')}
+    SELECT CAST(node AS INTEGER) AS node, CASE feature WHEN 0 THEN 'x1' ELSE 'x2' END AS feature, CAST(cut AS DOUBLE) AS cut,
+           CAST(n AS BIGINT) AS n, round(s / n, 4) AS value FROM (SELECT node, feature, cut, n, s FROM b0 UNION ALL SELECT node, feature, cut, n, s FROM b1) q
+    UNION ALL SELECT CAST(node AS INTEGER), NULL, NULL, CAST(n AS BIGINT), round(value, 4) FROM leaf
+""")
+def q_histogram_tree(spark, d):
+    """A tree of depth two with given cuts: every node with its split, rows and mean label."""
+    tree = trees.grow(_folded(spark, d), ["x1", "x2"], depth=2, cuts=_CUTS)[0]
+    return spark.createDataFrame(tree.rows(), "node int, feature string, cut double, n long, value double").withColumn(
+        "value", rnd(F.col("value"), 4))
+
+
+@register("select_linear_or_tree", f"""
+    WITH {_FOLDED_SQL}, {_normal_equations_sql()},
+    k2 AS (SELECT DISTINCT fold FROM f), a AS (SELECT k2.fold AS tree, f.* FROM k2 JOIN f ON f.fold <> k2.fold), {_tree_sql('a')},
+    t0 AS (SELECT f.*, 2 + CASE WHEN CASE b.feature WHEN 0 THEN x1 ELSE x2 END <= b.cut THEN 0 ELSE 1 END AS node
+           FROM f JOIN b0 b ON f.fold = b.tree),
+    t1 AS (SELECT t0.* EXCLUDE (node), 2 * t0.node + CASE WHEN CASE b.feature WHEN 0 THEN x1 ELSE x2 END <= b.cut THEN 0 ELSE 1 END AS node
+           FROM t0 JOIN b1 b ON t0.fold = b.tree AND t0.node = b.node),
+    tr AS (SELECT t1.fold, -avg(power(t1.y - leaf.value, 2)) AS neg_mse FROM t1 JOIN leaf ON t1.fold = leaf.tree AND t1.node = leaf.node GROUP BY t1.fold),
+    scores AS (SELECT 'LinearRegression' AS model_name, 0 AS position, avg(neg_mse) AS score FROM lin
+               UNION ALL SELECT 'HistogramTree', 1, avg(neg_mse) FROM tr)
+    SELECT model_name, position, round(score, 3) AS score,
+           model_name = (SELECT model_name FROM scores ORDER BY score DESC, position LIMIT 1) AS is_best FROM scores
+""")
+def select_linear_or_tree(spark, d):
+    """Model selection that SQL can follow: least squares of three features against a tree of depth two, three folds."""
+    options = {"HistogramTree": {"depth": 2, "cuts": _CUTS}}
+    scores = M.score_models(spark, _folded(spark, d), ["x1", "x2", "x3"], ["LinearRegression", "HistogramTree"], overrides=options)
+    return M.select_best(scores).withColumn("score", rnd(F.col("score"), 3))
+
+
 @register("train_select_best")
 def train_select_best(spark, d):
     """All three models with their defaults, three folds (``plans.models.DEFAULTS``)."""
