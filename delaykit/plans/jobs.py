@@ -23,6 +23,7 @@ from delaykit.plans.training import training_table as build_training_table
 from delaykit.plans.weather import request_batches
 from delaykit.session import scratch_tables
 from delaykit.sources.files import read_csv
+from delaykit.sources.ledger import Ledger
 from delaykit.sources.sinks import append_new_rows, read_target, replace_table
 
 
@@ -36,10 +37,17 @@ def prepare_airports(spark: SparkSession, csv_path: str, target: str) -> DataFra
 
 
 def prepare_flights(spark: SparkSession, landing_path: str, page_store: str, flights_target: str,
-                    api_name: str = "flightstatus") -> DataFrame:
-    """Landed pages -> page store (insert if absent) -> ``flights`` table (new rows only)."""
+                    api_name: str = "flightstatus", ledger: str | None = None) -> DataFrame:
+    """Landed pages -> page store (insert if absent) -> ``flights`` table (new rows only).
+
+    ``ledger``: catalog name of the table's ledger of row hashes (``sources.ledger``), by day of the scheduled departure, so
+    that appends don't shuffle the stored rows."""
     ingest.store_raw_pages(spark, landing_path, page_store, api_name)
-    return append_new_rows(spark, ingest.flights_from_page_store(spark, page_store), flights_target)
+    flights = ingest.flights_from_page_store(spark, page_store)
+    if ledger is None:
+        return append_new_rows(spark, flights, flights_target)
+    day = F.substring("Departure_ScheduledTimeUTC_DateTime", 1, 10)
+    return Ledger(spark, ledger, flights_target, day=day).append(flights)
 
 
 def weather_requests(spark: SparkSession, flights_target: str, airports_target: str) -> DataFrame:
@@ -53,7 +61,7 @@ def training_rows(spark: SparkSession, flights_target: str, weather_target: str,
                   feature_cols: Sequence[str] = schemas.WEATHER_VARIABLES) -> DataFrame:
     """Flights cleaned, joined with their weather, label in minutes: one table."""
     flights = features_from_flights(prepare_flights_for_training(read_target(spark, flights_target)))
-    merged = merge_flights_weather(flights, read_target(spark, weather_target))
+    merged = merge_flights_weather(flights, read_target(spark, weather_target), find_hot=True)
     keys = ["Arrival_AirportCode", "Arrival_ScheduledTimeUTC_DateTime", "Departure_ScheduledTimeUTC_DateTime"]
     return build_training_table(merged, keys, feature_cols)
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from delaykit.functions.timefmt import minutes_between, parse_minute_text, strip_marker
 from delaykit.operators.filters import drop_incomplete, select_columns
 from delaykit.operators.joins import join_on_keys, salted_join
+from delaykit.operators.skew import join_hot_keys
 from delaykit.schemas import WEATHER_VARIABLES
 
 ACTUAL = "Arrival_ActualTimeUTC_DateTime"
@@ -30,13 +31,16 @@ def features_from_flights(flights: DataFrame, time_cols: Sequence[str] = (DEPART
 def merge_flights_weather(flights: DataFrame, weather: DataFrame,
                           flight_keys: Sequence[str] = ("Arrival_AirportCode", SCHEDULED),
                           weather_keys: Sequence[str] = ("Airport_Code", "Flight_DateTime"),
-                          salt_buckets: int = 0) -> DataFrame:
+                          salt_buckets: int = 0, find_hot: bool = False) -> DataFrame:
     """Inner join on (airport, minute) (J4); duplicate weather rows fan out.
 
     Both sides shuffle on the two keys; a hub airport holding a large share of
-    the flights is split by AQE's skew handling.  When the weather side also
-    repeats a hot key many times, ``salt_buckets`` > 1 salts the join.
+    the flights is split by AQE's skew handling.  When the weather side may
+    repeat a hot key many times too, ``find_hot`` finds the hot keys (one pass)
+    and salts just those; ``salt_buckets`` > 1 salts every key.
     """
+    if find_hot:
+        return join_hot_keys(flights, weather, list(flight_keys), list(weather_keys))
     if salt_buckets > 1:
         return salted_join(flights, weather, list(flight_keys), list(weather_keys), salt_buckets)
     return join_on_keys(flights, weather, list(flight_keys), list(weather_keys), "inner")

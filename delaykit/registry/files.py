@@ -13,6 +13,7 @@ from delaykit.plans.ingest import bulk_load_csv, day_download, flights_from_page
 from delaykit.registry.base import register, table
 from delaykit.session import scratch_path
 from delaykit.sources.files import read_csv
+from delaykit.sources.ledger import Ledger
 from delaykit.sources.sinks import append_rows, create_table, read_target, replace_table, write_csv, write_json
 
 
@@ -164,3 +165,20 @@ def ragged_documents(spark, d):
     return flights.select(F.col("MarketingCarrier_FlightNumber").alias("flight_number"), F.col("Departure_AirportCode").alias("departure"),
                           F.col("Codeshare_Partner_words").alias("codeshare"), F.col("Stops_0").alias("stop_0"),
                           F.col("Stops_1").alias("stop_1"), F.col("Note").alias("note"), "version")
+
+
+@register("append_with_ledger", """
+    SELECT l_orderkey, l_linenumber, l_returnflag, l_quantity, count(*) * CASE WHEN l_quantity >= 25 AND l_returnflag = 'R' THEN 2 ELSE 1 END AS copies
+    FROM lineitem GROUP BY l_orderkey, l_linenumber, l_returnflag, l_quantity
+""")
+def append_with_ledger(spark, d):
+    """The line items of small quantity, then all of them (those returned twice), then all again: the ledger lets in what isn't stored."""
+    rows = table(spark, d, "lineitem").withColumn("month", F.date_format("l_shipdate", "yyyy-MM"))
+    name = f"ledger_{uuid.uuid4().hex}"
+    ledger = Ledger(spark, name, _folder(spark, "ledger-target"), day="month", buckets=8, path=_folder(spark, "ledger"))
+    ledger.append(rows.filter("l_quantity < 25"))
+    ledger.append(rows.unionByName(rows.filter("l_returnflag = 'R'")))
+    ledger.append(rows)
+    spark.sql(f"DROP TABLE {name}")
+    keys = ["l_orderkey", "l_linenumber", "l_returnflag", "l_quantity"]
+    return read_target(spark, ledger.target).groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))

@@ -8,6 +8,7 @@ from delaykit.operators.incremental import content_hash, early_stop_across_files
 from delaykit.operators.joins import (
     distinct_then_enrich, enrich, join_on_keys, lookup_or_null, missing_keys, zip_checked,
 )
+from delaykit.operators.skew import join_hot_keys
 from delaykit.registry.base import register, table
 
 
@@ -151,3 +152,19 @@ def q_early_stop_across_files(spark, d):
     known = docs.filter("lang = 'es'").select(content_hash(docs, ["text"]).alias("content_hash"))
     flags = early_stop_across_files(docs, known, "source", "doc_id", ["text"], max_hits=5)
     return flags.filter("inserted").select("source", "doc_id", F.col("hits_before").alias("hits"))
+
+
+# A third of the line items belong to key 0, which three partners share.
+@register("join_hot_keys", """
+    WITH b AS (SELECT CASE WHEN l_orderkey % 3 = 0 THEN 0 ELSE l_suppkey END AS k, l_quantity AS q FROM lineitem),
+    o AS (SELECT s_suppkey AS o, s_nationkey AS n FROM supplier UNION ALL SELECT 0, n_nationkey FROM nation WHERE n_regionkey < 3)
+    SELECT k, n, count(*) AS n_rows, round(sum(q), 2) AS quantity FROM b JOIN o ON k = o GROUP BY k, n
+""")
+def q_join_hot_keys(spark, d):
+    """The hot key is found, its rows dealt over tasks, its partners replicated; all others join as they are."""
+    li = table(spark, d, "lineitem").select(F.when(F.col("l_orderkey") % 3 == 0, 0).otherwise(F.col("l_suppkey")).cast("long").alias("k"),
+                                            F.col("l_quantity").alias("q"))
+    partners = (table(spark, d, "supplier").select(F.col("s_suppkey").cast("long").alias("o"), F.col("s_nationkey").alias("n"))
+                .unionByName(table(spark, d, "nation").filter("n_regionkey < 3").select(F.lit(0).cast("long").alias("o"), F.col("n_nationkey").alias("n"))))
+    joined = join_hot_keys(li, partners, ["k"], ["o"], rows_a_task=2_000)
+    return joined.groupBy("k", "n").agg(F.count(F.lit(1)).alias("n_rows"), F.round(F.sum("q"), 2).alias("quantity"))
