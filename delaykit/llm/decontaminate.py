@@ -16,11 +16,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from delaykit.llm.common import ascii_lower, broadcast_if_within, row_key, texts_of
+from delaykit.llm.common import ascii_lower, broadcast_within, row_key, texts_of
 from delaykit.session import materialize
 
 SPAN, K = 13, 5
-BROADCAST_ROWS = 1_000_000  # item fingerprints of 24 bytes: at most some 24 MB
+BROADCAST_BYTES = 32 << 20  # of item fingerprints, item words or item ids, as added up before
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -71,16 +71,26 @@ def fingerprinted(docs: DataFrame, lengths: list[int], k: int = K) -> DataFrame:
     return df.drop("__h")
 
 
+def _small(df: DataFrame) -> DataFrame:
+    """Broadcast if the bytes are within the bound, else joined by a shuffle."""
+    hinted = broadcast_within(df, BROADCAST_BYTES)
+    return df if hinted is None else hinted
+
+
 def matched_windows(docs: DataFrame, prints: DataFrame, seqs: DataFrame, lengths: list[int], span: int = SPAN,
                     k: int = K) -> DataFrame:
     """(doc_id, rk, sid, start, length): every place where a window of an item stands in a document.
     ``seqs``: (sid, words), the word sequences of items, each once."""
+    marks = None
+    for n in lengths:
+        own = with_marks(with_hashes(seqs.filter(F.size("words") >= n if n == span else F.size("words") == n)), n, "m", k)
+        own = own.select("sid", F.lit(n).alias("span"), "m")
+        marks = own if marks is None else marks.unionByName(own)
+    # Written, then exploded: a filter on the exploded array would be pushed below its making and make it once an element.
+    marks = marks_exploded(materialize(marks, "item-marks"), "m", ["sid", "span"]).withColumnRenamed("pos", "ipos")
     hits = None
     for n in lengths:
-        items = with_marks(with_hashes(seqs.filter(F.size("words") >= n if n == span else F.size("words") == n)), n, "m", k)
-        found = (marks_exploded(prints, f"m{n}", ["doc_id", "rk"])
-                 .join(broadcast_if_within(marks_exploded(items, "m", ["sid"]).withColumnRenamed("pos", "ipos"),
-                                           BROADCAST_ROWS), "fp")
+        found = (marks_exploded(prints, f"m{n}", ["doc_id", "rk"]).join(_small(marks.filter(F.col("span") == n).drop("span")), "fp")
                  .select("doc_id", "rk", "sid", F.lit(n).alias("span"), "pos", "ipos"))
         hits = found if hits is None else hits.unionByName(found)
     by_row = hits.groupBy("doc_id", "rk").agg(F.collect_set(F.struct("sid", "span", "pos", "ipos")).alias("__hits"))
@@ -91,7 +101,7 @@ def matched_windows(docs: DataFrame, prints: DataFrame, seqs: DataFrame, lengths
     cut = near.select("doc_id", "rk", F.explode(F.transform("__hits", lambda h: F.struct(
         h.sid.alias("sid"), h.span.alias("span"), (h.pos - back(h)).alias("start"), (h.ipos - back(h)).alias("istart"),
         F.slice("words", h.pos - back(h) + 1, back(h) + h.span).alias("part")))).alias("h")).select("doc_id", "rk", "h.*")
-    both = cut.distinct().join(broadcast_if_within(seqs, BROADCAST_ROWS // 20), "sid").withColumn(
+    both = cut.distinct().join(_small(seqs), "sid").withColumn(
         "ipart", F.slice("words", F.col("istart") + 1, F.size("part")))
     lanes = F.sequence(F.lit(0), F.least(F.size("part"), F.size("ipart")) - F.col("span"))
     same = F.filter(lanes, lambda i: F.slice("part", i + 1, F.col("span")) == F.slice("ipart", i + 1, F.col("span")))
@@ -121,7 +131,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, k: in
     windows = materialize(matched_windows(docs, prints, seqs, lengths, span, k), "windows")
     n_hit = (windows.select("doc_id", "rk", F.explode(F.sequence("start", F.col("start") + F.col("length") - 1)).alias("at"))
              .distinct().groupBy("doc_id", "rk").agg(F.count(F.lit(1)).alias("n_hit")))
-    ids = broadcast_if_within(items.select("sid", "item_id").distinct(), BROADCAST_ROWS // 10)
+    ids = _small(items.select("sid", "item_id").distinct())
     named = (windows.select("doc_id", "rk", "sid").distinct().join(ids, "sid")
              .groupBy("doc_id", "rk").agg(F.collect_set("item_id").alias("ids")))
     on = lambda a, b: F.expr(f"{a}.doc_id <=> {b}.doc_id AND {a}.rk = {b}.rk")
