@@ -54,6 +54,19 @@ def usable(embedding) -> F.Column:
     return F.coalesce(F.forall(embedding, good) & F.exists(embedding, lambda x: x != 0), F.lit(False))
 
 
+def _hook(low: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Unite the ends of links: roots go under smaller ones, then paths are shortened, until nothing moves."""
+    while True:
+        ra, rb = low[a], low[b]
+        big, small = np.maximum(ra, rb), np.minimum(ra, rb)
+        apart = big != small
+        if not apart.any():
+            return
+        np.minimum.at(low, big[apart], small[apart])
+        while (low[low] != low).any():
+            low[:] = low[low]
+
+
 def _compare(axes: np.ndarray, threshold: float, lead: int):
     """Groups (i, j) of rows (side-tile, node, weight, v): links per node and a forest, as rows (node, links, a, b)."""
     def pair(left: pd.DataFrame, right: pd.DataFrame, same: bool) -> pd.DataFrame:
@@ -66,15 +79,8 @@ def _compare(axes: np.ndarray, threshold: float, lead: int):
         weights = [s["weight"].to_numpy() for s in (left, right)]
         found = [np.zeros(len(n), np.int64) for n in nodes]
         ids = np.unique(np.concatenate(nodes))
-        parent = np.arange(len(ids))
+        low = np.arange(len(ids))  # the smallest node each one is known to reach
         place = [np.searchsorted(ids, n) for n in nodes]
-        forest: list[tuple[int, int]] = []
-
-        def root(x: int) -> int:
-            while parent[x] != x:
-                parent[x] = parent[parent[x]]
-                x = parent[x]
-            return x
 
         for lo in range(0, len(left), 512):
             hi = min(lo + 512, len(left))
@@ -97,13 +103,10 @@ def _compare(axes: np.ndarray, threshold: float, lead: int):
                 p, q = p[ok], q[ok]
                 np.add.at(found[0], p, weights[1][q])
                 np.add.at(found[1], q, weights[0][p])
-                for a, b in zip(place[0][p].tolist(), place[1][q].tolist()):
-                    ra, rb = root(a), root(b)
-                    if ra != rb:
-                        parent[max(ra, rb)] = min(ra, rb)
-                        forest.append((int(ids[a]), int(ids[b])))
+                _hook(low, place[0][p], place[1][q])
         counts = [pd.DataFrame({"node": n[f > 0], "links": f[f > 0]}) for n, f in zip(nodes, found)]
-        return pd.concat([*counts, pd.DataFrame(forest, columns=["a", "b"])], ignore_index=True).astype("Int64")
+        away = np.flatnonzero(low != np.arange(len(ids)))
+        return pd.concat([*counts, pd.DataFrame({"a": ids[away], "b": ids[low[away]]})], ignore_index=True).astype("Int64")
 
     def run(key, rows: pd.DataFrame) -> pd.DataFrame:
         i, j = key
@@ -113,16 +116,12 @@ def _compare(axes: np.ndarray, threshold: float, lead: int):
     return run
 
 
-def _tiles(placed: DataFrame, n: int, threshold: float, tile: int) -> tuple[DataFrame, DataFrame]:
+def _tiles(ranged: DataFrame, parts: int, threshold: float, tile: int) -> tuple[DataFrame, DataFrame]:
     """The vectors with their ``tile``, and rows (i, j, tile): the pairs of tiles to compare, once for each side."""
-    parts = -(-n // tile)
-    cuts = [] if parts < 2 else placed.agg(F.percentile_approx("p", F.array(*[
-        F.lit(k / parts) for k in range(1, parts)]), 10_000)).first()[0]
-    if not cuts:
+    if parts < 2:
         one = F.lit("0/0")
-        pair = placed.sparkSession.createDataFrame([("0/0", "0/0", "0/0")], "i string, j string, tile string")
-        return placed.select(one.alias("tile"), "node", "weight", "v"), pair
-    ranged = placed.withColumn("range", F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c <= F.col("p"))))
+        pair = ranged.sparkSession.createDataFrame([("0/0", "0/0", "0/0")], "i string, j string, tile string")
+        return ranged.select(one.alias("tile"), "node", "weight", "v"), pair
     # A range with many equal places is cut by a hash.  Rows: one a tile.
     counts = materialize(ranged.groupBy("range").agg(F.count(F.lit(1)).alias("n"), F.min("p").alias("lo"), F.max("p").alias("hi")).select(
         "range", F.ceil(F.col("n") / (2 * tile)).cast("int").alias("parts"), "lo", "hi"), "ranges")
@@ -146,29 +145,23 @@ def near_vectors(embeddings: DataFrame, threshold: float = THRESHOLD, tile: int
     """One row per vector: ``vec_id``, ``n_links`` (other vectors with a cosine of at least ``threshold``),
     ``component_id`` (smallest id reachable by links, itself included), ``kept``.
 
-    Vectors that are null, all zero or hold null or non-finite components, or whose length isn't the most common one,
-    link with nothing; so do rows with a null id (their component is null).  Repeated rows count as links of each other.
-    Extra columns are ignored; an empty table gives no rows."""
+    Vectors that are null, all zero or hold null or non-finite components link with nothing; so do rows with a null id
+    (their component is null).  Vectors of different lengths have no cosine; those of one length are compared among
+    themselves, each length by its own axes.  Repeated rows count as links of each other.  Extra columns are ignored; an
+    empty table gives no rows."""
     rows = embeddings.select(embeddings[id_col].cast("long").alias("vec_id"), embeddings[vec_col].alias("v"))
     good = usable("v") & F.col("vec_id").isNotNull()
-    dims = rows.filter(good).groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    if dims is None:
-        return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"),
-                           F.lit(True).alias("kept"))
-    good &= F.size("v") == dims.d
     # Equal vectors are one node, named by their smallest id; its weight is their number.
     nodes = materialize(rows.filter(good).groupBy("v").agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("weight")),
                         "vectors")
-    axes = principal_axes(nodes, dims.d)
-    first = [float(x) for x in axes[:, 0]]
-    size = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
-    turned = F.aggregate(F.zip_with("v", F.array(*map(F.lit, first)), lambda x, a: x.cast("double") * a),
-                         F.lit(0.0), lambda s, x: s + x) / size
-    placed = materialize(nodes.withColumn("p", turned), "ordered")
-    n = placed.count()
-    own, dealt = _tiles(placed, n, threshold, tile)
-    found = materialize(own.join(dealt, "tile").groupBy("i", "j").applyInPandas(
-        _compare(axes, threshold, lead), "node long, links long, a long, b long"), "compared")
+    sizes = nodes.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n")).orderBy("d").collect()  # one row a length
+    if not sizes:
+        return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"),
+                           F.lit(True).alias("kept"))
+    found = None
+    for d, n in sizes:
+        own = _compared(nodes.filter(F.size("v") == d), d, n, threshold, tile, lead)
+        found = own if found is None else found.unionByName(own)
     links = found.filter("node IS NOT NULL").groupBy("node").agg(F.sum("links").alias("links"))
     comps = components(found.filter("a IS NOT NULL").select("a", "b"))
     classes = (nodes.join(links, "node", "left").join(comps, "node", "left")
@@ -177,3 +170,19 @@ def near_vectors(embeddings: DataFrame, threshold: float = THRESHOLD, tile: int
     linked = rows.filter(good).join(classes, "v").select("vec_id", "n_links", "component_id")
     alone = rows.filter(~good).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return linked.unionByName(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+
+
+def _compared(nodes: DataFrame, dim: int, n: int, threshold: float, tile: int, lead: int) -> DataFrame:
+    """(node, links, a, b) of the vectors of one length: links per node and forests of the links, pair of tiles by pair."""
+    axes = principal_axes(nodes, dim)
+    first = [float(x) for x in axes[:, 0]]
+    size = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
+    turned = F.aggregate(F.zip_with("v", F.array(*map(F.lit, first)), lambda x, a: x.cast("double") * a),
+                         F.lit(0.0), lambda s, x: s + x) / size
+    parts = max(1, -(-n // tile))
+    placed = nodes.withColumn("p", turned)
+    if parts > 1:  # the range a row was sorted into is written with it
+        placed = placed.repartitionByRange(parts, "p").withColumn("range", F.spark_partition_id())
+    own, dealt = _tiles(materialize(placed, "ordered"), parts, threshold, tile)
+    return materialize(own.join(dealt, "tile").groupBy("i", "j").applyInPandas(
+        _compare(axes, threshold, lead), "node long, links long, a long, b long"), "compared")

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from delaykit.llm.common import texts_of
+from delaykit.llm.common import row_key, texts_of
 from delaykit.llm.components import components
 from delaykit.session import materialize
 
@@ -174,3 +174,22 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
     classes = nodes.join(comps, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
     return prints.join(classes, "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def representatives(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, id_col: str = "doc_id",
+                    text_col: str = "text") -> DataFrame:
+    """One row per group of near duplicates: ``doc_id`` and ``rk`` (``common.row_key`` of the text) of the row that stands
+    for it, and ``copies``, how many equal rows there are of it.
+
+    Rows are told apart by id and text, so different texts of one id are judged apart.  The representative has the smallest
+    id, of equal ids the smallest text key; rows without an id come last.  Only ids, keys and fingerprints are grouped and
+    joined, no texts."""
+    rows = texts_of(docs, id_col, text_col).withColumn("rk", row_key())
+    prints = materialize(rows.select("doc_id", "rk", fingerprint_udf(shingle)("text").alias("fp")), "simhash")
+    nodes = materialize(prints.select("fp", F.col("fp").alias("node")).distinct(), "nodes")
+    comps = components(near_links(nodes, radius)).select(F.col("node").alias("fp"), "component")
+    counted = prints.groupBy("fp", "doc_id", "rk").agg(F.count(F.lit(1)).alias("copies"))
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "rk")
+    best = (counted.join(comps, "fp", "left").groupBy(F.coalesce("component", "fp").alias("group"))
+            .agg(F.min_by(F.struct("doc_id", "rk", "copies"), order).alias("best")))
+    return best.select("best.*")

@@ -358,3 +358,26 @@ def test_quality_separates(spark):
         labels.append((i, int(not bad)))
     got = quality(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int"))
     assert all(r.predicted == int(r.doc_id % 5 != 0) for r in got.collect())
+
+
+def test_vectors_of_every_length_link(spark):
+    rng = np.random.default_rng(4)
+    rows, k = [], 0
+    for d, n in ((2, 30), (3, 40), (40, 60)):
+        base = rng.normal(size=(n, d))
+        base[n // 2:] = base[:n - n // 2] + 0.05 * rng.normal(size=(n - n // 2, d))
+        for v in base.tolist():
+            rows.append((k, v))
+            k += 1
+    rows += [(k, [1.0, 0.0]), (k + 1, [1.0, 0.0]), (k + 2, [0.0, 0.0]), (k + 3, None), (k + 4, [float("nan"), 1.0])]
+    got = {r.vec_id: r for r in near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3), tile=16).collect()}
+    unit = {i: np.array(v) / np.linalg.norm(v) for i, v in rows if v is not None and np.isfinite(v).all() and np.any(v)}
+    links = {i: {j for j in unit if j != i and len(unit[i]) == len(unit[j]) and unit[i] @ unit[j] >= 0.9} for i in unit}
+    for i, v in rows:
+        assert got[i].n_links == len(links.get(i, ()))
+        seen, todo = {i}, [i]
+        while todo:
+            fresh = links.get(todo.pop(), set()) - seen
+            seen |= fresh
+            todo += fresh
+        assert got[i].component_id == min(seen) and got[i].kept == (min(seen) == i)

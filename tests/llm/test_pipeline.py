@@ -26,6 +26,21 @@ def test_columns_and_kept_rows(spark, docs):
     assert {i for i in ids if i is not None} == groups
 
 
+def test_texts_of_one_id_are_judged_apart(spark):
+    a, b = "alpha beta gamma delta " * 4, "quite another text that nobody copied here " * 2
+    rows = [(1, a, 1), (1, b, 2), (2, b, 3), (2, b, 3), (None, a, 4), (None, "nameless words on their own", 5), (3, "", 6), (None, None, 7)]
+    docs = spark.createDataFrame([(i, t, "en", "s", n) for i, t, n in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = sorted(((r.doc_id, r.text) for r in P.drop_near_copies(spark, docs, SF_SMALL).collect()), key=str)
+    assert kept == sorted([(1, a), (1, b), (None, "nameless words on their own"), (3, "")], key=str)
+    # near copies without an id go too: one word of many differs
+    words = [f"w{k}" for k in range(400)]
+    docs = spark.createDataFrame([(None, " ".join(words), "en", "s", 1), (None, " ".join([*words[:-1], "z"]), "en", "s", 1)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    near = len({r.fingerprint for r in near_duplicates(docs).collect()})
+    bits = [int(r.fingerprint, 16) for r in near_duplicates(docs).collect()]
+    assert P.drop_near_copies(spark, docs, SF_SMALL).count() == (1 if near == 1 or bin(bits[0] ^ bits[1]).count("1") <= 3 else 2)
+
+
 def test_cut_texts(spark, docs):
     out = {r.doc_id: r for r in P.cut_repeats(spark, docs, SF_SMALL).filter("doc_id IS NOT NULL").collect()}
     assert out[5].text == "x" and out[5].n_chars == 1 and out[2].text is None and out[1].n_chars == 54
