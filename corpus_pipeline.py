@@ -35,18 +35,16 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group (3-word shingles, at most 3 differing bits); of repeated rows of that
-    id one stays.  Documents without an id are kept only if no document with an id shares their group, one for each."""
+    """One document of each group (3-word shingles, at most 3 differing bits): the one with the smallest id, of equal ids
+    the one with the smallest key of its text; documents without an id come after all others of their group.  Rows are
+    told apart by id and text, so different texts of one id are judged apart; of equal rows one stays."""
     prepare_workers(spark)
-    docs = _columns(docs)
-    groups = simhash.near_duplicates(docs, shingle=3, radius=3)
-    kept = groups.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    with_id = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    unnamed = groups.filter("doc_id IS NULL AND component_id IS NULL").select("fingerprint").distinct()
-    without = docs.filter("doc_id IS NULL").withColumn("__fp", simhash.fingerprint_udf(3)("text"))
-    hexed = F.lpad(F.lower(F.hex("__fp")), 16, "0")
-    without = without.withColumn("fingerprint", hexed).join(unnamed, "fingerprint", "left_semi").dropDuplicates(["fingerprint"])
-    return with_id.select(*COLUMNS).unionByName(without.select(*COLUMNS))
+    chosen = materialize(simhash.representatives(docs, shingle=3, radius=3), "representatives")
+    keyed = _columns(docs).withColumn("rk", row_key())
+    stays = keyed.alias("d").join(chosen.alias("c"), F.expr("d.doc_id <=> c.doc_id AND d.rk = c.rk"))
+    once = stays.filter("copies = 1").select(*[f"d.{c}" for c in COLUMNS])
+    repeated = stays.filter("copies > 1").select("d.*").dropDuplicates(["doc_id", "rk"]).select(*COLUMNS)
+    return once.unionByName(repeated)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
