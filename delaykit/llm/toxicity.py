@@ -1,11 +1,12 @@
 """Toxic spans and document scores with a linear-chain conditional random field.
 
 Chains are sentences (cut after ``.``, ``!``, ``?`` and at line ends); the labels are *toxic* and *other*.  A token's
-features are its word, the words beside it and its shape; two-state transitions couple neighbours.  Token labels come from
-the document labels: a word is taken as toxic in a toxic document if toxic documents hold it far more often than clean
-ones, more than chance explains for any word of the sample; a document counts once for each context of the word, so near
-copies add no evidence.  If no single word is that certain, words are taken together if those found in half of the documents
-mark the toxic ones of the other half.  The field is fitted to the chains by gradient steps on the exact likelihood; scoring runs
+features are its word, its stems (the first four and six letters of a longer word), the words beside it and its shape;
+two-state transitions couple neighbours.  Token labels come from the document labels: a word or stem is taken as toxic in a
+toxic document if toxic documents hold it far more often than clean ones, more than chance explains for any one of the
+sample; a document counts once for each context, so near copies add no evidence.  In the documents that hold none of these,
+words and stems are also taken together, if those found in half of them mark the toxic ones of the other half.  The field
+is fitted to the chains by gradient steps on the exact likelihood; scoring runs
 forward-backward over every chain of every text, and the marginals add up to the document's score, fitted on the labelled
 documents.  Offending spans are runs of tokens with a marginal of at least a half.
 """
@@ -25,17 +26,20 @@ from pyspark.sql import functions as F
 from delaykit.llm.common import crc_mod, texts_of
 from delaykit.session import materialize
 
-MAX_ROWS, MAX_CHAINS, MAX_WORDS = 6_000, 20_000, 4_000  # what the fit reads at most: documents, chains, known words
+MAX_ROWS, MAX_CHAINS = 6_000, 20_000  # what the fit reads at most: labelled documents, chains; all their words are known
 MAX_CHAIN = 200  # tokens of a chain in the fit; longer ones are cut into pieces
-MIN_LIFT, CHANCE = 12.0, 0.01  # of a toxic word; CHANCE: that any word is taken as toxic by luck
-JOINT_LIFT, JOINT_CHANCE = 3.0, 0.05  # of each word where only words together are certain
+MIN_LIFT, CHANCE = 5.0, 0.01  # of a toxic word or stem; CHANCE: that any of them is taken as toxic by luck
+JOINT_LIFT, JOINT_CHANCE = 3.0, 0.05  # of each one where only several together are certain
+STEMS = (4, 6)  # letters
 EDGE = ".,;:!?()[]{}<>\"'`#$%&*|-_=+~^/\\"
 SHAPES = 4
 
 
 @dataclass
 class Field:
-    """Weights of the toxic label against the other; ``trans[i][j]`` of label i before label j (0 other, 1 toxic)."""
+    """Weights of the toxic label against the other; ``trans[i][j]`` of label i before label j (0 other, 1 toxic).
+
+    ``vocab`` numbers words and stems (a stem ends with ``*``) from 1; 0 is an unknown one."""
 
     vocab: dict[str, int]
     own: np.ndarray
@@ -43,46 +47,71 @@ class Field:
     after: np.ndarray
     shape: np.ndarray
     trans: np.ndarray
-    document: np.ndarray = field(default_factory=lambda: np.array([-30.0, 0.0, 0.0]))
-    cache: dict = field(default_factory=dict)
+    document: np.ndarray = field(default_factory=lambda: np.array([-30.0, 0.0, 0.0, 0.0]))
+    types: Types | None = None
+
+
+class Types:
+    """The different tokens met so far, numbered, with their features: word, stems, shape, whether a sentence ends."""
+
+    def __init__(self, vocab: dict[str, int]):
+        self.vocab, self.number, self.rows = vocab, {}, []
+        self.table = np.zeros((0, 3 + len(STEMS)), np.int64)
 
+    def add(self, token: str) -> int:
+        core = token.strip(EDGE)
+        shape = 1 if core.isupper() and len(core) > 1 else 2 if not core.isalpha() else 3 if core[0].isupper() else 0
+        word, *stems = units(core.lower())
+        self.rows.append((self.vocab.get(word, 0), shape, token[-1] in ".!?", *(self.vocab.get(x, 0) if x else 0 for x in stems)))
+        return self.number.setdefault(token, len(self.number))
 
-def code(word: str, vocab: dict[str, int]) -> int:
-    """Vocabulary number (0: unknown), shape and whether a sentence ends, as one number."""
-    core = word.strip(EDGE)
-    shape = 1 if core.isupper() and len(core) > 1 else 2 if not core.isalpha() else 3 if core[0].isupper() else 0
-    return (vocab.get(core.lower(), 0) * SHAPES + shape) * 2 + (word[-1] in ".!?")
+    def features(self, numbers: list[int]) -> np.ndarray:
+        if len(self.table) < len(self.rows):
+            self.table = np.concatenate([self.table, np.array(self.rows[len(self.table):], np.int64)])
+        return self.table[np.array(numbers, np.int64)]
+
+
+def units(word: str) -> list[str | None]:
+    """A word and its stems; no stem where the word isn't longer."""
+    return [word, *(word[:k] + "*" if len(word) > k else None for k in STEMS)]
 
 
 def encode(texts: list[str | None], model: Field, keep: int = 300_000) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(codes of all tokens, starts of the chains, tokens of each text)."""
-    cache, vocab = model.cache, model.vocab
-    codes, line_ends, sizes = [], [], []
+    """(features of all tokens, starts of the chains, tokens of each text)."""
+    if model.types is None or len(model.types.number) > keep:
+        model.types = Types(model.vocab)
+    types, numbers, line_ends, sizes = model.types, [], [], []
+    known = types.number
     for text in texts:
-        before = len(codes)
+        before = len(numbers)
         for line in (text or "").split("\n"):
             for w in line.split():
-                c = cache.get(w)
-                if c is None:
-                    c = code(w, vocab)
-                    if len(cache) < keep:
-                        cache[w] = c
-                codes.append(c)
-            line_ends.append(len(codes))
-        sizes.append(len(codes) - before)
-    codes = np.array(codes, np.int64)
-    ends = np.unique(np.r_[np.flatnonzero(codes & 1) + 1, line_ends]).astype(np.int64)
+                c = known.get(w)
+                numbers.append(types.add(w) if c is None else c)
+            line_ends.append(len(numbers))
+        sizes.append(len(numbers) - before)
+    tokens = types.features(numbers)
+    ends = np.unique(np.r_[np.flatnonzero(tokens[:, 2]) + 1, line_ends]).astype(np.int64)
     starts = np.r_[0, ends[ends > 0]]
-    return codes >> 1, starts[starts < len(codes)], np.array(sizes, np.int64)
+    return tokens, starts[starts < len(tokens)], np.array(sizes, np.int64)
 
 
-def unary(codes: np.ndarray, starts: np.ndarray, model: Field) -> np.ndarray:
-    words = codes // SHAPES
-    first = np.zeros(len(codes), bool)
+def _neighbours(tokens: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words before and after each token in its chain (0 at the ends), and which tokens start a chain."""
+    words = tokens[:, 0]
+    first = np.zeros(len(words), bool)
     first[starts] = True
-    prev = np.where(first, 0, np.r_[0, words[:-1]]) if len(words) else words
-    nxt = np.where(np.r_[first[1:], True], 0, np.r_[words[1:], 0]) if len(words) else words
-    return model.own[words] + model.shape[codes % SHAPES] + model.before[prev] + model.after[nxt]
+    if not len(words):
+        return words, words, first
+    return np.where(first, 0, np.r_[0, words[:-1]]), np.where(np.r_[first[1:], True], 0, np.r_[words[1:], 0]), first
+
+
+def unary(tokens: np.ndarray, starts: np.ndarray, model: Field) -> np.ndarray:
+    prev, nxt, _ = _neighbours(tokens, starts)
+    out = model.own[tokens[:, 0]] + model.shape[tokens[:, 1]] + model.before[prev] + model.after[nxt]
+    for k in range(len(STEMS)):
+        out += model.own[tokens[:, 3 + k]]
+    return out
 
 
 def forward_backward(u: np.ndarray, starts: np.ndarray, trans: np.ndarray, pairs: bool = False):
@@ -125,21 +154,20 @@ def fit_field(chains: list[tuple[list[str], list[int]]], vocab: dict[str, int],
     """Adaptive gradient steps on the mean log-likelihood of labelled chains."""
     size = len(vocab) + 1
     model = Field(vocab, np.zeros(size), np.zeros(size), np.zeros(size), np.zeros(SHAPES), np.zeros((2, 2)))
-    codes = np.array([code(w, vocab) >> 1 for words, _ in chains for w in words], np.int64)
+    types = Types(vocab)
+    tokens = types.features([types.number[w] if w in types.number else types.add(w) for words, _ in chains for w in words])
     gold = np.array([y for _, ys in chains for y in ys], float)
     starts = np.r_[0, np.cumsum([len(w) for w, _ in chains])[:-1]].astype(np.int64)
-    words, shapes = codes // SHAPES, codes % SHAPES
-    first = np.zeros(len(codes), bool)
-    first[starts] = True
-    prev = np.where(first, 0, np.r_[0, words[:-1]])
-    nxt = np.where(np.r_[first[1:], True], 0, np.r_[words[1:], 0])
+    prev, nxt, first = _neighbours(tokens, starts)
     inner = np.flatnonzero(~first)
     seen = np.bincount((2 * gold[inner - 1] + gold[inner]).astype(int), minlength=4).reshape(2, 2)
-    parts = {"own": (words, size), "before": (prev, size), "after": (nxt, size), "shape": (shapes, SHAPES)}
+    units_of = [tokens[:, c] for c in (0, *range(3, 3 + len(STEMS)))]
+    parts = {"own": (units_of, size), "before": ([prev], size), "after": ([nxt], size), "shape": ([tokens[:, 1]], SHAPES)}
     squares = {k: np.full(n, 1e-8) for k, (_, n) in parts.items()} | {"trans": np.full((2, 2), 1e-8)}
     for _ in range(steps):
-        p, expected = forward_backward(unary(codes, starts, model), starts, model.trans, pairs=True)
-        grads = {k: np.bincount(ix, p - gold, n) for k, (ix, n) in parts.items()} | {"trans": expected - seen}
+        p, expected = forward_backward(unary(tokens, starts, model), starts, model.trans, pairs=True)
+        grads = {k: sum(np.bincount(ix, p - gold, n) for ix in every) for k, (every, n) in parts.items()} | {"trans": expected - seen}
+        grads["own"][0] = 0.0  # unknown words and missing stems say nothing
         for k, g in grads.items():
             w = getattr(model, k)
             g = g / len(chains) + ridge * w / len(chains)
@@ -148,10 +176,11 @@ def fit_field(chains: list[tuple[list[str], list[int]]], vocab: dict[str, int],
     return model
 
 
-def evidence(texts: list[str | None], model: Field, with_spans: bool = True) -> list[tuple[float, float, list]]:
-    """Per text: expected toxic tokens, the largest marginal, and the spans as (start, end, marginal) in characters."""
-    codes, starts, sizes = encode(texts, model)
-    p, _ = forward_backward(unary(codes, starts, model), starts, model.trans)
+def evidence(texts: list[str | None], model: Field, with_spans: bool = True) -> list[tuple[float, float, float, list]]:
+    """Per text: expected toxic tokens, these among a hundred tokens (fifty are added to a text's own, so that one token
+    doesn't fill a short text), the largest marginal, and the spans as (start, end, marginal) in characters."""
+    tokens, starts, sizes = encode(texts, model)
+    p, _ = forward_backward(unary(tokens, starts, model), starts, model.trans)
     out, at = [], 0
     for text, n in zip(texts, sizes.tolist()):
         own = p[at:at + n]
@@ -172,12 +201,13 @@ def evidence(texts: list[str | None], model: Field, with_spans: bool = True) ->
                     found += len(w)
                     k += 1
                 place += len(line) + 1
-        out.append((float(own.sum()), float(own.max()) if n else 0.0, [x[:3] for x in spans]))
+        total = float(own.sum())
+        out.append((total, 100 * total / (n + 50), float(own.max()) if n else 0.0, [x[:3] for x in spans]))
     return out
 
 
-def _document_inputs(tokens: np.ndarray, top: np.ndarray) -> np.ndarray:
-    return np.stack([np.ones(len(tokens)), np.log1p(tokens), top], axis=1)
+def _document_inputs(tokens: np.ndarray, share: np.ndarray, top: np.ndarray) -> np.ndarray:
+    return np.stack([np.ones(len(tokens)), np.log1p(tokens), np.log1p(share), top], axis=1)
 
 
 def binomial_tail(k: int, n: int, p: float) -> float:
@@ -199,15 +229,15 @@ def fit_document(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float
 
 
 def _evidence_udf(model: Field, spans: bool):
-    shape = "struct<tokens:double,top:double,spans:array<struct<start:int,end:int,p:double>>>"
+    shape = "struct<tokens:double,share:double,top:double,spans:array<struct<start:int,end:int,p:double>>>"
 
     @F.pandas_udf(shape)
     def find(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             values = texts.tolist()
             rows = [r for i in range(0, len(values), 256) for r in evidence(values[i:i + 256], model, spans)]
-            yield pd.DataFrame({"tokens": [r[0] for r in rows], "top": [r[1] for r in rows],
-                                "spans": [[{"start": a, "end": b, "p": p} for a, b, p in r[2]] for r in rows]})
+            yield pd.DataFrame({"tokens": [r[0] for r in rows], "share": [r[1] for r in rows], "top": [r[2] for r in rows],
+                                "spans": [[{"start": a, "end": b, "p": p} for a, b, p in r[3]] for r in rows]})
     return find
 
 
@@ -218,15 +248,28 @@ def _evidence_of_words(uses: DataFrame) -> DataFrame:
 
 
 def _likely(words: DataFrame, bad_n: int, good_n: int, least: float = MIN_LIFT) -> list[tuple[str, float]]:
-    """(word, chance of its evidence) of words far more frequent in toxic documents, at most MAX_WORDS."""
+    """(word, chance of its evidence) of words far more frequent in toxic documents: words of the labelled sample."""
     lift = (F.col("bad") + 0.1) / bad_n / ((F.col("good") + 0.5) / good_n)
-    found = words.filter((F.col("bad") >= 2) & (lift >= least)).orderBy(F.desc("bad"), "w").limit(MAX_WORDS).collect()
+    found = words.filter((F.col("bad") >= 2) & (lift >= least)).collect()
     return [(r.w, binomial_tail(r.bad, r.bad + r.good, bad_n / (bad_n + good_n))) for r in found]
 
 
+def _unexplained(uses: DataFrame, toxic: set[str], sizes: dict[int, int]) -> tuple[DataFrame, dict[int, int]]:
+    """The documents without any of the toxic words, and their numbers by label."""
+    if not toxic:
+        return uses, sizes
+    known = F.broadcast(uses.sparkSession.createDataFrame([(w,) for w in toxic], "w string"))  # words of the labelled sample
+    held = uses.join(known, "w").select("d", "label").distinct()
+    n = {r.label: r.n for r in held.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    rest = uses.join(F.broadcast(held.select("d")), "d", "left_anti")  # at most max_rows documents
+    return rest, {k: sizes.get(k, 0) - n.get(k, 0) for k in (0, 1)}
+
+
 def _joint(uses: DataFrame, sizes: dict[int, int]) -> set[str]:
     """Words that are likely each and certain together: those likely in one half of the documents mark more toxic documents
     of the other half than chance explains, both ways round."""
+    if sizes[0] < 2 or sizes[1] < 2:
+        return set()
     half = F.pmod("d", F.lit(2))
     bad_n, good_n, likely = max(1, sizes[1] // 2), max(1, sizes[0] // 2), []
     for k in (0, 1):
@@ -234,7 +277,7 @@ def _joint(uses: DataFrame, sizes: dict[int, int]) -> set[str]:
         if not found:
             return set()
         marked = (uses.filter(half == 1 - k).join(F.broadcast(uses.sparkSession.createDataFrame([(w,) for w in found], "w string")), "w")
-                  .groupBy("d").agg(F.max("label").alias("label")))  # broadcast: at most MAX_WORDS rows
+                  .groupBy("d").agg(F.max("label").alias("label")))  # broadcast: words of the labelled sample
         n = {r.label: r.n for r in marked.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
         bad, good = n.get(1, 0), n.get(0, 0)
         if not bad or binomial_tail(bad, bad + good, bad_n / (bad_n + good_n)) >= CHANCE / 2:
@@ -270,15 +313,16 @@ def fit(docs: DataFrame, labels: DataFrame, usable, column: str = "toxic", max_r
     words = (sample.withColumn("t", tokens).select("label", F.xxhash64("text").alias("d"), F.explode(F.transform(
         "t", lambda w, i: F.struct(w.alias("w"), near(i).alias("context")))).alias("x"))
         .select("label", "d", core.alias("w"), "x.context").filter("w <> ''"))
-    uses = words.groupBy("w", "d").agg(F.max("label").alias("label"), F.min("context").alias("context"))
+    stems = [F.when(F.length("w") > k, F.concat(F.substring("w", 1, k), F.lit("*"))) for k in STEMS]
+    words = words.select("label", "d", "context", F.explode(F.array_compact(F.array("w", *stems))).alias("w"))
+    uses = materialize(words.groupBy("w", "d").agg(F.max("label").alias("label"), F.min("context").alias("context")), "uses")
     words_n = materialize(_evidence_of_words(uses), "words")
     bad_n, good_n = sizes[1], sizes[0]
     chance = CHANCE / max(1, words_n.count())
-    toxic = {w for w, p in _likely(words_n, bad_n, good_n) if p < chance} or _joint(uses, sizes)
+    toxic = {w for w, p in _likely(words_n, bad_n, good_n) if p < chance}
+    toxic |= _joint(*_unexplained(uses, toxic, sizes))
     if not toxic:
         return empty
-    common = [r.w for r in words_n.orderBy(F.desc(F.col("bad") + F.col("good")), "w").limit(MAX_WORDS).collect()]
-    vocab = {w: i + 1 for i, w in enumerate(sorted(toxic | set(common)))}
 
     def chains_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -291,7 +335,7 @@ def fit(docs: DataFrame, labels: DataFrame, usable, column: str = "toxic", max_r
                             chain.append(w)
                         if chain and (w is None or w[-1] in ".!?"):
                             for piece in (chain[lo:lo + MAX_CHAIN] for lo in range(0, len(chain), MAX_CHAIN)):
-                                gold = [int(label == 1 and x.strip(EDGE).lower() in toxic) for x in piece]
+                                gold = [int(label == 1 and not toxic.isdisjoint(units(x.strip(EDGE).lower()))) for x in piece]
                                 found[" ".join(piece), "".join(map(str, gold)), any(gold)] += 1
                             chain = []
             yield pd.DataFrame([(*k, n) for k, n in found.items()], columns=["words", "gold", "has", "n"]).astype(
@@ -303,12 +347,15 @@ def fit(docs: DataFrame, labels: DataFrame, usable, column: str = "toxic", max_r
     for has in (True, False):
         for r in counted.filter(F.col("has") == has).orderBy(F.xxhash64("words"), "words").limit(max_chains // 2).collect():
             chains.append((r.words.split(" "), [int(g) for g in r.gold]))
-    model = fit_field(chains, vocab)
-    seen = sample.select("label", _evidence_udf(model, False)("text").alias("e")).select("label", "e.tokens", "e.top").toPandas()
+    # Words of one chain alone are unknown ones, as most words of new texts are: stems and neighbours speak for them.
+    uses_n = Counter(u for words, _ in chains for u in {u for w in words for u in units(w.strip(EDGE).lower()) if u})
+    model = fit_field(chains, {u: i + 1 for i, u in enumerate(sorted(u for u, n in uses_n.items() if n > 1))})
+    seen = sample.select("label", _evidence_udf(model, False)("text").alias("e")).select("label", "e.tokens", "e.share", "e.top").toPandas()
     y = seen["label"].to_numpy(float)
-    share = np.where(y == 1, totals[1] / bad_n, totals[0] / good_n)
-    model.document = fit_document(_document_inputs(seen["tokens"].to_numpy(), seen["top"].to_numpy()), y, share / share.mean())
-    model.cache = {}
+    weight = np.where(y == 1, totals[1] / bad_n, totals[0] / good_n)
+    inputs = _document_inputs(*[seen[c].to_numpy() for c in ("tokens", "share", "top")])
+    model.document = fit_document(inputs, y, weight / weight.mean())
+    model.types = None
     return model
 
 
@@ -316,7 +363,7 @@ def scored(docs: DataFrame, model: Field, text_col: str = "text", prefix: str =
     """``docs`` with ``score``, ``toxic_tokens`` and ``spans`` (character offsets and marginals) added."""
     e = f"{prefix}__evidence"
     w = [float(x) for x in model.document]
-    z = F.lit(w[0]) + w[1] * F.log1p(F.col(f"{e}.tokens")) + w[2] * F.col(f"{e}.top")
+    z = (F.lit(w[0]) + w[1] * F.log1p(F.col(f"{e}.tokens")) + w[2] * F.log1p(F.col(f"{e}.share")) + w[3] * F.col(f"{e}.top"))
     return (docs.withColumn(e, _evidence_udf(model, True)(docs[text_col].cast("string")))
             .withColumn(f"{prefix}score", 1 / (1 + F.exp(-z))).withColumn(f"{prefix}toxic_tokens", F.col(f"{e}.tokens"))
             .withColumn(f"{prefix}spans", F.col(f"{e}.spans")).drop(e))

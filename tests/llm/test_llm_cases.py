@@ -324,8 +324,9 @@ def test_field_learns_spans():
     chains = [(["you", "utter", "fool", "go"], [0, 0, 1, 0])] * 20 + [(["a", "fine", "day", "it", "is."], [0] * 5)] * 20
     vocab = {w: i + 1 for i, w in enumerate(["you", "utter", "fool", "go", "a", "fine", "day", "it", "is"])}
     model = fit_field(chains, vocab)
-    (tokens, top, spans), (none, low, clean) = evidence(["Well.\nyou utter Fool, go", "a fine day"], model)
+    (tokens, share, top, spans), (none, _, low, clean) = evidence(["Well.\nyou utter Fool, go", "a fine day"], model)
     assert top > 0.5 > low and clean == [] and [s[:2] for s in spans] == [(16, 21)]
+    assert share == pytest.approx(100 * tokens / 55) and tokens > none
 
 
 def test_toxicity_catches_planted_words_and_leaves_clean(spark):
