@@ -14,6 +14,7 @@ from delaykit.operators.incremental import insert_if_absent
 from delaykit.operators.documents import (KNOWN_FLIGHT_PATHS, document_flights, flatten_documents, materialized_flights,
                                           pages_of_documents, variant_path)
 from delaykit.operators.nested import collect_nested, flatten, flights_of, infer_flight, pages_of, repair_lone_flight
+from delaykit.plans.counts import RunCounts
 from delaykit.session import materialize
 from delaykit.sources.files import list_files, read_csv_by_name, read_documents, read_landing, readable, unreadable, unreadable_pages
 from delaykit.sources.sinks import append_new_rows, append_rows, quarantine, read_target, table_exists, write_csv, write_json
@@ -116,22 +117,27 @@ def raw_pages(landing: DataFrame, api_name: str = "flightstatus") -> DataFrame:
 
 
 def store_raw_pages(spark: SparkSession, landing_path: str, target: str, api_name: str = "flightstatus",
-                    quarantine_target: str | None = None, glob: str | None = "*.json") -> DataFrame:
+                    quarantine_target: str | None = None, glob: str | None = "*.json", counts: RunCounts | None = None) -> DataFrame:
     """Raw pages into the page store when not already there (E1 stage 1, J6 + D4), as whole documents.
 
     Pages are compared by a content hash of their canonical JSON; the store keeps the hash and the page as VARIANT.  Files
     and pages that can't be read are appended to ``quarantine_target`` (default: the target's name with ``_quarantine``).
+    ``counts`` collects files and pages read, unreadable and added, in the jobs that run anyway.
     """
     landing = read_documents(spark, landing_path, glob)
     good = readable(landing)
-    bad = unreadable(landing).unionByName(unreadable_pages(pages_of_documents(good, api_name, keep=FILE)))
-    quarantine(bad, quarantine_target or f"{target}_quarantine")
+    pages = pages_of_documents(good, api_name, keep=FILE)
+    files = unreadable(landing if counts is None else counts.watch(landing, "files", unreadable=F.col("data").isNull()))
+    watched = pages if counts is None else counts.watch(pages, "pages", unreadable=F.col("page").isNull())
+    quarantine(files.unionByName(unreadable_pages(watched)), quarantine_target or f"{target}_quarantine")
     if table_exists(spark, target):
         stored = read_target(spark, target).select("content_hash")
     else:
         stored = spark.createDataFrame([], "content_hash string")
     fresh = insert_if_absent(raw_pages(good, api_name), stored, ["file_path", "page_pos"], ["page_json"])
-    fresh = materialize(fresh.select("content_hash", "page"), "fresh-pages")  # the store is read before it is written to
+    fresh = fresh.select("content_hash", "page")
+    # Written first: the store is read before it is written to.
+    fresh = materialize(fresh if counts is None else counts.watch(fresh, "added"), "fresh-pages")
     append_rows(fresh, target)
     return fresh
 

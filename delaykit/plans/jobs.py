@@ -8,6 +8,7 @@ read as landed data.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,11 +18,12 @@ from delaykit.functions.timefmt import parse_minute_text
 from delaykit.operators.ordering import contiguous_folds, hash_folds
 from delaykit.plans import ingest, models
 from delaykit.plans.airports import clean_airports
+from delaykit.plans.counts import RunCounts
 from delaykit.plans.scoring import first_flight_per_request, score_requests
-from delaykit.plans.training import features_from_flights, merge_flights_weather, prepare_flights_for_training
+from delaykit.plans.training import ACTUAL, SCHEDULED, features_from_flights, merge_flights_weather, prepare_flights_for_training
 from delaykit.plans.training import training_table as build_training_table
 from delaykit.plans.weather import request_batches
-from delaykit.session import scratch_tables
+from delaykit.session import materialize, scratch_tables
 from delaykit.sources.files import read_csv
 from delaykit.sources.ledger import Ledger
 from delaykit.sources.sinks import append_new_rows, read_target, replace_table
@@ -37,7 +39,7 @@ def prepare_airports(spark: SparkSession, csv_path: str, target: str) -> DataFra
 
 
 def prepare_flights(spark: SparkSession, landing_path: str, page_store: str, flights_target: str,
-                    api_name: str = "flightstatus", ledger: str | None = None) -> DataFrame:
+                    api_name: str = "flightstatus", ledger: str | None = None, counts_target: str | None = None) -> DataFrame:
     """Landed pages -> page store (insert if absent) -> ``flights`` table (new rows only).
 
     ``ledger``: catalog name of the table's ledger of row hashes (``sources.ledger``), by day of the scheduled departure, so
@@ -58,30 +60,45 @@ def weather_requests(spark: SparkSession, flights_target: str, airports_target:
 
 
 def training_rows(spark: SparkSession, flights_target: str, weather_target: str,
-                  feature_cols: Sequence[str] = schemas.WEATHER_VARIABLES) -> DataFrame:
-    """Flights cleaned, joined with their weather, label in minutes: one table."""
-    flights = features_from_flights(prepare_flights_for_training(read_target(spark, flights_target)))
+                  feature_cols: Sequence[str] = schemas.WEATHER_VARIABLES, counts: RunCounts | None = None) -> DataFrame:
+    """Flights cleaned, joined with their weather, label in minutes: one table.
+
+    With ``counts`` the flights read, those that lack a time and the rows with a missing feature are counted, and the
+    prepared flights are written once (in this job, which counts them)."""
+    flights = read_target(spark, flights_target)
+    if counts is not None:
+        gap = F.col(ACTUAL).isNull() | F.col(SCHEDULED).isNull()
+        flights = materialize(prepare_flights_for_training(counts.watch(flights, "flights", incomplete=gap)), "flights")
+    flights = features_from_flights(prepare_flights_for_training(flights))
     merged = merge_flights_weather(flights, read_target(spark, weather_target), find_hot=True)
+    if counts is not None:
+        gap = reduce(lambda a, b: a | b, [models.is_missing(c) for c in feature_cols])
+        merged = materialize(counts.watch(merged, "training", incomplete=gap), "training")
     keys = ["Arrival_AirportCode", "Arrival_ScheduledTimeUTC_DateTime", "Departure_ScheduledTimeUTC_DateTime"]
     return build_training_table(merged, keys, feature_cols)
 
 
 def train(spark: SparkSession, flights_target: str, weather_target: str, model_path: str,
           names: Sequence[str] = models.MODEL_NAMES, feature_cols: Sequence[str] = schemas.WEATHER_VARIABLES,
-          overrides: dict | None = None, k: int = 3, folds: str = "hash", missing: str = "error") -> DataFrame:
+          overrides: dict | None = None, k: int = 3, folds: str = "hash", missing: str = "error",
+          counts_target: str | None = None) -> DataFrame:
     """Cross-validate the candidate models, refit the best on every row, store it at
     ``model_path``; returns the scores with ``is_best``.
 
     ``folds="hash"`` assigns folds by a hash of the row, no sort at all;
     ``folds="contiguous"`` reproduces unshuffled K-fold over a stable row order
-    (one distributed sort).  ``missing`` as in ``models.pipeline``.
+    (one distributed sort).  ``missing`` as in ``models.pipeline``.  ``counts_target``: table of run counts.
     """
     with scratch_tables(spark):
-        return _train(spark, flights_target, weather_target, model_path, names, feature_cols, overrides, k, folds, missing)
+        return _train(spark, flights_target, weather_target, model_path, names, feature_cols, overrides, k, folds, missing,
+                      counts_target)
 
 
-def _train(spark, flights_target, weather_target, model_path, names, feature_cols, overrides, k, folds, missing):
-    rows = training_rows(spark, flights_target, weather_target, feature_cols)
+def _train(spark, flights_target, weather_target, model_path, names, feature_cols, overrides, k, folds, missing, counts_target):
+    counts = RunCounts("train") if counts_target else None
+    rows = training_rows(spark, flights_target, weather_target, feature_cols, counts)
+    if counts:
+        counts.store(spark, counts_target)
     order = [c for c in rows.columns if c != "delay_minutes"] + ["delay_minutes"]
     if folds == "contiguous":
         folded = contiguous_folds(rows, order, k)

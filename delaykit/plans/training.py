@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from delaykit.functions.timefmt import minutes_between, parse_minute_text, strip_marker
+from delaykit.operators.asof import asof_join
 from delaykit.operators.filters import drop_incomplete, select_columns
 from delaykit.operators.joins import join_on_keys, salted_join
 from delaykit.operators.skew import join_hot_keys
@@ -46,6 +47,15 @@ def merge_flights_weather(flights: DataFrame, weather: DataFrame,
     return join_on_keys(flights, weather, list(flight_keys), list(weather_keys), "inner")
 
 
+def merge_flights_weather_hourly(flights: DataFrame, weather: DataFrame, flight_time: str, weather_time: str,
+                                 feature_cols: Sequence[str] = WEATHER_VARIABLES, flight_key: str = "Arrival_AirportCode",
+                                 weather_key: str = "Airport_Code", max_hours: int | None = 1) -> DataFrame:
+    """Every flight with the latest forecast of its airport not after its time, at most ``max_hours`` old (J4 by the hour):
+    forecasts are hourly, flights to the minute.  Times are timestamps; flights without a forecast have NULL features."""
+    within = None if max_hours is None else F.make_dt_interval(hours=F.lit(max_hours))
+    return asof_join(flights, weather, [flight_key], [weather_key], flight_time, weather_time, feature_cols, within)
+
+
 def delay_label(actual, scheduled, name: str = "delay_minutes"):
     """Label: signed minutes from scheduled to actual arrival, parsed from text when needed."""
     def ts(c):

@@ -9,6 +9,7 @@ from delaykit.operators.joins import (
     distinct_then_enrich, enrich, join_on_keys, lookup_or_null, missing_keys, zip_checked,
 )
 from delaykit.operators.skew import join_hot_keys
+from delaykit.plans.training import merge_flights_weather_hourly
 from delaykit.registry.base import register, table
 
 
@@ -168,3 +169,19 @@ def q_join_hot_keys(spark, d):
                 .unionByName(table(spark, d, "nation").filter("n_regionkey < 3").select(F.lit(0).cast("long").alias("o"), F.col("n_nationkey").alias("n"))))
     joined = join_hot_keys(li, partners, ["k"], ["o"], rows_a_task=2_000)
     return joined.groupBy("k", "n").agg(F.count(F.lit(1)).alias("n_rows"), F.round(F.sum("q"), 2).alias("quantity"))
+
+
+# Purchases with the user's latest view not after them, at most two days old.
+@register("asof_weather", """
+    SELECT p.event_id, CASE WHEN p.ts - v.ts <= INTERVAL 2 DAY THEN v.value END AS value
+    FROM (SELECT * FROM events WHERE event_type = 'purchase') p
+    ASOF LEFT JOIN (SELECT user_id, ts, max(value) AS value FROM events WHERE event_type = 'view' GROUP BY user_id, ts) v
+    ON p.user_id = v.user_id AND p.ts >= v.ts
+""")
+def asof_weather(spark, d):
+    """Views play the hourly forecasts, purchases the flights."""
+    e = table(spark, d, "events")
+    flights = e.filter("event_type = 'purchase'").select("event_id", F.col("user_id").alias("airport"), F.col("ts").alias("at"))
+    weather = e.filter("event_type = 'view'").select("user_id", "ts", "value")
+    joined = merge_flights_weather_hourly(flights, weather, "at", "ts", ["value"], "airport", "user_id", max_hours=48)
+    return joined.select("event_id", "value")
