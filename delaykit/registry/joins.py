@@ -166,7 +166,7 @@ def q_join_hot_keys(spark, d):
     li = table(spark, d, "lineitem").select(F.when(F.col("l_orderkey") % 3 == 0, 0).otherwise(F.col("l_suppkey")).cast("long").alias("k"),
                                             F.col("l_quantity").alias("q"))
     partners = (table(spark, d, "supplier").select(F.col("s_suppkey").cast("long").alias("o"), F.col("s_nationkey").alias("n"))
-                .unionByName(table(spark, d, "nation").filter("n_regionkey < 3").select(F.lit(0).cast("long").alias("o"), F.col("n_nationkey").alias("n"))))
+                .unionByName(table(spark, d, "nation").filter("n_regionkey < 3").select((F.col("n_nationkey") % 1).cast("long").alias("o"), F.col("n_nationkey").alias("n"))))
     joined = join_hot_keys(li, partners, ["k"], ["o"], rows_a_task=2_000)
     return joined.groupBy("k", "n").agg(F.count(F.lit(1)).alias("n_rows"), F.round(F.sum("q"), 2).alias("quantity"))
 
