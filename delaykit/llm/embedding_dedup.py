@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from delaykit.llm.components import components
@@ -122,8 +122,12 @@ def _tiles(ranged: DataFrame, parts: int, threshold: float, tile: int) -> tuple[
         one = F.lit("0/0")
         pair = ranged.sparkSession.createDataFrame([("0/0", "0/0", "0/0")], "i string, j string, tile string")
         return ranged.select(one.alias("tile"), "node", "weight", "v"), pair
+    # Neighbouring ranges are taken together up to a tile, however finely the rows were dealt (rows: one a range).
+    before = Window.orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
+    pieces = ranged.groupBy(F.col("range").alias("piece")).agg(F.count(F.lit(1)).alias("n"), F.min("p").alias("lo"), F.max("p").alias("hi"))
+    pieces = materialize(pieces.withColumn("range", F.floor(F.coalesce(F.sum("n").over(before), F.lit(0)) / tile)), "pieces")
     # A range with many equal places is cut by a hash.  Rows: one a tile.
-    counts = materialize(ranged.groupBy("range").agg(F.count(F.lit(1)).alias("n"), F.min("p").alias("lo"), F.max("p").alias("hi")).select(
+    counts = materialize(pieces.groupBy("range").agg(F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi")).select(
         "range", F.ceil(F.col("n") / (2 * tile)).cast("int").alias("parts"), "lo", "hi"), "ranges")
     tiles = counts.select("range", "lo", "hi", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
     tiles = tiles.select(F.concat_ws("/", "range", "part").alias("tile"), "lo", "hi")
@@ -136,7 +140,8 @@ def _tiles(ranged: DataFrame, parts: int, threshold: float, tile: int) -> tuple[
     near = near.select(F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j")).distinct()
     dealt = near.select("i", "j", F.col("i").alias("tile")).unionByName(
         near.filter("i < j").select("i", "j", F.col("j").alias("tile")))
-    own = ranged.join(counts.select("range", "parts"), "range")
+    named = pieces.select("piece", "range").join(counts.select("range", "parts"), "range")
+    own = ranged.withColumnRenamed("range", "piece").join(named, "piece")
     return own.select(F.concat_ws("/", "range", F.pmod(F.xxhash64("node"), F.col("parts"))).alias("tile"), "node", "weight", "v"), dealt
 
 
