@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from delaykit.operators.joins import first_per_key
@@ -53,10 +53,14 @@ def score_requests(requests: DataFrame, flights_first: DataFrame, weather: DataF
     weather = latest_weather(weather, feature_cols, weather_code, weather_time, weather_order)
     w = weather.select(F.col(weather_code).alias("__wc"), F.col(weather_time).alias("__wt"), *feature_cols)
     enriched = matched.join(w, (matched["__fc"] == w["__wc"]) & (matched["__fa"] == w["__wt"]), "left")
-    scored = predict(model, enriched, feature_cols)
+    return answers(predict(model, enriched, feature_cols), F.col("__fc").isNotNull(), F.col("__wc").isNotNull())
+
+
+def answers(scored: DataFrame, has_flight: Column, has_weather: Column) -> DataFrame:
+    """(task_uuid, state, prediction, message) of scored requests: ``failed`` with the first thing that was missing."""
     state = F.when(F.col("prediction").isNotNull(), F.lit("success")).otherwise(F.lit("failed"))
-    message = (F.when(F.col("__fc").isNull(), F.lit("no flight at that departure time"))
-                .when(F.col("__wc").isNull(), F.lit("no weather forecast for the flight"))
+    message = (F.when(~has_flight, F.lit("no flight at that departure time"))
+                .when(~has_weather, F.lit("no weather forecast for the flight"))
                 .when(F.col("prediction").isNull(), F.lit("incomplete features"))
                 .otherwise(F.lit("delay predicted")))
     return scored.select("task_uuid", state.alias("state"), "prediction", message.alias("message"))
