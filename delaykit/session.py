@@ -82,12 +82,30 @@ def materialize(df, name: str = "stage"):
     """
     spark = df.sparkSession
     path = scratch_path(spark, f"delaykit-{name}-{uuid.uuid4().hex}")
-    df.write.mode("errorifexists").parquet(path)
+    with _shuffles_deleted(spark):
+        df.write.mode("errorifexists").parquet(path)
     for scope in _SCOPES:
         scope.append(path)
     return spark.read.parquet(path)
 
 
+# Spark's setting to delete the shuffle files of a query that has ended.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextlib.contextmanager
+def _shuffles_deleted(spark: SparkSession):
+    """The shuffle files of what runs inside are deleted when it ends, not when the driver happens to collect garbage: a
+    chain of written stages holds the disk of one stage at a time.  While a stage runs, its shuffles are kept, so a lost
+    executor's are computed again from the tables written before."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEANUP, before) if before is not None else spark.conf.unset(_CLEANUP)
+
+
 _SCOPES: list[list[str]] = []
 
 

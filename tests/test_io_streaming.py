@@ -469,3 +469,16 @@ def test_weather_responses_become_rows_by_key(spark):
     assert rows.schema == schemas.WEATHER or [f.name for f in rows.schema] == [f.name for f in schemas.WEATHER]
     got = {r.Airport_Code: (r.Flight_DateTime, r.temperature_2m, r.rain, r.snowfall) for r in rows.collect()}
     assert got == {"CDG": ("2024-09-06T11:00", 20.0, 0.5, None), "JFK": ("2024-09-06T10:20", 1.0, None, None)}
+
+
+def test_written_stages_leave_no_shuffle_files(spark):
+    from delaykit.session import materialize
+    held = lambda: spark.sparkContext._jsc.sc().env().mapOutputTracker().shuffleStatuses().size()
+    setting = spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    counts = spark.range(5000).selectExpr("id % 97 AS k").groupBy("k").count()
+    before = held()
+    got = materialize(counts.join(counts.withColumnRenamed("count", "n"), "k").repartition(3), "cleaned")
+    assert held() <= before
+    assert sorted(r["n"] for r in got.collect())[0] == 51 and got.count() == 97
+    assert counts.count() == 97  # a later query computes its shuffles anew
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == setting
