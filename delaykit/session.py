@@ -71,7 +71,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(ensure_checkpoint_dir(spark), name)
 
 
-def materialize(df, name: str = "stage"):
+def materialize(df, name: str = "stage", compression: str = "snappy"):
     """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
 
     This cuts the lineage (a lost executor re-reads the files instead of
@@ -83,12 +83,21 @@ def materialize(df, name: str = "stage"):
     spark = df.sparkSession
     path = scratch_path(spark, f"delaykit-{name}-{uuid.uuid4().hex}")
     with _shuffles_deleted(spark):
-        df.write.mode("errorifexists").parquet(path)
+        df.write.mode("errorifexists").option("compression", compression).parquet(path)
     for scope in _SCOPES:
         scope.append(path)
     return spark.read.parquet(path)
 
 
+def discard(df) -> None:
+    """Deletes the table that ``materialize`` wrote for ``df``; for steps of a loop that nothing reads again."""
+    conf = df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    for name in {os.path.dirname(f) for f in df.inputFiles()}:
+        if os.path.basename(name).startswith("delaykit-"):
+            path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(conf).delete(path, True)
+
+
 # Spark's setting to delete the shuffle files of a query that has ended.
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 

@@ -482,3 +482,12 @@ def test_written_stages_leave_no_shuffle_files(spark):
     assert sorted(r["n"] for r in got.collect())[0] == 51 and got.count() == 97
     assert counts.count() == 97  # a later query computes its shuffles anew
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == setting
+
+
+def test_discarded_tables_are_gone(spark):
+    from delaykit.session import discard, materialize
+    kept, gone = materialize(spark.range(5), "kept"), materialize(spark.range(7), "gone", compression="zstd")
+    path = os.path.dirname(gone.inputFiles()[0]).removeprefix("file:")
+    assert gone.count() == 7 and os.path.exists(path)
+    discard(gone)
+    assert not os.path.exists(path) and kept.count() == 5
