@@ -15,6 +15,7 @@ from delaykit.session import scratch_path
 from delaykit.sources.files import read_csv
 from delaykit.sources.ledger import Ledger
 from delaykit.sources.sinks import append_rows, create_table, read_target, replace_table, write_csv, write_json
+from delaykit.sources.split import split_documents, split_pages
 
 
 PAGE = 500  # flights of a landed page
@@ -182,3 +183,33 @@ def append_with_ledger(spark, d):
     spark.sql(f"DROP TABLE {name}")
     keys = ["l_orderkey", "l_linenumber", "l_returnflag", "l_quantity"]
     return read_target(spark, ledger.target).groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
+
+
+# Every order is a page with its line items as flights; a landed file holds the orders of 5,000 consecutive keys.
+@register("split_landed_file", """
+    SELECT CAST(o_orderkey // 5000 AS BIGINT) AS file_no, count(DISTINCT o_orderkey) AS n_pages, count(DISTINCT o_orderkey) - 1 AS last_page,
+           count(*) AS n_flights, round(CAST(sum(l_quantity) AS DOUBLE), 2) AS quantity
+    FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1
+""")
+def q_split_landed_file(spark, d):
+    li, o = table(spark, d, "lineitem"), table(spark, d, "orders")
+    flight = F.struct(F.col("l_linenumber").alias("No"), F.col("l_quantity").cast("double").alias("Quantity"))
+    orders = (li.join(o, li.l_orderkey == o.o_orderkey).groupBy("o_orderkey").agg(F.collect_list(flight).alias("Flight"))  # a few lines
+              .withColumn("file_no", F.floor(F.col("o_orderkey") / 5000)))
+    page = F.struct(F.struct(F.struct("Flight").alias("Flights")).alias("FlightStatusResource"))
+    last = orders.groupBy("file_no").agg(F.max("o_orderkey").alias("last"))
+    pages = orders.join(last, "file_no").select("file_no", F.col("o_orderkey").alias("at"), F.concat(
+        F.to_json(page, {"pretty": "true"}), F.when(F.col("o_orderkey") < F.col("last"), ",").otherwise("")).alias("value"))
+    head = last.select("file_no", F.lit(-1).cast("long").alias("at"), F.concat(
+        F.lit('{\n  "metadata": {\n    "start_range": "'), F.col("file_no"), F.lit('"\n  },\n  "data": [')).alias("value"))
+    tail = last.select("file_no", (F.col("last") + 1).alias("at"), F.lit("]\n}").alias("value"))
+    path = _folder(spark, "split")
+    (pages.unionByName(head).unionByName(tail).repartition("file_no").sortWithinPartitions("file_no", "at").select("file_no", "value")
+     .write.partitionBy("file_no").text(path))
+    found, _ = split_documents(spark, path, glob="*.txt")
+    flights_of_page = F.from_json(F.to_json(F.try_variant_get("page", "$.Flights.Flight", "variant")), "array<struct<No:long,Quantity:double>>")
+    read = split_pages(found).select(F.get_json_object("metadata", "$.start_range").cast("long").alias("file_no"), "page_pos",
+                                     flights_of_page.alias("f"))
+    return read.groupBy("file_no").agg(
+        F.count(F.lit(1)).alias("n_pages"), F.max("page_pos").cast("long").alias("last_page"), F.sum(F.size("f")).cast("long").alias("n_flights"),
+        F.round(F.sum(F.aggregate("f", F.lit(0.0), lambda a, x: a + x["Quantity"])), 2).alias("quantity"))
