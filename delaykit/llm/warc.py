@@ -21,6 +21,8 @@ from delaykit.llm.common import broadcast_if_within
 from delaykit.session import materialize, scratch_path
 
 MIN_REVISIT, PER_FILE, BROADCAST_ROWS = 1000, 2000, 200_000
+FILE_BYTES, HEADER_BYTES = 128 << 20, 2048  # of an archive, unless one record is larger; of a record besides its payload and URL
+PER_RANGE = 100_000  # captures that a task merges, about
 EPOCH = 1_704_067_200  # 2024-01-01T00:00:00Z; captures are one second apart in page order
 SEPARATOR = "\r\n\r\n"
 
@@ -65,10 +67,19 @@ def record_text() -> F.Column:
         _line("Content-Length", F.octet_length(block)), F.lit("\r\n"), block)
 
 
-def write_archives(pages: DataFrame, path: str, min_bytes: int = MIN_REVISIT, per_file: int = PER_FILE) -> None:
-    """Writes a folder of archives, at most ``per_file`` records each."""
-    (with_revisits(pages, min_bytes).select(record_text().alias("value")).write
-     .option("lineSep", SEPARATOR).option("maxRecordsPerFile", per_file).text(path))
+def write_archives(pages: DataFrame, path: str, min_bytes: int = MIN_REVISIT, per_file: int = PER_FILE,
+                   file_bytes: int = FILE_BYTES) -> None:
+    """Writes a folder of archives of at most ``per_file`` records and ``file_bytes`` (a larger record stands alone).
+
+    Records are written by classes of size: those of class k have at most ``file_bytes / per_file * 2**k`` bytes, of which
+    ``per_file / 2**k`` go to a file.  Most corpora have one class; each costs a scan of the pages."""
+    size = sum((F.octet_length(F.coalesce(c, F.lit(""))) for c in ("html", "url")), F.lit(HEADER_BYTES))
+    step = F.greatest(F.lit(0), F.ceil(F.log2(size * (per_file / file_bytes)))).cast("int")
+    classes = sorted(r.k for r in pages.select(step.alias("k")).distinct().collect())  # at most 31
+    rows = with_revisits(pages, min_bytes)
+    for k in classes or [0]:
+        (rows.filter(step == k).select(record_text().alias("value")).write.mode("append")
+         .option("lineSep", SEPARATOR).option("maxRecordsPerFile", max(1, per_file >> k)).text(path))
 
 
 def url_key(url: str | None) -> str:
@@ -185,8 +196,11 @@ def _merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def merged_index(captures: DataFrame) -> DataFrame:
-    """The captures with ``shard`` and ``place``: read by shard, then place, they are in global order."""
-    ranged = captures.repartitionByRange("url_key", "captured_at", "page_id", "archive", "offset")
+    """The captures (a written table) with ``shard`` and ``place``: read by shard, then place, they are in global order.
+
+    The number of ranges grows with the captures and every key is unique, so a task merges about ``PER_RANGE`` of them
+    however often a URL was captured."""
+    ranged = captures.repartitionByRange(1 + captures.count() // PER_RANGE, "url_key", "captured_at", "page_id", "archive", "offset")
     return ranged.mapInPandas(_merge, _CAPTURES + ", place long").withColumn("shard", F.spark_partition_id())
 
 
@@ -198,7 +212,8 @@ def capture_histories(pages: DataFrame, path: str | None = None, min_bytes: int
     ``shard``, ``place``.
 
     Null html is an empty payload; a null URL has an empty key; a null id is older than any other; of equal pages with
-    equal ids every one is a response; repeated rows are records of their own; extra columns are ignored."""
+    equal ids every one is a response; repeated rows are records of their own; extra columns are ignored.  Very long pages
+    share an archive with few others or none."""
     spark = pages.sparkSession
     pages = pages.select(pages["page_id"].cast("long").alias("page_id"), pages["url"].cast("string").alias("url"),
                          pages["html"].cast("string").alias("html"))
