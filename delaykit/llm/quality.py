@@ -2,8 +2,10 @@
 
 A text's worth is a linear function of its features; the chance that one text is preferred to another is the logistic
 function of the difference of their worths.  Pairs of a preferred (label 1) and a rejected (label 0) text give feature
-differences, and the logistic loss on them is minimized by ``pyspark.ml`` over the pair table.  The threshold is the
-quantile of the worths at the share of rejected texts.  Scoring is one pass over the texts.
+differences, and the logistic loss on them is minimized by Newton steps, each one pass over the labelled rows.  Every
+labelled row is learnt from: the rows are dealt into groups of bounded size by hash and paired inside a group, by the task
+that holds it, so pairs are never stored.  The threshold is the quantile of all labelled rows' worths at the share of
+rejected texts.  Features are computed in one pass over the texts, for the fit and the scores alike.
 """
 
 from __future__ import annotations
@@ -15,16 +17,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from delaykit.llm.common import crc_mod, texts_of
+from delaykit.operators.ordering import row_index
 from delaykit.session import materialize
 
-MAX_ROWS = 20_000  # labelled rows that the fit reads at most, the first by the hash of their id
 PAIRS_EACH = 4
+GROUP_ROWS, RARE_ROWS = 1024, 64  # rows of the commoner label that a group holds, and of the rarer one at least, about
+PENALTY, STEPS = 1e-4, 60
 THRESHOLD = 0.7
 SHARES = 128  # byte shares come first
 NAMES = [f"byte_{i}" for i in range(SHARES)] + ["non_ascii", "log_words", "word_length", "distinct_words", "distinct_lines",
@@ -53,13 +55,18 @@ def features(text: str | None) -> np.ndarray:
 
 
 def features_udf():
-    @F.pandas_udf("array<float>")
+    """The features as the bytes of their floats."""
+    @F.pandas_udf("binary")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
-            yield pd.Series([features(t) for t in texts])
+            yield pd.Series([features(t).tobytes() for t in texts], dtype=object)
     return of
 
 
+def table_of(rows: pd.Series) -> np.ndarray:
+    return np.frombuffer(b"".join(rows), np.float32).reshape(-1, len(NAMES))
+
+
 @dataclass
 class QualityModel:
     weights: np.ndarray
@@ -72,64 +79,152 @@ class QualityModel:
         return 1 / (1 + np.exp(-worth) * (1 - self.threshold) / self.threshold)
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, usable, max_rows: int) -> DataFrame:
-    """(doc_id, text, label): at most ``max_rows`` labelled documents for which ``usable`` (a condition on doc_id) holds.
-    Of several labels of one id the largest counts; null ids and null labels are left out."""
-    few = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(column).cast("int").alias("label"))
-           .filter(F.col("doc_id").isNotNull() & F.col("label").isNotNull() & usable)
-           .groupBy("doc_id").agg(F.max("label").alias("label"))
-           .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows))
-    # Bounded by max_rows rows of 12 bytes.
-    return docs.join(F.broadcast(few), "doc_id").dropDuplicates(["doc_id"])
-
-
-def fit(docs: DataFrame, labels: DataFrame, usable, column: str = "quality", max_rows: int = MAX_ROWS,
+def labelled_rows(known: DataFrame, labels: DataFrame, column: str, usable) -> DataFrame:
+    """(doc_id, label, x): every labelled document for which ``usable`` (a condition on doc_id) holds; ``known``: (doc_id, x).
+    Of several labels of one id the largest counts; null ids and null labels are left out, repeated rows count once."""
+    given = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(column).cast("int").alias("label"))
+             .filter(F.col("doc_id").isNotNull() & F.col("label").isNotNull() & usable)
+             .groupBy("doc_id").agg(F.max("label").alias("label")))
+    return known.join(given, "doc_id").select("doc_id", "label", "x").distinct()
+
+
+def grouped(rows: DataFrame, good: int, bad: int) -> DataFrame:
+    """The rows of labels 1 and 0 with the ``group`` they are paired in.  Where the rarer label is too rare for every group to
+    have some, its rows stand in several groups, so that no row of the commoner one is without a partner."""
+    groups = 1 + (max(good, bad) - 1) // GROUP_ROWS
+    copies = min(groups, 1 + (groups * RARE_ROWS - 1) // min(good, bad))
+    rare = F.col("label") == (1 if good <= bad else 0)
+    shift = F.explode(F.sequence(F.lit(0), F.when(rare, copies - 1).otherwise(0)))
+    return rows.filter("label IN (0, 1)").select("*", shift.alias("copy")).select(
+        "doc_id", "label", "x", F.pmod(F.pmod(F.xxhash64("doc_id", "x"), F.lit(groups)) + F.col("copy"), F.lit(groups)).alias("group"))
+
+
+def group_pairs(label: np.ndarray, pairs_each: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the preferred and the rejected row of every pair of a group: each row of the commoner label is in
+    ``pairs_each`` pairs, each other row in about as many as any of its kind."""
+    good, bad = np.flatnonzero(label == 1), np.flatnonzero(label == 0)
+    common, rare = (good, bad) if len(good) >= len(bad) else (bad, good)
+    if not len(rare):
+        return good[:0], bad[:0]
+    turn, i = np.divmod(np.arange(pairs_each * len(common)), len(common))
+    pair = common[i], rare[(i * 7919 + turn) % len(rare)]
+    return pair if common is good else pair[::-1]
+
+
+def _passes(rows: DataFrame, weights: np.ndarray, pairs_each: int) -> tuple[np.ndarray, ...]:
+    """Over all pairs: their number and loss, the loss's gradient and Hessian, sums of the differences and of their squares."""
+    k = len(weights)
+
+    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total, left = np.zeros(2 + 3 * k + k * k), None
+
+        def add(group: pd.DataFrame) -> None:
+            group = group.sort_values(["doc_id", "x"])
+            good, bad = group_pairs(group["label"].to_numpy(), pairs_each)
+            if not len(good):
+                return
+            x = table_of(group["x"]).astype(np.float64)
+            d = x[good] - x[bad]
+            z = d @ weights
+            p = 1 / (1 + np.exp(np.clip(z, -700, 700)))  # chance of the other outcome
+            total[:] += np.concatenate([[len(d), np.logaddexp(0, -z).sum()], -(p @ d), ((d * (p * (1 - p))[:, None]).T @ d).ravel(),
+                                        d.sum(0), (d * d).sum(0)])
+
+        for batch in batches:  # rows come by group; a group may go on in the next batch
+            left = batch if left is None else pd.concat([left, batch])
+            last = left["group"].iloc[-1] if len(left) else None
+            for _, group in left[left["group"] != last].groupby("group"):
+                add(group)
+            left = left[left["group"] == last]
+        if left is not None and len(left):
+            add(left)
+        yield pd.DataFrame({"at": np.arange(len(total)), "v": total})
+
+    got = rows.mapInPandas(sums, "at int, v double").groupBy("at").agg(F.sum("v").alias("v")).toPandas()
+    out = np.zeros(2 + 3 * k + k * k)
+    out[got["at"].to_numpy()] = got["v"].to_numpy()
+    return out[0], out[1], out[2:2 + k], out[2 + k:2 + k + k * k].reshape(k, k), out[-2 * k:-k], out[-k:]
+
+
+def minimized(rows: DataFrame, pairs_each: int) -> np.ndarray:
+    """Weights of least mean logistic loss of the pairs, with a penalty on the weights in standard units; ``rows`` come by
+    group.  A step that makes the loss larger is halved."""
+    weights = step = np.zeros(len(NAMES))
+    scale, before = None, math.inf
+    for _ in range(STEPS):
+        n, loss, slope, curve, first, second = _passes(rows, weights, pairs_each)
+        if scale is None:
+            spread = np.sqrt(np.maximum(second - first * first / n, 0) / max(n - 1, 1))
+            scale = np.where(spread > 1e-9, spread, np.inf)
+        beta = np.where(np.isinf(scale), 0, weights * np.where(np.isinf(scale), 0, scale))
+        loss = loss / n + PENALTY / 2 * beta @ beta
+        if loss > before + 1e-12:
+            step = step / 2
+            if np.abs(step).max() < 1e-9:
+                break
+            weights = weights - step
+            continue
+        before = loss
+        slope = slope / n / scale + PENALTY * beta
+        curve = curve / n / np.outer(scale, scale) + PENALTY * np.eye(len(beta))
+        move = np.linalg.solve(curve, -slope)
+        if -slope @ move < 1e-9:  # what the step could gain, twice
+            break
+        step = move / scale
+        weights = weights + step
+    return weights
+
+
+def fit(known: DataFrame, labels: DataFrame, usable, column: str = "quality",
         pairs_each: int = PAIRS_EACH, threshold: float = THRESHOLD) -> QualityModel:
-    """Fits on the labelled rows that ``usable`` admits.  Without both labels every text scores alike, above the
-    threshold if label 1 is the one there is (or there is none)."""
-    sample = materialize(labelled_sample(docs, labels, column, usable, max_rows)
-                         .select("doc_id", "label", features_udf()("text").alias("x")), "quality")
-    sizes = {r.label: r.n for r in sample.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    """Fits on all labelled rows that ``usable`` admits; ``known``: (doc_id, x).  Without both labels every text scores alike,
+    above the threshold if label 1 is the one there is (or there is none)."""
+    rows = materialize(labelled_rows(known, labels, column, usable), "quality")
+    sizes = {r.label: r.n for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     good, bad = sizes.get(1, 0), sizes.get(0, 0)
     if not good or not bad:
         return QualityModel(np.zeros(len(NAMES)), -1.0 if good or not bad else 1.0, threshold)
-    # The sample is bounded, so are these numbered lists.
-    ranked = sample.withColumn("at", F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id")) - 1)
-    pairs = sample.sparkSession.range(pairs_each * max(good, bad)).select(
-        (F.col("id") % good).alias("g"), ((F.col("id") * 7919 + F.floor(F.col("id") / good)) % bad).alias("b"), "id")
-    best = ranked.filter("label = 1").select(F.col("at").cast("long").alias("g"), F.col("x").alias("xg"))
-    worst = ranked.filter("label = 0").select(F.col("at").cast("long").alias("b"), F.col("x").alias("xb"))
-    # Every other pair is turned round: the fit needs both outcomes.
-    sign = F.when(F.col("id") % 2 == 0, 1.0).otherwise(-1.0)
-    diffs = pairs.join(best, "g").join(worst, "b").select(
-        array_to_vector(F.transform(F.arrays_zip("xg", "xb"), lambda z: ((z.xg - z.xb) * sign).cast("double"))).alias("features"),
-        ((sign + 1) / 2).alias("label"))
-    weights = LogisticRegression(fitIntercept=False, regParam=1e-4, maxIter=60).fit(materialize(diffs, "pairs")).coefficients.toArray()
+    # One task a partition of groups: written in their order and not cut into splits, so a group stays whole.
+    by_group = grouped(rows, good, bad)
+    at = [F.col("group")]
+    parts = 1 + (good + bad) // (16 * GROUP_ROWS)
+    paired = materialize(by_group.repartition(parts, *at).sortWithinPartitions(*at), "pairs")
+    weights = minimized(paired, pairs_each)
     model = QualityModel(weights, 0.0, threshold)
 
     @F.pandas_udf("double")
     def worth(x: pd.Series) -> pd.Series:
-        return pd.Series(np.stack(x.to_list()).astype(np.float64) @ weights)
+        return pd.Series(table_of(x).astype(np.float64) @ weights)
 
-    model.cut = float(sample.agg(F.percentile(worth("x"), bad / (good + bad)).alias("c")).first().c)
+    model.cut = quantile(rows.filter("label IN (0, 1)").select(worth("x").alias("worth"), F.xxhash64("doc_id").alias("tie")),
+                         ["worth", "tie"], bad / (good + bad), good + bad)
     return model
 
 
+def quantile(df: DataFrame, order: list[str], share: float, n: int) -> float:
+    """Exact, by a sort over all tasks: of the first column of ``order``, between the two rows next to ``share`` of the way
+    from the first to the last of ``n``; the other columns tell equal values apart, so that many of them are shared out."""
+    place = share * (n - 1)
+    low = math.floor(place)
+    found = row_index(df, order).filter(F.col("row_index").isin(low, low + 1)).collect()
+    values = [r[order[0]] for r in sorted(found, key=lambda r: r.row_index)]
+    return float(values[0] + (place - low) * (values[-1] - values[0]))
+
+
 def score_udf(model: QualityModel):
     @F.pandas_udf("double")
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            yield pd.Series(model.scores(np.stack([features(t) for t in texts])) if len(texts) else [], dtype="float64")
+    def score(x: pd.Series) -> pd.Series:
+        return pd.Series(model.scores(table_of(x)), dtype="float64")
     return score
 
 
 def quality(docs: DataFrame, labels: DataFrame, folds: int = 4, held: int = 2, id_col: str = "doc_id",
-            text_col: str = "text", max_rows: int = MAX_ROWS, threshold: float = THRESHOLD) -> DataFrame:
+            text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """One row per document: ``doc_id``, ``held_out`` (crc32 of the id modulo ``folds`` is ``held``; such rows are never
     learnt from), ``score``, ``predicted``.  Null and empty texts get a score like any other; repeated rows repeat; a null
     id is scored, not learnt from; extra columns are ignored."""
-    docs = texts_of(docs, id_col, text_col)
+    known = materialize(texts_of(docs, id_col, text_col).select("doc_id", features_udf()("text").alias("x")), "features")
     held_out = crc_mod("doc_id", folds) == held
-    model = fit(docs, labels, ~held_out, max_rows=max_rows, threshold=threshold)
-    return (docs.select("doc_id", held_out.alias("held_out"), score_udf(model)("text").alias("score"))
+    model = fit(known, labels, ~held_out, threshold=threshold)
+    return (known.select("doc_id", held_out.alias("held_out"), score_udf(model)("x").alias("score"))
             .withColumn("predicted", (F.col("score") >= threshold).cast("int")))

@@ -1,9 +1,11 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing names; and what the methods promise."""
 
 import random
+import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from delaykit.llm import components as comp
 from delaykit.llm import packing, simhash
@@ -13,7 +15,7 @@ from delaykit.llm.embedding_dedup import near_vectors
 from delaykit.llm.licenses import TEMPLATES, LicenseIndex, license_matches, scan
 from delaykit.llm.lm import scores
 from delaykit.llm.packing import BestFit, Encoder, pack
-from delaykit.llm.quality import quality
+from delaykit.llm.quality import NAMES, group_pairs, grouped, quality
 from delaykit.llm.simhash import covering_masks, near_duplicates
 from delaykit.llm.suffix_dedup import RunLengthIndex, remove_repeats, segments
 from delaykit.llm.toxicity import evidence, fit_field, forward_backward, toxicity
@@ -361,6 +363,25 @@ def test_quality_separates(spark):
     assert all(r.predicted == int(r.doc_id % 5 != 0) for r in got.collect())
 
 
+def test_quality_learns_from_every_labelled_row(spark):
+    ids = [i for i in range(28_000) if zlib.crc32(str(i).encode()) % 4 != 2]
+    order = [r.id for r in spark.createDataFrame([(i,) for i in ids], "id long").orderBy(F.xxhash64("id"), "id").collect()]
+    bad = set(order[20_000:20_300])  # past the first 20,000 by the hash of the id
+    rows = [(i, f"{i} some words ### of ### text" if i in bad else f"{i} some words of text") for i in ids]
+    got = quality(spark.createDataFrame(rows, "doc_id long, text string"),
+                  spark.createDataFrame([(i, int(i not in bad)) for i in ids], "doc_id long, quality int"))
+    assert {r.doc_id for r in got.filter("predicted = 0").collect()} == bad
+
+
+def test_quality_rare_label_in_every_group(spark):
+    x = np.zeros(len(NAMES), np.float32).tobytes()
+    rows = spark.createDataFrame([(i, int(i > 2), x) for i in range(5000)], "doc_id long, label int, x binary")
+    got = grouped(rows, 4997, 3).groupBy("group").agg(F.count_if(F.col("label") == 0).alias("bad"), F.count_if(F.col("label") == 1).alias("good")).collect()
+    assert len(got) == 5 and all(r.bad == 3 for r in got) and sum(r.good for r in got) == 4997
+    good, bad = group_pairs(np.array([1] * 7 + [0] * 2), 2)
+    assert sorted(good) == sorted([*range(7)] * 2) and set(bad) == {7, 8} and len(set(zip(good, bad))) == 14
+
+
 def test_vectors_of_every_length_link(spark):
     rng = np.random.default_rng(4)
     rows, k = [], 0
