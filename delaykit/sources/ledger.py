@@ -15,7 +15,8 @@ from pyspark.sql import types as T
 from delaykit.session import materialize
 from delaykit.sources.sinks import append_rows, read_target, table_exists
 
-BUCKETS = 64  # about one for every 50 million rows of a day that a task should read
+BUCKETS = 64  # of a ledger that is created
+ROWS_A_BUCKET = 1 << 22  # of a batch or of the ledger; more rows double the buckets
 
 
 def row_hash(df: DataFrame) -> Column:
@@ -44,6 +45,10 @@ def _hashed(df: DataFrame, day) -> DataFrame:
 class Ledger:
     """The ledger of one target: a catalog table ``name``, stored at ``path`` if given.
 
+    ``buckets`` is what it starts with: a task reads a bucket of the batch and of the ledger, so when either holds more than
+    ``ROWS_A_BUCKET`` rows a bucket, ``append`` doubles the buckets and writes the ledger anew, which happens seldom enough
+    to cost each stored row a bounded number of times.
+
     ``day``: a column of the target that rows are partitioned by in the ledger (a date, or text that starts with one);
     equal rows have equal days, so only a batch's days are read."""
 
@@ -63,11 +68,31 @@ class Ledger:
     def rows(self) -> DataFrame:
         return self.spark.table(self.name)
 
+    def n_rows(self) -> int:
+        """Rows of the target that the ledger counts."""
+        return self.rows().agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] if self.spark.catalog.tableExists(self.name) else 0
+
     def matches_target(self) -> bool:
         """Whether the ledger counts as many rows as the target has (read from file footers), as it does unless a run died
         between its two writes."""
-        known = self.rows().agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] if self.spark.catalog.tableExists(self.name) else 0
-        return known == (read_target(self.spark, self.target).count() if table_exists(self.spark, self.target) else 0)
+        return self.n_rows() == (read_target(self.spark, self.target).count() if table_exists(self.spark, self.target) else 0)
+
+    def stored_buckets(self) -> int | None:
+        """Buckets of the stored ledger."""
+        if not self.spark.catalog.tableExists(self.name):
+            return None
+        about = self.spark.sql(f"DESCRIBE EXTENDED {self.name}").filter("col_name = 'Num Buckets'").first()
+        return int(about.data_type)
+
+    def make_room(self, batch: int) -> None:
+        """Buckets enough for a batch of so many rows and for the rows stored."""
+        stored = self.stored_buckets()
+        self.buckets = stored or self.buckets
+        rows = max(batch, self.n_rows())
+        while rows > self.buckets * ROWS_A_BUCKET:
+            self.buckets *= 2
+        if stored not in (None, self.buckets):
+            self.rebuild()
 
     def rebuild(self) -> None:
         """The ledger anew from the whole target."""
@@ -99,9 +124,9 @@ class Ledger:
             raise ValueError(f"columns {df.columns} aren't those of the target")
         if not self.matches_target():
             self.rebuild()
-        days = None
-        if self.day is not None:
-            days = [r[0] for r in df.select(_day(self.day)).distinct().collect()]  # the batch's days
+        sizes = dict(df.groupBy(_day(self.day).alias("day")).count().collect())  # the batch's days
+        days = list(sizes) if self.day is not None else None
+        self.make_room(sum(sizes.values()))
         fresh = materialize(self.new_rows(df, days), "ledger-new")
         append_rows(fresh.drop("__hash", "__day"), self.target)
         self._add(fresh)

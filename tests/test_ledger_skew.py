@@ -62,6 +62,20 @@ def test_ledger_is_rebuilt_after_a_run_that_died(spark, make):
     assert ledger.append(more).count() == 0 and ledger.matches_target()
 
 
+def test_buckets_grow_with_the_rows(spark, make, monkeypatch):
+    monkeypatch.setattr("delaykit.sources.ledger.ROWS_A_BUCKET", 10)
+    ledger = make(day="day")
+    few, many = (spark.range(n).selectExpr("id", "concat('2024-01-0', 1 + id % 3) AS day") for n in (40, 150))
+    assert ledger.append(few).count() == 40 and ledger.stored_buckets() == 4
+    assert ledger.append(many).count() == 110 and ledger.stored_buckets() == 16
+    assert ledger.append(many).count() == 0 and ledger.n_rows() == spark.read.parquet(ledger.target).distinct().count() == 150
+    again = Ledger(spark, ledger.name, ledger.target, day="day", buckets=2, path=ledger.path)  # takes the stored number
+    assert again.append(few).count() == 0 and again.buckets == 16
+    batch = again.new_rows(many, ["2024-01-01"])
+    assert max(r["count"] for r in batch.groupBy(F.spark_partition_id()).count().collect()) < 30  # of 100
+    assert batch._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+
+
 def test_row_hash_tells_rows_apart(spark):
     df = spark.createDataFrame([(None, 1, {"a": 1, "b": 2}), (1, None, {"b": 2, "a": 1}), (None, 1, {"b": 2, "a": 1})], "a int, b int, m map<string,int>")
     h = [r[0] for r in df.select(row_hash(df)).collect()]
