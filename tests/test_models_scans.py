@@ -103,6 +103,23 @@ def test_trees_of_all_folds_grow_together(spark):
         assert scores[k] == pytest.approx(-np.mean([(r.delay_minutes - r.p) ** 2 for r in guess]), rel=1e-9)
 
 
+def test_rows_are_counted_once_for_all_levels(spark, monkeypatch):
+    df = spark.range(600).selectExpr("id * 1.0 AS a", "id % 7 * 1.0 AS b", "id % 11 * 1.5 AS delay_minutes", "CAST(id % 3 AS INT) AS fold")
+    cuts = {"a": [100.0, 300.0], "b": [1.0, 3.0, 4.0]}
+    sizes, best = [], trees._best_splits
+
+    def counted(sums, min_rows):
+        sizes.append(sums._jdf.queryExecution().optimizedPlan().toString().count("delay_minutes"))
+        return best(sums, min_rows)
+
+    monkeypatch.setattr(trees, "_best_splits", counted)
+    few = trees.grow(df, ["a", "b"], depth=3, cuts=cuts, fold_col="fold", folds=range(3))
+    assert len(sizes) > 2 and not any(sizes)  # no level reads the rows
+    monkeypatch.setattr(trees, "GRID", 1)
+    each = trees.grow(df, ["a", "b"], depth=3, cuts=cuts, fold_col="fold", folds=range(3))
+    assert few == each
+
+
 def test_cuts_part_the_rows_evenly(spark):
     df = spark.range(10_000).selectExpr("CAST(id AS DOUBLE) AS x", "CAST(id % 3 AS DOUBLE) AS few", "1.0D AS one",
                                         "CASE WHEN id < 5000 THEN 0.0D ELSE CAST(id AS DOUBLE) END AS heavy")
