@@ -18,7 +18,7 @@ from delaykit.sources.sinks import append_rows, create_table, read_target, repla
 from delaykit.sources.split import split_documents, split_pages
 
 
-PAGE = 500  # flights of a landed page
+PAGE, PAGES = 500, 64  # flights of a landed page, pages of a landed file
 
 
 def _folder(spark, name: str) -> str:
@@ -92,8 +92,8 @@ def csv_bulk_load(spark, d):
     FROM orders
 """)
 def day_download_roundtrip(spark, d):
-    """Orders as landed flight files for the first of every month, one of about ``PAGE`` flights a page; odd and even months
-    are downloaded apart."""
+    """Orders as landed flight files for the first of every month, of pages of about ``PAGE`` flights, at most ``PAGES`` a
+    file; odd and even months are downloaded apart."""
     o = table(spark, d, "orders").withColumn("at", format_minute(F.date_trunc("month", "o_orderdate")))
     flight = F.struct(
         F.struct(F.col("o_orderstatus").alias("AirportCode"), F.struct(F.col("at").alias("DateTime")).alias("ScheduledTimeLocal")).alias("Departure"),
@@ -105,9 +105,10 @@ def day_download_roundtrip(spark, d):
     page = F.struct(F.struct(F.struct(F.col("flights").alias("Flight")).alias("Flights"),
                              F.struct(F.size("flights").alias("TotalCount"), F.struct(F.lit("u?x").alias("@Href")).alias("Link")).alias("Meta")
                              ).alias("FlightStatusResource"))
-    docs = months.select("month", "page", F.struct(F.concat("month", F.lit("-01T00:00")).alias("start_range")).alias("metadata"), F.array(page).alias("data"))
+    files = months.groupBy("month", F.floor(F.col("page") / PAGES).alias("file")).agg(F.collect_list(page).alias("data"))
+    docs = files.select("month", "file", F.struct(F.concat("month", F.lit("-01T00:00")).alias("start_range")).alias("metadata"), "data")
     landing, out = _folder(spark, "landing"), _folder(spark, "download")
-    parts = docs.withColumn("part", F.col("month")).withColumn("file", F.col("page")).drop("month", "page")
+    parts = docs.withColumnRenamed("month", "part")
     write_json(parts.repartition("part", "file"), landing, partition_by=["part", "file"])  # one document a file
     day_download(spark, landing + "/part=*-{01,03,05,07,09,11}/*", out)
     day_download(spark, landing + "/part=*-{02,04,06,08,10,12}/*", out)

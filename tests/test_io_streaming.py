@@ -491,3 +491,21 @@ def test_discarded_tables_are_gone(spark):
     assert gone.count() == 7 and os.path.exists(path)
     discard(gone)
     assert not os.path.exists(path) and kept.count() == 5
+
+
+def test_landed_flight_files_hold_many_pages(spark, tmp_path, monkeypatch):
+    from delaykit.registry import files
+
+    spark.range(300).selectExpr("id AS o_orderkey", "'F' AS o_orderstatus", "make_timestamp(2024, 3 + CAST(id % 2 AS INT), 5, 10, 0, 0) AS o_orderdate").write.parquet(
+        str(tmp_path / "orders.parquet"))
+    landed, download = set(), files.day_download
+
+    def counted(spark, landing, out):
+        for folder, _, names in os.walk(landing.split("/part=")[0]):
+            landed.update(os.path.join(folder, n) for n in names if n.endswith(".json"))
+        return download(spark, landing, out)
+
+    monkeypatch.setattr(files, "day_download", counted)
+    monkeypatch.setattr(files, "PAGE", 10)  # 15 pages a month
+    got = files.day_download_roundtrip(spark, str(tmp_path)).collect()
+    assert sorted(int(r.flight_number) for r in got) == list(range(300)) and len(landed) == 2
