@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from delaykit.functions.timefmt import format_minute
 from delaykit.operators.dedup import union_ragged
@@ -197,16 +197,14 @@ def q_split_landed_file(spark, d):
     flight = F.struct(F.col("l_linenumber").alias("No"), F.col("l_quantity").cast("double").alias("Quantity"))
     orders = (li.join(o, li.l_orderkey == o.o_orderkey).groupBy("o_orderkey").agg(F.collect_list(flight).alias("Flight"))  # a few lines
               .withColumn("file_no", F.floor(F.col("o_orderkey") / 5000)))
-    page = F.struct(F.struct(F.struct("Flight").alias("Flights")).alias("FlightStatusResource"))
-    last = orders.groupBy("file_no").agg(F.max("o_orderkey").alias("last"))
-    pages = orders.join(last, "file_no").select("file_no", F.col("o_orderkey").alias("at"), F.concat(
-        F.to_json(page, {"pretty": "true"}), F.when(F.col("o_orderkey") < F.col("last"), ",").otherwise("")).alias("value"))
-    head = last.select("file_no", F.lit(-1).cast("long").alias("at"), F.concat(
-        F.lit('{\n  "metadata": {\n    "start_range": "'), F.col("file_no"), F.lit('"\n  },\n  "data": [')).alias("value"))
-    tail = last.select("file_no", (F.col("last") + 1).alias("at"), F.lit("]\n}").alias("value"))
+    page = F.to_json(F.struct(F.struct(F.struct("Flight").alias("Flights")).alias("FlightStatusResource")), {"pretty": "true"})
+    head = F.concat(F.lit('{\n  "metadata": {\n    "start_range": "'), F.col("file_no"), F.lit('"\n  },\n  "data": [\n'))
+    # The window needs a file's pages in one task and in order, so a file is written by one.
+    in_file = Window.partitionBy("file_no").orderBy("o_orderkey")
+    pages = orders.withColumns({"first": F.lag("o_orderkey").over(in_file).isNull(), "last": F.lead("o_orderkey").over(in_file).isNull()}).select(
+        "file_no", "o_orderkey", F.concat(F.when(F.col("first"), head).otherwise(""), page, F.when(F.col("last"), "\n]\n}").otherwise(",")).alias("value"))
     path = _folder(spark, "split")
-    (pages.unionByName(head).unionByName(tail).repartition("file_no").sortWithinPartitions("file_no", "at").select("file_no", "value")
-     .write.partitionBy("file_no").text(path))
+    pages.sortWithinPartitions("file_no", "o_orderkey").select("file_no", "value").write.partitionBy("file_no").text(path)
     found, _ = split_documents(spark, path, glob="*.txt")
     flights_of_page = F.from_json(F.to_json(F.try_variant_get("page", "$.Flights.Flight", "variant")), "array<struct<No:long,Quantity:double>>")
     read = split_pages(found).select(F.get_json_object("metadata", "$.start_range").cast("long").alias("file_no"), "page_pos",

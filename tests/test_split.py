@@ -1,10 +1,13 @@
 """One large landed file is read by several tasks, and gives what the plain read gives."""
 
 import json
+from contextlib import contextmanager
 
 from pyspark.sql import functions as F
 
 from delaykit.operators.documents import pages_of_documents
+from delaykit.registry import QUERIES
+from delaykit.sources import split
 from delaykit.sources.files import read_documents, unreadable_pages
 from delaykit.sources.split import split_documents, split_pages
 
@@ -61,3 +64,50 @@ def test_other_layouts(spark, tmp_path):
     assert got == {k: v for k, v in _plain(spark, str(tmp_path)).items() if k[0] not in bad}
     listed = unreadable_pages(split_pages(split_documents(spark, str(tmp_path))[0])).collect()
     assert sorted(r.reason for r in listed) == ["page 0", "page 2"]
+
+
+@contextmanager
+def _settings(spark, **values):
+    names = {k.replace("__", "."): v for k, v in values.items()}
+    before = {k: spark.conf.get(k, None) for k in names}
+    for k, v in names.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+def test_written_tables_hold_no_row_for_every_line(spark, tmp_path, monkeypatch):
+    pages = [_page(i) for i in range(1_000)]
+    (tmp_path / "large.json").write_text(json.dumps(_file(pages), indent=4))
+    written, write = [], split.materialize
+    monkeypatch.setattr(split, "materialize", lambda df, *args, **more: written.append(write(df, *args, **more)) or written[-1])
+    got, bad = _split(spark, str(tmp_path))
+    assert len(got) == len(pages) and not bad
+    assert max(df.count() for df in written) < 1.2 * len(pages)  # of about 25 lines each
+
+
+def test_pages_go_on_in_other_pieces(spark, tmp_path):
+    text = json.dumps(_file([_page(i) for i in range(200)], other=[[1], {"a": [2]}]), indent=2)
+    (tmp_path / "large.json").write_text(text)
+    (tmp_path / "blank.json").write_text(text.replace("\n", "\n   \n\n"))
+    (tmp_path / "back.json").write_text(json.dumps(_file([{"a\\": '\\"[', 'b"': ["{\\", '"']}, {"é": "]\u2028"}]), indent=1, ensure_ascii=False))
+    with _settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch="7"):
+        rows, bad = split_documents(spark, str(tmp_path))
+        got = {(r.file_path.rsplit("/", 1)[-1], r.page_pos): (json.loads(r.page_text), json.loads(r.metadata)) for r in rows.collect()}
+        assert bad.count() == 0
+    want = {(p.name, i): (page, doc["metadata"]) for p in tmp_path.iterdir()
+            for doc in [json.loads(p.read_text())] for i, page in enumerate(doc["data"])}
+    assert got == want
+
+
+def test_a_file_is_landed_whole_from_many_partitions(spark, tmp_path):
+    orders, n = 20_000, 3
+    spark.range(orders).select(F.col("id").alias("o_orderkey")).write.parquet(str(tmp_path / "orders.parquet"))
+    spark.range(orders * n).select((F.col("id") % orders).alias("l_orderkey"), F.floor(F.col("id") / orders).alias("l_linenumber"),
+                                   F.lit(2).cast("decimal(12,2)").alias("l_quantity")).write.parquet(str(tmp_path / "lineitem.parquet"))
+    with _settings(spark, spark__sql__adaptive__advisoryPartitionSizeInBytes="64k", spark__sql__autoBroadcastJoinThreshold="100k"):
+        got = {tuple(r) for r in QUERIES["split_landed_file"](spark, str(tmp_path)).collect()}
+    assert got == {(k, 5_000, 4_999, 5_000 * n, 10_000.0 * n) for k in range(orders // 5_000)}
