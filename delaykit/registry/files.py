@@ -206,7 +206,7 @@ def q_split_landed_file(spark, d):
     path = _folder(spark, "split")
     pages.sortWithinPartitions("file_no", "o_orderkey").select("file_no", "value").write.partitionBy("file_no").text(path)
     found, _ = split_documents(spark, path, glob="*.txt")
-    flights_of_page = F.from_json(F.to_json(F.try_variant_get("page", "$.Flights.Flight", "variant")), "array<struct<No:long,Quantity:double>>")
+    flights_of_page = F.try_variant_get("page", "$.Flights.Flight", "array<struct<No:long,Quantity:double>>")
     read = split_pages(found).select(F.get_json_object("metadata", "$.start_range").cast("long").alias("file_no"), "page_pos",
                                      flights_of_page.alias("f"))
     return read.groupBy("file_no").agg(

@@ -1,7 +1,7 @@
 """Large landed files split inside (S1, S16): the pages of one pretty-printed file are found by many tasks.
 
 A JSON string holds no line end, so each line of a pretty-printed file tells by itself how many brackets it opens and closes.
-Spark's text source splits a file by bytes; a task cuts the lines of its splits into pieces and counts the brackets of each
+Spark's text source splits a large file by bytes; a task cuts the lines of its splits into pieces and counts the brackets of each
 once.  Sums over the pieces of a file (one row a piece) tell the depth at which a piece begins, so every line's depth is known
 without sorting lines, and the lines of depth two in the member ``data`` begin the pages.  No task reads more than a split;
 only pages that go on in another piece are grouped, all others are cut out of the piece that holds them.
@@ -24,6 +24,7 @@ from delaykit.session import materialize, workers_find_package
 from delaykit.sources.files import document_schema
 
 _STRING = r'"(?:[^"\\]|\\.)*"'
+SMALL, LINES = 4 << 20, 10_000  # bytes of a file that is read as one row; lines of its pieces
 _STEP = np.zeros(256, np.int8)
 _STEP[list(b"[{")], _STEP[list(b"]}")] = 1, -1
 
@@ -76,35 +77,59 @@ def _steps(lines: pa.Array) -> np.ndarray:
     return steps
 
 
+def _rows(piece: int, lines: pa.Array, cuts: list[tuple[int, int, bytes, int]]) -> list[tuple]:
+    """Pieces, numbered from ``piece`` on, of lines that aren't blank, cut at (begin, end, file, split)."""
+    data, ends = _bytes_of(pc.ascii_ltrim(lines, " "))
+    first = data[ends[:-1]]
+    closes, brace = (first == ord("]")) | (first == ord("}")), first == ord("{")
+    lines = lines.cast(pa.binary())
+    steps, out = _steps(lines), []
+    for lo, hi, path, block in cuts:
+        depth = _sums(steps[lo:hi])
+        lowest = int(depth[:-1].min())
+        place = depth[:-1] - lowest
+        begins = np.bincount(place, ~closes[lo:hi])
+        braces = np.bincount(place, brace[lo:hi]) > 0
+        levels = [{"depth": d + lowest, "begins": int(begins[d]), "brace": bool(braces[d])}
+                  for d in np.flatnonzero((begins > 0) | braces).tolist()]
+        own = lines.slice(lo, hi - lo)
+        text = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, hi - lo], pa.int32()), own), b"\n")[0].as_py()
+        out.append((piece + len(out), path, block, hi - lo, int(depth[-1]), lowest, lines[hi - 1].as_py(), levels,
+                    steps[lo:hi].astype(np.int32).tobytes(), closes[lo:hi].tobytes(), text))
+    return out
+
+
 def _cut_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pieces of rows of a line: the lines of a batch in one split."""
     piece = TaskContext.get().partitionId() << 33
     for batch in batches:
         if not batch.num_rows:
             continue
         paths, blocks = batch.column(0).cast(pa.binary()), batch.column(1).to_numpy()
-        lines, steps = batch.column(2).cast(pa.binary()), _steps(batch.column(2).cast(pa.binary()))
-        data, ends = _bytes_of(pc.ascii_ltrim(batch.column(2), " "))
-        first = data[ends[:-1]]  # no line is blank
-        closes, brace = (first == ord("]")) | (first == ord("}")), first == ord("{")
         other = pc.not_equal(paths.slice(1), paths.slice(0, len(paths) - 1)).to_numpy(zero_copy_only=False)
         cuts = [0, *(np.flatnonzero(other | (blocks[1:] != blocks[:-1])) + 1).tolist(), len(blocks)]
-        out = []
-        for lo, hi in zip(cuts, cuts[1:]):
-            depth = _sums(steps[lo:hi])
-            lowest = int(depth[:-1].min())
-            place = depth[:-1] - lowest
-            begins = np.bincount(place, ~closes[lo:hi])
-            braces = np.bincount(place, brace[lo:hi]) > 0
-            levels = [{"depth": d + lowest, "begins": int(begins[d]), "brace": bool(braces[d])}
-                      for d in np.flatnonzero((begins > 0) | braces).tolist()]
-            own = lines.slice(lo, hi - lo)
-            text = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, hi - lo], pa.int32()), own), b"\n")[0].as_py()
-            out.append((piece, paths[lo].as_py(), int(blocks[lo]), hi - lo, int(depth[-1]), lowest, lines[hi - 1].as_py(), levels,
-                        steps[lo:hi].astype(np.int32).tobytes(), closes[lo:hi].tobytes(), text))
-            piece += 1
+        out = _rows(piece, batch.column(2), [(lo, hi, paths[lo].as_py(), int(blocks[lo])) for lo, hi in zip(cuts, cuts[1:])])
+        piece += len(out)
         yield _batch(out, _PIECES)
 
 
+def _cut_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pieces of rows of a whole file, whose lines end as the text source has it."""
+    piece = TaskContext.get().partitionId() << 33
+    for batch in batches:
+        paths, texts = batch.column(0).cast(pa.binary()), batch.column(1).cast(pa.binary())
+        for i in range(batch.num_rows):
+            text = texts[i].as_py().removeprefix(b"\xef\xbb\xbf")
+            if b"\r" in text:
+                text = text.replace(b"\r\n", b"\n").replace(b"\r", b"\n")
+            lines = pc.split_pattern(pa.array([text], pa.binary()), "\n").flatten().view(pa.string())
+            lines = lines.filter(pc.greater(pc.binary_length(pc.ascii_ltrim(lines, " ")), 0))
+            if len(lines):
+                out = _rows(piece, lines, [(lo, min(lo + LINES, len(lines)), paths[i].as_py(), 0) for lo in range(0, len(lines), LINES)])
+                piece += len(out)
+                yield _batch(out, _PIECES)
+
+
 def _cut_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Runs of the lines of pieces, but the lines of depth one that close."""
     for batch in batches:
@@ -131,9 +156,12 @@ def _cut_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _pieces(spark: SparkSession, path: str, glob: str | None) -> DataFrame:
     workers_find_package(spark)
     reader = spark.read if glob is None else spark.read.option("pathGlobFilter", glob)
-    lines = reader.text(path).select(F.col("_metadata.file_path").alias("file_path"),
-                                     F.col("_metadata.file_block_start").alias("block"), "value").filter(F.trim("value") != "")
-    return materialize(lines.mapInArrow(_cut_pieces, _PIECES), "pieces")
+    name, small = F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_size") <= SMALL
+    # The size is known before a file is opened, so each is read by one of the two.  Rows of a line cost far more than the line.
+    whole = reader.text(path, wholetext=True).filter(small).select(name, "value")
+    lines = (reader.text(path).filter(~small).filter(F.trim("value") != "")
+             .select(name, F.col("_metadata.file_block_start").alias("block"), "value"))
+    return materialize(whole.mapInArrow(_cut_files, _PIECES).unionByName(lines.mapInArrow(_cut_pieces, _PIECES)), "pieces")
 
 
 def _placed(pieces: DataFrame) -> DataFrame:

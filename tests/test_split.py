@@ -3,6 +3,7 @@
 import json
 from contextlib import contextmanager
 
+import pytest
 from pyspark.sql import functions as F
 
 from delaykit.operators.documents import pages_of_documents
@@ -89,17 +90,20 @@ def test_written_tables_hold_no_row_for_every_line(spark, tmp_path, monkeypatch)
     assert max(df.count() for df in written) < 1.2 * len(pages)  # of about 25 lines each
 
 
-def test_pages_go_on_in_other_pieces(spark, tmp_path):
+@pytest.mark.parametrize("small", [0, 4 << 20])
+def test_pages_go_on_in_other_pieces(spark, tmp_path, monkeypatch, small):
+    monkeypatch.setattr(split, "SMALL", small)
     text = json.dumps(_file([_page(i) for i in range(200)], other=[[1], {"a": [2]}]), indent=2)
     (tmp_path / "large.json").write_text(text)
     (tmp_path / "blank.json").write_text(text.replace("\n", "\n   \n\n"))
+    (tmp_path / "mark.json").write_bytes(b"\xef\xbb\xbf" + text.replace("\n", "\r").encode())
     (tmp_path / "back.json").write_text(json.dumps(_file([{"a\\": '\\"[', 'b"': ["{\\", '"']}, {"é": "]\u2028"}]), indent=1, ensure_ascii=False))
     with _settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch="7"):
         rows, bad = split_documents(spark, str(tmp_path))
         got = {(r.file_path.rsplit("/", 1)[-1], r.page_pos): (json.loads(r.page_text), json.loads(r.metadata)) for r in rows.collect()}
         assert bad.count() == 0
     want = {(p.name, i): (page, doc["metadata"]) for p in tmp_path.iterdir()
-            for doc in [json.loads(p.read_text())] for i, page in enumerate(doc["data"])}
+            for doc in [json.loads(p.read_text("utf-8-sig"))] for i, page in enumerate(doc["data"])}
     assert got == want
 
 
